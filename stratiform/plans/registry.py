@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 
 from stratiform.functions import codebooks as D
 from stratiform.functions import estimators as E
+from stratiform.operators.checks import Check, run_data_tests, run_expectations
 from stratiform.operators.keys import dense_row_id
 from stratiform.operators.quantile import percentiles_cont, winsorize
 from stratiform.operators.weights import survey_weights
 from stratiform.plans import models as M
 from stratiform.plans.frame import raw_frame, read_table
+from stratiform.plans import suites as S
 from stratiform.plans.oracle import prevalence_sql, with_survey
 from stratiform.schema import WEIGHT, YEAR
 from stratiform.sources.ingest import project_allowlist, unify_years
@@ -300,6 +302,27 @@ def q_union_years(spark, sf):
     return unified.select("respondent_id", YEAR, "diabete4", "prediab2", WEIGHT)
 
 
+def q_check_raw_expectations(spark, sf):
+    return run_expectations(raw_frame(spark, sf), S.raw_expectations(), by=[YEAR])
+
+
+def q_check_model_tests(spark, sf):
+    """All 21 model tests in three passes: staging, flags and risk are row-local
+    projections of the enriched frame, so their tests share one aggregate and
+    one uniqueness count; the prevalence mart is its own aggregate."""
+    rich = enriched(spark, sf)
+    per_row = run_data_tests(
+        rich,
+        {
+            "stg_respondents": S.staging_tests(),
+            "int_diabetes_flags": S.flags_tests(),
+            "int_metabolic_risk": S.risk_tests(),
+        },
+    )
+    mart = run_data_tests(M.prevalence(rich, sort=False), S.prevalence_tests(), "fct_diabetes_prevalence")
+    return per_row.unionByName(mart)
+
+
 QUERIES: dict[str, Query] = {
     "weighted_proportion": q_weighted_proportion,
     "weighted_count": q_weighted_count,
@@ -337,6 +360,8 @@ QUERIES: dict[str, Query] = {
     "rows_by_year": q_rows_by_year,
     "weight_millions": q_weight_millions,
     "union_years": q_union_years,
+    "check_raw_expectations": q_check_raw_expectations,
+    "check_model_tests": q_check_model_tests,
 }
 
 
@@ -499,9 +524,84 @@ SELECT respondent_id, survey_year, diabete4, prediab2, llcpwt FROM (
   SELECT * FROM raw WHERE survey_year <> {DROPPED_YEAR}
   UNION ALL BY NAME
   SELECT * EXCLUDE (prediab2) FROM raw WHERE survey_year = {DROPPED_YEAR}) u"""),
+        "check_raw_expectations": _raw_expectations_sql(),
+        "check_model_tests": _model_tests_sql(),
     }
 
 
+def _sql_str(v) -> str:
+    return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
+
+
+def _raw_expectations_sql() -> str:
+    """Independent SQL of the raw suite: one metrics row per year, then one
+    SELECT per check."""
+    from stratiform.operators.checks import Check  # noqa: F401
+
+    checks = S.raw_expectations()
+    metrics, selects = ["count(*) AS n"], []
+    for i, c in enumerate(checks):
+        col = c.column
+        head = f"survey_year, {_sql_str(c.name)} AS check_name, {_sql_str(c.kind)} AS kind, " \
+               f"CAST({_sql_str(col)} AS VARCHAR) AS column_name"
+        sev = f"{_sql_str(c.severity)} AS severity"
+        if c.kind == "row_count_between":
+            thr = f"[{c.min_value:g}, {c.max_value:g}]"
+            selects.append(f"SELECT {head}, CAST(n AS DOUBLE) AS observed, {_sql_str(thr)} AS threshold, "
+                           f"n BETWEEN {c.min_value} AND {c.max_value} AS passed, {sev} FROM m")
+            continue
+        if c.kind == "column_exists":
+            selects.append(f"SELECT {head}, CAST(1.0 AS DOUBLE) AS observed, 'present' AS threshold, "
+                           f"TRUE AS passed, {sev} FROM m")
+            continue
+        if c.kind == "not_null":
+            metrics += [f"count(*) AS d{i}", f"count({col}) AS k{i}"]
+        elif c.kind == "between":
+            metrics += [f"count({col}) AS d{i}", f"count_if({col} BETWEEN {c.min_value} AND {c.max_value}) AS k{i}"]
+        else:
+            vals = ", ".join(str(v) for v in c.values)
+            metrics += [f"count({col}) AS d{i}", f"count_if({col} IN ({vals})) AS k{i}"]
+        obs = f"CASE WHEN d{i} > 0 THEN CAST(k{i} AS DOUBLE) / CAST(d{i} AS DOUBLE) END"
+        selects.append(f"SELECT {head}, {obs} AS observed, {_sql_str(f'>= {c.mostly:g}')} AS threshold, "
+                       f"coalesce({obs} >= {c.mostly}, TRUE) AS passed, {sev} FROM m")
+    m = f", m AS (SELECT survey_year, {', '.join(metrics)} FROM raw GROUP BY survey_year)\n"
+    return with_survey(m + "\nUNION ALL\n".join(selects))
+
+
+def _model_tests_sql() -> str:
+    tables = [
+        ("stg_respondents", "stg", S.staging_tests()),
+        ("int_diabetes_flags", "flags", S.flags_tests()),
+        ("int_metabolic_risk", "risk", S.risk_tests()),
+        ("fct_diabetes_prevalence", "prev", S.prevalence_tests()),
+    ]
+    selects = []
+    for model, table, checks in tables:
+        for c in checks:
+            head = f"{_sql_str(model)} AS model, {_sql_str(c.name)} AS test_name, {_sql_str(c.kind)} AS kind, " \
+                   f"CAST({_sql_str(c.column)} AS VARCHAR) AS column_name"
+            if c.kind == "unique":
+                fails = (f"(SELECT count(*) FROM (SELECT {c.column} FROM {table} WHERE {c.column} IS NOT NULL "
+                         f"GROUP BY {c.column} HAVING count(*) > 1) d)")
+                selects.append(f"SELECT {head}, CAST({fails} AS BIGINT) AS n_failures, {fails} = 0 AS passed, "
+                               f"{_sql_str(c.severity)} AS severity")
+                continue
+            if c.kind == "not_null":
+                cond = f"{c.column} IS NULL"
+            elif c.kind == "accepted_values":
+                vals = ", ".join(_sql_str(v) if isinstance(v, str) else str(v) for v in c.values)
+                cond = f"{c.column} IS NOT NULL AND {c.column} NOT IN ({vals})"
+            else:
+                cond = f"coalesce(NOT ({c.expression}), FALSE)"
+            selects.append(f"SELECT {head}, CAST(count_if({cond}) AS BIGINT) AS n_failures, "
+                           f"count_if({cond}) = 0 AS passed, {_sql_str(c.severity)} AS severity FROM {table}")
+    flags_full = """, flags_model AS (SELECT s.respondent_id, s.survey_year, s.llcpwt, f.is_diagnosed_diabetic,
+       f.is_prediabetic, f.is_insulin_dependent, f.diabetes_category FROM stg s JOIN flags f USING (respondent_id))"""
+    body = (f", prev AS ({prevalence_sql(M.PREVALENCE_STRATA, M.MIN_CELL)})\n{flags_full}\n"
+            + "\nUNION ALL\n".join(selects).replace(" FROM flags", " FROM flags_model"))
+    return with_survey(body)
+
+
 def _decoded_select_all() -> str:
     from stratiform.plans.oracle import DECODED_SELECT
 
