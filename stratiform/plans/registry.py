@@ -198,10 +198,10 @@ def q_sentinel_scale_round(spark, sf):
 
 
 def q_lookup_join(spark, sf):
-    return M.sort_nulls_last(
-        staged(spark, sf).select("respondent_id", "state_fips", "state_abbr", "state_name"),
-        "state_abbr", "respondent_id",
-    )
+    # Row-level output: no global sort (that would range-shuffle the whole
+    # table); NULLS LAST ordering is applied where the reference sorts, on
+    # the small mart outputs.
+    return staged(spark, sf).select("respondent_id", "state_fips", "state_abbr", "state_name")
 
 
 def q_stg_frame(spark, sf):
