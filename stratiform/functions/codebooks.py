@@ -3,7 +3,7 @@
 Codes arrive as doubles.  They are rounded half-to-even before matching, so
 1.9 and 2.5 both decode as code 2 (the reference engine's integer cast does
 the same; Spark's plain cast would truncate 1.9 to 1).  All builders return
-JVM-side ``Column`` expressions (a ``CASE WHEN`` chain), so decoding runs
+JVM-side ``Column`` expressions (a lookup in a literal map), so decoding runs
 inside whole-stage codegen and never leaves the executor JVM.
 """
 
@@ -78,24 +78,57 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _sql_lit(v: Any) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def code_sql(c: str) -> str:
+    return f"try_cast(rint({_ident(c)}) AS INT)"
+
+
 def as_code(c: Column | str) -> Column:
     """Double code -> INT, rounding half to even; NULL for NULL or out of range."""
-    return F.rint(_col(c)).try_cast("int")
+    if isinstance(c, str):
+        return F.expr(code_sql(c))
+    return F.rint(c).try_cast("int")
 
 
-def decode(c: Column | str, codebook: Mapping[int, Any], default: Any = None) -> Column:
-    """``CASE code WHEN k THEN v ... ELSE default END``.
+def codebook_sql(codebook: Mapping[int, Any]) -> str:
+    """The codebook as a literal ``map(code, label, ...)`` SQL expression."""
+    return "map(" + ", ".join(f"{k}, {_sql_lit(v)}" for k, v in codebook.items()) + ")"
 
-    With a non-NULL ``default`` the ELSE branch also absorbs NULL codes
-    (``diabetes_status`` and ``sex`` decode NULL to 'Unknown').
+
+def decode(c: Column | str, codebook: Mapping[int, Any], default: Any = None) -> Column:
+    """Look the rounded code up in the codebook; unknown code -> ``default``.
+
+    A literal-map lookup evaluates the code once and compiles to a few lines
+    of generated code (a long ``CASE`` chain would repeat the code expression
+    per arm and bloat the stage's generated method).  With a non-NULL
+    ``default`` it also absorbs NULL codes (``diabetes_status`` and ``sex``
+    decode NULL to 'Unknown').  Missing keys give NULL, also under ANSI mode.
+    The expression is built as one SQL snippet: one driver->JVM call per
+    column instead of one per map entry.
     """
-    code = as_code(c)
-    expr = None
-    for k, v in codebook.items():
-        expr = F.when(code == k, F.lit(v)) if expr is None else expr.when(code == k, F.lit(v))
-    if expr is None:
+    if not codebook:
         raise ValueError("empty codebook")
-    return expr.otherwise(F.lit(default)) if default is not None else expr
+    code = code_sql(c) if isinstance(c, str) else None
+    if code is None:
+        looked_up = F.element_at(F.expr(codebook_sql(codebook)), as_code(c))
+        return F.coalesce(looked_up, F.lit(default)) if default is not None else looked_up
+    expr = f"element_at({codebook_sql(codebook)}, {code})"
+    if default is not None:
+        expr = f"coalesce({expr}, {_sql_lit(default)})"
+    return F.expr(expr)
 
 
 def decode_bool(c: Column | str, reversed_polarity: bool = False) -> Column:
@@ -107,7 +140,13 @@ def sentinel_scaled(
     c: Column | str, sentinel: int = BMI_MISSING_CODE, scale: float = 100.0, digits: int = 1
 ) -> Column:
     """NULL for the sentinel code or NULL, else ``round(c / scale, digits)``."""
-    c = _col(c)
+    if isinstance(c, str):
+        col = _ident(c)
+        return F.expr(
+            f"CASE WHEN {code_sql(c)} = {sentinel} THEN CAST(NULL AS DOUBLE) "
+            f"WHEN {col} IS NULL THEN CAST(NULL AS DOUBLE) "
+            f"ELSE round(CAST({col} AS DOUBLE) / {float(scale)!r}D, {digits}) END"
+        )
     return (
         F.when(as_code(c) == sentinel, F.lit(None).cast("double"))
         .when(c.isNull(), F.lit(None).cast("double"))

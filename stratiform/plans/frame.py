@@ -10,62 +10,86 @@ customer, price and date, spread so that every codebook value, the
 with some 0, negative and NULL weights, so weighted sums are exact in any
 summation order.
 
-The expressions are SQL text valid in both Spark SQL and the DuckDB oracle;
-Spark evaluates them as ordinary projections (one map-only stage, columns
-pruned to the four order columns used).
+Two narrow projections, no shuffle: the first computes each hash bucket
+once (integer arithmetic on four pruned order columns), the second maps
+buckets to codes with a lookup in a literal array.  Both the Spark plan and
+the oracle SQL (``CASE`` text) are generated from the same bucket specs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-
-def _mix(a: int, p: int) -> str:
-    return f"((o_orderkey * {a} + o_custkey) % {p})"
+from dataclasses import dataclass
 
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-def _buckets(h: str, bounds: list[tuple[int, str]], otherwise: str) -> str:
-    """CASE over a hash bucket: value of the first ``h < bound``."""
-    arms = " ".join(f"WHEN {h} < {b} THEN {v}" for b, v in bounds)
-    return f"CAST(CASE {arms} ELSE {otherwise} END AS DOUBLE)"
 
+@dataclass(frozen=True)
+class Buckets:
+    """``value of the first (bound, value) with h < bound, else otherwise``,
+    where ``h = (o_orderkey * a + o_custkey) % p``."""
+
+    a: int
+    p: int
+    arms: tuple[tuple[int, float | None], ...]
+    otherwise: float | None
+
+    @property
+    def hash_sql(self) -> str:
+        return f"((o_orderkey * {self.a} + o_custkey) % {self.p})"
+
+    def table(self) -> list[float | None]:
+        out = []
+        for h in range(self.p):
+            out.append(next((v for b, v in self.arms if h < b), self.otherwise))
+        return out
+
+
+def _seq(values) -> tuple[tuple[int, float | None], ...]:
+    """Arms mapping bucket i to values[i]."""
+    return tuple((i + 1, v) for i, v in enumerate(values))
+
+
+N = None
+BUCKETS: dict[str, Buckets] = {
+    "diabete4": Buckets(7, 50, ((5, 1), (6, 2), (36, 3), (41, 4), (43, 7), (44, 9), (45, N), (46, 1.9),
+                                (47, 2.5), (48, 3.5), (49, 0.6)), 3),
+    "prediab2": Buckets(11, 20, ((4, 1), (16, 2), (17, 7), (18, 9)), N),
+    "insulin1": Buckets(13, 20, ((3, 1), (15, 2), (16, 7), (17, 9)), N),
+    "rfhype6": Buckets(23, 20, ((11, 1), (18, 2), (19, 9)), N),
+    "cvdcrhd4": Buckets(29, 20, ((1, 1), (17, 2), (18, 7), (19, 9)), N),
+    "exerany2": Buckets(31, 20, ((15, 1), (18, 2), (19, 7)), 9),
+    "paindx3": Buckets(37, 10, ((5, 1), (7, 2), (9, 3)), 9),
+    "fruit2": Buckets(41, 8, _seq([101, 102, 103, 201, 205, 301, 555]), 777),
+    "fruitju2": Buckets(43, 8, _seq([101, 201, 202, 300, 555, 777, 999]), N),
+    "vegetab2": Buckets(47, 10, _seq([99, 100, 101, 102, 201, 202, 301, 555, 777]), N),
+    "sexvar": Buckets(53, 21, ((10, 1), (20, 2)), N),
+    "ageg5yr": Buckets(59, 15, _seq(list(range(1, 15))), N),
+    "race1": Buckets(61, 20, ((12, 1), (14, 2), (15, 3), (16, 4), (17, 5), (18, 6), (19, 7)), 9),
+    "educa": Buckets(67, 8, _seq([1, 2, 3, 4, 5, 6, 9]), N),
+    "income3": Buckets(71, 13, _seq([*range(1, 12), 77]), 99),
+    "urbstat": Buckets(73, 10, ((8, 1), (9, 2)), N),
+}
 
-_BMI_FLAG = _mix(19, 40)
-_BMI = f"(1500 + {_mix(17, 3000)})"
-_RACE = _buckets(_mix(61, 20), [(12, "1"), (14, "2"), (15, "3"), (16, "4"), (17, "5"), (18, "6"), (19, "7")], "9")
-_STATE = "(o_custkey % 61)"
+# Derived columns: SQL text over the first projection's columns
+# (``h_<name>`` hash buckets and the pass-through order columns).
 _YEAR = "(2021 + year(o_orderdate) % 3)"
-
-RAW_FROM_ORDERS: dict[str, str] = {
-    "respondent_id": "CAST(o_orderkey + 1 AS BIGINT)",
-    "diabete4": _buckets(
-        _mix(7, 50),
-        [(5, "1"), (6, "2"), (36, "3"), (41, "4"), (43, "7"), (44, "9"), (45, "NULL"),
-         (46, "1.9"), (47, "2.5"), (48, "3.5"), (49, "0.6")],
-        "3",
-    ),
-    "prediab2": _buckets(_mix(11, 20), [(4, "1"), (16, "2"), (17, "7"), (18, "9")], "NULL"),
-    "insulin1": _buckets(_mix(13, 20), [(3, "1"), (15, "2"), (16, "7"), (17, "9")], "NULL"),
-    "bmi5": f"CAST(CASE WHEN {_BMI_FLAG} = 0 THEN 9999 WHEN {_BMI_FLAG} = 1 THEN NULL ELSE {_BMI} END AS DOUBLE)",
+_STATE = "(o_custkey % 61)"
+FIRST: dict[str, str] = {
+    "o_orderkey": "o_orderkey",
+    "o_custkey": "o_custkey",
+    "o_totalprice": "o_totalprice",
+    "o_orderdate": "o_orderdate",
+    "h_bmi_flag": "((o_orderkey * 19 + o_custkey) % 40)",
+    "h_bmi": "(1500 + (o_orderkey * 17 + o_custkey) % 3000)",
+    "h_weight": "((o_orderkey * 79 + o_custkey) % 97)",
+    **{f"h_{k}": b.hash_sql for k, b in BUCKETS.items()},
+}
+DERIVED: dict[str, str] = {
+    "bmi5": "CAST(CASE WHEN h_bmi_flag = 0 THEN 9999 WHEN h_bmi_flag = 1 THEN NULL ELSE h_bmi END AS DOUBLE)",
     "bmi5cat": (
-        f"CAST(CASE WHEN {_BMI_FLAG} = 0 THEN 9 WHEN {_BMI_FLAG} = 1 THEN NULL "
-        f"WHEN {_BMI} < 1850 THEN 1 WHEN {_BMI} < 2500 THEN 2 WHEN {_BMI} < 3000 THEN 3 ELSE 4 END AS DOUBLE)"
-    ),
-    "rfhype6": _buckets(_mix(23, 20), [(11, "1"), (18, "2"), (19, "9")], "NULL"),
-    "cvdcrhd4": _buckets(_mix(29, 20), [(1, "1"), (17, "2"), (18, "7"), (19, "9")], "NULL"),
-    "exerany2": _buckets(_mix(31, 20), [(15, "1"), (18, "2"), (19, "7")], "9"),
-    "paindx3": _buckets(_mix(37, 10), [(5, "1"), (7, "2"), (9, "3")], "9"),
-    "fruit2": _buckets(
-        _mix(41, 8), [(1, "101"), (2, "102"), (3, "103"), (4, "201"), (5, "205"), (6, "301"), (7, "555")], "777"
-    ),
-    "fruitju2": _buckets(
-        _mix(43, 8), [(1, "101"), (2, "201"), (3, "202"), (4, "300"), (5, "555"), (6, "777"), (7, "999")], "NULL"
-    ),
-    "vegetab2": _buckets(
-        _mix(47, 10),
-        [(1, "99"), (2, "100"), (3, "101"), (4, "102"), (5, "201"), (6, "202"), (7, "301"), (8, "555"), (9, "777")],
-        "NULL",
+        "CAST(CASE WHEN h_bmi_flag = 0 THEN 9 WHEN h_bmi_flag = 1 THEN NULL WHEN h_bmi < 1850 THEN 1 "
+        "WHEN h_bmi < 2500 THEN 2 WHEN h_bmi < 3000 THEN 3 ELSE 4 END AS DOUBLE)"
     ),
     "state": (
         f"CAST(CASE WHEN {_STATE} < 57 THEN {_STATE} + 1 WHEN {_STATE} = 57 THEN 66 "
@@ -73,38 +97,59 @@ RAW_FROM_ORDERS: dict[str, str] = {
     ),
     "imonth": "CAST(month(o_orderdate) AS DOUBLE)",
     "iyear": f"CAST({_YEAR} AS DOUBLE)",
-    "sexvar": _buckets(_mix(53, 21), [(10, "1"), (20, "2")], "NULL"),
-    "ageg5yr": f"CAST(CASE WHEN {_mix(59, 15)} = 14 THEN NULL ELSE {_mix(59, 15)} + 1 END AS DOUBLE)",
-    "race1": _RACE,
-    "racegr3": (
-        f"CAST(CASE {_RACE} WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 7 THEN 3 WHEN 6 THEN 5 WHEN 9 THEN 9 ELSE 4 END AS DOUBLE)"
-    ),
-    "educa": _buckets(_mix(67, 8), [(1, "1"), (2, "2"), (3, "3"), (4, "4"), (5, "5"), (6, "6"), (7, "9")], "NULL"),
-    "income3": (
-        f"CAST(CASE WHEN {_mix(71, 13)} < 11 THEN {_mix(71, 13)} + 1 WHEN {_mix(71, 13)} = 11 THEN 77 ELSE 99 END"
-        " AS DOUBLE)"
-    ),
-    "urbstat": _buckets(_mix(73, 10), [(8, "1"), (9, "2")], "NULL"),
     "llcpwt": (
-        f"CAST(CASE WHEN {_mix(79, 97)} = 0 THEN 0 WHEN {_mix(79, 97)} = 1 THEN NULL "
-        f"WHEN {_mix(79, 97)} = 2 THEN -1 ELSE floor(o_totalprice / 10) END AS DOUBLE)"
+        "CAST(CASE WHEN h_weight = 0 THEN 0 WHEN h_weight = 1 THEN NULL WHEN h_weight = 2 THEN -1 "
+        "ELSE floor(o_totalprice / 10) END AS DOUBLE)"
     ),
     "ststr": f"CAST({_STATE} * 1000 + o_orderkey % 7 AS DOUBLE)",
     "psu": "CAST(o_custkey AS DOUBLE)",
     "survey_year": f"CAST({_YEAR} AS INT)",
     "loaded_at": "'2024-01-01T06:00:00+00:00'",
 }
+# racegr3 is a function of race1: 1->1, 2->2, 7->3, 6->5, 9->9, else 4.
+RACEGR3_OF_RACE1 = {1: 1, 2: 2, 3: 4, 4: 4, 5: 4, 6: 5, 7: 3, 9: 9}
+
+OUTPUT = ["respondent_id", "diabete4", "prediab2", "insulin1", "bmi5", "bmi5cat", "rfhype6", "cvdcrhd4",
+          "exerany2", "paindx3", "fruit2", "fruitju2", "vegetab2", "state", "imonth", "iyear", "sexvar",
+          "ageg5yr", "race1", "racegr3", "educa", "income3", "urbstat", "llcpwt", "ststr", "psu",
+          "survey_year", "loaded_at"]
+
+
+def _lookup(h: str, b: Buckets) -> Column:
+    vals = ", ".join("CAST(NULL AS DOUBLE)" if v is None else f"{float(v)!r}D" for v in b.table())
+    return F.expr(f"element_at(array({vals}), CAST({h} + 1 AS INT))")
 
 
 def raw_respondents(orders: DataFrame) -> DataFrame:
     """Raw-layer rows (plus a natural ``respondent_id`` key) from orders."""
-    return orders.select(*[F.expr(sql).alias(name) for name, sql in RAW_FROM_ORDERS.items()])
+    first = orders.select(*[F.expr(sql).alias(name) for name, sql in FIRST.items()])
+    cols: dict[str, Column] = {"respondent_id": (F.col("o_orderkey") + F.lit(1)).cast("bigint")}
+    cols.update({k: _lookup(f"h_{k}", b) for k, b in BUCKETS.items()})
+    cols.update({k: F.expr(sql) for k, sql in DERIVED.items()})
+    race_map = "map(" + ", ".join(f"{float(k)!r}D, {float(v)!r}D" for k, v in RACEGR3_OF_RACE1.items()) + ")"
+    second = first.select(*[c.alias(k) for k, c in cols.items()])
+    return second.select(*[F.expr(f"element_at({race_map}, race1)").alias("racegr3") if c == "racegr3" else c
+                           for c in OUTPUT])
+
+
+def _case_sql(h: str, b: Buckets) -> str:
+    def lit(v):
+        return "NULL" if v is None else repr(float(v))
+
+    arms = " ".join(f"WHEN {h} < {bound} THEN {lit(v)}" for bound, v in b.arms)
+    return f"CAST(CASE {arms} ELSE {lit(b.otherwise)} END AS DOUBLE)"
 
 
 def raw_respondents_sql(source: str = "orders") -> str:
-    """The same projection as SQL text, for the DuckDB oracle."""
-    cols = ",\n    ".join(f"{sql} AS {name}" for name, sql in RAW_FROM_ORDERS.items())
-    return f"SELECT\n    {cols}\nFROM {source}"
+    """The same derivation as SQL text, for the DuckDB oracle."""
+    first = ",\n      ".join(f"{sql} AS {name}" for name, sql in FIRST.items())
+    race = " ".join(f"WHEN {float(k)} THEN {float(v)}" for k, v in RACEGR3_OF_RACE1.items())
+    cols = {"respondent_id": "CAST(o_orderkey + 1 AS BIGINT)"}
+    cols.update({k: _case_sql(f"h_{k}", b) for k, b in BUCKETS.items()})
+    cols.update(DERIVED)
+    second = ",\n    ".join(f"{sql} AS {name}" for name, sql in cols.items())
+    out = ", ".join(f"CAST(CASE race1 {race} END AS DOUBLE) AS racegr3" if c == "racegr3" else c for c in OUTPUT)
+    return (f"SELECT {out} FROM (SELECT\n    {second}\n  FROM (SELECT\n      {first}\n    FROM {source}) f) s")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -28,6 +28,7 @@ from stratiform.operators.weights import survey_weights
 from stratiform.plans import models as M
 from stratiform.plans import suites as S
 from stratiform.schema import SOURCE_VARIABLES, YEAR
+from stratiform.session import tune_session
 from stratiform.sources import ingest, landing
 from stratiform.sources.seeds import state_codes
 from stratiform.sources.xpt import read_xpt
@@ -139,6 +140,7 @@ def summary(spark: SparkSession, cfg: PipelineConfig, tests: DataFrame) -> DataF
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     """The whole run in phase order; raises ``CheckFailed`` at the raw gate."""
+    tune_session(spark)
     if not cfg.skip_landing:
         land(spark, cfg)
     raw_gate(spark, cfg)

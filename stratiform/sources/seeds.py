@@ -31,6 +31,16 @@ def packaged_state_codes() -> list[tuple[int, str, str]]:
     return [(int(r[0]), r[1], r[2]) for r in _packaged_rows(STATE_CODES_FILE)]
 
 
+def _values_relation(spark: SparkSession, rows: list[list[str]], schema) -> DataFrame:
+    """A JVM-side local relation (``VALUES``): no Python RDD, no Python worker."""
+    def lit(v: str) -> str:
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    values = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    names = ", ".join(schema.fieldNames())
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
+
+
 def _read(spark: SparkSession, path: str | None, name: str, schema) -> DataFrame:
     if path is not None:
         return (
@@ -41,7 +51,7 @@ def _read(spark: SparkSession, path: str | None, name: str, schema) -> DataFrame
             .option("encoding", "UTF-8")
             .csv(path)
         )
-    return spark.createDataFrame(_packaged_rows(name), schema=schema)
+    return _values_relation(spark, _packaged_rows(name), schema)
 
 
 def state_codes_raw(spark: SparkSession, path: str | None = None) -> DataFrame:
