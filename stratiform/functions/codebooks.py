@@ -108,6 +108,14 @@ def codebook_sql(codebook: Mapping[int, Any]) -> str:
     return "map(" + ", ".join(f"{k}, {_sql_lit(v)}" for k, v in codebook.items()) + ")"
 
 
+def decode_sql(c: str, codebook: Mapping[int, Any], default: Any = None) -> str:
+    """SQL text of ``decode`` for a column name (for bulk ``selectExpr``)."""
+    if not codebook:
+        raise ValueError("empty codebook")
+    expr = f"element_at({codebook_sql(codebook)}, {code_sql(c)})"
+    return f"coalesce({expr}, {_sql_lit(default)})" if default is not None else expr
+
+
 def decode(c: Column | str, codebook: Mapping[int, Any], default: Any = None) -> Column:
     """Look the rounded code up in the codebook; unknown code -> ``default``.
 
@@ -121,14 +129,10 @@ def decode(c: Column | str, codebook: Mapping[int, Any], default: Any = None) ->
     """
     if not codebook:
         raise ValueError("empty codebook")
-    code = code_sql(c) if isinstance(c, str) else None
-    if code is None:
-        looked_up = F.element_at(F.expr(codebook_sql(codebook)), as_code(c))
-        return F.coalesce(looked_up, F.lit(default)) if default is not None else looked_up
-    expr = f"element_at({codebook_sql(codebook)}, {code})"
-    if default is not None:
-        expr = f"coalesce({expr}, {_sql_lit(default)})"
-    return F.expr(expr)
+    if isinstance(c, str):
+        return F.expr(decode_sql(c, codebook, default))
+    looked_up = F.element_at(F.expr(codebook_sql(codebook)), as_code(c))
+    return F.coalesce(looked_up, F.lit(default)) if default is not None else looked_up
 
 
 def decode_bool(c: Column | str, reversed_polarity: bool = False) -> Column:
@@ -136,17 +140,25 @@ def decode_bool(c: Column | str, reversed_polarity: bool = False) -> Column:
     return decode(c, REVERSED_YES_NO if reversed_polarity else YES_NO)
 
 
+def decode_bool_sql(c: str, reversed_polarity: bool = False) -> str:
+    return decode_sql(c, REVERSED_YES_NO if reversed_polarity else YES_NO)
+
+
+def sentinel_scaled_sql(c: str, sentinel: int = BMI_MISSING_CODE, scale: float = 100.0, digits: int = 1) -> str:
+    col = _ident(c)
+    return (
+        f"CASE WHEN {code_sql(c)} = {sentinel} THEN CAST(NULL AS DOUBLE) "
+        f"WHEN {col} IS NULL THEN CAST(NULL AS DOUBLE) "
+        f"ELSE round(CAST({col} AS DOUBLE) / {float(scale)!r}D, {digits}) END"
+    )
+
+
 def sentinel_scaled(
     c: Column | str, sentinel: int = BMI_MISSING_CODE, scale: float = 100.0, digits: int = 1
 ) -> Column:
     """NULL for the sentinel code or NULL, else ``round(c / scale, digits)``."""
     if isinstance(c, str):
-        col = _ident(c)
-        return F.expr(
-            f"CASE WHEN {code_sql(c)} = {sentinel} THEN CAST(NULL AS DOUBLE) "
-            f"WHEN {col} IS NULL THEN CAST(NULL AS DOUBLE) "
-            f"ELSE round(CAST({col} AS DOUBLE) / {float(scale)!r}D, {digits}) END"
-        )
+        return F.expr(sentinel_scaled_sql(c, sentinel, scale, digits))
     return (
         F.when(as_code(c) == sentinel, F.lit(None).cast("double"))
         .when(c.isNull(), F.lit(None).cast("double"))

@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from stratiform.schema import WEIGHT
 
 
+def _all_text(*args) -> bool:
+    return all(isinstance(a, str) for a in args)
+
+
 def _cond(c: Column | str) -> Column:
     """A condition given as a Column or as SQL text."""
     return F.expr(c) if isinstance(c, str) else c
@@ -34,10 +38,20 @@ def weighted_count(condition: Column | str, weight: Column | str = WEIGHT) -> Co
 
     A NULL condition counts as not met.
     """
+    if _all_text(condition, weight):
+        return F.expr(weighted_count_sql(condition, weight))
     w = _col(weight)
     return F.sum(F.when(_cond(condition), w).otherwise(F.lit(0.0)))
 
 
+def weighted_count_sql(condition: str, weight: str = WEIGHT) -> str:
+    return f"sum(CASE WHEN {condition} THEN {weight} ELSE 0D END)"
+
+
+def weighted_proportion_sql(condition: str, weight: str = WEIGHT) -> str:
+    return f"{weighted_count_sql(condition, weight)} / nullif(sum({weight}), 0D)"
+
+
 def weighted_total(weight: Column | str = WEIGHT) -> Column:
     """Population estimate of a domain: ``sum(w)``."""
     return F.sum(_col(weight))
@@ -49,6 +63,8 @@ def weighted_proportion(condition: Column | str, weight: Column | str = WEIGHT)
     The denominator is every weight in the group, including rows whose outcome
     is NULL: unknown outcomes count as "no".  NULL when the weights sum to 0.
     """
+    if _all_text(condition, weight):
+        return F.expr(weighted_proportion_sql(condition, weight))
     return safe_ratio(weighted_count(condition, weight), weighted_total(weight))
 
 
@@ -57,6 +73,8 @@ def weighted_mean(value: Column | str, weight: Column | str = WEIGHT) -> Column:
 
     ``sum(x * w) / nullif(sum(case when x is not null then w end), 0)``.
     """
+    if _all_text(value, weight):
+        return F.expr(f"sum({value} * {weight}) / nullif(sum(CASE WHEN {value} IS NOT NULL THEN {weight} END), 0D)")
     x, w = _col(value), _col(weight)
     return safe_ratio(F.sum(x * w), F.sum(F.when(x.isNotNull(), w)))
 
@@ -73,6 +91,8 @@ def count_rows() -> Column:
 
 def conditional_count(condition: Column | str) -> Column:
     """Unweighted count of rows meeting the condition (NULL counts as not met)."""
+    if isinstance(condition, str):
+        return F.expr(f"count(CASE WHEN {condition} THEN 1 END)")
     return F.count(F.when(_cond(condition), F.lit(1)))
 
 
@@ -81,6 +101,8 @@ def suppress(estimate: Column | str, n: Column | str, min_cell: int = 50) -> Col
 
     This masks a value; it never removes the row.
     """
+    if _all_text(estimate, n):
+        return F.expr(f"CASE WHEN {n} >= {int(min_cell)} THEN {estimate} END")
     return F.when(_col(n) >= F.lit(min_cell), _col(estimate))
 
 

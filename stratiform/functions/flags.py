@@ -92,3 +92,41 @@ def metabolic_risk_score() -> Column:
 def high_metabolic_risk(threshold: int = HIGH_RISK_SCORE) -> Column:
     total = reduce(lambda a, b: a + b, [F.col(c) for c in SCORED_FLAGS])
     return F.when(all_null(*SCORE_INPUTS), F.lit(None).cast("boolean")).otherwise(total >= F.lit(threshold))
+
+
+# The same definitions as SQL text, for one-call bulk projections.
+DIABETES_FLAGS_SQL = {
+    "is_diagnosed_diabetic": "diabetes_status = 'Diagnosed'",
+    "is_prediabetic": "(diabetes_status = 'Prediabetes' OR has_prediabetes)",
+    "is_insulin_dependent": "takes_insulin = true",
+    "diabetes_category": (
+        f"CASE WHEN diabetes_status = 'Diagnosed' AND takes_insulin = true THEN '{INSULIN_DEPENDENT}' "
+        f"WHEN diabetes_status = 'Diagnosed' THEN '{DIAGNOSED}' "
+        f"WHEN diabetes_status = 'Prediabetes' OR has_prediabetes THEN '{PREDIABETIC}' "
+        f"WHEN diabetes_status = 'No' THEN '{NO_DIABETES}' ELSE '{UNKNOWN}' END"
+    ),
+}
+
+
+def risk_flags_sql(poor_diet_threshold: float = POOR_DIET_THRESHOLD) -> dict[str, str]:
+    return {
+        "obese_flag": "CASE WHEN bmi_category = 'Obese' THEN 1 ELSE 0 END",
+        "hypertension_flag": "CASE WHEN has_hypertension = true THEN 1 ELSE 0 END",
+        "inactive_flag": "CASE WHEN physical_activity_index = 'Inactive' THEN 1 ELSE 0 END",
+        "no_exercise_flag": "CASE WHEN any_exercise_past_30d = false THEN 1 ELSE 0 END",
+        "diabetes_flag": "CASE WHEN is_diagnosed_diabetic = true THEN 1 ELSE 0 END",
+        "poor_diet_flag": (
+            f"CASE WHEN vegetable_frequency IS NOT NULL AND vegetable_frequency < {poor_diet_threshold!r} "
+            "THEN 1 ELSE 0 END"
+        ),
+    }
+
+
+_ALL_NULL_SQL = " AND ".join(f"{c} IS NULL" for c in SCORE_INPUTS)
+_TOTAL_SQL = " + ".join(SCORED_FLAGS)
+SCORE_SQL = {
+    "metabolic_risk_score": f"CASE WHEN {_ALL_NULL_SQL} THEN CAST(NULL AS INT) ELSE {_TOTAL_SQL} END",
+    "high_metabolic_risk": (
+        f"CASE WHEN {_ALL_NULL_SQL} THEN CAST(NULL AS BOOLEAN) ELSE ({_TOTAL_SQL}) >= {HIGH_RISK_SCORE} END"
+    ),
+}

@@ -20,8 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 @dataclass(frozen=True)
@@ -115,21 +114,21 @@ OUTPUT = ["respondent_id", "diabete4", "prediab2", "insulin1", "bmi5", "bmi5cat"
           "survey_year", "loaded_at"]
 
 
-def _lookup(h: str, b: Buckets) -> Column:
+def _lookup_sql(h: str, b: Buckets) -> str:
     vals = ", ".join("CAST(NULL AS DOUBLE)" if v is None else f"{float(v)!r}D" for v in b.table())
-    return F.expr(f"element_at(array({vals}), CAST({h} + 1 AS INT))")
+    return f"element_at(array({vals}), CAST({h} + 1 AS INT))"
 
 
 def raw_respondents(orders: DataFrame) -> DataFrame:
     """Raw-layer rows (plus a natural ``respondent_id`` key) from orders."""
-    first = orders.select(*[F.expr(sql).alias(name) for name, sql in FIRST.items()])
-    cols: dict[str, Column] = {"respondent_id": (F.col("o_orderkey") + F.lit(1)).cast("bigint")}
-    cols.update({k: _lookup(f"h_{k}", b) for k, b in BUCKETS.items()})
-    cols.update({k: F.expr(sql) for k, sql in DERIVED.items()})
+    first = orders.selectExpr(*[f"{sql} AS {name}" for name, sql in FIRST.items()])
+    cols = {"respondent_id": "CAST(o_orderkey + 1 AS BIGINT)"}
+    cols.update({k: _lookup_sql(f"h_{k}", b) for k, b in BUCKETS.items()})
+    cols.update(DERIVED)
     race_map = "map(" + ", ".join(f"{float(k)!r}D, {float(v)!r}D" for k, v in RACEGR3_OF_RACE1.items()) + ")"
-    second = first.select(*[c.alias(k) for k, c in cols.items()])
-    return second.select(*[F.expr(f"element_at({race_map}, race1)").alias("racegr3") if c == "racegr3" else c
-                           for c in OUTPUT])
+    second = first.selectExpr(*[f"{sql} AS {k}" for k, sql in cols.items()])
+    return second.selectExpr(*[f"element_at({race_map}, race1) AS racegr3" if c == "racegr3" else c
+                               for c in OUTPUT])
 
 
 def _case_sql(h: str, b: Buckets) -> str:

@@ -36,37 +36,38 @@ def sort_nulls_last(df: DataFrame, *cols: str | Column) -> DataFrame:
 
 
 # ── staging ─────────────────────────────────────────────────────────────────
-def decoded_columns(poor_diet_cols: bool = True) -> list[Column]:
+def decoded_columns(poor_diet_cols: bool = True) -> list[str]:
+    """The staging projection as SQL expressions (one ``selectExpr`` call)."""
     cols = [
-        F.col(YEAR),
-        D.as_code("state").alias("state_fips"),
-        D.as_code("imonth").alias("interview_month"),
-        D.as_code("iyear").alias("interview_year"),
-        F.col(WEIGHT),
-        F.col("ststr"),
-        F.col("psu"),
-        D.decode("diabete4", D.DIABETES_STATUS, D.UNKNOWN).alias("diabetes_status"),
-        D.decode_bool("prediab2").alias("has_prediabetes"),
-        D.decode_bool("insulin1").alias("takes_insulin"),
-        D.sentinel_scaled("bmi5").alias("bmi_calc"),
-        D.decode("bmi5cat", D.BMI_CATEGORY).alias("bmi_category"),
-        D.decode_bool("rfhype6", reversed_polarity=True).alias("has_hypertension"),
-        D.decode_bool("cvdcrhd4").alias("has_coronary_heart_disease"),
-        D.decode_bool("exerany2").alias("any_exercise_past_30d"),
-        D.decode("paindx3", D.PHYSICAL_ACTIVITY).alias("physical_activity_index"),
-        D.decode("sexvar", D.SEX, D.UNKNOWN).alias("sex"),
-        D.decode("ageg5yr", D.AGE_GROUP).alias("age_group"),
-        D.decode("race1", D.RACE_ETHNICITY).alias("race_ethnicity"),
-        D.decode("racegr3", D.RACE_ETHNICITY_COLLAPSED).alias("race_ethnicity_collapsed"),
-        D.decode("educa", D.EDUCATION).alias("education_level"),
-        D.decode("income3", D.INCOME).alias("income_group"),
-        D.decode("urbstat", D.URBAN_RURAL).alias("urban_rural"),
+        YEAR,
+        f"{D.code_sql('state')} AS state_fips",
+        f"{D.code_sql('imonth')} AS interview_month",
+        f"{D.code_sql('iyear')} AS interview_year",
+        WEIGHT,
+        "ststr",
+        "psu",
+        f"{D.decode_sql('diabete4', D.DIABETES_STATUS, D.UNKNOWN)} AS diabetes_status",
+        f"{D.decode_bool_sql('prediab2')} AS has_prediabetes",
+        f"{D.decode_bool_sql('insulin1')} AS takes_insulin",
+        f"{D.sentinel_scaled_sql('bmi5')} AS bmi_calc",
+        f"{D.decode_sql('bmi5cat', D.BMI_CATEGORY)} AS bmi_category",
+        f"{D.decode_bool_sql('rfhype6', reversed_polarity=True)} AS has_hypertension",
+        f"{D.decode_bool_sql('cvdcrhd4')} AS has_coronary_heart_disease",
+        f"{D.decode_bool_sql('exerany2')} AS any_exercise_past_30d",
+        f"{D.decode_sql('paindx3', D.PHYSICAL_ACTIVITY)} AS physical_activity_index",
+        f"{D.decode_sql('sexvar', D.SEX, D.UNKNOWN)} AS sex",
+        f"{D.decode_sql('ageg5yr', D.AGE_GROUP)} AS age_group",
+        f"{D.decode_sql('race1', D.RACE_ETHNICITY)} AS race_ethnicity",
+        f"{D.decode_sql('racegr3', D.RACE_ETHNICITY_COLLAPSED)} AS race_ethnicity_collapsed",
+        f"{D.decode_sql('educa', D.EDUCATION)} AS education_level",
+        f"{D.decode_sql('income3', D.INCOME)} AS income_group",
+        f"{D.decode_sql('urbstat', D.URBAN_RURAL)} AS urban_rural",
     ]
     if poor_diet_cols:
         cols += [
-            D.as_code("fruit2").alias("fruit_frequency"),
-            D.as_code("fruitju2").alias("fruit_juice_frequency"),
-            D.as_code("vegetab2").alias("vegetable_frequency"),
+            f"{D.code_sql('fruit2')} AS fruit_frequency",
+            f"{D.code_sql('fruitju2')} AS fruit_juice_frequency",
+            f"{D.code_sql('vegetab2')} AS vegetable_frequency",
         ]
     return cols
 
@@ -89,7 +90,7 @@ def staging(
         raise ValueError("raw table has no key column; pass key_order (a unique total order)")
     carried = [key] if has_key else [c for c in key_order if c not in STAGED_COLUMNS]
     kept = raw.where(F.col(WEIGHT) > F.lit(0.0))
-    decoded = kept.select(*carried, *decoded_columns())
+    decoded = kept.selectExpr(*carried, *decoded_columns())
     lookup = F.broadcast(states.select("fips_code", "state_abbr", "state_name"))
     joined = decoded.join(lookup, F.col("state_fips") == F.col("fips_code"), "left").drop("fips_code")
     if not has_key:
@@ -109,21 +110,13 @@ STAGED_COLUMNS = [
 
 # ── intermediate ────────────────────────────────────────────────────────────
 def with_diabetes_flags(staged: DataFrame) -> DataFrame:
-    return staged.withColumns(
-        {
-            "is_diagnosed_diabetic": FL.is_diagnosed_diabetic(),
-            "is_prediabetic": FL.is_prediabetic(),
-            "is_insulin_dependent": FL.is_insulin_dependent(),
-            "diabetes_category": FL.diabetes_category(),
-        }
-    )
+    return staged.selectExpr("*", *[f"{sql} AS {name}" for name, sql in FL.DIABETES_FLAGS_SQL.items()])
 
 
 def with_risk(flagged: DataFrame, poor_diet_threshold: float = FL.POOR_DIET_THRESHOLD) -> DataFrame:
-    out = flagged.withColumns(FL.risk_flag_columns(poor_diet_threshold))
-    return out.withColumns(
-        {"metabolic_risk_score": FL.metabolic_risk_score(), "high_metabolic_risk": FL.high_metabolic_risk()}
-    )
+    flags = FL.risk_flags_sql(poor_diet_threshold)
+    out = flagged.selectExpr("*", *[f"{sql} AS {name}" for name, sql in flags.items()])
+    return out.selectExpr("*", *[f"{sql} AS {name}" for name, sql in FL.SCORE_SQL.items()])
 
 
 def enrich(staged: DataFrame, poor_diet_threshold: float = FL.POOR_DIET_THRESHOLD) -> DataFrame:
@@ -182,15 +175,13 @@ def prevalence(
     Suppression masks the three prevalence columns where ``unweighted_n <
     min_cell``; counts and weighted totals stay, and no row is dropped.
     """
-    base = enriched.where(F.col("age_group").isNotNull() & F.col("race_ethnicity_collapsed").isNotNull())
+    base = enriched.where("age_group IS NOT NULL AND race_ethnicity_collapsed IS NOT NULL")
     base = base.drop("race_ethnicity").withColumnRenamed("race_ethnicity_collapsed", "race_ethnicity")
-    diagnosed = F.col("is_diagnosed_diabetic") == F.lit(True)
+    diagnosed = "is_diagnosed_diabetic = true"
     agg = base.groupBy(*strata).agg(
         E.weighted_proportion(diagnosed).alias("weighted_diabetes_prevalence"),
-        E.weighted_proportion(F.col("is_prediabetic") == F.lit(True)).alias("weighted_prediabetes_prevalence"),
-        E.weighted_proportion(F.col("is_insulin_dependent") == F.lit(True)).alias(
-            "weighted_insulin_dependent_prevalence"
-        ),
+        E.weighted_proportion("is_prediabetic = true").alias("weighted_prediabetes_prevalence"),
+        E.weighted_proportion("is_insulin_dependent = true").alias("weighted_insulin_dependent_prevalence"),
         E.weighted_count(diagnosed).alias("weighted_n_diabetic"),
         E.weighted_total().alias("weighted_n_total"),
         E.count_rows().alias("unweighted_n"),
@@ -220,15 +211,16 @@ def prevalence(
 def risk_factors(enriched: DataFrame, sort: bool = True) -> DataFrame:
     """Risk-factor prevalence by diabetes category and year (wide)."""
     base = enriched.where(F.col("diabetes_category").isin(FL.ANALYSED_CATEGORIES))
+    wp = E.weighted_proportion
     out = base.groupBy(YEAR, "diabetes_category").agg(
         E.count_rows().alias("unweighted_n"),
         E.weighted_total().alias("weighted_n"),
-        E.weighted_proportion(F.col("obese_flag") == 1).alias("pct_obese"),
-        E.weighted_proportion(F.col("hypertension_flag") == 1).alias("pct_hypertensive"),
-        E.weighted_proportion(F.col("inactive_flag") == 1).alias("pct_inactive"),
-        E.weighted_proportion(F.col("no_exercise_flag") == 1).alias("pct_no_exercise"),
-        E.weighted_proportion(F.col("poor_diet_flag") == 1).alias("pct_poor_diet"),
-        E.weighted_proportion(F.col("high_metabolic_risk") == F.lit(True)).alias("pct_high_metabolic_risk"),
+        wp("obese_flag = 1").alias("pct_obese"),
+        wp("hypertension_flag = 1").alias("pct_hypertensive"),
+        wp("inactive_flag = 1").alias("pct_inactive"),
+        wp("no_exercise_flag = 1").alias("pct_no_exercise"),
+        wp("poor_diet_flag = 1").alias("pct_poor_diet"),
+        wp("high_metabolic_risk = true").alias("pct_high_metabolic_risk"),
         E.weighted_mean("metabolic_risk_score").alias("mean_metabolic_risk_score"),
     )
     return sort_nulls_last(out, YEAR, "diabetes_category") if sort else out
@@ -240,16 +232,16 @@ def state_year_estimates(enriched: DataFrame, sort: bool = True) -> DataFrame:
     out = enriched.groupBy(*STATE_YEAR).agg(
         E.count_rows().alias("unweighted_n"),
         E.weighted_total().alias("estimated_adult_population"),
-        wp(F.col("is_diagnosed_diabetic") == F.lit(True)).alias("pct_diagnosed_diabetic"),
-        wp(F.col("is_prediabetic") == F.lit(True)).alias("pct_prediabetic"),
-        wp(F.col("is_insulin_dependent") == F.lit(True)).alias("pct_insulin_dependent"),
-        wp(F.col("bmi_category") == F.lit("Obese")).alias("pct_obese"),
-        wp(F.col("bmi_category").isin("Overweight", "Obese")).alias("pct_overweight_or_obese"),
-        wp(F.col("has_hypertension") == F.lit(True)).alias("pct_hypertensive"),
-        wp(F.col("has_coronary_heart_disease") == F.lit(True)).alias("pct_coronary_heart_disease"),
-        wp(F.col("any_exercise_past_30d") == F.lit(True)).alias("pct_any_exercise"),
-        wp(F.col("physical_activity_index") == F.lit("Inactive")).alias("pct_inactive"),
-        wp(F.col("high_metabolic_risk") == F.lit(True)).alias("pct_high_metabolic_risk"),
+        wp("is_diagnosed_diabetic = true").alias("pct_diagnosed_diabetic"),
+        wp("is_prediabetic = true").alias("pct_prediabetic"),
+        wp("is_insulin_dependent = true").alias("pct_insulin_dependent"),
+        wp("bmi_category = 'Obese'").alias("pct_obese"),
+        wp("bmi_category IN ('Overweight', 'Obese')").alias("pct_overweight_or_obese"),
+        wp("has_hypertension = true").alias("pct_hypertensive"),
+        wp("has_coronary_heart_disease = true").alias("pct_coronary_heart_disease"),
+        wp("any_exercise_past_30d = true").alias("pct_any_exercise"),
+        wp("physical_activity_index = 'Inactive'").alias("pct_inactive"),
+        wp("high_metabolic_risk = true").alias("pct_high_metabolic_risk"),
     )
     return sort_nulls_last(out, YEAR, "state_abbr") if sort else out
 
