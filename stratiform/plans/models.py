@@ -226,6 +226,24 @@ def risk_factors(enriched: DataFrame, sort: bool = True) -> DataFrame:
     return sort_nulls_last(out, YEAR, "diabetes_category") if sort else out
 
 
+def risk_factors_joined(staged: DataFrame, sort: bool = True) -> DataFrame:
+    """The risk-factor mart in the reference's join form: staging left-joined
+    to the flags model and to the risk model on the respondent key, filtered
+    on a right-side column.  The filter makes both outer joins inner
+    (Catalyst rewrites them); both joins hash-partition on the same key, so
+    each side is shuffled once.  ``risk_factors(enrich(staged))`` gives the
+    same rows without any join.
+    """
+    flags = diabetes_flags(staged).select("respondent_id", "diabetes_category")
+    risk = metabolic_risk(staged).drop(YEAR, WEIGHT)
+    base = (
+        staged.select("respondent_id", YEAR, WEIGHT)
+        .join(flags, on="respondent_id", how="left")
+        .join(risk, on="respondent_id", how="left")
+    )
+    return risk_factors(base, sort=sort)
+
+
 def state_year_estimates(enriched: DataFrame, sort: bool = True) -> DataFrame:
     """Ten weighted outcome proportions per state and year (wide)."""
     wp = E.weighted_proportion

@@ -25,6 +25,7 @@ from stratiform.plans import suites as S
 from stratiform.plans.oracle import prevalence_sql, with_survey
 from stratiform.schema import WEIGHT, YEAR
 from stratiform.sources.ingest import project_allowlist, unify_years
+from stratiform.sources import landing
 from stratiform.sources.seeds import state_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -246,6 +247,15 @@ def q_fct_risk_factors(spark, sf):
     return M.risk_factors(enriched(spark, sf))
 
 
+def q_fct_risk_factors_joined(spark, sf):
+    return M.risk_factors_joined(staged(spark, sf))
+
+
+def q_landing_manifest(spark, sf):
+    """Manifest of the table files themselves (size, SHA-256), rows-only."""
+    return landing.manifest(spark, sf, glob="*.parquet", min_bytes=1)
+
+
 def q_fct_state_year(spark, sf):
     return M.state_year_estimates(enriched(spark, sf))
 
@@ -351,6 +361,7 @@ QUERIES: dict[str, Query] = {
     "fct_prevalence": q_fct_prevalence,
     "small_cell_suppression": q_small_cell_suppression,
     "fct_risk_factors": q_fct_risk_factors,
+    "fct_risk_factors_joined": q_fct_risk_factors_joined,
     "fct_state_year": q_fct_state_year,
     "trend_by_group": q_trend_by_group,
     "ratio_of_sums": q_ratio_of_sums,
@@ -362,6 +373,7 @@ QUERIES: dict[str, Query] = {
     "union_years": q_union_years,
     "check_raw_expectations": q_check_raw_expectations,
     "check_model_tests": q_check_model_tests,
+    "landing_manifest": q_landing_manifest,
 }
 
 
@@ -525,6 +537,7 @@ SELECT respondent_id, survey_year, diabete4, prediab2, llcpwt FROM (
   UNION ALL BY NAME
   SELECT * EXCLUDE (prediab2) FROM raw WHERE survey_year = {DROPPED_YEAR}) u"""),
         "check_raw_expectations": _raw_expectations_sql(),
+        "fct_risk_factors_joined": "",
         "check_model_tests": _model_tests_sql(),
     }
 
@@ -608,9 +621,15 @@ def _decoded_select_all() -> str:
     return DECODED_SELECT
 
 
+def _with_aliases(sqls: dict[str, str]) -> dict[str, str]:
+    """Keys whose oracle is another key's SQL (same result by definition)."""
+    sqls["fct_risk_factors_joined"] = sqls["fct_risk_factors"]
+    return sqls
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return _sql()
+    return _with_aliases(_sql())

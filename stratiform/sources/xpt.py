@@ -129,7 +129,16 @@ def _schema_for(layout: Layout) -> StructType:
     )
 
 
+def _local_path(path: str) -> str:
+    """``file:/x`` / ``file:///x`` URIs -> ``/x`` (files are opened with Python I/O)."""
+    if path.startswith("file:"):
+        rest = path[len("file:"):]
+        return "/" + rest.lstrip("/") if rest.startswith("//") or rest.startswith("/") else rest
+    return path
+
+
 def _expand(path: str) -> list[str]:
+    path = _local_path(path)
     if os.path.isdir(path):
         files = [os.path.join(path, f) for f in os.listdir(path) if f.lower().endswith(".xpt")]
     else:

@@ -83,3 +83,22 @@ def test_missing_year_file_is_an_error(spark, landed, scratch_dir):
     cfg = config(landing_dir, os.path.join(scratch_dir, "wh3"), years=[2021, 2024])
     with pytest.raises(FileNotFoundError):
         run_pipeline(spark, cfg)
+
+
+def test_streaming_landing_loads_only_new_files(spark, landed, scratch_dir):
+    from stratiform.sources import ingest
+    from stratiform.streaming import land_new_files
+
+    src, counts = landed
+    inbox = os.path.join(scratch_dir, "inbox")
+    os.makedirs(inbox)
+    raw_path = os.path.join(scratch_dir, "raw")
+    ckpt = os.path.join(scratch_dir, "ckpt")
+    for year in (2021, 2022):
+        os.link(landing.file_path(year, src), landing.file_path(year, inbox))
+    assert land_new_files(spark, inbox, raw_path, ckpt, min_bytes=1) == [2021, 2022]
+    os.link(landing.file_path(2023, src), landing.file_path(2023, inbox))
+    assert land_new_files(spark, inbox, raw_path, ckpt, min_bytes=1) == [2023]
+    assert land_new_files(spark, inbox, raw_path, ckpt, min_bytes=1) == []
+    got = {r.survey_year: r.n_rows for r in ingest.rows_per_year(ingest.read_raw(spark, raw_path)).collect()}
+    assert got == counts

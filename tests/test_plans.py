@@ -57,3 +57,11 @@ def test_weight_filter_and_pruning_reach_parquet(spark, scratch_dir):
     scan = [ln for ln in plan.splitlines() if "ReadSchema" in ln][0]
     assert "loaded_at" not in scan and "fruit2" not in scan and "educa" not in scan
     assert F is not None
+
+
+def test_left_joins_filtered_on_right_side_become_inner(spark):
+    plan = physical(M.risk_factors_joined(R.staged(spark, SF_SMOKE), sort=False))
+    key_joins = [ln for ln in plan.splitlines() if "Join [respondent_id" in ln]
+    assert len(key_joins) == 2
+    # the join whose right side is filtered (diabetes_category IN ...) is inner
+    assert sum("Inner" in ln for ln in key_joins) == 1
