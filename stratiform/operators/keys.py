@@ -31,10 +31,24 @@ _ORDINAL_BITS = 33
 _TAG = "__sf_mono"
 
 
+# Above this many partitions the offsets are joined as a broadcast table
+# (size bounded by the partition count) instead of an array literal.
+MAX_LITERAL_OFFSETS = 4096
+
+
 def _partition_count(df: DataFrame, num_partitions: int | None) -> int:
+    """Explicit count, else max(input partitions, shuffle partitions).
+
+    The input's partition count follows its size (file splits), so range
+    partitions stay about split-sized as the data grows.
+    """
     if num_partitions:
         return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    try:
+        return max(shuffle, df.rdd.getNumPartitions())
+    except Exception:  # noqa: BLE001 - planning-only probe
+        return shuffle
 
 
 def ranged_with_ordinals(
@@ -62,12 +76,31 @@ def ranged_with_ordinals(
 
 
 def global_ordinal(offsets: list[int]) -> Column:
-    """0-based global position from the hidden tag and the partition offsets."""
+    """0-based global position from the hidden tag and the partition offsets
+    (offsets as an array literal; ``with_global_ordinal`` handles many)."""
+    starts = "array(" + ", ".join(f"{o}L" for o in (offsets[:-1] or [0])) + ")"
+    pid = f"CAST(shiftright({_TAG}, {_ORDINAL_BITS}) AS INT)"
+    ordinal = f"({_TAG} & {(1 << _ORDINAL_BITS) - 1}L)"
+    return F.expr(f"element_at({starts}, {pid} + 1) + {ordinal}")
+
+
+def with_global_ordinal(ranged: DataFrame, offsets: list[int], out_col: str) -> DataFrame:
+    """Add the 0-based global position as ``out_col``.
+
+    Few partitions: an array literal lookup (pure projection).  Many: a join
+    to a (partition id, offset) table, broadcast -- its size is the partition
+    count, not the data size.
+    """
+    if len(offsets) - 1 <= MAX_LITERAL_OFFSETS:
+        return ranged.withColumn(out_col, global_ordinal(offsets))
+    spark = ranged.sparkSession
+    table = spark.createDataFrame([(i, o) for i, o in enumerate(offsets[:-1])], "__sf_pid int, __sf_off bigint")
     tag = F.col(_TAG)
-    pid = F.shiftright(tag, _ORDINAL_BITS).cast("int")
-    ordinal = tag.bitwiseAND(F.lit((1 << _ORDINAL_BITS) - 1))
-    start = F.element_at(F.array(*[F.lit(o) for o in offsets[:-1] or [0]]).cast("array<bigint>"), pid + 1)
-    return start + ordinal
+    joined = ranged.withColumn("__sf_pid", F.shiftright(tag, _ORDINAL_BITS).cast("int")).join(
+        F.broadcast(table), on="__sf_pid", how="inner"
+    )
+    pos = F.col("__sf_off") + tag.bitwiseAND(F.lit((1 << _ORDINAL_BITS) - 1))
+    return joined.withColumn(out_col, pos).drop("__sf_pid", "__sf_off")
 
 
 def dense_row_id(
@@ -78,5 +111,5 @@ def dense_row_id(
 ) -> DataFrame:
     """Add ``id_col`` = 1..N in ``order_cols`` order, computed on all executors."""
     ranged, offsets = ranged_with_ordinals(df, order_cols, num_partitions)
-    out = ranged.withColumn(id_col, global_ordinal(offsets) + F.lit(1))
-    return out.drop(_TAG)
+    out = with_global_ordinal(ranged, offsets, id_col)
+    return out.withColumn(id_col, F.col(id_col) + F.lit(1)).drop(_TAG)

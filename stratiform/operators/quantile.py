@@ -15,7 +15,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.operators.keys import global_ordinal, ranged_with_ordinals
+from stratiform.operators.keys import ranged_with_ordinals, with_global_ordinal
 from stratiform.schema import WEIGHT
 
 
@@ -52,7 +52,8 @@ def percentiles_cont(
         positions.append((pos, lo, hi))
         wanted.update((lo, hi))
     picked = (
-        ranged.select(global_ordinal(offsets).alias("i"), "v")
+        with_global_ordinal(ranged, offsets, "i")
+        .select("i", "v")
         .where(F.col("i").isin(sorted(wanted)))
         .collect()
     )

@@ -44,6 +44,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.codegen.hugeMethodLimit", RECOMMENDED_SQL_CONF["spark.sql.codegen.hugeMethodLimit"])
         .getOrCreate()
     )

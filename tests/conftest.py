@@ -27,6 +27,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.local.dir", scratch)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )

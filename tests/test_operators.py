@@ -89,3 +89,19 @@ def test_staging_without_key_uses_dense_row_id(spark):
     staged = M.staging(keyed, state_codes(spark), key_order=["record_no"])
     ids = [r.respondent_id for r in staged.select("respondent_id").collect()]
     assert sorted(ids) == list(range(1, len(ids) + 1))
+
+
+def test_dense_row_id_with_offsets_table(spark, monkeypatch):
+    import stratiform.operators.keys as K
+
+    monkeypatch.setattr(K, "MAX_LITERAL_OFFSETS", 2)
+    df = spark.range(0, 3000).select((F.col("id") * 7 % 3000).alias("k"))
+    ids = dense_row_id(df, ["k"], num_partitions=9).orderBy("k").collect()
+    assert [r.row_id for r in ids] == list(range(1, 3001))
+
+
+def test_describe_attaches_comments(spark):
+    from stratiform.sources.ingest import describe
+
+    df = describe(spark.createDataFrame([(1.0, 2021)], "llcpwt double, survey_year int"))
+    assert df.schema["llcpwt"].metadata["comment"] == "Final combined survey weight"
