@@ -138,6 +138,30 @@ def summary(spark: SparkSession, cfg: PipelineConfig, tests: DataFrame) -> DataF
     return rows.withColumn("tests_passed", F.lit(passed is None or passed == 1))
 
 
+def register_views(spark: SparkSession, cfg: PipelineConfig) -> list[str]:
+    """Temp views over the written layers (the reference's views/tables), for SQL.
+
+    ``stg_respondents``, ``int_diabetes_flags`` and ``int_metabolic_risk`` are
+    projections of the enriched table; marts and check results are their own
+    tables.  Views are lazy: nothing is computed until queried.
+    """
+    rich = spark.read.parquet(cfg.path("intermediate", "enriched"))
+    views = {
+        "raw_all": ingest.read_raw(spark, cfg.path("raw")),
+        "stg_respondents": rich.select("respondent_id", *M.STAGED_COLUMNS, "state_abbr", "state_name"),
+        "int_diabetes_flags": rich.select(*M.FLAG_COLUMNS),
+        "int_metabolic_risk": rich.select(*M.RISK_COLUMNS),
+        "raw_expectations": spark.read.parquet(cfg.path("checks", "raw_expectations")),
+        "model_tests": spark.read.parquet(cfg.path("checks", "model_tests")),
+    }
+    for name in ("dim_respondent_demographics", "fct_diabetes_prevalence", "fct_diabetes_risk_factors",
+                 "fct_survey_weighted_estimates", "int_survey_weights"):
+        views[name] = spark.read.parquet(cfg.path("marts", name))
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return sorted(views)
+
+
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     """The whole run in phase order; raises ``CheckFailed`` at the raw gate."""
     tune_session(spark)
@@ -148,4 +172,5 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     tests = test_models(spark, cfg)
     out = summary(spark, cfg, tests)
     out.write.mode("overwrite").parquet(cfg.path("checks", "run_summary"))
+    register_views(spark, cfg)
     return spark.read.parquet(cfg.path("checks", "run_summary"))

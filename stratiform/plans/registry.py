@@ -141,8 +141,10 @@ def q_percentile(spark, sf):
     ev = read_table(spark, sf, "events")
     vals = percentiles_cont(ev, "value", list(PERCENTILES))
     names = [f"p{int(round(p * 100))}" for p in PERCENTILES]
-    row = [(None if v is None else round(v, 6)) for v in vals]
-    return spark.createDataFrame([row], schema=", ".join(f"{n} double" for n in names))
+    # one row built JVM-side from the two-per-percentile values fetched
+    return spark.range(1).select(
+        *[F.lit(None if v is None else round(v, 6)).cast("double").alias(n) for n, v in zip(names, vals)]
+    )
 
 
 def q_winsorize(spark, sf):

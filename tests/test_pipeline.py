@@ -65,6 +65,14 @@ def test_end_to_end(spark, landed, scratch_dir):
     assert raw_checks.where(~F.col("passed")).where(F.col("check_name") == "weight_not_null").count() > 0
     tests = spark.read.parquet(cfg.path("checks", "model_tests"))
     assert tests.count() == 21
+    # layers are queryable as views, like the reference's verification queries
+    n = spark.sql("SELECT survey_year, count(*) AS n FROM raw_all GROUP BY survey_year").collect()
+    assert {r.survey_year: r.n for r in n} == counts
+    pct = spark.sql(
+        "SELECT survey_year, round(sum(weighted_n_diabetic) / sum(weighted_n_total) * 100, 1) AS pct "
+        "FROM fct_diabetes_prevalence WHERE weighted_diabetes_prevalence IS NOT NULL GROUP BY survey_year"
+    ).collect()
+    assert all(0 <= r.pct <= 100 for r in pct)
     # rerun: years already loaded are skipped, results unchanged
     again = run_pipeline(spark, cfg).collect()[0]
     assert again.total_rows == summary.total_rows
