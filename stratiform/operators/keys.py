@@ -29,6 +29,7 @@ from stratiform.session import reliable_checkpoint
 
 _ORDINAL_BITS = 33
 _TAG = "__sf_mono"
+_TIE = "__sf_tie"
 
 
 # Above this many partitions the offsets are joined as a broadcast table
@@ -109,7 +110,13 @@ def dense_row_id(
     id_col: str = "row_id",
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``id_col`` = 1..N in ``order_cols`` order, computed on all executors."""
-    ranged, offsets = ranged_with_ordinals(df, order_cols, num_partitions)
+    """Add ``id_col`` = 1..N in ``order_cols`` order, computed on all executors.
+
+    A row tag is appended as the last sort key, so rows sharing one order
+    value (even a third of the table) still spread over many range
+    partitions; ties are numbered in input order.
+    """
+    tagged = df.withColumn(_TIE, F.monotonically_increasing_id())
+    ranged, offsets = ranged_with_ordinals(tagged, [*order_cols, _TIE], num_partitions)
     out = with_global_ordinal(ranged, offsets, id_col)
-    return out.withColumn(id_col, F.col(id_col) + F.lit(1)).drop(_TAG)
+    return out.withColumn(id_col, F.col(id_col) + F.lit(1)).drop(_TAG, _TIE)

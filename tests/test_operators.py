@@ -105,3 +105,12 @@ def test_describe_attaches_comments(spark):
 
     df = describe(spark.createDataFrame([(1.0, 2021)], "llcpwt double, survey_year int"))
     assert df.schema["llcpwt"].metadata["comment"] == "Final combined survey weight"
+
+
+def test_dense_row_id_splits_a_hot_value(spark):
+    # a third of the rows share one order value: they must not land in one partition
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    ids = dense_row_id(df, ["k"], num_partitions=6)
+    sizes = ids.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in sizes) < 1000
+    assert sorted(r.row_id for r in ids.collect()) == list(range(1, 3001))
