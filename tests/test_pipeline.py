@@ -65,6 +65,11 @@ def test_end_to_end(spark, landed, scratch_dir):
     assert raw_checks.where(~F.col("passed")).where(F.col("check_name") == "weight_not_null").count() > 0
     tests = spark.read.parquet(cfg.path("checks", "model_tests"))
     assert tests.count() == 21
+    # failing tests (warn severity) keep their failing rows as tables
+    failed = {r.test_name for r in tests.where((F.col("model") == "stg_respondents") & ~F.col("passed")).collect()}
+    assert "state_fips_range" in failed
+    bad = spark.read.parquet(cfg.path("checks", "failures", "stg_respondents", "state_fips_range"))
+    assert bad.count() > 0 and bad.where(F.col("state_fips").between(1, 78)).count() == 0
     # layers are queryable as views, like the reference's verification queries
     n = spark.sql("SELECT survey_year, count(*) AS n FROM raw_all GROUP BY survey_year").collect()
     assert {r.survey_year: r.n for r in n} == counts
