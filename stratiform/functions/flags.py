@@ -3,12 +3,14 @@
 All of these depend only on columns of the same respondent row, so they are
 added as extra columns of one enriched frame instead of separate tables
 joined back on the respondent key (see ``plans.models.enrich``).
+
+Each definition is written once, as SQL expression text: the models add
+them in one ``selectExpr`` per layer, and the ``Column`` builders below wrap
+the same text for use anywhere else.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,78 +25,9 @@ ANALYSED_CATEGORIES = [DIAGNOSED, INSULIN_DEPENDENT, PREDIABETIC, NO_DIABETES]
 HIGH_RISK_SCORE = 3
 POOR_DIET_THRESHOLD = 100
 
-
-def is_diagnosed_diabetic(status: str = "diabetes_status") -> Column:
-    return F.col(status) == F.lit("Diagnosed")
-
-
-def is_prediabetic(status: str = "diabetes_status", has_prediabetes: str = "has_prediabetes") -> Column:
-    """Three-valued OR: NULL when the status test is false and the answer unknown."""
-    return (F.col(status) == F.lit("Prediabetes")) | F.col(has_prediabetes)
-
-
-def is_insulin_dependent(takes_insulin: str = "takes_insulin") -> Column:
-    return F.col(takes_insulin) == F.lit(True)
-
-
-def diabetes_category(
-    status: str = "diabetes_status",
-    has_prediabetes: str = "has_prediabetes",
-    takes_insulin: str = "takes_insulin",
-) -> Column:
-    """Ordered cascade; an unknown (NULL) test counts as not matched."""
-    diagnosed = F.col(status) == F.lit("Diagnosed")
-    return (
-        F.when(diagnosed & (F.col(takes_insulin) == F.lit(True)), F.lit(INSULIN_DEPENDENT))
-        .when(diagnosed, F.lit(DIAGNOSED))
-        .when(is_prediabetic(status, has_prediabetes), F.lit(PREDIABETIC))
-        .when(F.col(status) == F.lit("No"), F.lit(NO_DIABETES))
-        .otherwise(F.lit(UNKNOWN))
-    )
-
-
-def indicator(condition: Column) -> Column:
-    """0/1 indicator; a NULL condition gives 0."""
-    return F.when(condition, F.lit(1)).otherwise(F.lit(0))
-
-
-def below_threshold(c: str, threshold: float) -> Column:
-    """1 when ``c`` is known and below ``threshold``, else 0."""
-    return indicator(F.col(c).isNotNull() & (F.col(c) < F.lit(threshold)))
-
-
-def all_null(*cols: str) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNull() for c in cols])
-
-
-def risk_flag_columns(poor_diet_threshold: float = POOR_DIET_THRESHOLD) -> dict[str, Column]:
-    """The six 0/1 risk indicators (``no_exercise_flag`` is not scored)."""
-    return {
-        "obese_flag": indicator(F.col("bmi_category") == F.lit("Obese")),
-        "hypertension_flag": indicator(F.col("has_hypertension") == F.lit(True)),
-        "inactive_flag": indicator(F.col("physical_activity_index") == F.lit("Inactive")),
-        "no_exercise_flag": indicator(F.col("any_exercise_past_30d") == F.lit(False)),
-        "diabetes_flag": indicator(F.col("is_diagnosed_diabetic") == F.lit(True)),
-        "poor_diet_flag": below_threshold("vegetable_frequency", poor_diet_threshold),
-    }
-
-
-SCORED_FLAGS = ["obese_flag", "hypertension_flag", "inactive_flag", "diabetes_flag", "poor_diet_flag"]
-SCORE_INPUTS = ["bmi_category", "has_hypertension", "physical_activity_index", "is_diagnosed_diabetic"]
-
-
-def metabolic_risk_score() -> Column:
-    """Sum of the five scored flags; NULL only when every score input is NULL."""
-    total = reduce(lambda a, b: a + b, [F.col(c) for c in SCORED_FLAGS])
-    return F.when(~all_null(*SCORE_INPUTS), total)
-
-
-def high_metabolic_risk(threshold: int = HIGH_RISK_SCORE) -> Column:
-    total = reduce(lambda a, b: a + b, [F.col(c) for c in SCORED_FLAGS])
-    return F.when(all_null(*SCORE_INPUTS), F.lit(None).cast("boolean")).otherwise(total >= F.lit(threshold))
-
-
-# The same definitions as SQL text, for one-call bulk projections.
+# Diabetes flags.  ``is_prediabetic`` is a three-valued OR: NULL when the
+# status test is false and the prediabetes answer unknown.  In the cascade an
+# unknown (NULL) test counts as not matched.
 DIABETES_FLAGS_SQL = {
     "is_diagnosed_diabetic": "diabetes_status = 'Diagnosed'",
     "is_prediabetic": "(diabetes_status = 'Prediabetes' OR has_prediabetes)",
@@ -109,6 +42,8 @@ DIABETES_FLAGS_SQL = {
 
 
 def risk_flags_sql(poor_diet_threshold: float = POOR_DIET_THRESHOLD) -> dict[str, str]:
+    """The six 0/1 risk indicators (a NULL input gives 0; ``no_exercise_flag``
+    is not part of the score)."""
     return {
         "obese_flag": "CASE WHEN bmi_category = 'Obese' THEN 1 ELSE 0 END",
         "hypertension_flag": "CASE WHEN has_hypertension = true THEN 1 ELSE 0 END",
@@ -122,11 +57,50 @@ def risk_flags_sql(poor_diet_threshold: float = POOR_DIET_THRESHOLD) -> dict[str
     }
 
 
+SCORED_FLAGS = ["obese_flag", "hypertension_flag", "inactive_flag", "diabetes_flag", "poor_diet_flag"]
+# The score is NULL only when all four of these are NULL (the diet input is
+# not checked, so the score is never NULL once the diabetes flag is known).
+SCORE_INPUTS = ["bmi_category", "has_hypertension", "physical_activity_index", "is_diagnosed_diabetic"]
 _ALL_NULL_SQL = " AND ".join(f"{c} IS NULL" for c in SCORE_INPUTS)
 _TOTAL_SQL = " + ".join(SCORED_FLAGS)
-SCORE_SQL = {
-    "metabolic_risk_score": f"CASE WHEN {_ALL_NULL_SQL} THEN CAST(NULL AS INT) ELSE {_TOTAL_SQL} END",
-    "high_metabolic_risk": (
-        f"CASE WHEN {_ALL_NULL_SQL} THEN CAST(NULL AS BOOLEAN) ELSE ({_TOTAL_SQL}) >= {HIGH_RISK_SCORE} END"
-    ),
-}
+
+
+def score_sql(threshold: int = HIGH_RISK_SCORE) -> dict[str, str]:
+    return {
+        "metabolic_risk_score": f"CASE WHEN {_ALL_NULL_SQL} THEN CAST(NULL AS INT) ELSE {_TOTAL_SQL} END",
+        "high_metabolic_risk": (
+            f"CASE WHEN {_ALL_NULL_SQL} THEN CAST(NULL AS BOOLEAN) ELSE ({_TOTAL_SQL}) >= {int(threshold)} END"
+        ),
+    }
+
+
+SCORE_SQL = score_sql()
+
+
+# ── Column builders over the same definitions ───────────────────────────────
+def is_diagnosed_diabetic() -> Column:
+    return F.expr(DIABETES_FLAGS_SQL["is_diagnosed_diabetic"])
+
+
+def is_prediabetic() -> Column:
+    return F.expr(DIABETES_FLAGS_SQL["is_prediabetic"])
+
+
+def is_insulin_dependent() -> Column:
+    return F.expr(DIABETES_FLAGS_SQL["is_insulin_dependent"])
+
+
+def diabetes_category() -> Column:
+    return F.expr(DIABETES_FLAGS_SQL["diabetes_category"])
+
+
+def risk_flag_columns(poor_diet_threshold: float = POOR_DIET_THRESHOLD) -> dict[str, Column]:
+    return {k: F.expr(v) for k, v in risk_flags_sql(poor_diet_threshold).items()}
+
+
+def metabolic_risk_score() -> Column:
+    return F.expr(SCORE_SQL["metabolic_risk_score"])
+
+
+def high_metabolic_risk(threshold: int = HIGH_RISK_SCORE) -> Column:
+    return F.expr(score_sql(threshold)["high_metabolic_risk"])

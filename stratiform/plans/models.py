@@ -113,10 +113,14 @@ def with_diabetes_flags(staged: DataFrame) -> DataFrame:
     return staged.selectExpr("*", *[f"{sql} AS {name}" for name, sql in FL.DIABETES_FLAGS_SQL.items()])
 
 
-def with_risk(flagged: DataFrame, poor_diet_threshold: float = FL.POOR_DIET_THRESHOLD) -> DataFrame:
+def with_risk(
+    flagged: DataFrame,
+    poor_diet_threshold: float = FL.POOR_DIET_THRESHOLD,
+    high_risk_score: int = FL.HIGH_RISK_SCORE,
+) -> DataFrame:
     flags = FL.risk_flags_sql(poor_diet_threshold)
     out = flagged.selectExpr("*", *[f"{sql} AS {name}" for name, sql in flags.items()])
-    return out.selectExpr("*", *[f"{sql} AS {name}" for name, sql in FL.SCORE_SQL.items()])
+    return out.selectExpr("*", *[f"{sql} AS {name}" for name, sql in FL.score_sql(high_risk_score).items()])
 
 
 def enrich(staged: DataFrame, poor_diet_threshold: float = FL.POOR_DIET_THRESHOLD) -> DataFrame:

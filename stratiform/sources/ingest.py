@@ -11,9 +11,8 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from stratiform.schema import LOADED_AT, RAW_COMMENTS, RAW_VARIABLES, SOURCE_VARIABLES, YEAR, normalise_name
+from stratiform.schema import LOADED_AT, RAW_COMMENTS, RAW_VARIABLES, YEAR, normalise_name
 
 
 # Columns carried through the allowlist projection besides the variables.
@@ -92,10 +91,3 @@ def rows_per_year(raw: DataFrame) -> DataFrame:
     """Per-year row counts of the raw layer (the load read-back)."""
     return raw.groupBy(YEAR).agg(F.count(F.lit(1)).alias("n_rows"))
 
-
-def source_variable_map() -> dict[str, str]:
-    return {v: normalise_name(v) for v in SOURCE_VARIABLES}
-
-
-def empty_raw(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
