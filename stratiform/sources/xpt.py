@@ -14,19 +14,20 @@ select before any action with a user schema) to skip the rest.  The special
 column ``record_no`` (BIGINT, 0-based position in the file) and ``source_file``
 (STRING) can be requested; ``record_no`` is a free deterministic key.
 
-Paths are opened with plain Python I/O, so on a cluster they must be on a
-file system mounted on every executor.
+Paths may be local or URIs of any file system Arrow can open (``file://``,
+``s3://``, ``gs://``, ``hdfs://``): each task opens the file itself and reads
+only its byte range, so nothing is staged through the driver.
 """
 
 from __future__ import annotations
 
-import glob
-import os
+import fnmatch
 import struct
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
@@ -59,6 +60,34 @@ class Layout:
     n_records: int
 
 
+def _resolve(path: str) -> tuple[pafs.FileSystem, str]:
+    """(file system, path inside it) for a local path or a URI."""
+    if path.startswith("file:"):
+        rest = path[len("file:"):]
+        return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+    if "://" in path:
+        return pafs.FileSystem.from_uri(path)
+    return pafs.LocalFileSystem(), path
+
+
+def _uri(fs: pafs.FileSystem, path: str, like: str) -> str:
+    """Re-attach the scheme of ``like`` to a path listed inside ``fs``."""
+    if "://" in like and not like.startswith("file:"):
+        return like.split("://", 1)[0] + "://" + path.lstrip("/")
+    return path
+
+
+def _read_range(path: str, offset: int, nbytes: int) -> bytes:
+    fs, p = _resolve(path)
+    with fs.open_input_file(p) as fh:
+        return fh.read_at(nbytes, offset) if nbytes > 0 else b""
+
+
+def _size(path: str) -> int:
+    fs, p = _resolve(path)
+    return fs.get_file_info(p).size
+
+
 def _parse_namestr(raw: bytes, namestr_len: int) -> Variable:
     ntype, _hfun, length, _varnum = struct.unpack(">hhhh", raw[:8])
     name = raw[8:16].decode("ascii", "replace").strip()
@@ -68,9 +97,8 @@ def _parse_namestr(raw: bytes, namestr_len: int) -> Variable:
 
 def read_layout(path: str) -> Layout:
     """Parse the header of the first member of an XPORT file (driver side)."""
-    size = os.path.getsize(path)
-    with open(path, "rb") as fh:
-        head = fh.read(min(size, HEADER_SCAN_BYTES))
+    size = _size(path)
+    head = _read_range(path, 0, min(size, HEADER_SCAN_BYTES))
     if not head.startswith(b"HEADER RECORD*******LIBRARY HEADER RECORD"):
         raise ValueError(f"{path}: not a SAS transport (XPORT v5) file")
     m = head.find(MEMBER_TAG)
@@ -92,9 +120,8 @@ def read_layout(path: str) -> Layout:
     # records whole padding "records" may appear at the end: drop them.
     if n_records:
         tail_records = min(n_records, RECORD // record_length + 1)
-        with open(path, "rb") as fh:
-            fh.seek(data_offset + (n_records - tail_records) * record_length)
-            tail = fh.read(tail_records * record_length)
+        tail = _read_range(path, data_offset + (n_records - tail_records) * record_length,
+                           tail_records * record_length)
         for i in range(tail_records - 1, -1, -1):
             if tail[i * record_length : (i + 1) * record_length].strip(b" "):
                 break
@@ -129,21 +156,21 @@ def _schema_for(layout: Layout) -> StructType:
     )
 
 
-def _local_path(path: str) -> str:
-    """``file:/x`` / ``file:///x`` URIs -> ``/x`` (files are opened with Python I/O)."""
-    if path.startswith("file:"):
-        rest = path[len("file:"):]
-        return "/" + rest.lstrip("/") if rest.startswith("//") or rest.startswith("/") else rest
-    return path
-
-
 def _expand(path: str) -> list[str]:
-    path = _local_path(path)
-    if os.path.isdir(path):
-        files = [os.path.join(path, f) for f in os.listdir(path) if f.lower().endswith(".xpt")]
+    """A file, a directory (its ``*.xpt`` files) or a glob in the last path part."""
+    fs, p = _resolve(path)
+    info = fs.get_file_info(p)
+    if info.type == pafs.FileType.Directory:
+        found = fs.get_file_info(pafs.FileSelector(p))
+        files = [f.path for f in found if f.type == pafs.FileType.File and f.path.lower().endswith(".xpt")]
+    elif any(ch in p for ch in "*?["):
+        parent, pattern = p.rsplit("/", 1) if "/" in p else (".", p)
+        found = fs.get_file_info(pafs.FileSelector(parent))
+        files = [f.path for f in found if f.type == pafs.FileType.File
+                 and fnmatch.fnmatch(f.path.rsplit("/", 1)[-1], pattern)]
     else:
-        files = glob.glob(path) if any(ch in path for ch in "*?[") else [path]
-    return sorted(files)
+        files = [p]
+    return sorted(_uri(fs, f, path) for f in files)
 
 
 class XptPartition(InputPartition):
@@ -174,9 +201,8 @@ class XptReader(DataSourceReader):
     def read(self, partition: XptPartition):
         layout = partition.layout
         n = partition.last - partition.first
-        with open(layout.path, "rb") as fh:
-            fh.seek(layout.data_offset + partition.first * layout.record_length)
-            buf = fh.read(n * layout.record_length)
+        buf = _read_range(layout.path, layout.data_offset + partition.first * layout.record_length,
+                          n * layout.record_length)
         rows = np.frombuffer(buf, dtype=np.uint8).reshape(n, layout.record_length)
         by_name = {v.name.lower(): v for v in layout.variables}
         arrays, names = [], []

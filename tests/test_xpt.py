@@ -60,3 +60,11 @@ def test_column_pruned_read(spark, scratch_dir):
     make_file(p, 50)
     df = read_xpt(spark, p, columns=["_LLCPWT", "NOT_THERE"])
     assert df.columns == ["_LLCPWT"] and df.count() == 50
+
+
+def test_uri_directory_and_glob_paths(spark, scratch_dir):
+    for y in (2021, 2022):
+        make_file(os.path.join(scratch_dir, f"LLCP{y}.XPT"), 20)
+    assert read_xpt(spark, "file://" + scratch_dir).count() == 40
+    assert read_xpt(spark, scratch_dir + "/LLCP2022.*").count() == 20
+    assert read_layout("file:" + os.path.join(scratch_dir, "LLCP2021.XPT")).n_records == 20
