@@ -221,8 +221,9 @@ class XptReader(DataSourceReader):
                     vals = ibm_to_double(np.ascontiguousarray(block))
                     arrays.append(pa.array(vals, mask=np.isnan(vals), type=pa.float64()))
                 else:
-                    text = [bytes(r).decode("latin-1").rstrip(" \x00") for r in block]
-                    arrays.append(pa.array([t if t else None for t in text], type=pa.string()))
+                    fixed = np.ascontiguousarray(block).view(f"S{v.length}").reshape(n)
+                    text = np.char.rstrip(np.char.decode(fixed, "latin-1"), " \x00")
+                    arrays.append(pa.array(text, mask=text == "", type=pa.string()))
             names.append(field.name)
         yield pa.RecordBatch.from_arrays(arrays, names=names)
 

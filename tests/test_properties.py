@@ -59,3 +59,23 @@ def test_estimators_match_python(spark, data):
         assert (r.m is None) == (m is None) and (m is None or abs(r.m - m) < 1e-9)
         if r.p is not None:
             assert 0.0 <= r.p <= 1.0
+
+
+codes = st.lists(
+    st.one_of(st.none(), st.integers(min_value=-3, max_value=20).map(float),
+              st.integers(min_value=-30, max_value=200).map(lambda x: x / 10)),
+    min_size=1, max_size=30,
+)
+
+
+@settings(max_examples=10, deadline=None)
+@given(codes)
+def test_decode_rounds_half_even_then_looks_up(spark, values):
+    from stratiform.functions import codebooks as D
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, c double")
+    got = {r.i: (r.a, r.s) for r in df.select("i", D.decode("c", D.AGE_GROUP).alias("a"),
+                                             D.decode("c", D.SEX, D.UNKNOWN).alias("s")).collect()}
+    for i, v in enumerate(values):
+        code = None if v is None else int(round(v))  # Python round() is half-to-even
+        assert got[i] == (D.AGE_GROUP.get(code), D.SEX.get(code, D.UNKNOWN))
