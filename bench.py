@@ -1,7 +1,8 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3).  Each query is executed in full through the
+BENCH_RUNS (default 3), BENCH_QUERIES (comma list), BENCH_PIPELINE (1/0:
+also time one end-to-end pipeline run, reported outside the query sum).  Each query is executed in full through the
 ``noop`` sink (every row computed, nothing collected on the driver); the
 reported time is the median over the runs after one warm-up.
 """
@@ -33,6 +34,41 @@ HEADLINE = [
 ]
 
 
+def bench_pipeline(spark, sf_dir: str, scratch: str) -> dict:
+    """End-to-end run (land XPT -> raw gate -> enriched -> 5 marts -> tests ->
+    summary) over yearly XPT files made from the sf respondent frame.  File
+    preparation is not timed; the raw suite runs at warn severity because the
+    derived frame carries deliberate defects and the fixed row-count range
+    is sized for real yearly files."""
+    from dataclasses import replace
+
+    import numpy as np
+
+    sys.path.insert(0, str(Path(__file__).resolve().parent / "tests"))
+    from xpt_writer import write_xpt_numeric
+
+    from stratiform.operators.checks import WARN
+    from stratiform.plans import suites
+    from stratiform.plans.frame import raw_frame
+    from stratiform.plans.pipeline import PipelineConfig, run_pipeline
+    from stratiform.schema import SOURCE_VARIABLES, normalise_name
+    from stratiform.sources.landing import file_path
+
+    landing_dir = os.path.join(scratch, "landing")
+    os.makedirs(landing_dir, exist_ok=True)
+    pdf = raw_frame(spark, sf_dir).toPandas()
+    years = sorted(int(y) for y in pdf["survey_year"].unique())
+    for year, part in pdf.groupby("survey_year"):
+        cols = {v: part[normalise_name(v)].to_numpy(dtype=np.float64, na_value=np.nan) for v in SOURCE_VARIABLES}
+        write_xpt_numeric(file_path(int(year), landing_dir), cols)
+    suite = [replace(c, severity=WARN) for c in suites.raw_expectations(tuple(years))]
+    cfg = PipelineConfig(warehouse=os.path.join(scratch, "warehouse"), landing_dir=landing_dir, years=years,
+                         min_file_bytes=1, raw_suite=suite)
+    t0 = time.perf_counter()
+    summary = run_pipeline(spark, cfg).collect()[0]
+    return {"sec": round(time.perf_counter() - t0, 3), "rows": int(summary["total_rows"]), "years": years}
+
+
 def main() -> None:
     from pyspark.sql import SparkSession
 
@@ -75,6 +111,7 @@ def main() -> None:
                 print(name, i, round(dt, 3), file=sys.stderr, flush=True)
         timings[name] = round(statistics.median(samples), 3)
     sf = Path(sf_dir).name.removeprefix("sf")
+    pipeline = bench_pipeline(spark, sf_dir, scratch) if os.environ.get("BENCH_PIPELINE", "1") == "1" else None
     print(
         json.dumps(
             {
@@ -85,6 +122,7 @@ def main() -> None:
                 "sf": sf,
                 "cpus": int(cpus),
                 "runs": runs,
+                "pipeline_end_to_end": pipeline,
             }
         )
     )

@@ -18,6 +18,7 @@ recomputing from the raw scan.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ from stratiform.operators.checks import Check, gate, run_data_tests, run_expecta
 from stratiform.operators.weights import survey_weights
 from stratiform.plans import models as M
 from stratiform.plans import suites as S
-from stratiform.schema import SOURCE_VARIABLES, YEAR
+from stratiform.schema import LOADED_AT, SOURCE_VARIABLES, YEAR
 from stratiform.session import tune_session
 from stratiform.sources import ingest, landing
 from stratiform.sources.seeds import state_codes
@@ -46,6 +47,7 @@ class PipelineConfig:
     min_file_bytes: int = landing.MIN_FILE_BYTES
     min_cell: int = M.MIN_CELL
     raw_suite: list[Check] | None = None  # default: the reference raw suite
+    hash_files: bool = True  # record size + SHA-256 of each loaded file
 
     def path(self, *parts: str) -> str:
         return "/".join([self.warehouse.rstrip("/"), *parts])
@@ -58,16 +60,26 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def land(spark: SparkSession, cfg: PipelineConfig) -> list[int]:
-    """Load the requested yearly files into the raw layer; returns loaded years."""
+    """Load the requested yearly files into the raw layer; returns loaded years.
+
+    All new years are read by one XPT scan (the year comes from the file
+    name) and written by one dynamic-partition-overwrite job.
+    """
     raw_path = cfg.path("raw")
     files = landing.manifest(spark, cfg.landing_dir, min_bytes=cfg.min_file_bytes)
     loaded = ingest.read_raw(spark, raw_path) if _exists(spark, raw_path) else None
     todo = landing.years_to_load(spark, files, cfg.years, loaded, cfg.force)
-    for year in todo:
-        frame = read_xpt(spark, landing.file_path(year, cfg.landing_dir), columns=SOURCE_VARIABLES,
-                         with_record_no=True)
-        projected, _missing = ingest.project_allowlist(frame)
-        ingest.write_raw(ingest.add_metadata(projected, year), raw_path)
+    if not todo:
+        return todo
+    paths = [landing.file_path(y, cfg.landing_dir) for y in todo]
+    if cfg.hash_files:  # provenance: size and SHA-256 of the files being loaded
+        names = [p.rsplit("/", 1)[-1] for p in paths]
+        files.where(F.col("file_name").isin(names)).write.mode("append").parquet(cfg.path("checks", "landing_manifest"))
+    frame = read_xpt(spark, paths, columns=SOURCE_VARIABLES,
+                     with_record_no=True, with_source_file=True)
+    year = F.regexp_extract(F.col("source_file"), landing.YEAR_FILE_PATTERN, 1).cast("int")
+    projected, _missing = ingest.project_allowlist(frame.withColumn(YEAR, year))
+    ingest.write_raw(projected.withColumn(LOADED_AT, F.lit(ingest.load_stamp())), raw_path)
     return todo
 
 
@@ -97,10 +109,13 @@ def build_models(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
         "fct_survey_weighted_estimates": M.state_year_estimates(rich),
         "int_survey_weights": survey_weights(rich),
     }
-    paths = {"enriched": enriched_path}
-    for name, df in outputs.items():
-        paths[name] = cfg.path("marts", name)
-        df.write.mode("overwrite").parquet(paths[name])
+    paths = {"enriched": enriched_path, **{name: cfg.path("marts", name) for name in outputs}}
+    # The marts are independent jobs over the same table: submit them together
+    # so their tasks share the cluster instead of running one after another.
+    with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
+        futures = [pool.submit(df.write.mode("overwrite").parquet, paths[name]) for name, df in outputs.items()]
+        for fut in futures:
+            fut.result()
     return paths
 
 

@@ -17,6 +17,8 @@ from stratiform.schema import LOADED_AT, RAW_COMMENTS, RAW_VARIABLES, YEAR, norm
 
 # Columns carried through the allowlist projection besides the variables.
 CARRIED_COLUMNS = ("respondent_id", "record_no", YEAR, LOADED_AT)
+# Carried but dropped from the raw layer: provenance columns of the scan.
+SCAN_ONLY_COLUMNS = ("source_file",)
 
 
 def normalise_columns(df: DataFrame) -> DataFrame:
@@ -47,9 +49,14 @@ def project_allowlist(
     return df.select(*cols, *extra), missing
 
 
+def load_stamp() -> str:
+    """The ``loaded_at`` value: current UTC time as ISO-8601 text."""
+    return datetime.now(tz=UTC).isoformat()
+
+
 def add_metadata(df: DataFrame, year: int, loaded_at: str | None = None) -> DataFrame:
     """Append ``survey_year`` (INT) and ``loaded_at`` (UTC ISO-8601 text)."""
-    stamp = loaded_at or datetime.now(tz=UTC).isoformat()
+    stamp = loaded_at or load_stamp()
     return df.withColumns({YEAR: F.lit(year).cast("int"), LOADED_AT: F.lit(stamp)})
 
 

@@ -56,14 +56,19 @@ def years_to_load(
 ) -> list[int]:
     """Requested years with a landed file, minus years already loaded.
 
-    Raises ``FileNotFoundError`` for a requested year without a landed file.
+    Only the distinct years are collected (one value per landed or loaded
+    year): the file listing is read without file contents, the loaded years
+    come from the raw table's partition column.  Raises
+    ``FileNotFoundError`` for a requested year without a landed file.
     """
-    requested = spark.createDataFrame([(y,) for y in years], "year int")
-    present = landing.where(F.col("is_year_file")).select("year").distinct()
-    missing = requested.join(present, "year", "left_anti").collect()
+    present = {
+        r["year"]
+        for r in landing.where(F.col("is_year_file") & F.col("year").isNotNull()).select("year").distinct().collect()
+    }
+    missing = sorted(set(years) - present)
     if missing:
-        raise FileNotFoundError(f"no landed file for year(s) {sorted(r['year'] for r in missing)}")
-    todo = requested
+        raise FileNotFoundError(f"no landed file for year(s) {missing}")
+    done: set[int] = set()
     if loaded is not None and not force:
-        todo = todo.join(loaded.select(F.col("survey_year").alias("year")).distinct(), "year", "left_anti")
-    return sorted(r["year"] for r in todo.collect())
+        done = {r[0] for r in loaded.select("survey_year").distinct().collect()}
+    return sorted(set(years) - done)

@@ -181,10 +181,16 @@ class XptPartition(InputPartition):
         self.last = last
 
 
+def _option_paths(options: dict) -> list[str]:
+    """``path`` (file, directory or glob) or ``paths`` (newline-separated)."""
+    raw = options.get("paths") or options["path"]
+    return sorted({f for p in raw.split("\n") if p for f in _expand(p)})
+
+
 class XptReader(DataSourceReader):
     def __init__(self, schema: StructType, options: dict):
         self.schema = schema
-        self.paths = _expand(options["path"])
+        self.paths = _option_paths(options)
         self.partition_bytes = int(options.get("partitionBytes", DEFAULT_PARTITION_BYTES))
 
     def partitions(self):
@@ -236,9 +242,9 @@ class XptDataSource(DataSource):
         return "xpt"
 
     def schema(self):
-        paths = _expand(self.options["path"])
+        paths = _option_paths(self.options)
         if not paths:
-            raise FileNotFoundError(self.options["path"])
+            raise FileNotFoundError(self.options.get("paths") or self.options["path"])
         return _schema_for(read_layout(paths[0]))
 
     def reader(self, schema: StructType) -> XptReader:
@@ -250,17 +256,33 @@ def register(spark) -> None:
     spark.dataSource.register(XptDataSource)
 
 
-def read_xpt(spark, path: str, columns: list[str] | None = None, with_record_no: bool = False,
-             partition_bytes: int = DEFAULT_PARTITION_BYTES):
-    """Read XPORT file(s); ``columns`` limits decoding to those variables."""
+def read_xpt(spark, path: str | list[str], columns: list[str] | None = None, with_record_no: bool = False,
+             partition_bytes: int = DEFAULT_PARTITION_BYTES, with_source_file: bool = False):
+    """Read XPORT file(s) -- one path (file, directory, glob) or a list -- in one scan.
+
+    ``columns`` limits decoding to those variables (case-insensitive); with
+    several files the schema is the union of their variables, and a file
+    without a variable yields NULL for it.
+    """
     register(spark)
+    paths = [path] if isinstance(path, str) else list(path)
     reader = spark.read.format("xpt").option("partitionBytes", str(partition_bytes))
-    if columns is not None or with_record_no:
-        paths = _expand(path)
-        layout = read_layout(paths[0])
+    reader = reader.option("paths", "\n".join(paths))
+    files = sorted({f for p in paths for f in _expand(p)})
+    if not files:
+        raise FileNotFoundError(paths)
+    if columns is not None or with_record_no or with_source_file or len(files) > 1:
         wanted = {c.lower() for c in columns} if columns is not None else None
-        fields = [f for f in _schema_for(layout).fields if wanted is None or f.name.lower() in wanted]
+        fields: dict[str, StructField] = {}
+        for f in files:
+            for field in _schema_for(read_layout(f)).fields:
+                if (wanted is None or field.name.lower() in wanted) and field.name.lower() not in fields:
+                    fields[field.name.lower()] = field
+        order = {c.lower(): i for i, c in enumerate(columns)} if columns is not None else {}
+        out = sorted(fields.values(), key=lambda fld: order.get(fld.name.lower(), len(order)))
         if with_record_no:
-            fields.append(StructField(RECORD_NO, LongType(), False))
-        reader = reader.schema(StructType(fields))
-    return reader.load(path)
+            out.append(StructField(RECORD_NO, LongType(), False))
+        if with_source_file:
+            out.append(StructField(SOURCE_FILE, StringType(), False))
+        reader = reader.schema(StructType(out))
+    return reader.load()
