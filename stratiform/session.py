@@ -16,6 +16,16 @@ RECOMMENDED_SQL_CONF = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split-sized scan tasks and post-shuffle partitions for yearly files of
+    # hundreds of MB up to 100 TB tables: fewer, fuller tasks.
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+}
+# Spark's own defaults: a key still at its default counts as "not set".
+_SPARK_DEFAULTS = {
+    "spark.sql.codegen.hugeMethodLimit": {"65535"},
+    "spark.sql.files.maxPartitionBytes": {"134217728b", "128MB", "134217728"},
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": {"64MB", "67108864b", "67108864"},
 }
 
 
@@ -26,8 +36,7 @@ def tune_session(spark: SparkSession, overrides: dict[str, str] | None = None) -
             current = spark.conf.get(key)
         except Exception:  # noqa: BLE001
             current = None
-        default = {"spark.sql.codegen.hugeMethodLimit": "65535"}.get(key)
-        if current is None or current == default or overrides:
+        if current is None or current in _SPARK_DEFAULTS.get(key, {value, "true", "false"}) or overrides:
             spark.conf.set(key, value)
 
 

@@ -114,3 +114,16 @@ def test_dense_row_id_splits_a_hot_value(spark):
     sizes = ids.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert max(r["count"] for r in sizes) < 1000
     assert sorted(r.row_id for r in ids.collect()) == list(range(1, 3001))
+
+
+def test_tune_session_keeps_user_settings(spark):
+    from stratiform.session import tune_session
+
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32MB")
+    try:
+        tune_session(spark)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "32MB"
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
