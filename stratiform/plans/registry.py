@@ -22,7 +22,7 @@ from stratiform.operators.weights import survey_weights
 from stratiform.plans import models as M
 from stratiform.plans.frame import raw_frame, read_table
 from stratiform.plans import suites as S
-from stratiform.plans.oracle import prevalence_sql, with_survey
+from stratiform.plans.oracle import DECODED_SELECT, prevalence_sql, with_survey
 from stratiform.schema import WEIGHT, YEAR
 from stratiform.sources.ingest import project_allowlist, unify_years
 from stratiform.sources import landing
@@ -446,16 +446,16 @@ SELECT event_id, value, round(least(value, cap), 6) AS winsorized_value FROM eve
         "decode_label": with_survey("""
 SELECT respondent_id, bmi_category, physical_activity_index, age_group, race_ethnicity,
        race_ethnicity_collapsed, education_level, income_group, urban_rural
-FROM (SELECT """ + _decoded_select_all() + " FROM raw) x"),
+FROM (SELECT """ + DECODED_SELECT + " FROM raw) x"),
         "decode_default": with_survey("""
-SELECT respondent_id, diabete4, diabetes_status, sex FROM (SELECT diabete4, """ + _decoded_select_all() + " FROM raw) x"),
+SELECT respondent_id, diabete4, diabetes_status, sex FROM (SELECT diabete4, """ + DECODED_SELECT + " FROM raw) x"),
         "decode_boolean": with_survey("""
 SELECT respondent_id, has_prediabetes, takes_insulin, has_coronary_heart_disease, any_exercise_past_30d
-FROM (SELECT """ + _decoded_select_all() + " FROM raw) x"),
+FROM (SELECT """ + DECODED_SELECT + " FROM raw) x"),
         "decode_reversed": with_survey("""
-SELECT respondent_id, rfhype6, has_hypertension FROM (SELECT rfhype6, """ + _decoded_select_all() + " FROM raw) x"),
+SELECT respondent_id, rfhype6, has_hypertension FROM (SELECT rfhype6, """ + DECODED_SELECT + " FROM raw) x"),
         "sentinel_scale_round": with_survey("""
-SELECT respondent_id, bmi5, bmi_calc FROM (SELECT bmi5, """ + _decoded_select_all() + " FROM raw) x"),
+SELECT respondent_id, bmi5, bmi_calc FROM (SELECT bmi5, """ + DECODED_SELECT + " FROM raw) x"),
         "lookup_join": with_survey("SELECT respondent_id, state_fips, state_abbr, state_name FROM stg"),
         "stg_frame": with_survey("SELECT * FROM stg"),
         "dim_demographics": with_survey("""
@@ -539,7 +539,6 @@ SELECT respondent_id, survey_year, diabete4, prediab2, llcpwt FROM (
   UNION ALL BY NAME
   SELECT * EXCLUDE (prediab2) FROM raw WHERE survey_year = {DROPPED_YEAR}) u"""),
         "check_raw_expectations": _raw_expectations_sql(),
-        "fct_risk_factors_joined": "",
         "check_model_tests": _model_tests_sql(),
     }
 
@@ -551,8 +550,6 @@ def _sql_str(v) -> str:
 def _raw_expectations_sql() -> str:
     """Independent SQL of the raw suite: one metrics row per year, then one
     SELECT per check."""
-    from stratiform.operators.checks import Check  # noqa: F401
-
     checks = S.raw_expectations()
     metrics, selects = ["count(*) AS n"], []
     for i, c in enumerate(checks):
@@ -617,21 +614,12 @@ def _model_tests_sql() -> str:
     return with_survey(body)
 
 
-def _decoded_select_all() -> str:
-    from stratiform.plans.oracle import DECODED_SELECT
-
-    return DECODED_SELECT
-
-
-def _with_aliases(sqls: dict[str, str]) -> dict[str, str]:
-    """Keys whose oracle is another key's SQL (same result by definition)."""
-    sqls["fct_risk_factors_joined"] = sqls["fct_risk_factors"]
-    return sqls
-
-
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return _with_aliases(_sql())
+    sqls = _sql()
+    # the joined plan of the same mart has the same oracle by definition
+    sqls["fct_risk_factors_joined"] = sqls["fct_risk_factors"]
+    return sqls
