@@ -76,14 +76,12 @@ def unify_years(frames: list[DataFrame]) -> DataFrame:
 
 
 def write_raw(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write the raw layer partitioned by year, replacing only the years present."""
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode(mode).partitionBy(YEAR).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    """Write a year-partitioned table, replacing only the years present.
+
+    Dynamic partition overwrite is set on this write only (no session-wide
+    setting, so concurrent writes from other threads are unaffected).
+    """
+    df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(YEAR).parquet(path)
 
 
 def read_raw(spark: SparkSession, path: str, years: list[int] | None = None) -> DataFrame:
