@@ -335,6 +335,14 @@ def q_check_model_tests(spark, sf):
     return per_row.unionByName(mart)
 
 
+def q_check_events_expectations(spark, sf):
+    return run_expectations(read_table(spark, sf, "events"), S.events_expectations(), by=["event_type"])
+
+
+def q_check_events_tests(spark, sf):
+    return run_data_tests(read_table(spark, sf, "events"), S.events_tests(), "events")
+
+
 QUERIES: dict[str, Query] = {
     "weighted_proportion": q_weighted_proportion,
     "weighted_count": q_weighted_count,
@@ -376,6 +384,8 @@ QUERIES: dict[str, Query] = {
     "check_raw_expectations": q_check_raw_expectations,
     "check_model_tests": q_check_model_tests,
     "landing_manifest": q_landing_manifest,
+    "check_events_expectations": q_check_events_expectations,
+    "check_events_tests": q_check_events_tests,
 }
 
 
@@ -540,6 +550,9 @@ SELECT respondent_id, survey_year, diabete4, prediab2, llcpwt FROM (
   SELECT * EXCLUDE (prediab2) FROM raw WHERE survey_year = {DROPPED_YEAR}) u"""),
         "check_raw_expectations": _raw_expectations_sql(),
         "check_model_tests": _model_tests_sql(),
+        "check_events_expectations": "WITH " + _expectations_body(
+            "events", "event_type", S.events_expectations(), set(EVENTS_COLUMNS), lead=""),
+        "check_events_tests": "\nUNION ALL\n".join(_data_tests_selects([("events", "events", S.events_tests())])),
     }
 
 
@@ -550,11 +563,22 @@ def _sql_str(v) -> str:
 def _raw_expectations_sql() -> str:
     """Independent SQL of the raw suite: one metrics row per year, then one
     SELECT per check."""
-    checks = S.raw_expectations()
+    return with_survey(_expectations_body("raw", "survey_year", S.raw_expectations(), set(RAW_FRAME_COLUMNS)))
+
+
+RAW_FRAME_COLUMNS = ["respondent_id", "diabete4", "prediab2", "insulin1", "bmi5", "bmi5cat", "rfhype6", "cvdcrhd4",
+                     "exerany2", "paindx3", "fruit2", "fruitju2", "vegetab2", "state", "imonth", "iyear", "sexvar",
+                     "ageg5yr", "race1", "racegr3", "educa", "income3", "urbstat", "llcpwt", "ststr", "psu",
+                     "survey_year", "loaded_at"]
+EVENTS_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def _expectations_body(table: str, by: str, checks, present: set[str], lead: str = ", ") -> str:
+    """SQL: metrics CTE ``m`` per ``by`` group, then one SELECT per check."""
     metrics, selects = ["count(*) AS n"], []
     for i, c in enumerate(checks):
         col = c.column
-        head = f"survey_year, {_sql_str(c.name)} AS check_name, {_sql_str(c.kind)} AS kind, " \
+        head = f"{by}, {_sql_str(c.name)} AS check_name, {_sql_str(c.kind)} AS kind, " \
                f"CAST({_sql_str(col)} AS VARCHAR) AS column_name"
         sev = f"{_sql_str(c.severity)} AS severity"
         if c.kind == "row_count_between":
@@ -563,8 +587,9 @@ def _raw_expectations_sql() -> str:
                            f"n BETWEEN {c.min_value} AND {c.max_value} AS passed, {sev} FROM m")
             continue
         if c.kind == "column_exists":
-            selects.append(f"SELECT {head}, CAST(1.0 AS DOUBLE) AS observed, 'present' AS threshold, "
-                           f"TRUE AS passed, {sev} FROM m")
+            ok = col in present
+            selects.append(f"SELECT {head}, CAST({1.0 if ok else 0.0} AS DOUBLE) AS observed, 'present' AS threshold, "
+                           f"{'TRUE' if ok else 'FALSE'} AS passed, {sev} FROM m")
             continue
         if c.kind == "not_null":
             metrics += [f"count(*) AS d{i}", f"count({col}) AS k{i}"]
@@ -576,17 +601,11 @@ def _raw_expectations_sql() -> str:
         obs = f"CASE WHEN d{i} > 0 THEN CAST(k{i} AS DOUBLE) / CAST(d{i} AS DOUBLE) END"
         selects.append(f"SELECT {head}, {obs} AS observed, {_sql_str(f'>= {c.mostly:g}')} AS threshold, "
                        f"coalesce({obs} >= {c.mostly}, TRUE) AS passed, {sev} FROM m")
-    m = f", m AS (SELECT survey_year, {', '.join(metrics)} FROM raw GROUP BY survey_year)\n"
-    return with_survey(m + "\nUNION ALL\n".join(selects))
+    m = f"{lead}m AS (SELECT {by}, {', '.join(metrics)} FROM {table} GROUP BY {by})\n"
+    return m + "\nUNION ALL\n".join(selects)
 
 
-def _model_tests_sql() -> str:
-    tables = [
-        ("stg_respondents", "stg", S.staging_tests()),
-        ("int_diabetes_flags", "flags", S.flags_tests()),
-        ("int_metabolic_risk", "risk", S.risk_tests()),
-        ("fct_diabetes_prevalence", "prev", S.prevalence_tests()),
-    ]
+def _data_tests_selects(tables) -> list[str]:
     selects = []
     for model, table, checks in tables:
         for c in checks:
@@ -607,6 +626,17 @@ def _model_tests_sql() -> str:
                 cond = f"coalesce(NOT ({c.expression}), FALSE)"
             selects.append(f"SELECT {head}, CAST(count_if({cond}) AS BIGINT) AS n_failures, "
                            f"count_if({cond}) = 0 AS passed, {_sql_str(c.severity)} AS severity FROM {table}")
+    return selects
+
+
+def _model_tests_sql() -> str:
+    tables = [
+        ("stg_respondents", "stg", S.staging_tests()),
+        ("int_diabetes_flags", "flags", S.flags_tests()),
+        ("int_metabolic_risk", "risk", S.risk_tests()),
+        ("fct_diabetes_prevalence", "prev", S.prevalence_tests()),
+    ]
+    selects = _data_tests_selects(tables)
     flags_full = """, flags_model AS (SELECT s.respondent_id, s.survey_year, s.llcpwt, f.is_diagnosed_diabetic,
        f.is_prediabetic, f.is_insulin_dependent, f.diabetes_category FROM stg s JOIN flags f USING (respondent_id))"""
     body = (f", prev AS ({prevalence_sql(M.PREVALENCE_STRATA, M.MIN_CELL)})\n{flags_full}\n"

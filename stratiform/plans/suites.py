@@ -85,4 +85,28 @@ def prevalence_tests() -> list[Check]:
     ]
 
 
+# Generic suites over the driver's events table (checks are not survey-specific).
+EVENT_TYPES = ("view", "click", "purchase", "signup", "error")
+
+
+def events_expectations() -> list[Check]:
+    return [
+        Check("row_count_between", "row_count_between", min_value=1_000, max_value=1_000_000),
+        Check("column_exists_value", "column_exists", column="value"),
+        Check("column_exists_amount", "column_exists", column="amount"),
+        Check("value_not_null", "not_null", column="value", mostly=0.99),
+        Check("value_between", "between", column="value", min_value=0, max_value=250, mostly=0.5),
+        Check("user_id_in_range", "between", column="user_id", min_value=0, max_value=1000, mostly=0.9),
+    ]
+
+
+def events_tests() -> list[Check]:
+    return [
+        Check("event_id_unique", "unique", column="event_id", severity=WARN),
+        Check("event_id_not_null", "not_null", column="event_id", severity=WARN),
+        Check("event_type_accepted", "accepted_values", column="event_type", values=EVENT_TYPES[:4], severity=WARN),
+        Check("value_positive", "expression", column="value", expression="value > 1", severity=WARN),
+    ]
+
+
 __all__ = ["ERROR", "WARN", "raw_expectations", "staging_tests", "flags_tests", "risk_tests", "prevalence_tests"]
