@@ -256,8 +256,21 @@ def register(spark) -> None:
     spark.dataSource.register(XptDataSource)
 
 
+MIN_PARTITION_BYTES = 4 << 20
+
+
+def split_bytes(spark, total_bytes: int) -> int:
+    """Split size like Spark's file sources: ``min(maxPartitionBytes,
+    max(4 MB, total / defaultParallelism))`` -- every core gets work on small
+    inputs, and splits stay bounded on large ones."""
+    conf = spark.conf.get("spark.sql.files.maxPartitionBytes", str(DEFAULT_PARTITION_BYTES))
+    max_bytes = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf))
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    return int(min(max_bytes, max(MIN_PARTITION_BYTES, total_bytes // cores)))
+
+
 def read_xpt(spark, path: str | list[str], columns: list[str] | None = None, with_record_no: bool = False,
-             partition_bytes: int = DEFAULT_PARTITION_BYTES, with_source_file: bool = False):
+             partition_bytes: int | None = None, with_source_file: bool = False):
     """Read XPORT file(s) -- one path (file, directory, glob) or a list -- in one scan.
 
     ``columns`` limits decoding to those variables (case-insensitive); with
@@ -266,11 +279,13 @@ def read_xpt(spark, path: str | list[str], columns: list[str] | None = None, wit
     """
     register(spark)
     paths = [path] if isinstance(path, str) else list(path)
-    reader = spark.read.format("xpt").option("partitionBytes", str(partition_bytes))
-    reader = reader.option("paths", "\n".join(paths))
     files = sorted({f for p in paths for f in _expand(p)})
     if not files:
         raise FileNotFoundError(paths)
+    if partition_bytes is None:
+        partition_bytes = split_bytes(spark, sum(_size(f) for f in files))
+    reader = spark.read.format("xpt").option("partitionBytes", str(partition_bytes))
+    reader = reader.option("paths", "\n".join(paths))
     if columns is not None or with_record_no or with_source_file or len(files) > 1:
         wanted = {c.lower() for c in columns} if columns is not None else None
         fields: dict[str, StructField] = {}
