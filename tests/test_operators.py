@@ -127,3 +127,15 @@ def test_tune_session_keeps_user_settings(spark):
         assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_broadcast_if_small_both_branches(spark):
+    from stratiform.operators.joins import broadcast_if_small, lookup_join
+
+    big = spark.range(0, 50).withColumnRenamed("id", "k")
+    small = spark.range(0, 5).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
+    hinted = big.join(broadcast_if_small(small, max_rows=10), "k")
+    plain = big.join(broadcast_if_small(small, max_rows=2), "k")
+    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+    assert sorted(hinted.collect()) == sorted(plain.collect())
+    assert lookup_join(big, small, "k", lookup_is_bounded=True).where(F.col("v").isNull()).count() == 45

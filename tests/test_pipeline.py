@@ -50,6 +50,8 @@ def test_end_to_end(spark, landed, scratch_dir):
     landing_dir, counts = landed
     cfg = config(landing_dir, os.path.join(scratch_dir, "wh"))
     summary = run_pipeline(spark, cfg).collect()[0]
+    for layer in ("raw", "intermediate", "marts", "checks"):  # the namespaces, as path prefixes
+        assert os.path.isdir(cfg.path(layer))
     assert summary.years == [2021, 2022, 2023]
     assert summary.total_rows == sum(counts.values())
     assert dict(summary.rows_per_year) == counts
