@@ -54,9 +54,17 @@ class PipelineConfig:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+    """Whether a table folder exists (Hadoop file system of the path)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+    except Exception:  # noqa: BLE001 - no JVM context: probe by reading
+        try:
+            spark.read.parquet(path).schema  # noqa: B018
+            return True
+        except Exception:  # noqa: BLE001
+            return False
 
 
 def land(spark: SparkSession, cfg: PipelineConfig) -> list[int]:

@@ -67,7 +67,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     a cluster a machine-local folder would not survive executor loss, so an
     unset folder there is an error.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -263,9 +263,12 @@ def split_bytes(spark, total_bytes: int) -> int:
     """Split size like Spark's file sources: ``min(maxPartitionBytes,
     max(4 MB, total / defaultParallelism))`` -- every core gets work on small
     inputs, and splits stay bounded on large ones."""
-    conf = spark.conf.get("spark.sql.files.maxPartitionBytes", str(DEFAULT_PARTITION_BYTES))
-    max_bytes = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf))
-    cores = max(1, spark.sparkContext.defaultParallelism)
+    try:
+        conf = spark.conf.get("spark.sql.files.maxPartitionBytes", str(DEFAULT_PARTITION_BYTES))
+        max_bytes = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf))
+        cores = max(1, spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no JVM context (Spark Connect)
+        return DEFAULT_PARTITION_BYTES
     return int(min(max_bytes, max(MIN_PARTITION_BYTES, total_bytes // cores)))
 
 
