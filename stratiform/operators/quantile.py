@@ -15,6 +15,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratiform.operators.joins import broadcast_if_small
 from stratiform.operators.keys import ranged_with_ordinals, with_global_ordinal
 from stratiform.schema import WEIGHT
 
@@ -67,20 +68,70 @@ def percentiles_cont(
     return out
 
 
+def percentile_cont_by(
+    df: DataFrame, by: list[str], column: str, p: float, out_col: str = "percentile",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Exact ``percentile_cont(p)`` of ``column`` per group, as a DataFrame.
+
+    Spark's exact ``percentile`` aggregate would buffer a whole group in one
+    task (a hot group may hold a third of the rows).  Instead: one global
+    ranking in ``(by, column, row tag)`` order (range partitions, split-sized,
+    ties spread by the tag), each group's start position and size from one
+    aggregate, then only the <= 2 rows per group around ``p * (n - 1)`` are
+    kept and interpolated by a grouped aggregate.  Nothing is collected.
+    """
+    if not 0.0 <= p <= 1.0:
+        raise ValueError(f"percentile must be in [0, 1], got {p}")
+    values = (
+        df.select(*by, F.col(column).cast("double").alias("__v"))
+        .where(F.col("__v").isNotNull() & ~F.isnan(F.col("__v")))
+        .withColumn("__tie", F.monotonically_increasing_id())
+    )
+    ranked, offsets = ranged_with_ordinals(values, [*by, "__v", "__tie"], num_partitions)
+    ranked = with_global_ordinal(ranked, offsets, "__i").drop("__tie")
+    bounds = ranked.groupBy(*by).agg(F.min("__i").alias("__start"), F.count(F.lit(1)).alias("__n"))
+    pos = F.lit(p) * (F.col("__n") - F.lit(1))
+    bounds = bounds.select(
+        *by, "__start", pos.alias("__pos"), F.floor(pos).alias("__lo"), F.ceil(pos).alias("__hi")
+    )
+    local = F.col("__i") - F.col("__start")
+    near = ranked.join(broadcast_if_small(bounds), on=by, how="inner").where(
+        (local == F.col("__lo")) | (local == F.col("__hi"))
+    )
+    lo_v = F.max(F.when(local == F.col("__lo"), F.col("__v")))
+    hi_v = F.max(F.when(local == F.col("__hi"), F.col("__v")))
+    agg = near.groupBy(*by).agg(
+        lo_v.alias("__lo_v"), hi_v.alias("__hi_v"),
+        F.first("__pos").alias("__pos"), F.first("__lo").alias("__lo"), F.first("__hi").alias("__hi"),
+    )
+    value = F.when(F.col("__lo") == F.col("__hi"), F.col("__lo_v")).otherwise(
+        (F.col("__hi") - F.col("__pos")) * F.col("__lo_v") + (F.col("__pos") - F.col("__lo")) * F.col("__hi_v")
+    )
+    return agg.select(*by, value.alias(out_col))
+
+
 def winsorize(
     df: DataFrame,
     weight_col: str = WEIGHT,
     upper_percentile: float = 0.99,
     out_col: str | None = None,
+    by: list[str] | None = None,
 ) -> DataFrame:
     """Cap a weight at its global ``upper_percentile`` (trim only, no rescale).
 
     ``least`` skips NULL, so a NULL weight becomes the cap, as in the
-    reference semantics.  The cap is one scalar, applied as a literal in a
-    narrow projection: no join, no shuffle of the input.
+    reference semantics.  Globally the cap is one scalar, applied as a
+    literal in a narrow projection: no join, no shuffle of the input.  With
+    ``by`` each group is capped at its own percentile (one cap row per group,
+    joined back behind a checked broadcast).
     """
-    cap = percentile_cont(df, weight_col, upper_percentile)
     target = out_col or weight_col
+    if by:
+        caps = percentile_cont_by(df, by, weight_col, upper_percentile, out_col="__cap")
+        joined = df.join(broadcast_if_small(caps), on=by, how="left")
+        return joined.withColumn(target, F.least(F.col(weight_col), F.col("__cap"))).drop("__cap")
+    cap = percentile_cont(df, weight_col, upper_percentile)
     if cap is None:
         return df.withColumn(target, F.col(weight_col))
     return df.withColumn(target, F.least(F.col(weight_col), F.lit(cap)))

@@ -17,7 +17,7 @@ from stratiform.functions import codebooks as D
 from stratiform.functions import estimators as E
 from stratiform.operators.checks import Check, run_data_tests, run_expectations
 from stratiform.operators.keys import dense_row_id
-from stratiform.operators.quantile import percentiles_cont, winsorize
+from stratiform.operators.quantile import percentile_cont_by, percentiles_cont, winsorize
 from stratiform.operators.weights import survey_weights
 from stratiform.plans import models as M
 from stratiform.plans.frame import raw_frame, read_table
@@ -153,6 +153,18 @@ def q_winsorize(spark, sf):
     return out.select("event_id", "value", F.round("winsorized_value", 6).alias("winsorized_value"))
 
 
+def q_percentile_by_group(spark, sf):
+    ev = read_table(spark, sf, "events")
+    out = percentile_cont_by(ev, ["event_type"], "value", WINSOR_P, out_col="p99")
+    return out.select("event_type", F.round("p99", 6).alias("p99"))
+
+
+def q_winsorize_by_group(spark, sf):
+    ev = read_table(spark, sf, "events").select("event_id", "event_type", "value")
+    out = winsorize(ev, "value", WINSOR_P, out_col="winsorized_value", by=["event_type"])
+    return out.select("event_id", "event_type", "value", F.round("winsorized_value", 6).alias("winsorized_value"))
+
+
 # ── decoding and staging on the respondent frame ────────────────────────────
 def q_decode_label(spark, sf):
     raw = raw_frame(spark, sf)
@@ -355,6 +367,8 @@ QUERIES: dict[str, Query] = {
     "dense_row_id": q_dense_row_id,
     "percentile": q_percentile,
     "winsorize": q_winsorize,
+    "percentile_by_group": q_percentile_by_group,
+    "winsorize_by_group": q_winsorize_by_group,
     "decode_label": q_decode_label,
     "decode_default": q_decode_default,
     "decode_boolean": q_decode_boolean,
@@ -453,6 +467,12 @@ SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey) AS row_id
         "winsorize": f"""
 WITH q AS (SELECT quantile_cont(value, {WINSOR_P}) AS cap FROM events)
 SELECT event_id, value, round(least(value, cap), 6) AS winsorized_value FROM events, q""",
+        "percentile_by_group": f"""
+SELECT event_type, round(quantile_cont(value, {WINSOR_P}), 6) AS p99 FROM events GROUP BY event_type""",
+        "winsorize_by_group": f"""
+WITH q AS (SELECT event_type, quantile_cont(value, {WINSOR_P}) AS cap FROM events GROUP BY event_type)
+SELECT e.event_id, e.event_type, e.value, round(least(e.value, q.cap), 6) AS winsorized_value
+FROM events e LEFT JOIN q ON e.event_type = q.event_type""",
         "decode_label": with_survey("""
 SELECT respondent_id, bmi_category, physical_activity_index, age_group, race_ethnicity,
        race_ethnicity_collapsed, education_level, income_group, urban_rural

@@ -139,3 +139,22 @@ def test_broadcast_if_small_both_branches(spark):
     assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
     assert sorted(hinted.collect()) == sorted(plain.collect())
     assert lookup_join(big, small, "k", lookup_is_bounded=True).where(F.col("v").isNull()).count() == 45
+
+
+def test_grouped_percentile_matches_numpy_with_hot_group(spark):
+    from stratiform.operators.quantile import percentile_cont_by
+
+    rng = np.random.default_rng(11)
+    rows = [("hot", float(v)) for v in rng.integers(0, 100, 3000)]        # a group with most rows
+    rows += [("a", float(v)) for v in rng.integers(0, 10, 200)] + [("b", 5.0)] + [("a", None)] * 5
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.p for r in percentile_cont_by(df, ["g"], "v", 0.9, out_col="p", num_partitions=6).collect()}
+    for g in ("hot", "a", "b"):
+        vals = [v for k, v in rows if k == g and v is not None]
+        assert got[g] == pytest.approx(float(np.quantile(vals, 0.9)))
+
+
+def test_grouped_winsorize_caps_each_group(spark):
+    df = spark.createDataFrame([("x", 1.0), ("x", 2.0), ("x", 1000.0), ("y", 5.0), ("y", None)], "g string, w double")
+    out = sorted((r.g, r.c) for r in winsorize(df, "w", 0.99, out_col="c", by=["g"]).collect())
+    assert out == [("x", 1.0), ("x", 2.0), ("x", pytest.approx(980.04)), ("y", 5.0), ("y", 5.0)]
