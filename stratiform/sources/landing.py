@@ -2,7 +2,9 @@
 
 The manifest is a Spark job over the landing folder (``binaryFile``): every
 file is hashed by the task that reads it, and only the small manifest (one
-row per file) is returned.  Year selection is a relational step: years whose
+row per file) is returned.  ``binaryFile`` holds one file per row, so a
+single landed file must stay under 2 GB (yearly survey files are tens to
+hundreds of MB); listing-only uses (year selection) never read contents.  Year selection is a relational step: years whose
 raw partition already exists are skipped unless forced.
 """
 
