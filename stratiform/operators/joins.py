@@ -21,7 +21,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    if n <= max_rows:
+        return F.broadcast(df)  # small: keep the cached rows for the broadcast
+    df.unpersist()  # large: do not pin it in executor memory; the join recomputes it
+    return df
 
 
 def lookup_join(
