@@ -10,18 +10,32 @@ from pyspark.sql import functions as F
 # counted; otherwise the join stays a shuffle join (AQE may still convert it
 # at runtime from measured shuffle sizes).
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def _cached_bytes(df: DataFrame) -> int | None:
+    """Actual in-memory size of a materialised cached DataFrame, if known."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
+    except Exception:  # noqa: BLE001 - no JVM handle (Spark Connect)
+        return None
+
+
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES
+) -> DataFrame:
     """Broadcast hint only behind a measured size.
 
-    The side is persisted (memory and disk, recomputable on executor loss),
-    counted, and hinted only when ``count <= max_rows``.  Meant for derived
-    small sides (group totals): the count is one cheap job over an aggregate.
+    The side is persisted (memory and disk, recomputable on executor loss)
+    and counted; it is hinted only when ``count <= max_rows`` and its cached
+    size is at most ``max_bytes``.  Meant for derived small sides (group
+    totals): the count is one cheap job over an aggregate.
     """
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
-    if n <= max_rows:
+    size = _cached_bytes(df)
+    if n <= max_rows and (size is None or size <= max_bytes):
         return F.broadcast(df)  # small: keep the cached rows for the broadcast
     df.unpersist()  # large: do not pin it in executor memory; the join recomputes it
     return df

@@ -158,3 +158,13 @@ def test_grouped_winsorize_caps_each_group(spark):
     df = spark.createDataFrame([("x", 1.0), ("x", 2.0), ("x", 1000.0), ("y", 5.0), ("y", None)], "g string, w double")
     out = sorted((r.g, r.c) for r in winsorize(df, "w", 0.99, out_col="c", by=["g"]).collect())
     assert out == [("x", 1.0), ("x", 2.0), ("x", pytest.approx(980.04)), ("y", 5.0), ("y", 5.0)]
+
+
+def test_broadcast_if_small_respects_byte_limit(spark):
+    from stratiform.operators.joins import _cached_bytes, broadcast_if_small
+
+    side = spark.range(0, 1000).withColumnRenamed("id", "k")
+    kept = broadcast_if_small(side, max_rows=10_000, max_bytes=16)
+    assert _cached_bytes(side) is not None
+    plan = spark.range(0, 10).withColumnRenamed("id", "k").join(kept, "k")._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in plan.lower()
