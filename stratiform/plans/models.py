@@ -89,7 +89,8 @@ def staging(
     if not has_key and not key_order:
         raise ValueError("raw table has no key column; pass key_order (a unique total order)")
     carried = [key] if has_key else [c for c in key_order if c not in STAGED_COLUMNS]
-    kept = raw.where(F.col(WEIGHT) > F.lit(0.0))
+    # NaN > 0 is true in Spark: drop NaN weights too (ingest already maps NaN to NULL)
+    kept = raw.where((F.col(WEIGHT) > F.lit(0.0)) & ~F.isnan(F.col(WEIGHT)))
     decoded = kept.selectExpr(*carried, *decoded_columns())
     lookup = F.broadcast(states.select("fips_code", "state_abbr", "state_name"))
     joined = decoded.join(lookup, F.col("state_fips") == F.col("fips_code"), "left").drop("fips_code")

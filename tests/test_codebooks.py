@@ -102,7 +102,7 @@ def test_score_null_branch_when_all_inputs_missing(spark):
 
 
 def test_weight_filter_drops_zero_negative_null(spark):
-    rows = [{"llcpwt": 0.0}, {"llcpwt": -1.0}, {"llcpwt": None}, {"llcpwt": 5.0}]
+    rows = [{"llcpwt": 0.0}, {"llcpwt": -1.0}, {"llcpwt": None}, {"llcpwt": float("nan")}, {"llcpwt": 5.0}]
     assert enriched(spark, rows).count() == 1
 
 
