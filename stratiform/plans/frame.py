@@ -119,16 +119,23 @@ def _lookup_sql(h: str, b: Buckets) -> str:
     return f"element_at(array({vals}), CAST({h} + 1 AS INT))"
 
 
+def _racegr3_sql() -> str:
+    """racegr3 looked up by the race1 bucket (both are functions of it)."""
+    vals = []
+    for v in BUCKETS["race1"].table():
+        g = None if v is None else RACEGR3_OF_RACE1.get(int(v))
+        vals.append("CAST(NULL AS DOUBLE)" if g is None else f"{float(g)!r}D")
+    return f"element_at(array({', '.join(vals)}), CAST(h_race1 + 1 AS INT))"
+
+
 def raw_respondents(orders: DataFrame) -> DataFrame:
     """Raw-layer rows (plus a natural ``respondent_id`` key) from orders."""
     first = orders.selectExpr(*[f"{sql} AS {name}" for name, sql in FIRST.items()])
     cols = {"respondent_id": "CAST(o_orderkey + 1 AS BIGINT)"}
     cols.update({k: _lookup_sql(f"h_{k}", b) for k, b in BUCKETS.items()})
     cols.update(DERIVED)
-    race_map = "map(" + ", ".join(f"{float(k)!r}D, {float(v)!r}D" for k, v in RACEGR3_OF_RACE1.items()) + ")"
-    second = first.selectExpr(*[f"{sql} AS {k}" for k, sql in cols.items()])
-    return second.selectExpr(*[f"element_at({race_map}, race1) AS racegr3" if c == "racegr3" else c
-                               for c in OUTPUT])
+    cols["racegr3"] = _racegr3_sql()
+    return first.selectExpr(*[f"{cols[c]} AS {c}" for c in OUTPUT])
 
 
 def _case_sql(h: str, b: Buckets) -> str:
