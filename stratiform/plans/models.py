@@ -180,8 +180,10 @@ def prevalence(
     Suppression masks the three prevalence columns where ``unweighted_n <
     min_cell``; counts and weighted totals stay, and no row is dropped.
     """
-    base = enriched.where("age_group IS NOT NULL AND race_ethnicity_collapsed IS NOT NULL")
-    base = base.drop("race_ethnicity").withColumnRenamed("race_ethnicity_collapsed", "race_ethnicity")
+    needed = [
+        "race_ethnicity_collapsed AS race_ethnicity" if c == "race_ethnicity" else c for c in strata
+    ] + [WEIGHT, "is_diagnosed_diabetic", "is_prediabetic", "is_insulin_dependent"]
+    base = enriched.where("age_group IS NOT NULL AND race_ethnicity_collapsed IS NOT NULL").selectExpr(*needed)
     diagnosed = "is_diagnosed_diabetic = true"
     agg = base.groupBy(*strata).agg(
         E.weighted_proportion(diagnosed).alias("weighted_diabetes_prevalence"),
