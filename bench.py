@@ -111,7 +111,12 @@ def main() -> None:
                 print(name, i, round(dt, 3), file=sys.stderr, flush=True)
         timings[name] = round(statistics.median(samples), 3)
     sf = Path(sf_dir).name.removeprefix("sf")
-    end_to_end = bench_end_to_end(spark, sf_dir, scratch) if os.environ.get("BENCH_END_TO_END", "1") == "1" else None
+    end_to_end = None
+    if os.environ.get("BENCH_END_TO_END", "1") == "1":
+        try:  # optional extra: never lose the query timings over it
+            end_to_end = bench_end_to_end(spark, sf_dir, scratch)
+        except Exception as exc:  # noqa: BLE001
+            end_to_end = {"error": f"{type(exc).__name__}: {str(exc)[:200]}"}
     print(
         json.dumps(
             {
