@@ -87,7 +87,8 @@ def land(spark: SparkSession, cfg: PipelineConfig) -> list[int]:
                      with_record_no=True, with_source_file=True)
     year = F.regexp_extract(F.col("source_file"), landing.YEAR_FILE_PATTERN, 1).cast("int")
     projected, _missing = ingest.project_allowlist(frame.withColumn(YEAR, year))
-    ingest.write_raw(projected.withColumn(LOADED_AT, F.lit(ingest.load_stamp())), raw_path)
+    stamped = projected.withColumn(LOADED_AT, F.lit(ingest.load_stamp()))
+    ingest.write_raw(ingest.describe(stamped), raw_path)  # column comments travel in the Parquet schema
     return todo
 
 

@@ -57,6 +57,7 @@ def test_end_to_end(spark, landed, scratch_dir):
     assert dict(summary.rows_per_year) == counts
     raw = spark.read.parquet(cfg.path("raw"))
     assert raw.where((F.col("survey_year") == 2022) & F.col("prediab2").isNotNull()).count() == 0
+    assert raw.schema["llcpwt"].metadata.get("comment") == "Final combined survey weight"  # source declaration
     prev = spark.read.parquet(cfg.path("marts", "fct_diabetes_prevalence"))
     assert prev.where(F.col("unweighted_n") < 5).where(F.col("weighted_diabetes_prevalence").isNotNull()).count() == 0
     for mart in ["dim_respondent_demographics", "fct_diabetes_risk_factors", "fct_survey_weighted_estimates",
