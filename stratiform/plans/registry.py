@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from stratiform.functions import codebooks as D
 from stratiform.functions import estimators as E
-from stratiform.operators.checks import Check, run_data_tests, run_expectations
+from stratiform.operators.checks import run_data_tests, run_expectations
 from stratiform.operators.keys import dense_row_id
 from stratiform.operators.quantile import percentile_cont_by, percentiles_cont, winsorize
 from stratiform.operators.weights import survey_weights

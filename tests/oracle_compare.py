@@ -38,10 +38,6 @@ def _norm(v):
     return v
 
 
-def _key(row):
-    return tuple((x is None, str(type(x).__name__) if x is not None else "", x if x is not None else 0) for x in row)
-
-
 def compare_rows(a: list[tuple], b: list[tuple], rel: float = 0.0) -> str | None:
     if len(a) != len(b):
         return f"row count {len(a)} vs {len(b)}"
