@@ -10,6 +10,9 @@ customer, price and date, spread so that every codebook value, the
 with some 0, negative and NULL weights, so weighted sums are exact in any
 summation order.
 
+No row is filtered, sampled or capped: the modulo arithmetic below only
+assigns answer codes, and every order becomes exactly one respondent row.
+
 Two narrow projections, no shuffle: the first computes each hash bucket
 once (integer arithmetic on four pruned order columns), the second maps
 buckets to codes with a lookup in a literal array.  Both the Spark plan and
