@@ -75,3 +75,12 @@ def test_shared_pass_for_several_models(spark):
     out = run_data_tests(df, {"a": [Check("u", "unique", column="id")], "b": [Check("u", "unique", column="id")]})
     assert sorted((r.model, r.n_failures) for r in out.collect()) == [("a", 1), ("b", 1)]
     assert ERROR == "error"
+
+
+def test_global_suite_and_unique_only_tests(spark, df):
+    out = run_expectations(df, [Check("rows", "row_count_between", min_value=1, max_value=10),
+                                Check("w", "not_null", column="llcpwt", mostly=0.5)])
+    rows = {r.check_name: r for r in out.collect()}
+    assert rows["rows"].observed == 4.0 and rows["rows"].passed and rows["w"].passed
+    only_unique = run_data_tests(df, [Check("u", "unique", column="survey_year")], "m").collect()
+    assert only_unique[0].n_failures == 1 and not only_unique[0].passed
