@@ -74,7 +74,7 @@ def land(spark: SparkSession, cfg: PipelineConfig) -> list[int]:
     name) and written by one dynamic-partition-overwrite job.
     """
     raw_path = cfg.path("raw")
-    files = landing.manifest(spark, cfg.landing_dir, min_bytes=cfg.min_file_bytes)
+    files = landing.listing(spark, cfg.landing_dir, min_bytes=cfg.min_file_bytes)  # names only
     loaded = ingest.read_raw(spark, raw_path) if _exists(spark, raw_path) else None
     todo = landing.years_to_load(spark, files, cfg.years, loaded, cfg.force)
     if not todo:
@@ -82,7 +82,9 @@ def land(spark: SparkSession, cfg: PipelineConfig) -> list[int]:
     paths = [landing.file_path(y, cfg.landing_dir) for y in todo]
     if cfg.hash_files:  # provenance: size and SHA-256 of the files being loaded
         names = [p.rsplit("/", 1)[-1] for p in paths]
-        files.where(F.col("file_name").isin(names)).write.mode("append").parquet(cfg.path("checks", "landing_manifest"))
+        hashed = landing.manifest(spark, cfg.landing_dir, min_bytes=cfg.min_file_bytes)
+        hashed.where(F.col("file_name").isin(names)).write.mode("append").parquet(
+            cfg.path("checks", "landing_manifest"))
     frame = read_xpt(spark, paths, columns=SOURCE_VARIABLES,
                      with_record_no=True, with_source_file=True)
     year = F.regexp_extract(F.col("source_file"), landing.YEAR_FILE_PATTERN, 1).cast("int")

@@ -2,9 +2,10 @@
 
 The manifest is a Spark job over the landing folder (``binaryFile``): every
 file is hashed by the task that reads it, and only the small manifest (one
-row per file) is returned.  ``binaryFile`` holds one file per row, so a
-single landed file must stay under 2 GB (yearly survey files are tens to
-hundreds of MB); listing-only uses (year selection) never read contents.  Year selection is a relational step: years whose
+row per file) is returned.  ``binaryFile`` holds a file's content in one
+row (at most 2 GB), so files at or above ``max_inline_bytes`` are hashed by
+a streaming SHA-256 in their task instead (read in chunks, never whole).
+Listing-only uses (year selection) never read contents.  Year selection is a relational step: years whose
 raw partition already exists are skipped unless forced.
 """
 
@@ -16,39 +17,88 @@ from pyspark.sql import functions as F
 # Minimum plausible size of a yearly file and its name pattern.
 MIN_FILE_BYTES = 10_000_000
 YEAR_FILE_PATTERN = r"(?i)llcp(\d{4})\.xpt$"
+MAX_INLINE_BYTES = 1 << 30  # hash larger files by streaming, not as one binary value
+_CHUNK = 8 << 20
+
+
+def _stream_sha256(batches):
+    """mapInPandas: (path, length) -> (path, length, sha256) reading 8 MB chunks."""
+    import hashlib
+
+    import pandas as pd
+
+    from stratiform.sources.xpt import _resolve
+
+    for pdf in batches:
+        digests = []
+        for path in pdf["path"]:
+            fs, p = _resolve(path)
+            h = hashlib.sha256()
+            with fs.open_input_stream(p) as fh:
+                while chunk := fh.read(_CHUNK):
+                    h.update(chunk)
+            digests.append(h.hexdigest())
+        yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "sha256": digests})
 
 
 def file_path(year: int, landing_dir: str) -> str:
     return f"{landing_dir.rstrip('/')}/LLCP{year}.XPT"
 
 
-def manifest(
-    spark: SparkSession,
-    landing_dir: str,
-    glob: str = "*",
-    min_bytes: int = MIN_FILE_BYTES,
-    name_pattern: str = YEAR_FILE_PATTERN,
-) -> DataFrame:
-    """``path, file_name, year, length, sha256, large_enough, is_year_file``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(landing_dir)
+def _describe_files(df: DataFrame, min_bytes: int, name_pattern: str, with_hash: bool) -> DataFrame:
     name = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
-    return files.select(
+    extra = [F.col("sha256")] if with_hash else []
+    return df.select(
         "path",
         name.alias("file_name"),
         F.regexp_extract(name, name_pattern, 1).alias("_y"),
         F.col("length"),
-        F.sha2(F.col("content"), 256).alias("sha256"),
+        *extra,
     ).select(
         "path",
         "file_name",
         F.when(F.col("_y") != "", F.col("_y").cast("int")).alias("year"),
         "length",
-        "sha256",
+        *(["sha256"] if with_hash else []),
         (F.col("length") >= F.lit(min_bytes)).alias("large_enough"),
         F.col("file_name").rlike(r"(?i)\.xpt$").alias("is_year_file"),
     )
 
 
+def listing(
+    spark: SparkSession,
+    landing_dir: str,
+    glob: str = "*",
+    min_bytes: int = MIN_FILE_BYTES,
+    name_pattern: str = YEAR_FILE_PATTERN,
+) -> DataFrame:
+    """The manifest without hashes: file contents are never read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(landing_dir)
+    return _describe_files(files.select("path", "length"), min_bytes, name_pattern, with_hash=False)
+
+
+def manifest(
+    spark: SparkSession,
+    landing_dir: str,
+    glob: str = "*",
+    min_bytes: int = MIN_FILE_BYTES,
+    name_pattern: str = YEAR_FILE_PATTERN,
+    max_inline_bytes: int = MAX_INLINE_BYTES,
+) -> DataFrame:
+    """``path, file_name, year, length, sha256, large_enough, is_year_file``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(landing_dir)
+    inline = files.where(F.col("length") < max_inline_bytes).select(
+        "path", "length", F.sha2(F.col("content"), 256).alias("sha256")
+    )
+    streamed = (
+        files.where(F.col("length") >= max_inline_bytes)
+        .select("path", "length")
+        .mapInPandas(_stream_sha256, "path string, length bigint, sha256 string")
+    )
+    hashed = inline.unionByName(streamed)
+    return _describe_files(hashed, min_bytes, name_pattern, with_hash=True)
+
+
 def years_to_load(
     spark: SparkSession,
     landing: DataFrame,

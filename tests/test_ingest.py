@@ -98,3 +98,15 @@ def test_landing_manifest_and_year_selection(spark, scratch_dir):
         landing.years_to_load(spark, m, [2023], loaded)
     assert landing.file_path(2022, "/data/raw") == "/data/raw/LLCP2022.XPT"
     assert F is not None
+
+
+def test_manifest_streaming_hash_matches_inline(spark, scratch_dir):
+    for y, size in [(2021, 3000), (2022, 70000)]:
+        with open(landing.file_path(y, scratch_dir), "wb") as fh:
+            fh.write(bytes(range(256)) * (size // 256))
+    inline = {r.file_name: r.sha256 for r in landing.manifest(spark, scratch_dir, min_bytes=1).collect()}
+    streamed = {r.file_name: r.sha256 for r in
+                landing.manifest(spark, scratch_dir, min_bytes=1, max_inline_bytes=1).collect()}
+    assert inline == streamed and len(inline) == 2
+    with open(landing.file_path(2022, scratch_dir), "rb") as fh:
+        assert streamed["LLCP2022.XPT"] == hashlib.sha256(fh.read()).hexdigest()
