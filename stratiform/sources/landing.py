@@ -87,15 +87,20 @@ def manifest(
 ) -> DataFrame:
     """``path, file_name, year, length, sha256, large_enough, is_year_file``."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(landing_dir)
-    inline = files.where(F.col("length") < max_inline_bytes).select(
+    hashed = files.where(F.col("length") < max_inline_bytes).select(
         "path", "length", F.sha2(F.col("content"), 256).alias("sha256")
     )
-    streamed = (
-        files.where(F.col("length") >= max_inline_bytes)
-        .select("path", "length")
-        .mapInPandas(_stream_sha256, "path string, length bigint, sha256 string")
-    )
-    hashed = inline.unionByName(streamed)
+    # One small aggregate over the listing (no contents read) decides whether
+    # any file needs the streaming hash; usually none does and the plan
+    # stays JVM-only.
+    largest = files.agg(F.max("length").alias("m")).collect()[0]["m"]
+    if largest is not None and largest >= max_inline_bytes:
+        streamed = (
+            files.where(F.col("length") >= max_inline_bytes)
+            .select("path", "length")
+            .mapInPandas(_stream_sha256, "path string, length bigint, sha256 string")
+        )
+        hashed = hashed.unionByName(streamed)
     return _describe_files(hashed, min_bytes, name_pattern, with_hash=True)
 
 
