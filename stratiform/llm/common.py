@@ -146,3 +146,27 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
             break
         state = seen
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    return _LOWER[data]
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every run of non-blank bytes; none crosses rows."""
+    solid = ~_BLANK[data]
+    first, last = solid.copy(), solid.copy()
+    first[1:] &= ~solid[:-1]
+    last[:-1] &= ~solid[1:]
+    inner = offsets[1:-1]
+    inner = inner[(inner > 0) & (inner < len(data))]
+    first[inner] = solid[inner]
+    last[inner - 1] = solid[inner - 1]
+    starts = np.flatnonzero(first)
+    return starts, np.flatnonzero(last) + 1, np.searchsorted(offsets, starts, side="right") - 1

@@ -162,7 +162,7 @@ def pack(pieces: DataFrame, capacity: int, n_groups: int, seed: int = 17) -> Dat
     group = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32", "place"), F.lit(n_groups)).cast("long")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
 
-    def run(key, rows: pa.Table) -> pa.Table:
+    def run(key, rows):
         length = rows["length"].to_numpy()
         keys = [rows[c].to_numpy() for c in ("place", "ids_crc32", "start")]
         order = np.lexsort([*keys, rows["doc_id"].fill_null(-(1 << 63)).to_numpy(), -length])
