@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratiform.llm import bpe_codec, hilbert, packing, resampling, token_counts
+from stratiform.llm import bpe_codec, hilbert, packing, resampling, secrets, token_counts
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -28,6 +28,7 @@ def on_workers(query: Query) -> Query:
 
 
 _QUERIES: dict[str, Query] = {
+    "op1_secret_scan": secrets.op1_secret_scan,
     "op2_packing": packing.op2_packing,
     "op3_hilbert_shards": hilbert.op3_hilbert_shards,
     "op5_token_counts": token_counts.op5_token_counts,
