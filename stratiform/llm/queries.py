@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratiform.llm import bpe_codec, hilbert, packing, resampling, secrets, token_counts
+from stratiform.llm import bpe_codec, divergence, hilbert, packing, resampling, secrets, token_counts
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -32,6 +32,7 @@ _QUERIES: dict[str, Query] = {
     "op2_packing": packing.op2_packing,
     "op3_hilbert_shards": hilbert.op3_hilbert_shards,
     "op5_token_counts": token_counts.op5_token_counts,
+    "op6_divergence": divergence.op6_divergence,
     "op9_bpe_codec": bpe_codec.op9_bpe_codec,
     "op10_importance_resampling": resampling.op10_importance_resampling,
 }
