@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,18 +108,28 @@ class RangeHash:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Numpy columns as one compressed Arrow IPC value."""
-    batch = pa.record_batch([pa.array(a) for a in arrays], names=[str(i) for i in range(len(arrays))])
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-        writer.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+    """Non-negative integer columns as one compressed value: each in the
+    narrowest type that holds it, byte planes apart."""
+    head, body = [len(arrays)], []
+    for a in arrays:
+        a = np.asarray(a)
+        a = a.astype(np.min_scalar_type(int(a.max())) if len(a) else np.uint8)
+        head += [len(a), a.itemsize]
+        body.append(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes())
+    return np.array(head, "<i8").tobytes() + zstandard.ZstdCompressor(level=1).compress(b"".join(body))
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:
-    with pa.ipc.open_stream(pa.py_buffer(blob)) as reader:
-        got = reader.read_all().combine_chunks()
-    return [c.to_numpy() for c in got.columns]
+    """Columns of ``pack`` as unsigned 64-bit numbers."""
+    n = int(np.frombuffer(blob, "<i8", 1)[0])
+    head = np.frombuffer(blob, "<i8", 2 * n, 8).tolist()
+    body = zstandard.ZstdDecompressor().decompress(blob[8 + 16 * n :], max_output_size=max(1, sum(a * b for a, b in zip(head[::2], head[1::2]))))
+    out, at = [], 0
+    for size, width in zip(head[::2], head[1::2]):
+        planes = np.frombuffer(body, np.uint8, size * width, at).reshape(width, size)
+        out.append(np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.uint64))
+        at += size * width
+    return out
 
 
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:

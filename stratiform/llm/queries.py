@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratiform.llm import bpe_codec, divergence, hilbert, metric_join, packing, resampling, secrets, token_counts
+from stratiform.llm import bpe_codec, divergence, hilbert, jaccard, metric_join, packing, resampling, secrets, token_counts
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -31,6 +31,7 @@ _QUERIES: dict[str, Query] = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_packing": packing.op2_packing,
     "op3_hilbert_shards": hilbert.op3_hilbert_shards,
+    "op4_jaccard_join": jaccard.op4_jaccard_join,
     "op5_token_counts": token_counts.op5_token_counts,
     "op6_divergence": divergence.op6_divergence,
     "op7_metric_join": metric_join.op7_metric_join,
