@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratiform.llm import bpe_codec, divergence, hilbert, jaccard, metric_join, packing, resampling, secrets, token_counts
+from stratiform.llm import bpe_codec, divergence, hilbert, jaccard, metric_join, packing, resampling, secrets, suffix_dedup, token_counts
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -35,6 +35,7 @@ _QUERIES: dict[str, Query] = {
     "op5_token_counts": token_counts.op5_token_counts,
     "op6_divergence": divergence.op6_divergence,
     "op7_metric_join": metric_join.op7_metric_join,
+    "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_bpe_codec": bpe_codec.op9_bpe_codec,
     "op10_importance_resampling": resampling.op10_importance_resampling,
 }
