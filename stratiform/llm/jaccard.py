@@ -301,26 +301,49 @@ def linked_components(sets: DataFrame) -> DataFrame | None:
         step *= 2
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row."""
+def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Every row's facts, and the component of each distinct set that may link."""
     rows = id_text(docs, id_col, text_col)
     n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_parts = max(32, n_bytes // PART_BYTES)
     found = fresh(_candidates(_shared(_entries(rows, n_parts), n_parts)))
     may = found.where("tokens IS NOT NULL")
-    groups = may.groupBy("n", "d1", "d2").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least"))
-    groups = fresh(groups)
+    groups = fresh(may.groupBy("n", "d1", "d2").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least")))
     sets = fresh(may.join(groups, [may["row"] == groups["rep"]]).select("rep", may["n"], "tokens", "head"))
     labels = linked_components(sets)
     if labels is None:
-        named = groups.withColumn("component", F.col("rep"))
-    else:
-        named = groups.join(labels, groups["rep"] == labels["node"], "left").withColumn("component", F.coalesce("component", "rep"))
+        return found, groups.withColumn("component", F.col("rep"))
+    return found, groups.join(labels, groups["rep"] == labels["node"], "left").withColumn("component", F.coalesce("component", "rep"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row."""
+    found, named = _classes(docs, id_col, text_col)
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(least, "component").select("n", "d1", "d2", "component_id")
     out = found.join(named, ["n", "d1", "d2"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("tokens").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def surplus_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row): all but one row of each component, the one of least id (null
+    last) and place; ``row`` is ``monotonically_increasing_id`` over ``docs``,
+    which must be a stable scan."""
+    found, named = _classes(docs, id_col, text_col)
+    may = found.where("tokens IS NOT NULL").join(named.select("n", "d1", "d2", "component"), ["n", "d1", "d2"])
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    best = may.groupBy("component").agg(F.min(rank).alias("best"))
+    return may.join(best, "component").where(F.col("row") != F.col("best.row")).select("row")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-duplicate component."""
+    name = "__row"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    surplus = surplus_rows(docs, id_col, text_col).toDF(name)
+    return docs.select("*", F.monotonically_increasing_id().alias(name)).join(surplus, name, "left_anti").select(*docs.columns)
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -186,6 +186,16 @@ def resample(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_lab
     return Resampling(model, kth_largest(scored, "sample_key", k) if k else float("inf"), k, scored)
 
 
+def sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that importance resampling takes, all their columns."""
+    made = resample(docs, labels)
+    name = "__weight"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    weighted = with_weight(docs, made.model, name)
+    return weighted.where(made.key(F.col("doc_id"), F.col(name)) >= F.lit(made.least_key)).select(*docs.columns)
+
+
 def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, log weight, perturbed key, and whether it was sampled."""
     made = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -368,7 +368,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with texts cut; a character cut in two is dropped whole."""
     joined, _ = with_spans(docs, id_col, text_col)
-    at, n = docs.columns.index(text_col), len(docs.columns)
+    names = docs.columns
+    at, n = names.index(text_col), len(names)
 
     def run(batches):
         for batch in batches:
@@ -377,7 +378,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 rows = zip(*(part.column(i).to_pylist() for i in (at, n, n + 1)))
                 new = [t if not a else _cut(t.encode(), a, b).decode("utf-8", "ignore") for t, a, b in rows]
                 columns = [pa.array(new, pa.string()) if i == at else part.column(i) for i in range(n)]
-                yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return joined.mapInArrow(run, docs.schema)
 
