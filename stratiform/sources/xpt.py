@@ -35,7 +35,8 @@ RECORD = 80
 NAMESTR_TAG = b"HEADER RECORD*******NAMESTR HEADER RECORD!!!!!!!"
 OBS_TAG = b"HEADER RECORD*******OBS     HEADER RECORD!!!!!!!"
 MEMBER_TAG = b"HEADER RECORD*******MEMBER  HEADER RECORD!!!!!!!"
-HEADER_SCAN_BYTES = 1 << 22
+HEADER_BYTES = 8 * RECORD + 8 * 140  # first read; the rest follows from the variable count
+BATCH_BYTES = 4 << 20  # source bytes decoded into one Arrow batch
 # First bytes that mark a missing numeric ('.', '_', 'A'-'Z').
 MISSING_FIRST_BYTES = bytes([0x2E, 0x5F, *range(0x41, 0x5B)])
 RECORD_NO = "record_no"
@@ -95,34 +96,43 @@ def _parse_namestr(raw: bytes, namestr_len: int) -> Variable:
     return Variable(name=name, numeric=ntype == 1, length=length, position=position)
 
 
-def read_layout(path: str) -> Layout:
-    """Parse the header of the first member of an XPORT file (driver side)."""
-    size = _size(path)
-    head = _read_range(path, 0, min(size, HEADER_SCAN_BYTES))
+def _header(path: str, size: int) -> tuple[bytes, int, int, int]:
+    """Header bytes up to the first observation, the variable count, the place
+    of the first variable record and the length of each."""
+    head = _read_range(path, 0, min(size, HEADER_BYTES))
     if not head.startswith(b"HEADER RECORD*******LIBRARY HEADER RECORD"):
         raise ValueError(f"{path}: not a SAS transport (XPORT v5) file")
-    m = head.find(MEMBER_TAG)
-    namestr_len = int(head[m + 74 : m + 78]) if m >= 0 else 140
-    n = head.find(NAMESTR_TAG)
-    o = head.find(OBS_TAG)
-    if n < 0 or o < 0:
-        raise ValueError(f"{path}: header records not found in the first {HEADER_SCAN_BYTES} bytes")
-    nvars = int(head[n + 54 : n + 58])
-    start = n + RECORD
-    variables = tuple(
-        _parse_namestr(head[start + i * namestr_len : start + (i + 1) * namestr_len], namestr_len)
-        for i in range(nvars)
-    )
+    m, n = head.find(MEMBER_TAG), head.find(NAMESTR_TAG)
+    if n < 0 or len(head) < n + RECORD:
+        raise ValueError(f"{path}: no variable header in the first {HEADER_BYTES} bytes")
+    each = int(head[m + 74 : m + 78]) if m >= 0 else 140
+    count = int(head[n + 54 : n + 58])
+    end = n + RECORD + -(-count * each // RECORD) * RECORD + RECORD  # padded to whole records, then the OBS header
+    if end > len(head):
+        head += _read_range(path, len(head), min(end, size) - len(head))
+    if head[end - RECORD : end - RECORD + len(OBS_TAG)] != OBS_TAG:
+        raise ValueError(f"{path}: no observation header after {count} variables")
+    return head[:end], count, n + RECORD, each
+
+
+def read_layout(path: str) -> Layout:
+    """Parse the header of an XPORT file with one member (driver side).
+
+    Only the header itself is read: its size follows from the variable count.
+    """
+    size = _size(path)
+    head, count, start, each = _header(path, size)
+    variables = tuple(_parse_namestr(head[start + i * each : start + (i + 1) * each], each) for i in range(count))
     record_length = max(v.position + v.length for v in variables) if variables else 0
-    data_offset = o + RECORD
+    data_offset = len(head)
     n_records = (size - data_offset) // record_length if record_length else 0
-    # The file is padded with blanks to a multiple of 80 bytes; with short
-    # records whole padding "records" may appear at the end: drop them.
-    if n_records:
-        tail_records = min(n_records, RECORD // record_length + 1)
-        tail = _read_range(path, data_offset + (n_records - tail_records) * record_length,
-                           tail_records * record_length)
-        for i in range(tail_records - 1, -1, -1):
+    # Blanks fill the file up to a multiple of 80 bytes.  At most 79 of them,
+    # so only that many bytes can be whole padding records; a blank record
+    # before those is data.
+    padding = min(n_records, (RECORD - 1) // record_length) if record_length else 0
+    if padding:
+        tail = _read_range(path, data_offset + (n_records - padding) * record_length, padding * record_length)
+        for i in range(padding - 1, -1, -1):
             if tail[i * record_length : (i + 1) * record_length].strip(b" "):
                 break
             n_records -= 1
@@ -205,17 +215,26 @@ class XptReader(DataSourceReader):
         return parts
 
     def read(self, partition: XptPartition):
+        """Bounded batches of a split."""
         layout = partition.layout
-        n = partition.last - partition.first
-        buf = _read_range(layout.path, layout.data_offset + partition.first * layout.record_length,
-                          n * layout.record_length)
-        rows = np.frombuffer(buf, dtype=np.uint8).reshape(n, layout.record_length)
+        per = max(1, BATCH_BYTES // layout.record_length)
+        for first in range(partition.first, partition.last, per):
+            yield self._batch(layout, first, min(first + per, partition.last))
+
+    def _batch(self, layout: Layout, first: int, last: int) -> pa.RecordBatch:
+        n = last - first
+        size = n * layout.record_length
+        # A few bytes more, so that a header across two batches is seen.
+        data = _read_range(layout.path, layout.data_offset + first * layout.record_length, size + len(MEMBER_TAG) - 1)
+        if MEMBER_TAG in data:
+            raise ValueError(f"{layout.path}: a second member begins after record {first}; one member a file is read")
+        rows = np.frombuffer(data, dtype=np.uint8, count=size).reshape(n, layout.record_length)
         by_name = {v.name.lower(): v for v in layout.variables}
         arrays, names = [], []
         for field in self.schema.fields:
             key = field.name.lower()
             if key == RECORD_NO:
-                arrays.append(pa.array(np.arange(partition.first, partition.last, dtype=np.int64)))
+                arrays.append(pa.array(np.arange(first, last, dtype=np.int64)))
             elif key == SOURCE_FILE:
                 arrays.append(pa.array([layout.path] * n, type=pa.string()))
             elif key not in by_name:
@@ -231,7 +250,7 @@ class XptReader(DataSourceReader):
                     text = np.char.rstrip(np.char.decode(fixed, "latin-1"), " \x00")
                     arrays.append(pa.array(text, mask=text == "", type=pa.string()))
             names.append(field.name)
-        yield pa.RecordBatch.from_arrays(arrays, names=names)
+        return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
 class XptDataSource(DataSource):

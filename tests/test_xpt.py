@@ -82,3 +82,46 @@ def test_vectorised_writer_matches_scalar(spark, scratch_dir):
     rows = sorted(read_xpt(spark, p, with_record_no=True).collect(), key=lambda r: r.record_no)
     assert [r.B for r in rows] == list(range(len(vals)))
     assert rows[5].A is None and rows[2].A == -2.5
+
+
+def test_a_last_record_of_blanks_is_data(spark, scratch_dir):
+    p = os.path.join(scratch_dir, "blank.xpt")
+    write_xpt(p, {"NOTE": ["a" * 100, "b", ""]}, char_lengths={"NOTE": 100})
+    assert read_layout(p).n_records == 3 and read_xpt(spark, p).count() == 3
+    write_xpt(p, {"NOTE": ["a", "b", "c"]}, char_lengths={"NOTE": 30})
+    assert read_layout(p).n_records == 3
+
+
+def test_only_the_header_is_read_for_the_layout(scratch_dir, monkeypatch):
+    from stratiform.sources import xpt
+
+    p = os.path.join(scratch_dir, "wide.xpt")
+    write_xpt(p, {f"V{i}": [float(i)] for i in range(300)})
+    read, plain = [], xpt._read_range
+    monkeypatch.setattr(xpt, "_read_range", lambda path, at, n: read.append(n) or plain(path, at, n))
+    layout = read_layout(p)
+    assert len(layout.variables) == 300 and layout.n_records == 1
+    assert sum(read) == layout.data_offset  # no padding can be a whole record here
+
+
+def test_a_second_member_is_an_error(spark, scratch_dir):
+    p, q = os.path.join(scratch_dir, "one.xpt"), os.path.join(scratch_dir, "two.xpt")
+    make_file(p, 400)
+    make_file(q, 50)
+    with open(p, "ab") as out, open(q, "rb") as more:
+        out.write(more.read()[3 * 80 :])
+    for size in (1 << 20, 3000):
+        with pytest.raises(Exception, match="second member"):
+            read_xpt(spark, p, partition_bytes=size).collect()
+
+
+def test_batches_of_a_split_are_bounded(spark, scratch_dir, monkeypatch):
+    from stratiform.sources import xpt
+
+    p = os.path.join(scratch_dir, "LLCP2022.XPT")
+    make_file(p, 500)
+    monkeypatch.setattr(xpt, "BATCH_BYTES", 3000)
+    layout = read_layout(p)
+    reader = xpt.XptReader(xpt._schema_for(layout), {"path": p})
+    batches = [b for part in reader.partitions() for b in reader.read(part)]
+    assert len(batches) == 5 and sum(b.num_rows for b in batches) == 500
