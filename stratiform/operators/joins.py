@@ -1,58 +1,26 @@
-"""Join helpers with an explicit, checked broadcast decision."""
+"""Join helpers.  Whether a side is broadcast is left to Spark's statistics."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-# A side is broadcast only when it has at most this many rows *and* it was
-# counted; otherwise the join stays a shuffle join (AQE may still convert it
-# at runtime from measured shuffle sizes).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-DEFAULT_BROADCAST_BYTES = 64 << 20
 
-
-def _cached_bytes(df: DataFrame) -> int | None:
-    """Actual in-memory size of a materialised cached DataFrame, if known."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size if isinstance(size, int) else size.toString())
-    except Exception:  # noqa: BLE001 - no JVM handle (Spark Connect)
-        return None
-
-
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES
-) -> DataFrame:
-    """Broadcast hint only behind a measured size.
-
-    The side is persisted (memory and disk, recomputable on executor loss)
-    and counted; it is hinted only when ``count <= max_rows`` and its cached
-    size is at most ``max_bytes``.  Meant for derived small sides (group
-    totals): the count is one cheap job over an aggregate.
-    """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.count()
-    size = _cached_bytes(df)
-    if n <= max_rows and (size is None or size <= max_bytes):
-        return F.broadcast(df)  # small: keep the cached rows for the broadcast
-    df.unpersist()  # large: do not pin it in executor memory; the join recomputes it
-    return df
-
-
-def lookup_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    on: Column | str | list[str],
-    how: str = "left",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-    lookup_is_bounded: bool = False,
-) -> DataFrame:
+def lookup_join(df: DataFrame, lookup: DataFrame, on: Column | str | list[str], how: str = "left") -> DataFrame:
     """Left equi-join to a dimension; unmatched rows keep NULL attributes.
 
-    ``lookup_is_bounded`` marks a lookup of fixed, known size (a seed list);
-    anything else goes through ``broadcast_if_small``.
+    No hint: a small file or local table is broadcast by its known size, an
+    aggregate by the size that adaptive execution measures, and anything
+    larger is shuffled, with skewed partitions split.
     """
-    side = F.broadcast(lookup) if lookup_is_bounded else broadcast_if_small(lookup, max_rows)
-    return df.join(side, on=on, how=how)
+    return df.join(lookup, on=on, how=how)
+
+
+def null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match, as in grouping; ``right`` gives its
+    other columns only."""
+    renamed = right.withColumnsRenamed({c: f"__right_{c}" for c in on})
+    condition = None
+    for c in on:
+        same = left[c].eqNullSafe(renamed[f"__right_{c}"])
+        condition = same if condition is None else condition & same
+    return left.join(renamed, condition, how).drop(*[f"__right_{c}" for c in on])

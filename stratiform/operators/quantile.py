@@ -1,114 +1,70 @@
-"""Exact continuous percentile and weight winsorizing, without one giant group.
-
-Spark's exact ``percentile`` aggregate buffers every value of a group in one
-task; over a whole table that is the whole column in one task.  Here the
-column is range-partitioned and sorted across all executors (ties broken by a
-row tag so a value held by a third of the rows still spreads over many
-partitions), the global positions come from per-partition counts, and only
-the two rows around ``p * (n - 1)`` reach the driver.
+"""Exact continuous percentile and weight winsorizing by bracketing.
+
+Spark's exact ``percentile`` buffers every value of a group in one task, and a
+full sort moves the whole column to find two values.  Here a percentile sketch
+(a partial aggregate of bounded size) brackets the position first; a second
+scan counts the rows below the bracket and groups the few distinct values
+inside it, and the positions are read off their running counts.  Both shuffles
+carry sketches and counts, a tie of a third of the rows is one of them, and
+nothing is checkpointed.  NULL is a group like any other.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from stratiform.operators.joins import broadcast_if_small
-from stratiform.operators.keys import ranged_with_ordinals, with_global_ordinal
+from stratiform.operators.joins import null_safe
 from stratiform.schema import WEIGHT
 
+ACCURACY = 100_000  # sketch size; the bracket spans six of its rank errors
 
-def percentile_cont(df: DataFrame, column: str, p: float, num_partitions: int | None = None) -> float | None:
+
+def percentile_cont(df: DataFrame, column: str, p: float) -> float | None:
     """``percentile_cont(p) within group (order by column)`` over all non-NULL rows.
 
     Linear interpolation between the values at positions floor/ceil of
     ``p * (n - 1)``; NULL (None) for an empty input.
     """
-    return percentiles_cont(df, column, [p], num_partitions)[0]
-
-
-def percentiles_cont(
-    df: DataFrame, column: str, ps: list[float], num_partitions: int | None = None
-) -> list[float | None]:
-    """Several exact percentiles from one distributed sort."""
-    for p in ps:
-        if not 0.0 <= p <= 1.0:
-            raise ValueError(f"percentile must be in [0, 1], got {p}")
-    values = (
-        df.select(F.col(column).cast("double").alias("v"))
-        .where(F.col("v").isNotNull() & ~F.isnan(F.col("v")))
-        .withColumn("tie", F.monotonically_increasing_id())
-    )
-    ranged, offsets = ranged_with_ordinals(values, ["v", "tie"], num_partitions)
-    n = offsets[-1]
-    if n == 0:
-        return [None for _ in ps]
-    wanted = set()
-    positions = []
-    for p in ps:
-        pos = p * (n - 1)
-        lo, hi = math.floor(pos), math.ceil(pos)
-        positions.append((pos, lo, hi))
-        wanted.update((lo, hi))
-    picked = (
-        with_global_ordinal(ranged, offsets, "i")
-        .select("i", "v")
-        .where(F.col("i").isin(sorted(wanted)))
-        .collect()
-    )
-    at = {r["i"]: r["v"] for r in picked}
-    out: list[float | None] = []
-    for pos, lo, hi in positions:
-        if lo == hi:
-            out.append(at[lo])
-        else:
-            out.append((hi - pos) * at[lo] + (pos - lo) * at[hi])
-    return out
-
-
-def percentile_cont_by(
-    df: DataFrame, by: list[str], column: str, p: float, out_col: str = "percentile",
-    num_partitions: int | None = None,
-) -> DataFrame:
-    """Exact ``percentile_cont(p)`` of ``column`` per group, as a DataFrame.
-
-    Spark's exact ``percentile`` aggregate would buffer a whole group in one
-    task (a hot group may hold a third of the rows).  Instead: one global
-    ranking in ``(by, column, row tag)`` order (range partitions, split-sized,
-    ties spread by the tag), each group's start position and size from one
-    aggregate, then only the <= 2 rows per group around ``p * (n - 1)`` are
-    kept and interpolated by a grouped aggregate.  Nothing is collected.
-    """
+    return percentiles_cont(df, column, [p])[0]
+
+
+def percentiles_cont(df: DataFrame, column: str, ps: list[float]) -> list[float | None]:
+    """Several exact percentiles, collected by one job."""
+    one = df.select(F.lit(0).alias("__all"), F.col(column).alias("__value"))
+    parts = [percentile_cont_by(one, ["__all"], "__value", p).select(F.lit(i).alias("i"), "percentile") for i, p in enumerate(ps)]
+    found = {r["i"]: r["percentile"] for r in reduce(DataFrame.union, parts).collect()}
+    return [found.get(i) for i in range(len(ps))]
+
+
+def percentile_cont_by(df: DataFrame, by: list[str], column: str, p: float, out_col: str = "percentile") -> DataFrame:
+    """Exact ``percentile_cont(p)`` of ``column`` per group, as a lazy DataFrame."""
     if not 0.0 <= p <= 1.0:
         raise ValueError(f"percentile must be in [0, 1], got {p}")
-    values = (
-        df.select(*by, F.col(column).cast("double").alias("__v"))
-        .where(F.col("__v").isNotNull() & ~F.isnan(F.col("__v")))
-        .withColumn("__tie", F.monotonically_increasing_id())
-    )
-    ranked, offsets = ranged_with_ordinals(values, [*by, "__v", "__tie"], num_partitions)
-    ranked = with_global_ordinal(ranked, offsets, "__i").drop("__tie")
-    bounds = ranked.groupBy(*by).agg(F.min("__i").alias("__start"), F.count(F.lit(1)).alias("__n"))
-    pos = F.lit(p) * (F.col("__n") - F.lit(1))
-    bounds = bounds.select(
-        *by, "__start", pos.alias("__pos"), F.floor(pos).alias("__lo"), F.ceil(pos).alias("__hi")
-    )
-    local = F.col("__i") - F.col("__start")
-    near = ranked.join(broadcast_if_small(bounds), on=by, how="inner").where(
-        (local == F.col("__lo")) | (local == F.col("__hi"))
-    )
-    lo_v = F.max(F.when(local == F.col("__lo"), F.col("__v")))
-    hi_v = F.max(F.when(local == F.col("__hi"), F.col("__v")))
-    agg = near.groupBy(*by).agg(
-        lo_v.alias("__lo_v"), hi_v.alias("__hi_v"),
-        F.first("__pos").alias("__pos"), F.first("__lo").alias("__lo"), F.first("__hi").alias("__hi"),
-    )
-    value = F.when(F.col("__lo") == F.col("__hi"), F.col("__lo_v")).otherwise(
-        (F.col("__hi") - F.col("__pos")) * F.col("__lo_v") + (F.col("__pos") - F.col("__lo")) * F.col("__hi_v")
+    values = df.select(*by, F.col(column).cast("double").alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    margin = 3.0 / ACCURACY
+    ends = F.percentile_approx("__v", [max(0.0, p - margin), min(1.0, p + margin)], ACCURACY)
+    bracket = values.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"), ends.alias("__ends"))
+    pos = F.lit(p) * (F.col("__n") - 1)
+    bracket = bracket.select(*by, pos.alias("__pos"), F.get("__ends", F.lit(0)).alias("__a"), F.get("__ends", F.lit(1)).alias("__b"))
+    # Values below and above the bracket are one entry each; they keep their
+    # value next to it, for the neighbour that interpolation needs.
+    side = F.when(F.col("__v") < F.col("__a"), -1).when(F.col("__v") > F.col("__b"), 1).otherwise(0)
+    inside = F.when(side == 0, F.col("__v"))
+    entries = null_safe(values, bracket, by).groupBy(*by, side.alias("__side"), inside.alias("__inside")).agg(
+        F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__min"), F.max("__v").alias("__max"), F.first("__pos").alias("__pos")
     )
-    return agg.select(*by, value.alias(out_col))
+    entries = entries.withColumn("__near", F.when(F.col("__side") < 0, F.col("__max")).otherwise(F.col("__min")))
+    order = Window.partitionBy(*by).orderBy("__side", "__near")
+    entries = entries.withColumn("__end", F.sum("__c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    at = lambda i: F.max(F.when((F.col("__end") - F.col("__c") <= i) & (i < F.col("__end")), F.col("__near")))
+    low, high = F.floor("__pos"), F.ceil("__pos")
+    found = entries.groupBy(*by).agg(at(low).alias("__lo"), at(high).alias("__hi"), F.first("__pos").alias("__pos"))
+    exact = F.when(low == high, F.col("__lo")).otherwise((high - F.col("__pos")) * F.col("__lo") + (F.col("__pos") - low) * F.col("__hi"))
+    return found.select(*by, exact.alias(out_col))
 
 
 def winsorize(
@@ -124,12 +80,12 @@ def winsorize(
     reference semantics.  Globally the cap is one scalar, applied as a
     literal in a narrow projection: no join, no shuffle of the input.  With
     ``by`` each group is capped at its own percentile (one cap row per group,
-    joined back behind a checked broadcast).
+    joined back with NULL keys matching).
     """
     target = out_col or weight_col
     if by:
         caps = percentile_cont_by(df, by, weight_col, upper_percentile, out_col="__cap")
-        joined = df.join(broadcast_if_small(caps), on=by, how="left")
+        joined = null_safe(df, caps, by, "left")
         return joined.withColumn(target, F.least(F.col(weight_col), F.col("__cap"))).drop("__cap")
     cap = percentile_cont(df, weight_col, upper_percentile)
     if cap is None:

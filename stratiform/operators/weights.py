@@ -1,9 +1,8 @@
 """Weight diagnostics: per-group totals attached to rows, normalisation, flags.
 
 The per-year totals are a pre-aggregate (partial + final hash aggregate: one
-row per year leaves each task) joined back to the rows.  The totals side is
-broadcast only after its row count is checked; the detail side never
-shuffles.  A ``Window.partitionBy(year)`` would instead shuffle every row
+row per year leaves each task) joined back to the rows; adaptive execution sees how
+small the totals are and broadcasts them, so the detail side need not shuffle.  A ``Window.partitionBy(year)`` would instead shuffle every row
 into as many tasks as there are years.
 """
 
@@ -12,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from stratiform.operators.joins import null_safe
 from stratiform.schema import WEIGHT, YEAR
 
 EXTREME_WEIGHT_FACTOR = 20
@@ -29,11 +28,9 @@ def attach_group_totals(
     df: DataFrame,
     by: list[str],
     weight: str = WEIGHT,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Inner join of each row to its group's count and weight total."""
-    totals = broadcast_if_small(group_totals(df, by, weight), max_broadcast_rows)
-    return df.join(totals, on=by, how="inner")
+    """Each row with its group's count and weight total; NULL is a group."""
+    return null_safe(df, group_totals(df, by, weight), by)
 
 
 def survey_weights(

@@ -83,7 +83,7 @@ def staging(
     ``key`` is kept when the raw table carries it (a natural or file-ordinal
     key); otherwise ``dense_row_id`` numbers the rows 1..N in ``key_order``
     (which must be a total order) without a single-partition window.
-    ``states`` is the fixed-size seed list, broadcast.
+    ``states`` is a small lookup; its known size decides about a broadcast.
     """
     has_key = key in raw.columns
     if not has_key and not key_order:
@@ -92,7 +92,7 @@ def staging(
     # NaN > 0 is true in Spark: drop NaN weights too (ingest already maps NaN to NULL)
     kept = raw.where((F.col(WEIGHT) > F.lit(0.0)) & ~F.isnan(F.col(WEIGHT)))
     decoded = kept.selectExpr(*carried, *decoded_columns())
-    lookup = F.broadcast(states.select("fips_code", "state_abbr", "state_name"))
+    lookup = states.select("fips_code", "state_abbr", "state_name")
     joined = decoded.join(lookup, F.col("state_fips") == F.col("fips_code"), "left").drop("fips_code")
     if not has_key:
         joined = dense_row_id(joined, key_order, id_col=key)
@@ -306,6 +306,19 @@ def national_prevalence_pct(prev: DataFrame) -> DataFrame:
     return sort_nulls_last(out, YEAR)
 
 
+def prevalence_outside(prev: DataFrame, low: float, high: float) -> DataFrame:
+    """Years whose national prevalence leaves the plausible range (Q15)."""
+    national = national_prevalence(prev).where(~F.col("national_weighted_prevalence").between(low, high))
+    return national.select(YEAR, E.percent("national_weighted_prevalence", 2).alias("prevalence_pct"))
+
+
+def weights_outside(staged: DataFrame, low: float, high: float) -> DataFrame:
+    """Years whose weights do not add up to a plausible population (Q14)."""
+    totals = staged.groupBy(YEAR).agg(F.sum(WEIGHT).alias("_w"), E.count_rows().alias("n_respondents"))
+    totals = totals.where(~F.col("_w").between(low, high))
+    return totals.select(YEAR, E.millions("_w", 1).alias("total_weight_millions"), "n_respondents")
+
+
 def rows_by_year(df: DataFrame) -> DataFrame:
     return sort_nulls_last(df.groupBy(YEAR).agg(E.count_rows().alias("n_rows")), YEAR)
 

@@ -34,8 +34,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 DISCOUNT_CUT = 0.05
 HIGH_VALUE_CUT = 100.0
 LINEITEM_YEAR_RANGE = (200_000.0, 250_000.0)
-WEIGHT_POPULATION_RANGE = (200e6, 280e6)
-PREVALENCE_RANGE = (0.08, 0.15)
+WEIGHT_POPULATION_RANGE = S.WEIGHT_POPULATION_RANGE
+PREVALENCE_RANGE = S.PREVALENCE_RANGE
 TREND_MIN_CELL = 20
 PERCENTILES = (0.5, 0.9, 0.99)
 WINSOR_P = 0.99
@@ -294,19 +294,11 @@ def q_national_prevalence_pct(spark, sf):
 
 def q_assert_prevalence_reasonable(spark, sf):
     prev = M.prevalence(enriched(spark, sf), strata=M.STATE_YEAR, min_cell=M.MIN_CELL, sort=False)
-    lo, hi = PREVALENCE_RANGE
-    nat = M.national_prevalence(prev)
-    return nat.where(~F.col("national_weighted_prevalence").between(lo, hi)).select(
-        YEAR, E.percent("national_weighted_prevalence", 2).alias("prevalence_pct")
-    )
+    return M.prevalence_outside(prev, *PREVALENCE_RANGE)
 
 
 def q_assert_weights_sum(spark, sf):
-    lo, hi = WEIGHT_POPULATION_RANGE
-    agg = staged(spark, sf).groupBy(YEAR).agg(F.sum(WEIGHT).alias("_w"), E.count_rows().alias("n_respondents"))
-    return agg.where(~F.col("_w").between(lo, hi)).select(
-        YEAR, E.millions("_w", 1).alias("total_weight_millions"), "n_respondents"
-    )
+    return M.weights_outside(staged(spark, sf), *WEIGHT_POPULATION_RANGE)
 
 
 def q_rows_by_year(spark, sf):

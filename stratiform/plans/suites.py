@@ -12,6 +12,8 @@ WEIGHT_MAX = 100_000_000
 STATE_RANGE = (1, 78)
 DIABETES_CODES = (1, 2, 3, 4, 7, 9)
 DEFAULT_YEARS = (2021, 2022, 2023)
+WEIGHT_POPULATION_RANGE = (200e6, 280e6)  # sum of a year's weights
+PREVALENCE_RANGE = (0.08, 0.15)  # national prevalence of a year
 
 
 def raw_expectations(

@@ -36,7 +36,7 @@ def tune_session(spark: SparkSession, overrides: dict[str, str] | None = None) -
             current = spark.conf.get(key)
         except Exception:  # noqa: BLE001
             current = None
-        if current is None or current in _SPARK_DEFAULTS.get(key, {value, "true", "false"}) or overrides:
+        if current is None or current in _SPARK_DEFAULTS.get(key, set()) or overrides:
             spark.conf.set(key, value)
 
 

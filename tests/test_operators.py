@@ -49,7 +49,7 @@ def test_percentile_matches_numpy_with_ties_and_nulls(spark):
     rows = [(float(v),) for v in vals] + [(None,)] * 10
     df = spark.createDataFrame(rows, "v double")
     ps = [0.0, 0.25, 0.5, 0.9, 0.99, 1.0]
-    got = percentiles_cont(df, "v", ps, num_partitions=6)
+    got = percentiles_cont(df, "v", ps)
     want = np.quantile(vals, ps, method="linear")
     assert got == pytest.approx(list(want))
 
@@ -125,20 +125,50 @@ def test_tune_session_keeps_user_settings(spark):
         tune_session(spark)
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "32MB"
         assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        tune_session(spark)
+        assert spark.conf.get("spark.sql.adaptive.enabled") == "false"
     finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
-def test_broadcast_if_small_both_branches(spark):
-    from stratiform.operators.joins import broadcast_if_small, lookup_join
+def test_lookup_join_and_null_safe_join(spark):
+    from stratiform.operators.joins import lookup_join, null_safe
 
     big = spark.range(0, 50).withColumnRenamed("id", "k")
     small = spark.range(0, 5).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
-    hinted = big.join(broadcast_if_small(small, max_rows=10), "k")
-    plain = big.join(broadcast_if_small(small, max_rows=2), "k")
-    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
-    assert sorted(hinted.collect()) == sorted(plain.collect())
-    assert lookup_join(big, small, "k", lookup_is_bounded=True).where(F.col("v").isNull()).count() == 45
+    assert lookup_join(big, small, "k").where(F.col("v").isNull()).count() == 45
+    left = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "g string, x int")
+    right = spark.createDataFrame([(None, 10), ("a", 20)], "g string, y int")
+    got = sorted(map(tuple, null_safe(left, right, ["g"], "left").collect()), key=lambda r: r[1])
+    assert got == [(None, 1, 10), ("a", 2, 20), ("b", 3, None)]
+
+
+def test_operators_keep_nothing_cached(spark):
+    from stratiform.operators.weights import attach_group_totals
+
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    df = spark.createDataFrame([("x", 1.0), (None, 2.0), (None, 4.0)], "g string, llcpwt double")
+    assert attach_group_totals(df, ["g"]).where("g IS NULL").first()["total_weight"] == 6.0
+    winsorize(df, "llcpwt", 0.99, out_col="c", by=["g"]).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_percentile_keeps_the_null_group_and_needs_no_sort_of_the_column(spark):
+    from stratiform.operators.quantile import percentile_cont_by
+
+    rng = np.random.default_rng(3)
+    rows = [(None if i % 3 else "a", float(v)) for i, v in enumerate(rng.normal(size=4000))]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for p in (0.0, 0.013, 0.5, 0.999, 1.0):
+        got = {r.g: r.p for r in percentile_cont_by(df, ["g"], "v", p, out_col="p").collect()}
+        want = {g: float(np.quantile([v for k, v in rows if k == g], p)) for g in (None, "a")}
+        assert got == pytest.approx(want)
+    assert "rangepartitioning" not in percentile_cont_by(df, ["g"], "v", 0.5)._jdf.queryExecution().toString()
+    capped = winsorize(df, "v", 0.9, out_col="c", by=["g"])
+    cap = float(np.quantile([v for k, v in rows if k is None], 0.9))
+    assert capped.where("g IS NULL").agg(F.max("c")).first()[0] == pytest.approx(cap)
 
 
 def test_grouped_percentile_matches_numpy_with_hot_group(spark):
@@ -148,7 +178,7 @@ def test_grouped_percentile_matches_numpy_with_hot_group(spark):
     rows = [("hot", float(v)) for v in rng.integers(0, 100, 3000)]        # a group with most rows
     rows += [("a", float(v)) for v in rng.integers(0, 10, 200)] + [("b", 5.0)] + [("a", None)] * 5
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r.p for r in percentile_cont_by(df, ["g"], "v", 0.9, out_col="p", num_partitions=6).collect()}
+    got = {r.g: r.p for r in percentile_cont_by(df, ["g"], "v", 0.9, out_col="p").collect()}
     for g in ("hot", "a", "b"):
         vals = [v for k, v in rows if k == g and v is not None]
         assert got[g] == pytest.approx(float(np.quantile(vals, 0.9)))
@@ -158,13 +188,3 @@ def test_grouped_winsorize_caps_each_group(spark):
     df = spark.createDataFrame([("x", 1.0), ("x", 2.0), ("x", 1000.0), ("y", 5.0), ("y", None)], "g string, w double")
     out = sorted((r.g, r.c) for r in winsorize(df, "w", 0.99, out_col="c", by=["g"]).collect())
     assert out == [("x", 1.0), ("x", 2.0), ("x", pytest.approx(980.04)), ("y", 5.0), ("y", 5.0)]
-
-
-def test_broadcast_if_small_respects_byte_limit(spark):
-    from stratiform.operators.joins import _cached_bytes, broadcast_if_small
-
-    side = spark.range(0, 1000).withColumnRenamed("id", "k")
-    kept = broadcast_if_small(side, max_rows=10_000, max_bytes=16)
-    assert _cached_bytes(side) is not None
-    plan = spark.range(0, 10).withColumnRenamed("id", "k").join(kept, "k")._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in plan.lower()
