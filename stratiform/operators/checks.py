@@ -26,6 +26,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 ERROR = "error"
 WARN = "warn"
@@ -73,22 +74,25 @@ def _metric_aggs(check: Check, i: int, present: set[str]) -> list[Column]:
     raise ValueError(f"not an expectation kind: {k}")
 
 
-def _result_struct(check: Check, i: int, present: set[str]) -> Column:
+def _result_struct(check: Check, i: int, present: set[str], absent: Column | None) -> Column:
+    """``absent``: the columns that a group's source lacked, if recorded."""
     k = check.kind
+    here = F.lit(check.column in present)
+    if absent is not None and check.column in present:
+        here = ~F.array_contains(absent, F.lit(check.column))
     if k == "row_count_between":
         n = F.col(f"m{i}_n").cast("double")
         observed = n
         passed = n.between(F.lit(check.min_value), F.lit(check.max_value))
         threshold = F.lit(f"[{check.min_value:g}, {check.max_value:g}]")
     elif k == "column_exists" or check.column not in present:
-        exists = check.column in present
-        observed = F.lit(1.0 if exists else 0.0)
-        passed = F.lit(exists)
+        observed = here.cast("double")
+        passed = here if k == "column_exists" else F.lit(False)
         threshold = F.lit("present")
     else:
         d, kept = F.col(f"m{i}_d"), F.col(f"m{i}_k")
-        observed = F.when(d > 0, kept.cast("double") / d.cast("double"))
-        passed = F.coalesce(observed >= F.lit(check.mostly), F.lit(True))
+        observed = F.when(here & (d > 0), kept.cast("double") / d.cast("double"))
+        passed = here & F.coalesce(observed >= F.lit(check.mostly), F.lit(True))
         threshold = F.lit(f">= {check.mostly:g}")
     return F.struct(
         F.lit(check.name).alias("check_name"),
@@ -101,12 +105,21 @@ def _result_struct(check: Check, i: int, present: set[str]) -> Column:
     )
 
 
-def run_expectations(df: DataFrame, checks: list[Check], by: list[str] | None = None) -> DataFrame:
+def run_expectations(
+    df: DataFrame,
+    checks: list[Check],
+    by: list[str] | None = None,
+    groups: list[tuple] | None = None,
+    absent: list[tuple] | None = None,
+) -> DataFrame:
     """Evaluate a suite per group in one pass; one result row per group and check.
 
     Columns: ``*by, check_name, kind, column_name, observed, threshold,
     passed, severity``.  A missing column fails its ``column_exists`` check
-    and its value checks (observed NULL, passed false).
+    and its value checks.  ``groups`` are the requested groups (values of
+    ``by``): each gets all its rows, one without data counts zero rows.
+    ``absent`` are ``(*group, column)`` of columns that a group's source
+    lacked although the unified table has them (filled with NULL).
     """
     by = by or []
     present = set(df.columns)
@@ -114,12 +127,19 @@ def run_expectations(df: DataFrame, checks: list[Check], by: list[str] | None =
     if not aggs:
         aggs = [F.count(F.lit(1)).alias("_n")]
     metrics = df.groupBy(*by).agg(*aggs)
-    structs = []
-    for i, ch in enumerate(checks):
-        s = _result_struct(ch, i, present)
-        if ch.kind not in ("row_count_between", "column_exists") and ch.column not in present:
-            s = s.withField("passed", F.lit(False))
-        structs.append(s)
+    spark = df.sparkSession
+    keys = [df.schema[c] for c in by]
+    if groups is not None:
+        counts = [c for c in metrics.columns if c not in by]
+        wanted = spark.createDataFrame(groups, StructType(keys))
+        metrics = wanted.join(metrics, on=by, how="left").fillna(0, subset=counts)
+    lacking = None
+    if absent:
+        table = spark.createDataFrame(absent, StructType([*keys, StructField("__column", StringType())]))
+        table = table.groupBy(*by).agg(F.collect_set("__column").alias("__absent"))  # at most a suite's columns a group
+        metrics = metrics.join(table, on=by, how="left")
+        lacking = F.coalesce(F.col("__absent"), F.array().cast("array<string>"))
+    structs = [_result_struct(ch, i, present, lacking) for i, ch in enumerate(checks)]
     return metrics.select(*by, F.inline(F.array(*structs)))
 
 

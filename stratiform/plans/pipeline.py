@@ -20,19 +20,23 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.operators.checks import Check, gate, run_data_tests, run_expectations, store_failures
+from stratiform.operators.checks import WARN, Check, gate, run_data_tests, run_expectations, store_failures
 from stratiform.operators.weights import survey_weights
 from stratiform.plans import models as M
 from stratiform.plans import suites as S
-from stratiform.schema import LOADED_AT, SOURCE_VARIABLES, YEAR
+from stratiform.schema import LOADED_AT, SOURCE_VARIABLES, YEAR, normalise_name
 from stratiform.session import tune_session
 from stratiform.sources import ingest, landing
 from stratiform.sources.seeds import state_codes
-from stratiform.sources.xpt import read_xpt
+from stratiform.sources.xpt import read_layout, read_xpt
+
+SINGULAR = "singular"
+RECORD_BITS = 40
 
 
 @dataclass
@@ -76,14 +80,14 @@ def land(spark: SparkSession, cfg: PipelineConfig) -> list[int]:
     raw_path = cfg.path("raw")
     files = landing.listing(spark, cfg.landing_dir, min_bytes=cfg.min_file_bytes)  # names only
     loaded = ingest.read_raw(spark, raw_path) if _exists(spark, raw_path) else None
-    todo = landing.years_to_load(spark, files, cfg.years, loaded, cfg.force)
+    chosen = landing.files_to_load(spark, files, cfg.years, loaded, cfg.force)
+    todo = sorted(chosen)
     if not todo:
         return todo
-    paths = [landing.file_path(y, cfg.landing_dir) for y in todo]
-    if cfg.hash_files:  # provenance: size and SHA-256 of the files being loaded
-        names = [p.rsplit("/", 1)[-1] for p in paths]
-        hashed = landing.manifest(spark, cfg.landing_dir, min_bytes=cfg.min_file_bytes)
-        hashed.where(F.col("file_name").isin(names)).write.mode("append").parquet(
+    paths = [chosen[y] for y in todo]
+    if cfg.hash_files:  # provenance: size and SHA-256 of the files being loaded, and of no others
+        hashed = landing.manifest(spark, cfg.landing_dir, min_bytes=cfg.min_file_bytes, paths=paths)
+        hashed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(
             cfg.path("checks", "landing_manifest"))
     frame = read_xpt(spark, paths, columns=SOURCE_VARIABLES,
                      with_record_no=True, with_source_file=True)
@@ -91,28 +95,42 @@ def land(spark: SparkSession, cfg: PipelineConfig) -> list[int]:
     projected, _missing = ingest.project_allowlist(frame.withColumn(YEAR, year))
     stamped = projected.withColumn(LOADED_AT, F.lit(ingest.load_stamp()))
     ingest.write_raw(ingest.describe(stamped), raw_path)  # column comments travel in the Parquet schema
+    headers = {y: [normalise_name(v.name) for v in read_layout(chosen[y]).variables] for y in todo}
+    ingest.record_columns(spark, headers, raw_path)
     return todo
 
 
 def raw_gate(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    """Evaluate the raw suite for all years in one pass, store it, then gate."""
+    """Evaluate the raw suite for every requested year in one pass, store it,
+    then gate: a year without rows or a file without a column fails."""
     raw = ingest.read_raw(spark, cfg.path("raw"), cfg.years)
     suite = cfg.raw_suite or S.raw_expectations(tuple(cfg.years), cfg.min_rows, cfg.max_rows)
-    results = run_expectations(raw, suite, by=[YEAR])
+    absent = []
+    if _exists(spark, ingest.columns_path(cfg.path("raw"))):
+        absent = ingest.absent_columns(spark, cfg.path("raw"), cfg.years)
+    results = run_expectations(raw, suite, by=[YEAR], groups=[(y,) for y in cfg.years], absent=absent)
     results.write.mode("overwrite").parquet(cfg.path("checks", "raw_expectations"))
     stored = spark.read.parquet(cfg.path("checks", "raw_expectations"))
     gate(stored, "raw expectations")
     return stored
 
 
+def respondent_id(year: Column, record_no: Column) -> Column:
+    """Year above, record number below: unique for 2**40 records a year, an
+    error beyond."""
+    fits = record_no.between(0, (1 << RECORD_BITS) - 1)
+    packed = F.shiftleft(year.cast("bigint"), RECORD_BITS) + record_no
+    return F.when(fits, packed).otherwise(F.raise_error(F.lit("record number beyond 2**40")).cast("bigint"))
+
+
 def build_models(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     raw = ingest.read_raw(spark, cfg.path("raw"), cfg.years)
     if "respondent_id" not in raw.columns:
-        raw = raw.withColumn("respondent_id", F.col(YEAR).cast("bigint") * F.lit(1_000_000_000) + F.col("record_no"))
+        raw = raw.withColumn("respondent_id", respondent_id(F.col(YEAR), F.col("record_no")))
     staged = M.staging(raw, state_codes(spark))
     enriched_path = cfg.path("intermediate", "enriched")
     ingest.write_raw(M.enrich(staged), enriched_path)
-    rich = spark.read.parquet(enriched_path)
+    rich = ingest.read_raw(spark, enriched_path, cfg.years)
     outputs = {
         "dim_respondent_demographics": M.dim_demographics(rich),
         "fct_diabetes_prevalence": M.prevalence(rich, min_cell=cfg.min_cell),
@@ -124,29 +142,63 @@ def build_models(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     # The marts are independent jobs over the same table: submit them together
     # so their tasks share the cluster instead of running one after another.
     with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
-        futures = [pool.submit(df.write.mode("overwrite").parquet, paths[name]) for name, df in outputs.items()]
+        futures = [pool.submit(ingest.write_raw, df, paths[name]) for name, df in outputs.items()]
         for fut in futures:
             fut.result()
     return paths
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a stored table that no longer holds."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def singular_tests(rich: DataFrame, prev: DataFrame) -> dict[str, DataFrame]:
+    """Tests that are queries: their rows are the failures."""
+    return {
+        "weights_sum_to_population": M.weights_outside(rich, *S.WEIGHT_POPULATION_RANGE),
+        "prevalence_reasonable": M.prevalence_outside(prev, *S.PREVALENCE_RANGE),
+    }
+
+
+def _singular_results(failures: dict[str, DataFrame]) -> DataFrame:
+    parts = [
+        rows.agg(F.count(F.lit(1)).alias("n_failures")).select(
+            F.lit(SINGULAR).alias("model"), F.lit(name).alias("test_name"), F.lit("query").alias("kind"),
+            F.lit(None).cast("string").alias("column_name"), "n_failures", (F.col("n_failures") == 0).alias("passed"),
+            F.lit(WARN).alias("severity"),
+        )
+        for name, rows in failures.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def test_models(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    """Warn-only data tests; failing rows stored per test."""
-    rich = spark.read.parquet(cfg.path("intermediate", "enriched"))
-    prev = spark.read.parquet(cfg.path("marts", "fct_diabetes_prevalence"))
+    """Warn-only data tests over the requested years; failing rows stored per
+    test, and the stored rows of tests that pass now removed."""
+    rich = ingest.read_raw(spark, cfg.path("intermediate", "enriched"), cfg.years)
+    prev = ingest.read_raw(spark, cfg.path("marts", "fct_diabetes_prevalence"), cfg.years)
     suites = {"stg_respondents": S.staging_tests(tuple(cfg.years)), "int_diabetes_flags": S.flags_tests(),
               "int_metabolic_risk": S.risk_tests()}
     results = run_data_tests(rich, suites).unionByName(
         run_data_tests(prev, S.prevalence_tests(), "fct_diabetes_prevalence")
     )
+    singular = singular_tests(rich, prev)
+    results = results.unionByName(_singular_results(singular))
     results.write.mode("overwrite").parquet(cfg.path("checks", "model_tests"))
     stored = spark.read.parquet(cfg.path("checks", "model_tests"))
-    for row in stored.where(~F.col("passed")).select("model").distinct().collect():
-        model = row["model"]
-        frame = prev if model == "fct_diabetes_prevalence" else rich
-        checks = S.prevalence_tests() if model == "fct_diabetes_prevalence" else suites[model]
-        failed = {r["test_name"] for r in stored.where((F.col("model") == model) & ~F.col("passed")).collect()}
-        store_failures(frame, [c for c in checks if c.name in failed], cfg.path("checks", "failures"), model)
+    root = cfg.path("checks", "failures")
+    suites["fct_diabetes_prevalence"] = S.prevalence_tests()
+    for row in stored.select("model", "test_name", "passed").collect():  # one row a test
+        model, name = row["model"], row["test_name"]
+        if row["passed"]:
+            _remove(spark, f"{root}/{model}/{name}")
+        elif model == SINGULAR:
+            singular[name].write.mode("overwrite").parquet(f"{root}/{model}/{name}")
+        else:
+            frame = prev if model == "fct_diabetes_prevalence" else rich
+            store_failures(frame, [c for c in suites[model] if c.name == name], root, model)
     gate(stored, "model tests")  # all warn: never raises, returns the failures
     return stored
 

@@ -92,6 +92,24 @@ def read_raw(spark: SparkSession, path: str, years: list[int] | None = None) ->
     return df
 
 
+def record_columns(spark: SparkSession, columns: dict[int, list[str]], raw_path: str) -> None:
+    """Store which allowlisted columns each loaded year's file has (beside the
+    raw table, replaced year by year like it)."""
+    rows = [(year, c, c in set(have)) for year, have in columns.items() for c in RAW_VARIABLES]
+    write_raw(spark.createDataFrame(rows, f"{YEAR} int, column_name string, present boolean"), columns_path(raw_path))
+
+
+def columns_path(raw_path: str) -> str:
+    return raw_path.rstrip("/") + "_columns"
+
+
+def absent_columns(spark: SparkSession, raw_path: str, years: list[int]) -> list[tuple[int, str]]:
+    """(year, column) that a requested year's file lacked; at most the
+    allowlist's length a year."""
+    table = spark.read.parquet(columns_path(raw_path)).where(F.col(YEAR).isin(years) & ~F.col("present"))
+    return [(r[YEAR], r["column_name"]) for r in table.select(YEAR, "column_name").collect()]
+
+
 def rows_per_year(raw: DataFrame) -> DataFrame:
     """Per-year row counts of the raw layer (the load read-back)."""
     return raw.groupBy(YEAR).agg(F.count(F.lit(1)).alias("n_rows"))

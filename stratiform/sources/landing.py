@@ -1,12 +1,10 @@
 """Landing manifest: which yearly files are present, their size and SHA-256.
 
-The manifest is a Spark job over the landing folder (``binaryFile``): every
-file is hashed by the task that reads it, and only the small manifest (one
-row per file) is returned.  ``binaryFile`` holds a file's content in one
-row (at most 2 GB), so files at or above ``max_inline_bytes`` are hashed by
-a streaming SHA-256 in their task instead (read in chunks, never whole).
-Listing-only uses (year selection) never read contents.  Year selection is a relational step: years whose
-raw partition already exists are skipped unless forced.
+Listing and year selection never read contents.  The manifest opens only the
+files it is asked for; each is hashed in chunks by the task that has its
+path, so a file of any size takes the same way.  Year selection skips years
+whose raw partition exists unless forced, and refuses files below the
+minimum size.
 """
 
 from __future__ import annotations
@@ -17,7 +15,6 @@ from pyspark.sql import functions as F
 # Minimum plausible size of a yearly file and its name pattern.
 MIN_FILE_BYTES = 10_000_000
 YEAR_FILE_PATTERN = r"(?i)llcp(\d{4})\.xpt$"
-MAX_INLINE_BYTES = 1 << 30  # hash larger files by streaming, not as one binary value
 _CHUNK = 8 << 20
 
 
@@ -83,49 +80,56 @@ def manifest(
     glob: str = "*",
     min_bytes: int = MIN_FILE_BYTES,
     name_pattern: str = YEAR_FILE_PATTERN,
-    max_inline_bytes: int = MAX_INLINE_BYTES,
+    paths: list[str] | None = None,
 ) -> DataFrame:
-    """``path, file_name, year, length, sha256, large_enough, is_year_file``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(landing_dir)
-    hashed = files.where(F.col("length") < max_inline_bytes).select(
-        "path", "length", F.sha2(F.col("content"), 256).alias("sha256")
-    )
-    # One small aggregate over the listing (no contents read) decides whether
-    # any file needs the streaming hash; usually none does and the plan
-    # stays JVM-only.
-    largest = files.agg(F.max("length").alias("m")).collect()[0]["m"]
-    if largest is not None and largest >= max_inline_bytes:
-        streamed = (
-            files.where(F.col("length") >= max_inline_bytes)
-            .select("path", "length")
-            .mapInPandas(_stream_sha256, "path string, length bigint, sha256 string")
-        )
-        hashed = hashed.unionByName(streamed)
+    """``path, file_name, year, length, sha256, large_enough, is_year_file`` of
+    the folder's files, or of ``paths`` only."""
+    reader = spark.read.format("binaryFile")
+    files = reader.load(paths) if paths else reader.option("pathGlobFilter", glob).load(landing_dir)
+    # One partition a file: the listing alone would put many into one task.
+    files = files.select("path", "length").repartition("path")
+    hashed = files.mapInPandas(_stream_sha256, "path string, length bigint, sha256 string")
     return _describe_files(hashed, min_bytes, name_pattern, with_hash=True)
 
 
-def years_to_load(
+def files_to_load(
     spark: SparkSession,
     landing: DataFrame,
     years: list[int],
     loaded: DataFrame | None = None,
     force: bool = False,
-) -> list[int]:
-    """Requested years with a landed file, minus years already loaded.
+) -> dict[int, str]:
+    """Year to path, as listed, of the requested years that are not loaded yet.
 
-    Only the distinct years are collected (one value per landed or loaded
-    year): the file listing is read without file contents, the loaded years
-    come from the raw table's partition column.  Raises
-    ``FileNotFoundError`` for a requested year without a landed file.
+    One row per requested landed file is collected.  Raises
+    ``FileNotFoundError`` for a requested year without a file, ``ValueError``
+    for one below the minimum size or with several files.
     """
-    present = {
-        r["year"]
-        for r in landing.where(F.col("is_year_file") & F.col("year").isNotNull()).select("year").distinct().collect()
-    }
-    missing = sorted(set(years) - present)
+    rows = landing.where(F.col("is_year_file") & F.col("year").isin(list(years))).collect()
+    missing = sorted(set(years) - {r["year"] for r in rows})
     if missing:
         raise FileNotFoundError(f"no landed file for year(s) {missing}")
     done: set[int] = set()
     if loaded is not None and not force:
         done = {r[0] for r in loaded.select("survey_year").distinct().collect()}
-    return sorted(set(years) - done)
+    found: dict[int, str] = {}
+    for r in sorted(rows, key=lambda r: r["path"]):
+        if r["year"] in done:
+            continue
+        if not r["large_enough"]:
+            raise ValueError(f"{r['path']}: {r['length']} bytes, below the minimum size")
+        if r["year"] in found:
+            raise ValueError(f"two files for {r['year']}: {found[r['year']]}, {r['path']}")
+        found[r["year"]] = r["path"]
+    return found
+
+
+def years_to_load(
+    spark: SparkSession,
+    landing: DataFrame,
+    years: list[int],
+    loaded: DataFrame | None = None,
+    force: bool = False,
+) -> list[int]:
+    """The years of ``files_to_load``."""
+    return sorted(files_to_load(spark, landing, years, loaded, force))

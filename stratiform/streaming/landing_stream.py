@@ -19,7 +19,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratiform.schema import SOURCE_VARIABLES
+from stratiform.schema import RAW_VARIABLES, SOURCE_VARIABLES
 from stratiform.sources import ingest, landing
 from stratiform.sources.xpt import read_xpt
 
@@ -51,8 +51,9 @@ def land_new_files(
             if row["length"] < min_bytes:
                 raise ValueError(f"{row['path']}: {row['length']} bytes, below the minimum {min_bytes}")
             frame = read_xpt(spark, row["path"], columns=SOURCE_VARIABLES, with_record_no=True)
-            projected, _missing = ingest.project_allowlist(frame)
+            projected, missing = ingest.project_allowlist(frame)
             ingest.write_raw(ingest.add_metadata(projected, year), raw_path)
+            ingest.record_columns(spark, {year: sorted(set(RAW_VARIABLES) - set(missing))}, raw_path)
             loaded.append(year)
 
     query = (

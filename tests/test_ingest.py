@@ -93,20 +93,47 @@ def test_landing_manifest_and_year_selection(spark, scratch_dir):
     assert not rows["notes.txt"].is_year_file
     loaded = spark.createDataFrame([(2021,)], "survey_year int")
     assert landing.years_to_load(spark, m, [2021, 2022], loaded) == [2022]
-    assert landing.years_to_load(spark, m, [2021, 2022], loaded, force=True) == [2021, 2022]
+    with pytest.raises(ValueError):
+        landing.years_to_load(spark, m, [2021, 2022], loaded, force=True)
+    small = landing.listing(spark, scratch_dir, min_bytes=1)
+    assert landing.years_to_load(spark, small, [2021, 2022], loaded, force=True) == [2021, 2022]
     with pytest.raises(FileNotFoundError):
         landing.years_to_load(spark, m, [2023], loaded)
     assert landing.file_path(2022, "/data/raw") == "/data/raw/LLCP2022.XPT"
     assert F is not None
 
 
-def test_manifest_streaming_hash_matches_inline(spark, scratch_dir):
+def test_manifest_opens_only_the_named_files(spark, scratch_dir):
     for y, size in [(2021, 3000), (2022, 70000)]:
         with open(landing.file_path(y, scratch_dir), "wb") as fh:
             fh.write(bytes(range(256)) * (size // 256))
-    inline = {r.file_name: r.sha256 for r in landing.manifest(spark, scratch_dir, min_bytes=1).collect()}
-    streamed = {r.file_name: r.sha256 for r in
-                landing.manifest(spark, scratch_dir, min_bytes=1, max_inline_bytes=1).collect()}
-    assert inline == streamed and len(inline) == 2
+    every = {r.file_name: r.sha256 for r in landing.manifest(spark, scratch_dir, min_bytes=1).collect()}
     with open(landing.file_path(2022, scratch_dir), "rb") as fh:
-        assert streamed["LLCP2022.XPT"] == hashlib.sha256(fh.read()).hexdigest()
+        assert every["LLCP2022.XPT"] == hashlib.sha256(fh.read()).hexdigest() and len(every) == 2
+    os.chmod(landing.file_path(2021, scratch_dir), 0)
+    one = landing.manifest(spark, scratch_dir, min_bytes=1, paths=[landing.file_path(2022, scratch_dir)]).collect()
+    assert [(r.year, r.sha256) for r in one] == [(2022, every["LLCP2022.XPT"])]
+
+
+def test_small_lower_case_and_double_files(spark, scratch_dir):
+    for name, size in [("LLCP2021.XPT", 11), ("llcp2024.xpt", 5000)]:
+        with open(os.path.join(scratch_dir, name), "wb") as fh:
+            fh.write(b"x" * size)
+    files = landing.listing(spark, scratch_dir, min_bytes=1000)
+    with pytest.raises(ValueError, match="below the minimum"):
+        landing.years_to_load(spark, files, [2021, 2024])
+    assert landing.files_to_load(spark, files, [2024])[2024].endswith("llcp2024.xpt")
+    with open(os.path.join(scratch_dir, "LLCP2024.XPT"), "wb") as fh:
+        fh.write(b"x" * 5000)
+    with pytest.raises(ValueError, match="two files"):
+        landing.files_to_load(spark, landing.listing(spark, scratch_dir, min_bytes=1000), [2024])
+
+
+def test_recorded_columns(spark, scratch_dir):
+    raw = os.path.join(scratch_dir, "raw")
+    from stratiform.schema import RAW_VARIABLES
+
+    ingest.record_columns(spark, {2021: RAW_VARIABLES, 2022: [c for c in RAW_VARIABLES if c != "insulin1"]}, raw)
+    assert ingest.absent_columns(spark, raw, [2021, 2022]) == [(2022, "insulin1")]
+    ingest.record_columns(spark, {2022: RAW_VARIABLES}, raw)  # a reload replaces its year only
+    assert ingest.absent_columns(spark, raw, [2021, 2022]) == []

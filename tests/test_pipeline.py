@@ -67,7 +67,7 @@ def test_end_to_end(spark, landed, scratch_dir):
     assert raw_checks.count() == 31 * 3
     assert raw_checks.where(~F.col("passed")).where(F.col("check_name") == "weight_not_null").count() > 0
     tests = spark.read.parquet(cfg.path("checks", "model_tests"))
-    assert tests.count() == 21
+    assert tests.count() == 23
     # failing tests (warn severity) keep their failing rows as tables
     failed = {r.test_name for r in tests.where((F.col("model") == "stg_respondents") & ~F.col("passed")).collect()}
     assert "state_fips_range" in failed
@@ -118,3 +118,62 @@ def test_streaming_landing_loads_only_new_files(spark, landed, scratch_dir):
     assert land_new_files(spark, inbox, raw_path, ckpt, min_bytes=1) == []
     got = {r.survey_year: r.n_rows for r in ingest.rows_per_year(ingest.read_raw(spark, raw_path)).collect()}
     assert got == counts
+
+
+def check(spark, cfg, name, year):
+    rows = spark.read.parquet(cfg.path("checks", "raw_expectations"))
+    return rows.where((F.col("check_name") == name) & (F.col("survey_year") == year)).first()
+
+
+def gate_config(landing_dir, warehouse, **kw):
+    """Error severity, with thresholds the small frame meets."""
+    suite = [replace(c, mostly=0.5) for c in S.raw_expectations(min_rows=1, max_rows=10_000)]
+    return PipelineConfig(warehouse=warehouse, landing_dir=landing_dir, min_file_bytes=1, min_cell=5, raw_suite=suite, **kw)
+
+
+def test_gate_fails_for_a_dropped_variable_of_one_year(spark, landed, scratch_dir):
+    cfg = gate_config(landed[0], os.path.join(scratch_dir, "wh"))
+    with pytest.raises(CheckFailed, match="column_exists_prediab2"):
+        run_pipeline(spark, cfg)
+    name = f"column_exists_{normalise_name(DROPPED)}"
+    assert [check(spark, cfg, name, y).passed for y in (2021, 2022, 2023)] == [True, False, True]
+    assert not os.path.exists(cfg.path("marts"))
+    whole = gate_config(landed[0], os.path.join(scratch_dir, "wh2"), years=[2021, 2023])
+    assert run_pipeline(spark, whole).first().years == [2021, 2023]
+
+
+def test_gate_fails_for_an_absent_year(spark, landed, scratch_dir):
+    from stratiform.plans.pipeline import raw_gate
+
+    cfg = gate_config(landed[0], os.path.join(scratch_dir, "wh"), years=[2021])
+    run_pipeline(spark, cfg)
+    cfg.years = [2021, 2099]
+    with pytest.raises(CheckFailed, match="row_count_between"):
+        raw_gate(spark, cfg)
+    row = check(spark, cfg, "row_count_between", 2099)
+    assert row.observed == 0 and not row.passed and check(spark, cfg, "row_count_between", 2021).passed
+
+
+def test_rerun_of_one_year_leaves_the_others(spark, landed, scratch_dir):
+    cfg = config(landed[0], os.path.join(scratch_dir, "wh"))
+    run_pipeline(spark, cfg)
+    whole = {m: spark.read.parquet(cfg.path("marts", m)).count() for m in ("fct_diabetes_prevalence", "int_survey_weights")}
+    stale = cfg.path("checks", "failures", "stg_respondents", "sex_accepted")
+    spark.range(1).write.parquet(stale)
+    cfg.years = [2023]
+    run_pipeline(spark, cfg)
+    tests = {r.test_name: r for r in spark.read.parquet(cfg.path("checks", "model_tests")).collect()}
+    assert tests["survey_year_accepted"].passed and len(tests) <= 23
+    assert {"weights_sum_to_population", "prevalence_reasonable"} <= tests.keys()
+    assert not os.path.exists(stale)  # a test that passes keeps no failing rows
+    assert {m: spark.read.parquet(cfg.path("marts", m)).count() for m in whole} == whole
+
+
+def test_respondent_ids_stay_apart(spark):
+    from stratiform.plans.pipeline import RECORD_BITS, respondent_id
+
+    rows = spark.createDataFrame([(2021, 10**9), (2022, 0), (2021, 0), (2021, (1 << RECORD_BITS) - 1)], "y int, n bigint")
+    assert rows.select(respondent_id(F.col("y"), F.col("n"))).distinct().count() == 4
+    beyond = spark.createDataFrame([(2021, 1 << RECORD_BITS)], "y int, n bigint")
+    with pytest.raises(Exception, match="record number"):
+        beyond.select(respondent_id(F.col("y"), F.col("n"))).collect()
