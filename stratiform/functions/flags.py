@@ -4,103 +4,77 @@ All of these depend only on columns of the same respondent row, so they are
 added as extra columns of one enriched frame instead of separate tables
 joined back on the respondent key (see ``plans.models.enrich``).
 
-Each definition is written once, as SQL expression text: the models add
-them in one ``selectExpr`` per layer, and the ``Column`` builders below wrap
-the same text for use anywhere else.
+The definitions are small rule tables; three builders turn them into columns:
+``first_match`` (ordered categories, an unknown test does not match),
+``indicator`` (0/1, an unknown test is 0) and ``known`` (some input is given).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Diabetes categories, in cascade order (first match wins).
+# Diabetes categories, thresholds and output names.
 INSULIN_DEPENDENT = "Insulin-Dependent Diabetic"
 DIAGNOSED = "Diagnosed Diabetic"
 PREDIABETIC = "Prediabetic"
 NO_DIABETES = "No Diabetes"
 UNKNOWN = "Unknown"
 ANALYSED_CATEGORIES = [DIAGNOSED, INSULIN_DEPENDENT, PREDIABETIC, NO_DIABETES]
-
 HIGH_RISK_SCORE = 3
 POOR_DIET_THRESHOLD = 100
 
-# Diabetes flags.  ``is_prediabetic`` is a three-valued OR: NULL when the
-# status test is false and the prediabetes answer unknown.  In the cascade an
-# unknown (NULL) test counts as not matched.
-DIABETES_FLAGS_SQL = {
-    "is_diagnosed_diabetic": "diabetes_status = 'Diagnosed'",
-    "is_prediabetic": "(diabetes_status = 'Prediabetes' OR has_prediabetes)",
-    "is_insulin_dependent": "takes_insulin = true",
-    "diabetes_category": (
-        f"CASE WHEN diabetes_status = 'Diagnosed' AND takes_insulin = true THEN '{INSULIN_DEPENDENT}' "
-        f"WHEN diabetes_status = 'Diagnosed' THEN '{DIAGNOSED}' "
-        f"WHEN diabetes_status = 'Prediabetes' OR has_prediabetes THEN '{PREDIABETIC}' "
-        f"WHEN diabetes_status = 'No' THEN '{NO_DIABETES}' ELSE '{UNKNOWN}' END"
-    ),
+#: Risk indicators that are one column's value.
+VALUE_INDICATORS = {
+    "obese_flag": ("bmi_category", "Obese"),
+    "hypertension_flag": ("has_hypertension", True),
+    "inactive_flag": ("physical_activity_index", "Inactive"),
+    "no_exercise_flag": ("any_exercise_past_30d", False),
+    "diabetes_flag": ("is_diagnosed_diabetic", True),
 }
+POOR_DIET = "poor_diet_flag"
+NOT_SCORED = {"no_exercise_flag"}
+SCORED_FLAGS = [f for f in (*VALUE_INDICATORS, POOR_DIET) if f not in NOT_SCORED]
+#: The score is unknown only if all inputs of the scored value indicators are;
+#: the diet does not count among them.
+SCORE_INPUTS = [column for name, (column, _) in VALUE_INDICATORS.items() if name not in NOT_SCORED]
 
 
-def risk_flags_sql(poor_diet_threshold: float = POOR_DIET_THRESHOLD) -> dict[str, str]:
-    """The six 0/1 risk indicators (a NULL input gives 0; ``no_exercise_flag``
-    is not part of the score)."""
-    return {
-        "obese_flag": "CASE WHEN bmi_category = 'Obese' THEN 1 ELSE 0 END",
-        "hypertension_flag": "CASE WHEN has_hypertension = true THEN 1 ELSE 0 END",
-        "inactive_flag": "CASE WHEN physical_activity_index = 'Inactive' THEN 1 ELSE 0 END",
-        "no_exercise_flag": "CASE WHEN any_exercise_past_30d = false THEN 1 ELSE 0 END",
-        "diabetes_flag": "CASE WHEN is_diagnosed_diabetic = true THEN 1 ELSE 0 END",
-        "poor_diet_flag": (
-            f"CASE WHEN vegetable_frequency IS NOT NULL AND vegetable_frequency < {poor_diet_threshold!r} "
-            "THEN 1 ELSE 0 END"
-        ),
-    }
-
-
-SCORED_FLAGS = ["obese_flag", "hypertension_flag", "inactive_flag", "diabetes_flag", "poor_diet_flag"]
-# The score is NULL only when all four of these are NULL (the diet input is
-# not checked, so the score is never NULL once the diabetes flag is known).
-SCORE_INPUTS = ["bmi_category", "has_hypertension", "physical_activity_index", "is_diagnosed_diabetic"]
-_ALL_NULL_SQL = " AND ".join(f"{c} IS NULL" for c in SCORE_INPUTS)
-_TOTAL_SQL = " + ".join(SCORED_FLAGS)
-
-
-def score_sql(threshold: int = HIGH_RISK_SCORE) -> dict[str, str]:
-    return {
-        "metabolic_risk_score": f"CASE WHEN {_ALL_NULL_SQL} THEN CAST(NULL AS INT) ELSE {_TOTAL_SQL} END",
-        "high_metabolic_risk": (
-            f"CASE WHEN {_ALL_NULL_SQL} THEN CAST(NULL AS BOOLEAN) ELSE ({_TOTAL_SQL}) >= {int(threshold)} END"
-        ),
-    }
-
-
-SCORE_SQL = score_sql()
-
-
-# ── Column builders over the same definitions ───────────────────────────────
-def is_diagnosed_diabetic() -> Column:
-    return F.expr(DIABETES_FLAGS_SQL["is_diagnosed_diabetic"])
-
-
-def is_prediabetic() -> Column:
-    return F.expr(DIABETES_FLAGS_SQL["is_prediabetic"])
+def first_match(rules: list[tuple[str, Column]], default: str) -> Column:
+    return reduce(lambda rest, rule: F.when(rule[1], F.lit(rule[0])).otherwise(rest), reversed(rules), F.lit(default))
 
 
-def is_insulin_dependent() -> Column:
-    return F.expr(DIABETES_FLAGS_SQL["is_insulin_dependent"])
+def indicator(test: Column) -> Column:
+    return F.coalesce(test.cast("int"), F.lit(0))
 
 
-def diabetes_category() -> Column:
-    return F.expr(DIABETES_FLAGS_SQL["diabetes_category"])
+def known(columns: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in columns])
 
 
-def risk_flag_columns(poor_diet_threshold: float = POOR_DIET_THRESHOLD) -> dict[str, Column]:
-    return {k: F.expr(v) for k, v in risk_flags_sql(poor_diet_threshold).items()}
+def diabetes_flags() -> dict[str, Column]:
+    """The comparisons keep unknown as NULL: either half of the prediabetes
+    test may decide it, and it is NULL if neither does."""
+    status = F.col("diabetes_status")
+    diagnosed, insulin = status == "Diagnosed", F.col("takes_insulin") == F.lit(True)
+    prediabetic = (status == "Prediabetes") | F.col("has_prediabetes")
+    category = first_match(
+        [(INSULIN_DEPENDENT, insulin & diagnosed), (DIAGNOSED, diagnosed), (PREDIABETIC, prediabetic), (NO_DIABETES, status == "No")],
+        UNKNOWN,
+    )
+    return {"is_diagnosed_diabetic": diagnosed, "is_prediabetic": prediabetic, "is_insulin_dependent": insulin, "diabetes_category": category}
 
 
-def metabolic_risk_score() -> Column:
-    return F.expr(SCORE_SQL["metabolic_risk_score"])
+def risk_indicators(poor_diet_threshold: float = POOR_DIET_THRESHOLD) -> dict[str, Column]:
+    out = {name: indicator(F.col(column) == F.lit(value)) for name, (column, value) in VALUE_INDICATORS.items()}
+    return out | {POOR_DIET: indicator(F.col("vegetable_frequency") < poor_diet_threshold)}
 
 
-def high_metabolic_risk(threshold: int = HIGH_RISK_SCORE) -> Column:
-    return F.expr(score_sql(threshold)["high_metabolic_risk"])
+def risk_score(threshold: int = HIGH_RISK_SCORE) -> dict[str, Column]:
+    """The number of scored indicators, and whether it reaches the threshold;
+    both unknown where the score is."""
+    score = F.when(known(SCORE_INPUTS), reduce(add, map(F.col, SCORED_FLAGS)))
+    return {"metabolic_risk_score": score, "high_metabolic_risk": score >= threshold}

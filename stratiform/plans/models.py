@@ -111,7 +111,7 @@ STAGED_COLUMNS = [
 
 # ── intermediate ────────────────────────────────────────────────────────────
 def with_diabetes_flags(staged: DataFrame) -> DataFrame:
-    return staged.selectExpr("*", *[f"{sql} AS {name}" for name, sql in FL.DIABETES_FLAGS_SQL.items()])
+    return staged.withColumns(FL.diabetes_flags())
 
 
 def with_risk(
@@ -119,9 +119,8 @@ def with_risk(
     poor_diet_threshold: float = FL.POOR_DIET_THRESHOLD,
     high_risk_score: int = FL.HIGH_RISK_SCORE,
 ) -> DataFrame:
-    flags = FL.risk_flags_sql(poor_diet_threshold)
-    out = flagged.selectExpr("*", *[f"{sql} AS {name}" for name, sql in flags.items()])
-    return out.selectExpr("*", *[f"{sql} AS {name}" for name, sql in FL.score_sql(high_risk_score).items()])
+    out = flagged.withColumns(FL.risk_indicators(poor_diet_threshold))
+    return out.withColumns(FL.risk_score(high_risk_score))
 
 
 def enrich(staged: DataFrame, poor_diet_threshold: float = FL.POOR_DIET_THRESHOLD) -> DataFrame:

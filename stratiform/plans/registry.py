@@ -22,7 +22,7 @@ from stratiform.operators.weights import survey_weights
 from stratiform.plans import models as M
 from stratiform.plans.frame import raw_frame, read_table
 from stratiform.plans import suites as S
-from stratiform.plans.oracle import DECODED_SELECT, prevalence_sql, with_survey
+from stratiform.plans.oracle import DECODED_SELECT, prevalence_sql, shares, with_survey
 from stratiform.schema import WEIGHT, YEAR
 from stratiform.sources.ingest import project_allowlist, unify_years
 from stratiform.sources import landing
@@ -40,6 +40,10 @@ TREND_MIN_CELL = 20
 PERCENTILES = (0.5, 0.9, 0.99)
 WINSOR_P = 0.99
 DROPPED_YEAR = 2022  # the yearly file that lacks prediab2 in ``union_years``
+DROPPED_COLUMN, ABSENT_YEAR = "diabete4", 2099  # for ``check_requested_years``
+EXTREME_FACTOR = 1.5  # met by some weights of the derived frame, not by all
+NARROW_RANGE = (0.115, 0.119)  # one year meets it
+NULL_GROUPS_SQL = "SELECT event_id, value, CASE WHEN event_id % 7 <> 0 THEN event_type END AS grp FROM events"
 
 
 # ── shared builders ─────────────────────────────────────────────────────────
@@ -301,6 +305,64 @@ def q_assert_weights_sum(spark, sf):
     return M.weights_outside(staged(spark, sf), *WEIGHT_POPULATION_RANGE)
 
 
+def q_assert_prevalence_narrow(spark, sf):
+    """A range that some years meet and some miss."""
+    prev = M.prevalence(enriched(spark, sf), strata=M.STATE_YEAR, min_cell=M.MIN_CELL, sort=False)
+    return M.prevalence_outside(prev, *NARROW_RANGE)
+
+
+def q_extreme_weights(spark, sf):
+    return survey_weights(staged(spark, sf), extreme_factor=EXTREME_FACTOR)
+
+
+def q_fct_prevalence_small_cells(spark, sf):
+    """The full strata with a limit that part of the cells reach."""
+    return M.prevalence(enriched(spark, sf), min_cell=5)
+
+
+def q_text_sha256(spark, sf):
+    return read_table(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("text_sha256"))
+
+
+def _null_groups(spark, sf):
+    grp = F.when(F.col("event_id") % 7 != 0, F.col("event_type")).alias("grp")
+    return read_table(spark, sf, "events").select("event_id", "value", grp)
+
+
+def q_percentile_null_group(spark, sf):
+    out = percentile_cont_by(_null_groups(spark, sf), ["grp"], "value", WINSOR_P, out_col="p99")
+    return out.select("grp", F.round("p99", 6).alias("p99"))
+
+
+def q_winsorize_null_group(spark, sf):
+    out = winsorize(_null_groups(spark, sf), "value", WINSOR_P, out_col="winsorized_value", by=["grp"])
+    return out.select("event_id", "grp", F.round("winsorized_value", 6).alias("winsorized_value"))
+
+
+def _best_toxic(spark, sf):
+    """One row a language and source; those without a toxic document have NULL."""
+    docs = read_table(spark, sf, "documents").select("doc_id", "lang", "source")
+    labels = read_table(spark, sf, "labels").select(F.col("doc_id").alias("labelled"), "toxic")
+    best = F.max(F.when(F.col("toxic") == 1, F.col("labelled"))).alias("best")
+    return docs.join(labels, F.col("doc_id") == F.col("labelled"), "left").groupBy("lang", "source").agg(best)
+
+
+def q_order_nulls_last(spark, sf):
+    order = [F.col("best").asc_nulls_last(), F.col("lang"), F.col("source")]
+    return dense_row_id(_best_toxic(spark, sf), order, "place").withColumn("place", F.col("place").cast("bigint"))
+
+
+def q_order_mixed(spark, sf):
+    order = [F.col("lang").asc_nulls_last(), F.col("best").desc_nulls_last(), F.col("source")]
+    return dense_row_id(_best_toxic(spark, sf), order, "place").withColumn("place", F.col("place").cast("bigint"))
+
+
+def q_check_requested_years(spark, sf):
+    """A requested year without rows, and a year whose file lacked a column."""
+    years = [(y,) for y in (*S.DEFAULT_YEARS, ABSENT_YEAR)]
+    return run_expectations(raw_frame(spark, sf), S.raw_expectations(), by=[YEAR], groups=years, absent=[(DROPPED_YEAR, DROPPED_COLUMN)])
+
+
 def q_rows_by_year(spark, sf):
     return M.rows_by_year(raw_frame(spark, sf))
 
@@ -388,6 +450,15 @@ QUERIES: dict[str, Query] = {
     "weight_millions": q_weight_millions,
     "union_years": q_union_years,
     "check_raw_expectations": q_check_raw_expectations,
+    "check_requested_years": q_check_requested_years,
+    "assert_prevalence_narrow": q_assert_prevalence_narrow,
+    "extreme_weights": q_extreme_weights,
+    "fct_prevalence_small_cells": q_fct_prevalence_small_cells,
+    "text_sha256": q_text_sha256,
+    "percentile_null_group": q_percentile_null_group,
+    "winsorize_null_group": q_winsorize_null_group,
+    "order_nulls_last": q_order_nulls_last,
+    "order_mixed": q_order_mixed,
     "check_model_tests": q_check_model_tests,
     "landing_manifest": q_landing_manifest,
     "check_events_expectations": q_check_events_expectations,
@@ -412,12 +483,38 @@ def _sql() -> dict[str, str]:
     pct_names = ", ".join(
         f"round(quantile_cont(value, {p}), 6) AS p{int(round(p * 100))}" for p in PERCENTILES
     )
+    shown = "FILTER (WHERE weighted_diabetes_prevalence IS NOT NULL)"
     national = f"""
-  SELECT survey_year,
-    sum(CASE WHEN weighted_diabetes_prevalence IS NOT NULL THEN weighted_n_diabetic ELSE 0 END)
-      / nullif(sum(CASE WHEN weighted_diabetes_prevalence IS NOT NULL THEN weighted_n_total ELSE NULL END), 0)
-      AS national_weighted_prevalence
+  SELECT survey_year, coalesce(sum(weighted_n_diabetic) {shown}, 0) / nullif(sum(weighted_n_total) {shown}, 0)
+    AS national_weighted_prevalence
   FROM prev GROUP BY survey_year"""
+
+    def outside(low: float, high: float) -> str:
+        return f""", prev AS ({_state_year_prev()}), nat AS ({national})
+SELECT survey_year, round(100 * national_weighted_prevalence, 2) AS prevalence_pct
+FROM nat WHERE national_weighted_prevalence < {low} OR national_weighted_prevalence > {high}"""
+
+    risk_shares = shares({
+        "pct_obese": "obese_flag = 1", "pct_hypertensive": "hypertension_flag = 1", "pct_inactive": "inactive_flag = 1",
+        "pct_no_exercise": "no_exercise_flag = 1", "pct_poor_diet": "poor_diet_flag = 1",
+        "pct_high_metabolic_risk": "high_metabolic_risk",
+    })
+    state_shares = shares({
+        "pct_diagnosed_diabetic": "is_diagnosed_diabetic", "pct_prediabetic": "is_prediabetic",
+        "pct_insulin_dependent": "is_insulin_dependent", "pct_obese": "bmi_category = 'Obese'",
+        "pct_overweight_or_obese": "bmi_category IN ('Obese', 'Overweight')", "pct_hypertensive": "has_hypertension",
+        "pct_coronary_heart_disease": "has_coronary_heart_disease", "pct_any_exercise": "any_exercise_past_30d",
+        "pct_inactive": "physical_activity_index = 'Inactive'", "pct_high_metabolic_risk": "high_metabolic_risk",
+    })
+
+    def weights(factor: float) -> str:
+        return f"""
+SELECT respondent_id, survey_year, state_fips, state_abbr, llcpwt, ststr, psu,
+       llcpwt / sum(llcpwt) OVER y * count(*) OVER y AS normalized_weight,
+       count(*) OVER y AS year_n_respondents, sum(llcpwt) OVER y AS year_total_weight,
+       llcpwt > sum(llcpwt) OVER y / count(*) OVER y * {factor} AS is_extreme_weight
+FROM stg WINDOW y AS (PARTITION BY survey_year)"""
+
     return {
         "weighted_proportion": f"""
 SELECT l_returnflag, l_linestatus, CAST(year(l_shipdate) AS INTEGER) AS ship_year,
@@ -493,64 +590,51 @@ SELECT s.respondent_id, s.diabetes_status, s.has_prediabetes, s.takes_insulin, f
 FROM stg s JOIN flags f USING (respondent_id)"""),
         "risk_score": with_survey("SELECT * FROM risk"),
         "risk_score_joined": with_survey("SELECT * FROM risk"),
-        "normalized_weights": with_survey("""
-, yt AS (SELECT survey_year, count(*) AS n_respondents, sum(llcpwt) AS total_weight FROM stg GROUP BY survey_year)
-SELECT s.respondent_id, s.survey_year, s.state_fips, s.state_abbr, s.llcpwt, s.ststr, s.psu,
-       s.llcpwt / y.total_weight * y.n_respondents AS normalized_weight,
-       y.n_respondents AS year_n_respondents, y.total_weight AS year_total_weight,
-       s.llcpwt > (y.total_weight / y.n_respondents * 20) AS is_extreme_weight
-FROM stg s JOIN yt y USING (survey_year)"""),
+        "normalized_weights": with_survey(weights(20)),
+        "extreme_weights": with_survey(weights(EXTREME_FACTOR)),
+        "fct_prevalence_small_cells": with_survey(prevalence_sql(M.PREVALENCE_STRATA, 5)),
         "fct_prevalence": with_survey(prevalence_sql(M.PREVALENCE_STRATA, M.MIN_CELL)),
         "small_cell_suppression": with_survey(_state_year_prev()),
-        "fct_risk_factors": with_survey("""
-SELECT survey_year, diabetes_category, count(*) AS unweighted_n, sum(llcpwt) AS weighted_n,
-  sum(CASE WHEN obese_flag = 1 THEN llcpwt ELSE 0 END) / nullif(sum(llcpwt), 0) AS pct_obese,
-  sum(CASE WHEN hypertension_flag = 1 THEN llcpwt ELSE 0 END) / nullif(sum(llcpwt), 0) AS pct_hypertensive,
-  sum(CASE WHEN inactive_flag = 1 THEN llcpwt ELSE 0 END) / nullif(sum(llcpwt), 0) AS pct_inactive,
-  sum(CASE WHEN no_exercise_flag = 1 THEN llcpwt ELSE 0 END) / nullif(sum(llcpwt), 0) AS pct_no_exercise,
-  sum(CASE WHEN poor_diet_flag = 1 THEN llcpwt ELSE 0 END) / nullif(sum(llcpwt), 0) AS pct_poor_diet,
-  sum(CASE WHEN high_metabolic_risk = TRUE THEN llcpwt ELSE 0 END) / nullif(sum(llcpwt), 0)
-    AS pct_high_metabolic_risk,
-  sum(metabolic_risk_score * llcpwt)
-    / nullif(sum(CASE WHEN metabolic_risk_score IS NOT NULL THEN llcpwt END), 0) AS mean_metabolic_risk_score
-FROM enriched
-WHERE diabetes_category IN ('Diagnosed Diabetic', 'Insulin-Dependent Diabetic', 'Prediabetic', 'No Diabetes')
-GROUP BY survey_year, diabetes_category"""),
-        "fct_state_year": with_survey("""
+        "fct_risk_factors": with_survey(f"""
+SELECT survey_year, diabetes_category, count(*) AS unweighted_n, sum(llcpwt) AS weighted_n, {risk_shares},
+  sum(llcpwt * metabolic_risk_score) / nullif(sum(llcpwt) FILTER (WHERE metabolic_risk_score IS NOT NULL), 0)
+    AS mean_metabolic_risk_score
+FROM enriched WHERE diabetes_category <> 'Unknown' GROUP BY ALL"""),
+        "fct_state_year": with_survey(f"""
 SELECT survey_year, state_fips, state_abbr, state_name, count(*) AS unweighted_n,
-  sum(llcpwt) AS estimated_adult_population,
-  sum(CASE WHEN is_diagnosed_diabetic = TRUE THEN llcpwt ELSE 0 END) / nullif(sum(llcpwt), 0) AS pct_diagnosed_diabetic,
-  sum(CASE WHEN is_prediabetic = TRUE THEN llcpwt ELSE 0 END) / nullif(sum(llcpwt), 0) AS pct_prediabetic,
-  sum(CASE WHEN is_insulin_dependent = TRUE THEN llcpwt ELSE 0 END) / nullif(sum(llcpwt), 0) AS pct_insulin_dependent,
-  sum(CASE WHEN bmi_category = 'Obese' THEN llcpwt ELSE 0 END) / nullif(sum(llcpwt), 0) AS pct_obese,
-  sum(CASE WHEN bmi_category IN ('Overweight', 'Obese') THEN llcpwt ELSE 0 END) / nullif(sum(llcpwt), 0)
-    AS pct_overweight_or_obese,
-  sum(CASE WHEN has_hypertension = TRUE THEN llcpwt ELSE 0 END) / nullif(sum(llcpwt), 0) AS pct_hypertensive,
-  sum(CASE WHEN has_coronary_heart_disease = TRUE THEN llcpwt ELSE 0 END) / nullif(sum(llcpwt), 0)
-    AS pct_coronary_heart_disease,
-  sum(CASE WHEN any_exercise_past_30d = TRUE THEN llcpwt ELSE 0 END) / nullif(sum(llcpwt), 0) AS pct_any_exercise,
-  sum(CASE WHEN physical_activity_index = 'Inactive' THEN llcpwt ELSE 0 END) / nullif(sum(llcpwt), 0) AS pct_inactive,
-  sum(CASE WHEN high_metabolic_risk = TRUE THEN llcpwt ELSE 0 END) / nullif(sum(llcpwt), 0) AS pct_high_metabolic_risk
-FROM enriched GROUP BY survey_year, state_fips, state_abbr, state_name"""),
+  sum(llcpwt) AS estimated_adult_population, {state_shares}
+FROM enriched GROUP BY ALL"""),
         "trend_by_group": with_survey(f""", prev AS ({prevalence_sql(TREND_STRATA, TREND_MIN_CELL)})
-SELECT survey_year, race_ethnicity,
-       round(sum(weighted_n_diabetic) / nullif(sum(weighted_n_total), 0) * 100, 1) AS diabetes_pct,
-       CAST(sum(unweighted_n) AS BIGINT) AS n_respondents
-FROM prev WHERE weighted_diabetes_prevalence IS NOT NULL
-GROUP BY survey_year, race_ethnicity"""),
+SELECT survey_year, race_ethnicity, round(100 * sum(weighted_n_diabetic) / nullif(sum(weighted_n_total), 0), 1)
+         AS diabetes_pct, CAST(sum(unweighted_n) AS BIGINT) AS n_respondents
+FROM prev WHERE weighted_diabetes_prevalence IS NOT NULL GROUP BY ALL"""),
         "ratio_of_sums": with_survey(f", prev AS ({_state_year_prev()})\n{national}"),
         "national_prevalence_pct": with_survey(f""", prev AS ({_state_year_prev()})
-SELECT survey_year, round(sum(weighted_n_diabetic) / nullif(sum(weighted_n_total), 0) * 100, 2)
-         AS national_prevalence_pct,
-       CAST(sum(unweighted_n) AS BIGINT) AS n_respondents
-FROM prev WHERE weighted_diabetes_prevalence IS NOT NULL GROUP BY survey_year"""),
-        "assert_prevalence_reasonable": with_survey(f""", prev AS ({_state_year_prev()}),
-nat AS ({national})
-SELECT survey_year, round(national_weighted_prevalence * 100, 2) AS prevalence_pct
-FROM nat WHERE national_weighted_prevalence NOT BETWEEN {plo} AND {phi}"""),
+SELECT survey_year, round(100 * sum(weighted_n_diabetic) {shown} / nullif(sum(weighted_n_total) {shown}, 0), 2)
+         AS national_prevalence_pct, CAST(sum(unweighted_n) {shown} AS BIGINT) AS n_respondents
+FROM prev GROUP BY survey_year HAVING count(weighted_diabetes_prevalence) > 0"""),
+        "assert_prevalence_reasonable": with_survey(outside(plo, phi)),
+        "assert_prevalence_narrow": with_survey(outside(*NARROW_RANGE)),
         "assert_weights_sum": with_survey(f"""
-SELECT survey_year, round(sum(llcpwt) / 1e6, 1) AS total_weight_millions, count(*) AS n_respondents
-FROM stg GROUP BY survey_year HAVING sum(llcpwt) NOT BETWEEN {wlo} AND {whi}"""),
+SELECT * FROM (SELECT survey_year, round(sum(llcpwt) / 1e6, 1) AS total_weight_millions, count(*) AS n_respondents,
+                      sum(llcpwt) < {wlo} OR sum(llcpwt) > {whi} AS off FROM stg GROUP BY survey_year) t WHERE off"""
+                                          .replace("SELECT * FROM", "SELECT * EXCLUDE (off) FROM", 1)),
+        "text_sha256": "SELECT doc_id, sha256(text) AS text_sha256 FROM documents",
+        "percentile_null_group": f"""
+SELECT grp, round(quantile_cont(value, {WINSOR_P}), 6) AS p99 FROM ({NULL_GROUPS_SQL}) e GROUP BY grp""",
+        "winsorize_null_group": f"""
+WITH e AS ({NULL_GROUPS_SQL}), q AS (SELECT grp, quantile_cont(value, {WINSOR_P}) AS cap FROM e GROUP BY grp)
+SELECT e.event_id, e.grp, round(least(e.value, q.cap), 6) AS winsorized_value
+FROM e LEFT JOIN q ON e.grp IS NOT DISTINCT FROM q.grp""",
+        "order_nulls_last": """
+SELECT lang, source, best, row_number() OVER (ORDER BY best ASC NULLS LAST, lang, source) AS place FROM (
+  SELECT d.lang, d.source, max(CASE WHEN l.toxic = 1 THEN l.doc_id END) AS best
+  FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY ALL) t""",
+        "order_mixed": """
+SELECT lang, source, best, row_number() OVER (ORDER BY lang ASC NULLS LAST, best DESC NULLS LAST, source) AS place FROM (
+  SELECT d.lang, d.source, max(CASE WHEN l.toxic = 1 THEN l.doc_id END) AS best
+  FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY ALL) t""",
+        "check_requested_years": _requested_years_sql(),
         "rows_by_year": with_survey("SELECT survey_year, count(*) AS n_rows FROM raw GROUP BY survey_year"),
         "weight_millions": with_survey("""
 SELECT survey_year, round(sum(llcpwt) / 1e6, 1) AS total_weight_millions, count(*) AS n_respondents
@@ -568,6 +652,18 @@ SELECT respondent_id, survey_year, diabete4, prediab2, llcpwt FROM (
     }
 
 
+def _requested_years_sql() -> str:
+    """The suite with a year that is not there and a year without a column."""
+    gone = f"survey_year = {DROPPED_YEAR} AND column_name = '{DROPPED_COLUMN}'"
+    body = _expectations_body("raw", "survey_year", S.raw_expectations(), set(RAW_FRAME_COLUMNS))
+    return f"""SELECT survey_year, check_name, kind, column_name,
+  CASE WHEN {gone} THEN if(kind = 'column_exists', 0.0, NULL) ELSE observed END AS observed,
+  threshold, passed AND NOT coalesce({gone}, FALSE) AS passed, severity FROM ({with_survey(body)}) b
+UNION ALL SELECT {ABSENT_YEAR}, check_name, kind, column_name,
+  CASE kind WHEN 'row_count_between' THEN 0.0 WHEN 'column_exists' THEN 1.0 END, threshold,
+  kind <> 'row_count_between', severity FROM ({with_survey(body)}) c WHERE survey_year = {DROPPED_YEAR}"""
+
+
 def _sql_str(v) -> str:
     return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
 
