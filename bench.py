@@ -87,10 +87,7 @@ def main() -> None:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.local.dir", scratch)
-        # Wide decode stages: fall back to per-operator code rather than run a
-        # whole-stage method too large for HotSpot to JIT (see session.py).
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -96,6 +96,14 @@ def code_sql(c: str) -> str:
     return f"try_cast(rint({_ident(c)}) AS INT)"
 
 
+def code_apart_sql(c: str) -> str:
+    """``code_sql`` through a lambda.  Spark does not fuse a projection with a
+    lambda into the scan's whole-stage method but compiles it in small
+    methods; for dozens of lookups that keeps each below the size that the
+    JVM compiles to machine code."""
+    return f"get(transform(array({_ident(c)}), x -> try_cast(rint(x) AS INT)), 0)"
+
+
 def as_code(c: Column | str) -> Column:
     """Double code -> INT, rounding half to even; NULL for NULL or out of range."""
     if isinstance(c, str):
@@ -108,11 +116,21 @@ def codebook_sql(codebook: Mapping[int, Any]) -> str:
     return "map(" + ", ".join(f"{k}, {_sql_lit(v)}" for k, v in codebook.items()) + ")"
 
 
+def lookup_sql(code: str, codebook: Mapping[int, Any]) -> str:
+    """The label of a code.  Codes of a narrow range index a literal array, a
+    bounds test and a load in generated code; others look up a literal map."""
+    low, high = min(codebook), max(codebook)
+    if high - low > 64:
+        return f"element_at({codebook_sql(codebook)}, {code})"
+    labels = ", ".join(_sql_lit(codebook.get(k)) for k in range(low, high + 1))
+    return f"get(array({labels}), {code} - {low})" if low else f"get(array({labels}), {code})"
+
+
 def decode_sql(c: str, codebook: Mapping[int, Any], default: Any = None) -> str:
     """SQL text of ``decode`` for a column name (for bulk ``selectExpr``)."""
     if not codebook:
         raise ValueError("empty codebook")
-    expr = f"element_at({codebook_sql(codebook)}, {code_sql(c)})"
+    expr = lookup_sql(code_sql(c), codebook)
     return f"coalesce({expr}, {_sql_lit(default)})" if default is not None else expr
 
 

@@ -11,8 +11,8 @@
    partitions;
 3. count rows per partition -- one row per partition, collected (bounded by
    the partition count, not by the data);
-4. number = offset of the partition + in-partition ordinal + 1, a pure
-   projection.
+4. number = offset of the partition + in-partition ordinal + 1, looked up in
+   the broadcast table of offsets.
 
 ``order_cols`` must be a total order (unique) for the result to be
 deterministic; ties are broken by the input order of the range shuffle.
@@ -32,24 +32,10 @@ _TAG = "__sf_mono"
 _TIE = "__sf_tie"
 
 
-# Above this many partitions the offsets are joined as a broadcast table
-# (size bounded by the partition count) instead of an array literal.
-MAX_LITERAL_OFFSETS = 4096
-
-
 def _partition_count(df: DataFrame, num_partitions: int | None) -> int:
-    """Explicit count, else max(input partitions, shuffle partitions).
-
-    The input's partition count follows its size (file splits), so range
-    partitions stay about split-sized as the data grows.
-    """
-    if num_partitions:
-        return num_partitions
-    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    try:
-        return max(shuffle, df.rdd.getNumPartitions())
-    except Exception:  # noqa: BLE001 - planning-only probe
-        return shuffle
+    """Explicit count, else the session's shuffle partitions (which the user
+    sizes with the data); the input's plan is not probed."""
+    return num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def ranged_with_ordinals(
@@ -57,7 +43,7 @@ def ranged_with_ordinals(
 ) -> tuple[DataFrame, list[int]]:
     """Range-partitioned, sorted, checkpointed frame + per-partition start offsets.
 
-    The returned frame has a hidden ``__sf_mono`` column; ``global_ordinal``
+    The returned frame has a hidden ``__sf_mono`` column; ``with_global_ordinal``
     turns it into a 0-based global position.
     """
     n = _partition_count(df, num_partitions)
@@ -76,24 +62,10 @@ def ranged_with_ordinals(
     return ranged, offsets
 
 
-def global_ordinal(offsets: list[int]) -> Column:
-    """0-based global position from the hidden tag and the partition offsets
-    (offsets as an array literal; ``with_global_ordinal`` handles many)."""
-    starts = "array(" + ", ".join(f"{o}L" for o in (offsets[:-1] or [0])) + ")"
-    pid = f"CAST(shiftright({_TAG}, {_ORDINAL_BITS}) AS INT)"
-    ordinal = f"({_TAG} & {(1 << _ORDINAL_BITS) - 1}L)"
-    return F.expr(f"element_at({starts}, {pid} + 1) + {ordinal}")
-
-
 def with_global_ordinal(ranged: DataFrame, offsets: list[int], out_col: str) -> DataFrame:
-    """Add the 0-based global position as ``out_col``.
-
-    Few partitions: an array literal lookup (pure projection).  Many: a join
-    to a (partition id, offset) table, broadcast -- its size is the partition
-    count, not the data size.
-    """
-    if len(offsets) - 1 <= MAX_LITERAL_OFFSETS:
-        return ranged.withColumn(out_col, global_ordinal(offsets))
+    """Add the 0-based global position as ``out_col``: a join to the table of
+    (partition id, offset), broadcast -- its size is the partition count, not
+    the data size."""
     spark = ranged.sparkSession
     table = spark.createDataFrame([(i, o) for i, o in enumerate(offsets[:-1])], "__sf_pid int, __sf_off bigint")
     tag = F.col(_TAG)

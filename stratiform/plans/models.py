@@ -67,7 +67,7 @@ def decoded_columns(poor_diet_cols: bool = True) -> list[str]:
         cols += [
             f"{D.code_sql('fruit2')} AS fruit_frequency",
             f"{D.code_sql('fruitju2')} AS fruit_juice_frequency",
-            f"{D.code_sql('vegetab2')} AS vegetable_frequency",
+            f"{D.code_apart_sql('vegetab2')} AS vegetable_frequency",
         ]
     return cols
 

@@ -7,13 +7,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-# Runtime SQL settings the survey plans want.  The decode stages are wide
-# (dozens of codebook lookups fused with the scan and the state join); a
-# whole-stage method above HotSpot's 8000-byte JIT limit runs interpreted,
-# so such stages fall back to per-operator code instead (measured at sf0.1:
-# staging 6 s -> 1.2 s).
+# Runtime SQL settings that suit large scans.
 RECOMMENDED_SQL_CONF = {
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split-sized scan tasks and post-shuffle partitions for yearly files of
@@ -23,7 +18,6 @@ RECOMMENDED_SQL_CONF = {
 }
 # Spark's own defaults: a key still at its default counts as "not set".
 _SPARK_DEFAULTS = {
-    "spark.sql.codegen.hugeMethodLimit": {"65535"},
     "spark.sql.files.maxPartitionBytes": {"134217728b", "128MB", "134217728"},
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": {"64MB", "67108864b", "67108864"},
 }
@@ -54,7 +48,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.sql.codegen.hugeMethodLimit", RECOMMENDED_SQL_CONF["spark.sql.codegen.hugeMethodLimit"])
         .getOrCreate()
     )
 

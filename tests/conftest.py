@@ -28,7 +28,6 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.local.dir", scratch)
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -94,7 +94,6 @@ def test_staging_without_key_uses_dense_row_id(spark):
 def test_dense_row_id_with_offsets_table(spark, monkeypatch):
     import stratiform.operators.keys as K
 
-    monkeypatch.setattr(K, "MAX_LITERAL_OFFSETS", 2)
     df = spark.range(0, 3000).select((F.col("id") * 7 % 3000).alias("k"))
     ids = dense_row_id(df, ["k"], num_partitions=9).orderBy("k").collect()
     assert [r.row_id for r in ids] == list(range(1, 3001))
@@ -124,7 +123,6 @@ def test_tune_session_keeps_user_settings(spark):
     try:
         tune_session(spark)
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "32MB"
-        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
         spark.conf.set("spark.sql.adaptive.enabled", "false")
         tune_session(spark)
         assert spark.conf.get("spark.sql.adaptive.enabled") == "false"
