@@ -8,19 +8,20 @@ bins, Wald-Wolfowitz runs about the middle, and lag-one serial correlation.
 Fisher's method joins the three p-values into one score; near 0 is random.
 
 Which scores are random enough is decided with false-discovery control per
-length class, because short runs give the tests little power.  The null
-distribution is taken from the corpus itself: every document gives one decoy,
-words of its prose joined to a run of a given length.  The threshold of a
-class is the lowest score at which the expected share of decoy-like runs among
-the accepted ones is at most ``FALSE_SHARE``.  Only counts by class and score
-bin reach the driver.
+length class and encoding, because short runs and small alphabets give the
+tests little power.  The null distribution is taken from the corpus itself:
+every document gives one decoy of each length class, its prose joined to one
+run and tested in one of the alphabets.  The threshold of a stratum is the
+lowest score at which the expected share of decoy-like runs among the accepted
+ones is at most ``FALSE_SHARE``.  Only counts by stratum and score bin reach
+the driver.
 
 ``scan`` gives spans per document, ``redact`` replaces them in the text; both
 are one pass without a shuffle.
 
 Defined cases: null text is empty and has no spans; equal rows each get theirs;
 a base span is never dropped, and a candidate that touches one is not added
-again; with no decoys of a class none of its candidates is accepted.
+again; with too few decoys in a stratum none of its candidates is accepted.
 """
 
 from __future__ import annotations
@@ -62,16 +63,17 @@ ENCODINGS = (
     ("base64url", _UPPER + _LOWER + _DIGIT + "-_"),
     ("any", _UPPER + _LOWER + _DIGIT + "+/-_"),
 )
-_PLACES = [(name, {c: i for i, c in enumerate(letters)}) for name, letters in ENCODINGS]
+_PLACES = [{c: i for i, c in enumerate(letters)} for _, letters in ENCODINGS]
 
 _IS_HEX, _IS_RUN = np.zeros(256, bool), np.zeros(256, bool)
 _IS_HEX[[ord(c) for c in _DIGIT + "abcdef"]] = True
 _IS_RUN[[ord(c) for c in ENCODINGS[-1][1]]] = True
 
 
-def encoding_of(run: str) -> tuple[str, dict[str, int]]:
+def encoding_of(run: str) -> int:
+    """The first encoding that has all characters of the run."""
     used = set(run)
-    return next((name, places) for name, places in _PLACES if used <= places.keys())
+    return next(i for i, places in enumerate(_PLACES) if used <= places.keys())
 
 
 def _normal_tail(z: float) -> float:
@@ -84,12 +86,12 @@ def _chi2_tail(x: float, df: int) -> float:
     return max(0.5 * math.erfc(z / math.sqrt(2)), 1e-300)
 
 
-def battery(run: str) -> tuple[str, float, float, float]:
-    """Encoding and p-values: uniformity, runs, serial correlation."""
-    name, places = encoding_of(run)
+def battery(run: str, encoding: int) -> tuple[float, float, float]:
+    """p-values: uniformity, runs, serial correlation."""
+    places = _PLACES[encoding]
     at = [places[c] for c in run]
     n, size = len(at), len(places)
-    bins = max(2, min(size, n // 5))
+    bins = max(2, min(size, n // 2))
     counts = Counter(a * bins // size for a in at)
     expected = Counter(a * bins // size for a in range(size))
     chi = sum((counts[b] - n * e / size) ** 2 / (n * e / size) for b, e in expected.items())
@@ -107,18 +109,19 @@ def battery(run: str) -> tuple[str, float, float, float]:
     centre = sum(at) / n
     spread = sum((a - centre) ** 2 for a in at)
     serial = _normal_tail(sum((a - centre) * (b - centre) for a, b in zip(at, at[1:])) / spread * math.sqrt(n)) if spread else 1e-300
-    return name, uniform, changes, serial
+    return uniform, changes, serial
 
 
-def score(run: str) -> float:
+def score(run: str, encoding: int | None = None) -> float:
     """log10 of the joint p-value, at most 0; lower is less random."""
-    _, *p = battery(run)
+    p = battery(run, encoding_of(run) if encoding is None else encoding)
     x = -sum(math.log(v) for v in p)  # half of Fisher's statistic, 6 degrees of freedom
     return max(-20.0, (math.log(1 + x + x * x / 2) - x) / math.log(10)) if x < 600 else -20.0
 
 
-def length_class(n: int) -> int:
-    return sum(n >= least for least in LENGTH_CLASSES) - 1
+def stratum(length: int, encoding: int) -> int:
+    """Length class and encoding, within which runs and decoys are compared."""
+    return (sum(length >= least for least in LENGTH_CLASSES) - 1) * len(ENCODINGS) + encoding
 
 
 def base_spans(text: str, hex_runs: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
@@ -132,14 +135,20 @@ def base_spans(text: str, hex_runs: list[tuple[int, int]]) -> list[tuple[int, in
     return sorted(out)
 
 
-def decoy(text: str) -> str | None:
-    """Prose of the document joined to one run; place and length follow from
-    the text's length."""
-    n = len(text)
-    length = LENGTH_CLASSES[n % len(LENGTH_CLASSES)] + n // 7 % 8
-    at = n * 37 % 101 * n // 101
-    prose = "".join(re.findall("[A-Za-z]+", text[at : at + 3 * length + 40]))[:length]
-    return prose if len(prose) == length else None
+def decoys(text: str) -> list[tuple[int, str]]:
+    """(encoding, run) of each length class: prose of the document as it would
+    be typed in an encoding's letters.  Place, length and encoding follow from
+    the text's length, so the corpus covers all encodings."""
+    n, out = len(text), []
+    for nth, least in enumerate(LENGTH_CLASSES) if n >= LEAST_RUN else ():
+        encoding, length, at = (n + 2 * nth) % len(ENCODINGS), least + n // 7 % 4, (n * 37 + least * 59) % 101 * n // 101
+        letters, prose = ENCODINGS[encoding][1], text[at : at + 10 * length + 40]
+        prose = prose if "a" in letters and "Z" in letters else prose.lower() if "a" in letters else prose.upper()
+        run = "".join(re.findall("[A-Za-z]+", prose))
+        run = "".join(filter(_PLACES[encoding].__contains__, run[: 10 * length]))[:length]
+        if len(run) == length:
+            out.append((encoding, run))
+    return out
 
 
 def _runs(data: np.ndarray, offsets: np.ndarray, member: np.ndarray, least: int):
@@ -177,34 +186,33 @@ def findings(column: pa.Array):
             yield text, base, [(a, b, text[a:b]) for a, b in runs]
 
 
-_SCANNED = "doc_id long, base array<struct<start:long,kind:int,end:long>>, runs array<struct<start:long,end:long,cls:int,score:double>>, decoy struct<cls:int,score:double>"
+_SCANNED = "doc_id long, base array<struct<start:long,kind:int,end:long>>, runs array<struct<start:long,end:long,cls:int,score:double>>, decoys array<struct<cls:int,score:double>>"
 
 
 def scan_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Base spans, scored candidates and the decoy of every row."""
+    """Base spans, scored candidates and decoys of every row."""
 
     def run(batches):
-        types = [pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("cls", pa.int32()), ("score", pa.float64())])), pa.struct([("cls", pa.int32()), ("score", pa.float64())])]
+        types = [pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("cls", pa.int32()), ("score", pa.float64())])), pa.list_(pa.struct([("cls", pa.int32()), ("score", pa.float64())]))]
         for batch in batches:
-            base, runs, decoys = [], [], []
+            base, runs, null = [], [], []
             for text, spans, candidates in findings(batch.column(1)):
                 base.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
-                runs.append([{"start": a, "end": b, "cls": length_class(b - a), "score": score(s)} for a, b, s in candidates])
-                prose = decoy(text)
-                decoys.append({"cls": length_class(len(prose)), "score": score(prose)} if prose else None)
-            yield pa.record_batch([batch.column(0), *(pa.array(c, t) for c, t in zip((base, runs, decoys), types))], names=["doc_id", "base", "runs", "decoy"])
+                runs.append([{"start": a, "end": b, "cls": stratum(b - a, encoding_of(s)), "score": score(s)} for a, b, s in candidates])
+                null.append([{"cls": stratum(len(d), e), "score": score(d, e)} for e, d in decoys(text)])
+            yield pa.record_batch([batch.column(0), *(pa.array(c, t) for c, t in zip((base, runs, null), types))], names=["doc_id", "base", "runs", "decoys"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, _SCANNED)
 
 
 def thresholds(scanned: DataFrame, false_share: float = FALSE_SHARE) -> dict[int, float]:
-    """Least accepted score by length class; a class without one is absent."""
+    """Least accepted score by stratum; one that accepts none is absent."""
     slot = F.least(F.floor(-F.col("score") * (_BINS / 20)), F.lit(_BINS - 1))
     runs = scanned.select(F.explode("runs").alias("r")).select("r.cls", "r.score", F.lit(0).alias("decoy"))
-    decoys = scanned.where("decoy IS NOT NULL").select("decoy.cls", "decoy.score", F.lit(1).alias("decoy"))
-    counts = runs.union(decoys).groupBy("cls", "decoy", slot.cast("int").alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()
+    null = scanned.select(F.explode("decoys").alias("r")).select("r.cls", "r.score", F.lit(1).alias("decoy"))
+    counts = runs.union(null).groupBy("cls", "decoy", slot.cast("int").alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()
     out = {}
-    for cls in range(len(LENGTH_CLASSES)):
+    for cls in {r["cls"] for r in counts}:
         tally = np.zeros((2, _BINS))
         for r in counts:
             if r["cls"] == cls:
@@ -233,7 +241,7 @@ def redact(docs: DataFrame, least: dict[int, float], mark: str = "[SECRET]", tex
     at = docs.columns.index(text_col)
 
     def clean(text: str, base, runs) -> str:
-        spans = [(a, b) for a, _, b in base] + [(a, b) for a, b, s in runs if (c := length_class(b - a)) in least and score(s) > least[c]]
+        spans = [(a, b) for a, _, b in base] + [(a, b) for a, b, s in runs if (c := stratum(b - a, encoding_of(s))) in least and score(s) > least[c]]
         out, done = [], 0
         for a, b in sorted(spans):
             if a >= done:
