@@ -22,7 +22,7 @@ import base64
 import json
 import re
 from array import array
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import ahocorasick
 import regex
@@ -57,13 +57,17 @@ class Vocabulary:
         self.ids, self.joins, self.whole_words = ids, joins, whole_words
         self.bytes_of = {i: t for t, i in ids.items()}
         self._fits: dict[tuple[int, int], bool] = {}
-        self.matcher = ahocorasick.Automaton()
-        self.longest = 1
-        for token, i in ids.items():
+        self.longest = max(map(len, ids), default=1)
+
+    @cached_property
+    def matcher(self) -> ahocorasick.Automaton:
+        """All tokens that merges can reach; built where texts are encoded."""
+        matcher = ahocorasick.Automaton()
+        for token, i in self.ids.items():
             if token and (len(token) == 1 or self.merge(token) == [token]):
-                self.matcher.add_word(token.decode("latin-1"), (i, len(token)))
-                self.longest = max(self.longest, len(token))
-        self.matcher.make_automaton()
+                matcher.add_word(token.decode("latin-1"), (i, len(token)))
+        matcher.make_automaton()
+        return matcher
 
     def priority(self, a: bytes, b: bytes) -> int | None:
         return self.ids.get(a + b) if self.joins is None else self.joins.get((a, b))

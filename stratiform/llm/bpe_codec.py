@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,40 +21,45 @@ from pyspark.sql import functions as F
 from stratiform.llm import bpe
 from stratiform.llm.common import id_text, table
 
-_PIECES = 1 << 20
+_PIECES, _WORDS = 3 << 18, 1 << 18  # entries of the memos: about 200 MB in all
 
 
 class WordCodec:
-    """Ids of texts under a rank file, with a memo of pieces and words."""
+    """Ids (little-endian 32-bit) of texts, with a memo of pieces and words."""
 
     def __init__(self, path: str, pattern: str) -> None:
         self.vocab, self.words = bpe.load_ranks(path), bpe.split_pattern(pattern)
-        self.known: dict[str, list[int]] = {}
-        self.pieces: tuple[dict[str, list[int]], dict[str, list[int]]] = ({}, {})
+        self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}  # of pieces that follow a blank
 
-    def word(self, word: str) -> list[int]:
+    def word(self, word: str) -> bytes:
         ids = self.known.get(word)
         if ids is None:
-            ids = self.vocab.encode_word(word.encode())
+            ids = np.array(self.vocab.encode_word(word.encode()), "<i4").tobytes()
             if len(word) < 64:
-                if len(self.known) >= _PIECES:
+                if len(self.known) >= _WORDS:
                     self.known.clear()
                 self.known[word] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        for nth, piece in enumerate(bpe.safe_pieces(text)):
-            memo = self.pieces[nth > 0]
-            ids = memo.get(piece)
-            if ids is None:
-                ids = [i for w in self.words.findall(" " * (nth > 0) + piece) for i in self.word(w)]
-                if len(piece) < 64:
-                    if len(memo) >= _PIECES:
-                        memo.clear()
-                    memo[piece] = ids
-            out += ids
-        return out
+    def ids(self, piece: str) -> bytes:
+        return b"".join([self.word(w) for w in self.words.findall(piece)])
+
+    def encode(self, text: str) -> bytes:
+        first, *rest = bpe.safe_pieces(text)
+        memo, long = self.pieces, {}
+        try:
+            return self.ids(first) + b"".join(map(memo.__getitem__, rest))
+        except KeyError:
+            pass
+        if len(memo) >= _PIECES:
+            memo.clear()
+        for piece in rest:
+            if piece not in memo and piece not in long:
+                (memo if len(piece) < 64 else long)[piece] = self.ids(" " + piece)
+        if long:
+            return self.ids(first) + b"".join([long[p] if p in long else memo[p] for p in rest])
+        return self.ids(first) + b"".join(map(memo.__getitem__, rest))
 
 
 @lru_cache(maxsize=2)
@@ -67,10 +73,12 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def run(batches):
         own = codec(path, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 ids = [own.encode(t or "") for t in part.column(1).to_pylist()]
-                yield pa.record_batch([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+                ends = np.cumsum([0, *map(len, ids)]) // 4
+                values = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
+                yield pa.record_batch([part.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], names=["doc_id", "ids"])
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -81,9 +89,11 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     def run(batches):
         vocab = bpe.load_ranks(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                data = [vocab.decode(i or []) for i in part.column(1).to_pylist()]
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                ids = part.column(1)
+                flat, ends = ids.flatten().to_numpy().tolist(), np.cumsum([0, *(ids.value_lengths().fill_null(0).to_pylist())]).tolist()
+                data = [vocab.decode(flat[a:b]) for a, b in zip(ends, ends[1:])]
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(data, pa.binary())], names=["doc_id", "ids", "data"])
 
     return encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(run, "doc_id long, ids array<int>, data binary")
