@@ -12,7 +12,7 @@ independently and nothing needs deduplication.
 Scale: pivots are picked farthest-first from a bounded sample (``SAMPLE``
 vectors, at most ``MAX_PIVOTS`` pivots); they only steer the partition, the
 result is exact for any choice.  Equal vectors are one group throughout.  A
-cell with many members is cut into blocks of about ``BLOCK`` rows and every
+cell with many members is cut into blocks of a few thousand rows and every
 pair of (home block, member block) is a task of its own, so a hot cell spreads.
 Tasks send counts and a spanning forest of their links, never all pairs.  In
 data without clusters of low dimension most cells are within r of most planes
@@ -37,8 +37,9 @@ from stratiform.llm.common import components, fresh, table
 
 SAMPLE = 2048
 MAX_PIVOTS = 256
-PER_PIVOT = 4096
-BLOCK = 4096
+PER_PIVOT = 8192
+HOME_BLOCK, MEMBER_BLOCK = 8192, 16384
+LEADING = 16
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -72,18 +73,31 @@ def cells_of(unit: np.ndarray, pivots: np.ndarray, radius: float) -> tuple[np.nd
     return home, member
 
 
-def linked(rows: np.ndarray, others: np.ndarray, least: float) -> np.ndarray:
-    """Which pairs have cosine >= least; doubtful ones by the plain formula."""
+def _leading(unit: np.ndarray) -> np.ndarray:
+    """The first components and the norm of the rest: by Cauchy-Schwarz, the
+    product of two such rows is at least the vectors' cosine."""
+    head = unit[:, :LEADING]
+    rest = np.sqrt(np.maximum(1 - (head * head).sum(axis=1), 0))
+    return np.column_stack([head, rest]).astype(np.float32)
+
+
+def linked(rows: np.ndarray, others: np.ndarray, least: float):
+    """(i, j) in parts: all pairs with cosine >= least.  Pairs whose bound
+    allows it are computed in double precision, doubtful ones by the plain
+    formula."""
     a, b = _unit(rows), _unit(others)
-    out = np.empty((len(a), len(b)), bool)
-    for first in range(0, len(a), 512):
-        cosine = a[first : first + 512] @ b.T
-        part = cosine >= least
-        for i, j in zip(*np.nonzero(np.abs(cosine - least) < 1e-12)):
-            x, y = rows[first + i], others[j]
-            part[i, j] = x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= least
-        out[first : first + 512] = part
-    return out
+    bound_a, bound_b = _leading(a), _leading(b).T
+    for first in range(0, len(a), 256):
+        near = np.flatnonzero(bound_a[first : first + 256] @ bound_b >= np.float32(least - 1e-5))
+        for cut in range(0, len(near), 100_000):
+            i, j = np.divmod(near[cut : cut + 100_000], len(b))
+            i += first
+            cosine = np.einsum("ij,ij->i", a[i], b[j])
+            keep = cosine >= least
+            for k in np.flatnonzero(np.abs(cosine - least) < 1e-12):
+                x, y = rows[i[k]], others[j[k]]
+                keep[k] = x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= least
+            yield i[keep], j[keep]
 
 
 def forest(link: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
@@ -107,11 +121,13 @@ def forest(link: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[
 def near_duplicates(vectors: DataFrame, least: float, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id) of every row, exact."""
     radius = float(np.sqrt(max(0.0, 2 - 2 * least)))
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    # Single-precision vectors travel as such; tasks compute in double precision.
+    kind = "float" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "double"
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast(f"array<{kind}>").alias("vec"))
     finite = F.forall("vec", lambda x: F.coalesce(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     sound = F.coalesce((F.size("vec") > 0) & finite & F.exists("vec", lambda x: x != 0) & F.col("vec_id").isNotNull(), F.lit(False))
     # Two 64-bit hashes stand for a vector's value (-0.0 and 0.0 alike).
-    value = F.transform("vec", lambda x: x + F.lit(0.0))
+    value = F.transform("vec", lambda x: x + F.lit(0.0).cast(kind))
     rows = rows.select("vec_id", F.when(sound, value).alias("vec"))
     rows = rows.withColumn("h1", F.xxhash64("vec", F.lit(1))).withColumn("h2", F.xxhash64("vec", F.lit(2)))
     groups = rows.where("vec IS NOT NULL").groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec"))
@@ -145,10 +161,10 @@ def near_duplicates(vectors: DataFrame, least: float, id_col: str = "vec_id", ve
                         columns = [pa.array(c, pa.int32()), pa.array(home[a] == c), pa.array(np.full(len(a), dim), pa.int32()), taken.column(0), taken.column(1), taken.column(2)]
                         yield pa.record_batch(columns, names=names)
 
-    members = groups.select("rep", "copies", "vec", "dim").mapInArrow(assign, "cell int, at_home boolean, dim int, rep long, copies long, vec array<double>")
+    members = groups.select("rep", "copies", "vec", "dim").mapInArrow(assign, f"cell int, at_home boolean, dim int, rep long, copies long, vec array<{kind}>")
     members = fresh(members)
     sizes = members.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n"), F.count_if("at_home").alias("homes"))
-    sizes = sizes.select("dim", "cell", F.ceil(F.col("homes") / BLOCK).cast("int").alias("home_blocks"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")).where("home_blocks > 0")
+    sizes = sizes.select("dim", "cell", F.ceil(F.col("homes") / HOME_BLOCK).cast("int").alias("home_blocks"), F.ceil(F.col("n") / MEMBER_BLOCK).cast("int").alias("blocks")).where("home_blocks > 0")
     dealt = members.join(sizes, ["dim", "cell"])
     spread = lambda n, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), n).cast("int")
     every = lambda n: F.sequence(F.lit(0), n - 1)
@@ -163,12 +179,21 @@ def near_duplicates(vectors: DataFrame, least: float, id_col: str = "vec_id", ve
         out = {"rep": [], "links": [], "a": [], "b": []}
         if left.num_rows and right.num_rows:
             ids, other, copies = (t.to_numpy() for t in (left["rep"], right["rep"], right["copies"]))
-            link = linked(_matrix(left["vec"]), _matrix(right["vec"]), least)
-            link &= ids[:, None] != other[None, :]
-            links = link @ copies
+            links = np.zeros(len(ids), np.int64)
+            pairs = []
+            for i, j in linked(_matrix(left["vec"]), _matrix(right["vec"]), least):
+                keep = ids[i] != other[j]
+                np.add.at(links, i[keep], copies[j[keep]])
+                pairs.append((i[keep], j[keep]))
             some = np.flatnonzero(links)
-            # The self pairs tie the two roles of a row together again.
-            edges = [e for e in forest(link | (ids[:, None] == other[None, :]), ids, other) if e[0] != e[1]] if len(some) else []
+            edges = []
+            if len(some):
+                i, j = (np.concatenate(x) for x in zip(*pairs))
+                left_ids, at_left = np.unique(ids[i], return_inverse=True)
+                right_ids, at_right = np.unique(other[j], return_inverse=True)
+                link = left_ids[:, None] == right_ids[None, :]  # a row's two roles are one node
+                link[at_left, at_right] = True
+                edges = [e for e in forest(link, left_ids, right_ids) if e[0] != e[1]]
             n = max(len(some), len(edges))
             pad = lambda x: x + [None] * (n - len(x))
             out = {"rep": pad(ids[some].tolist()), "links": pad(links[some].tolist()), "a": pad([e[0] for e in edges]), "b": pad([e[1] for e in edges])}

@@ -142,7 +142,9 @@ def test_op7_blocks(spark, tables, monkeypatch):
     from stratiform.llm import metric_join
 
     want = sorted(map(tuple, QUERIES["op7_metric_join"](spark, tables).collect()))
-    monkeypatch.setattr(metric_join, "BLOCK", 16)
+    monkeypatch.setattr(metric_join, "HOME_BLOCK", 16)
+    monkeypatch.setattr(metric_join, "MEMBER_BLOCK", 24)
+    monkeypatch.setattr(metric_join, "LEADING", 2)
     monkeypatch.setattr(metric_join, "PER_PIVOT", 20)
     assert sorted(map(tuple, QUERIES["op7_metric_join"](spark, tables).collect())) == want
 
