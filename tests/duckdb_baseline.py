@@ -33,7 +33,7 @@ def main() -> None:
         samples = []
         for i in range(4):
             t0 = time.perf_counter()
-            con.execute(f"SELECT count(*) FROM ({sqls[name]}) q").fetchall()
+            con.execute(f"CREATE OR REPLACE TEMP TABLE timed AS {sqls[name]}")  # every column is computed
             if i:
                 samples.append(time.perf_counter() - t0)
         out[name] = round(statistics.median(samples), 4)
