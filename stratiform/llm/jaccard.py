@@ -25,7 +25,8 @@ linking rule 100 * intersection >= 75 * union.
    *another* component, and joins components by the links found.  Buckets
    whose members are connected drop out, so a group of near copies costs about
    one comparison a member, and every pair that could still join two
-   components is compared.
+   components is compared.  When the pairs left are few beside the sets, one
+   round compares them all.
 
 Nothing is capped: a hot shingle is last in the order, a hot bucket's hubs are
 joined to its members as an ordinary skew-splittable join.
@@ -49,7 +50,8 @@ from stratiform.llm.common import CHUNK_BYTES, RangeHash, components, fresh, id_
 WIDTH = 5
 PART_BYTES = 8 << 20  # text bytes whose shingles share a part
 _LOW = np.uint64((1 << 40) - 1)
-_FLUSH = 4_000_000
+_FLUSH = 2_000_000
+FEW_PAIRS = 4  # pairs a set, below which all that are left are compared at once
 _STEPS = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 63, WIDTH + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _NO_ID = np.uint64(1 << 63)
 
@@ -223,14 +225,16 @@ def _candidates(shared: DataFrame) -> DataFrame:
 
 def boundary(sets: DataFrame) -> int:
     """The size class (floor of log2) from which scanning lists is cheaper
-    than enumerating subsets: the least total cost.  At most 64 classes reach
-    the driver."""
+    than enumerating subsets: the least total cost.  A subset costs one; an
+    entry of a list of m sets is scanned once in each of the about log2(m)
+    rounds of hubs, and once to be grouped.  At most 64 classes reach the
+    driver."""
     cls = F.floor(F.log2("n")).cast("int")
     light = sets.groupBy(cls.alias("cls")).agg(F.sum(F.size("head") * (F.size("head") - 1) / 2).alias("cost")).collect()
     posts = sets.select(cls.alias("cls"), F.explode(F.slice("head", F.lit(1), F.size("head") - 1)).alias("token"))
     lists = posts.groupBy("token", "cls").agg(F.count(F.lit(1)).alias("c"))
     total = F.sum("c").over(Window.partitionBy("token"))
-    heavy = lists.withColumn("total", total).groupBy("cls").agg(F.sum(F.col("c") * F.col("total")).alias("cost")).collect()
+    heavy = lists.withColumn("total", total).groupBy("cls").agg(F.sum(F.col("c") * (1 + F.log2("total"))).alias("cost")).collect()
     below, above = ({r["cls"]: r["cost"] for r in rows} for rows in (light, heavy))
     cost = lambda b: sum(v for c, v in below.items() if c < b) + sum(v for c, v in above.items() if c >= b)
     return min(range(65), key=lambda b: (cost(b), b))
@@ -246,7 +250,6 @@ def buckets(sets: DataFrame, bound: int) -> DataFrame:
     many = sets.where(size > 1)
     posts = many.where(cls < bound).select("rep", "n", F.explode(subsets).alias("bucket"))
     posts = posts.union(many.where(cls >= bound - 1).select("rep", "n", F.explode(lists).alias("bucket")))
-    posts = posts.distinct()
     wide = lambda seed: F.sum(F.xxhash64("rep", F.lit(seed)).cast("decimal(38,0)"))
     member = posts.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), wide(1).alias("f1"), wide(2).alias("f2")).where("size > 1")
     kept = member.groupBy("size", "f1", "f2").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
@@ -279,24 +282,33 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def linked_components(sets: DataFrame) -> DataFrame | None:
     """(node, component) of the distinct sets that link with another."""
+    n_sets = sets.count()
     posts = fresh(buckets(sets, boundary(sets)))
     links, labels, step = None, None, 1
     while True:
         named = posts if labels is None else posts.join(labels, posts["rep"] == labels["node"], "left").drop("node")
         label = F.col("rep") if labels is None else F.coalesce("component", "rep")
-        named = named.select("bucket", "rep", "n", "nth", label.alias("label"))
-        mixed = named.groupBy("bucket").agg(F.max("nth").alias("last"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-        mixed = mixed.where((F.col("lo") < F.col("hi")) & (F.col("last") > step)).select("bucket")
+        # Members before ``step`` have met all later ones.
+        named = named.where(F.col("nth") >= step).select("bucket", "rep", "n", "nth", label.alias("label"))
+        mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
         posts = fresh(named.join(mixed, "bucket").select("bucket", "rep", "n", "nth", "label"))
-        if posts.isEmpty():
+        each = posts.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"))
+        left = each.groupBy("bucket").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
+        left = left.agg(F.sum((F.col("m") * F.col("m") - F.col("s")) / 2)).first()[0]
+        if not left:
             return labels
-        hubs = posts.where(F.col("nth").between(step, 2 * step - 1)).select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("nth").alias("hub"), F.col("label").alias("hub_label"))
+        # Few pairs left: compare them all instead of more rounds of hubs.
+        last = left <= FEW_PAIRS * n_sets
+        hub = F.col("nth") >= step if last else F.col("nth").between(step, 2 * step - 1)
+        hubs = posts.where(hub).select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("nth").alias("hub"), F.col("label").alias("hub_label"))
         near = (4 * F.col("n") >= 3 * F.col("na")) & (4 * F.col("na") >= 3 * F.col("n"))
         pairs = hubs.join(posts, "bucket").where((F.col("nth") > F.col("hub")) & (F.col("label") != F.col("hub_label")) & near)
         pairs = pairs.select("a", F.col("rep").alias("b")).distinct()
         found = _verified(pairs, sets)
         links = fresh(found if links is None else links.union(found))
         labels = components(links)
+        if last:
+            return labels
         posts = posts.drop("label")
         step *= 2
 
