@@ -9,10 +9,12 @@ its Jensen-Shannon distance to its language's reference exceeds the limit of
 either histogram; documents with too few characters or words for a histogram
 to mean much are not judged by it.
 
-The documents are read three times (words, shares, verdict) and never
-shuffled: the passes send counts by (language, word) and by language.  The
-references, at most ``LANGUAGES`` rows, are broadcast; languages beyond that
-many, by document count, share one pooled reference.
+The documents are read twice (common words, histograms) and never shuffled:
+the first pass sends counts by (language, word); the second writes one narrow
+row per document to the checkpoint folder, from which the references are
+averaged and the verdicts made.  Common words and references, at most
+``LANGUAGES`` rows each (in name order), are broadcast; documents of further
+languages are judged by the base rules alone.
 
 Repeated eight-word windows are found inside the row: 64-bit hashes of the
 windows are sorted with their places, equal neighbours mark repeats, and one
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stratiform.llm.common import let, table
+from stratiform.llm.common import fresh, let, table
 
 BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
@@ -114,13 +116,26 @@ def common_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     return top.groupBy("lang").agg(F.sort_array(F.collect_list("word")).alias("common"))
 
 
-def word_shares(words: Column, common: Column) -> Column:
-    """Shares of the common words and, first, of all others."""
+def word_counts(words: Column, common: Column) -> Column:
+    """Counts of all other words and, after them, of each common word."""
     places = F.transform(words, lambda w: F.coalesce(F.array_position(common, w), F.lit(0)).cast("int"))
-    count = lambda p: F.transform(F.sequence(F.lit(0), F.size(common)), lambda k: (F.size(p) - F.size(F.array_remove(p, k))) / F.size(p))
+    count = lambda p: F.transform(F.sequence(F.lit(0), F.size(common)), lambda k: F.size(p) - F.size(F.array_remove(p, k)))
     return let(places, count)
 
 
+def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """One narrow row per document with both histograms, written once: the
+    references and the verdicts are read off it."""
+    common = F.broadcast(bounded(common_words(docs, text_col, lang_col)))
+    rows = features(docs, id_col, text_col, lang_col).join(common, "lang", "left")
+    rows = rows.withColumn("common", F.coalesce("common", F.array().cast("array<string>")))
+    return fresh(rows.withColumn("word_counts", word_counts(F.col("words"), F.col("common"))).drop("words", "common"))
+
+
+def shares(counts: Column, total: Column) -> Column:
+    return F.transform(counts, lambda c: c / total)
+
+
 def distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance (base 2) of two histograms."""
     part = lambda a, m: F.when(a > 0, a * F.log2(a / m)).otherwise(F.lit(0.0))
@@ -128,45 +143,34 @@ def distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x), F.lit(0.0)))
 
 
-def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, common, class_ref, word_ref), at most LANGUAGES rows: mean
+def references(rows: DataFrame) -> DataFrame:
+    """(lang, class_ref, word_ref), at most LANGUAGES rows with words: mean
     shares over documents that pass the base rules, all documents read."""
-    common = F.broadcast(bounded(common_words(docs, text_col, lang_col)))
-    rows = features(docs, id_col, text_col, lang_col).join(common, "lang", "left")
-    rows = rows.withColumn("common", F.coalesce("common", F.array().cast("array<string>")))
-    # Failed documents count as null, which a mean leaves out; as a filter the
-    # word counts would be computed twice.
-    passed = lambda c: F.when(~F.col("base_failed"), c)
-    rows = rows.select(
-        "lang",
-        "common",
-        passed(word_shares(F.col("words"), F.col("common"))).alias("ws"),
-        passed(F.transform("classes", lambda c: c / F.col("n_chars"))).alias("cs"),
-    )
-    means = rows.groupBy("lang").agg(
-        F.first("common").alias("common"),
-        F.array(*[F.avg(F.get("cs", F.lit(i))) for i in range(len(CLASSES))]).alias("class_ref"),
-        F.array(*[F.avg(F.get("ws", F.lit(i))) for i in range(COMMON + 1)]).alias("word_ref"),
+    passed = rows.where("NOT base_failed")
+    words, classes = shares(F.col("word_counts"), F.col("n_words")), shares(F.col("classes"), F.col("n_chars"))
+    means = passed.groupBy("lang").agg(
+        F.max(F.size("word_counts")).alias("bins"),
+        F.array(*[F.avg(F.get(classes, F.lit(i))) for i in range(len(CLASSES))]).alias("class_ref"),
+        F.array(*[F.avg(F.get(words, F.lit(i))) for i in range(COMMON + 1)]).alias("word_ref"),
     )
-    means = means.where(F.get("class_ref", F.lit(0)).isNotNull())
-    return means.withColumn("word_ref", F.slice("word_ref", F.lit(1), F.size("common") + 1))
+    return bounded(means.select("lang", "class_ref", F.slice("word_ref", F.lit(1), F.col("bins")).alias("word_ref")))
 
 
-def bounded(common: DataFrame) -> DataFrame:
+def bounded(languages: DataFrame) -> DataFrame:
     """At most LANGUAGES rows: languages beyond are left without a reference."""
-    return common.orderBy("lang").limit(LANGUAGES)
+    return languages.orderBy("lang").limit(LANGUAGES)
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Base counts, both distances and the verdict of every document."""
-    refs = F.broadcast(references(docs, id_col, text_col, lang_col))
-    rows = features(docs, id_col, text_col, lang_col).join(refs, "lang", "left")
-    enough = F.col("word_ref").isNotNull()
-    classes = F.transform("classes", lambda c: c / F.col("n_chars"))
-    rows = rows.withColumn("class_distance", F.when(enough & (F.col("n_chars") >= LEAST_CHARS), distance(classes, F.col("class_ref"))))
-    shares = word_shares(F.col("words"), F.col("common"))
-    rows = rows.withColumn("word_distance", F.when(enough & (F.col("n_words") >= LEAST_WORDS), distance(shares, F.col("word_ref"))))
-    far = (F.coalesce("class_distance", F.lit(0.0)) > CLASS_LIMIT) | (F.coalesce("word_distance", F.lit(0.0)) > WORD_LIMIT + WORD_NOISE / F.sqrt(F.greatest("n_words", F.lit(1))))
+    rows = measured(docs, id_col, text_col, lang_col)
+    rows = rows.join(F.broadcast(references(rows)), "lang", "left")
+    known = F.col("word_ref").isNotNull()
+    classes, words = shares(F.col("classes"), F.col("n_chars")), shares(F.col("word_counts"), F.col("n_words"))
+    rows = rows.withColumn("class_distance", F.when(known & (F.col("n_chars") >= LEAST_CHARS), distance(classes, F.col("class_ref"))))
+    rows = rows.withColumn("word_distance", F.when(known & (F.col("n_words") >= LEAST_WORDS), distance(words, F.col("word_ref"))))
+    limit = WORD_LIMIT + WORD_NOISE / F.sqrt(F.greatest("n_words", F.lit(1)))
+    far = (F.coalesce("class_distance", F.lit(0.0)) > CLASS_LIMIT) | (F.coalesce("word_distance", F.lit(0.0)) > limit)
     return rows.withColumn("kept", ~F.col("base_failed") & ~far)
 
 
