@@ -9,6 +9,8 @@ multiplication (mod 2**64), followed by a bit mixer.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from stratiform.session import checkpoint_dir, reliable_checkpoint
 
 #: Bytes of text that one vectorised step looks at; bounds a task's memory.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -74,6 +76,14 @@ def row_groups(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[
         first = last
 
 
+def release() -> None:
+    """Give freed memory back to the system.  A Python worker is reused, and
+    would otherwise hold the peak of every earlier task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U64(30))) * _U64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U64(27))) * _U64(0x94D049BB133111EB)

@@ -41,12 +41,12 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import CHUNK_BYTES, RangeHash, fresh, mix, pack, row_groups, table, unpack, utf8
+from stratiform.llm.common import CHUNK_BYTES, RangeHash, fresh, mix, pack, release, row_groups, table, unpack, utf8
 
 LENGTH = 100
 TRIGGER = 50
-PART_BYTES = 8 << 20
-_FLUSH = 1_200_000
+PART_BYTES = 4 << 20  # text bytes whose phrases share a part
+_FLUSH = 200_000  # phrases a task holds before it sorts and sends them
 _PLACE = np.uint64((1 << 24) - 1)
 _CTX = np.uint64((1 << 48) - 1)
 _LOW = np.uint64((1 << 32) - 1)
@@ -162,6 +162,7 @@ def _parse(rows: DataFrame, n: int) -> DataFrame:
                     yield from flush()
         if held:
             yield from flush()
+        release()
 
     return rows.mapInArrow(run, "part int, blob binary")
 
@@ -175,6 +176,7 @@ def _settled(parse: DataFrame, n: int) -> DataFrame:
     trigger has several."""
 
     def run(key, group):
+        release()
         part = key[0].as_py()
         if part >= n:
             return _as_rows([(part - n, 0, b) for b in group["blob"].to_pylist()], [pa.int32(), pa.int32(), pa.binary()], ["home", "kind", "blob"])
@@ -224,6 +226,7 @@ def _dictionary(blocks: DataFrame) -> DataFrame:
     """(part, blob): the bytes of phrases that share their trigger."""
 
     def run(_key, group):
+        release()
         kinds, blobs = group["kind"].to_pylist(), group["blob"]
         asked = [unpack(blobs[i].as_py()) for i, k in enumerate(kinds) if k == 1]
         out: list[tuple[int, bytes]] = []
@@ -261,13 +264,30 @@ def _dictionary(blocks: DataFrame) -> DataFrame:
 
 def later_windows(buffer: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Which of the windows at ``start`` (in corpus order) equal an earlier
-    one: the suffix array of the buffer, cut at LENGTH bytes."""
-    view = np.lib.stride_tricks.sliding_window_view(buffer, LENGTH)
-    suffix = np.ascontiguousarray(view[start]).view(f"V{LENGTH}").ravel()
-    order = np.argsort(suffix, kind="stable")
-    ranked = suffix[order]
+    one.  Suffixes are ranked by the rolling hash of their first LENGTH bytes,
+    eight bytes each instead of LENGTH; neighbours of one rank are compared
+    byte by byte."""
+    n = len(buffer) - LENGTH + 1
+    rank = np.empty(max(n, 0), np.uint64)
+    for at in range(0, n, CHUNK_BYTES):
+        rank[at : at + CHUNK_BYTES] = RangeHash(buffer[at : at + CHUNK_BYTES + LENGTH - 1]).fixed(LENGTH)
+    rank = rank[start]
+    order = np.argsort(rank, kind="stable")
+    rank = rank[order]
+    same = np.flatnonzero(rank[1:] == rank[:-1])
     later = np.zeros(len(start), bool)
-    later[order[1:]] = ranked[1:] == ranked[:-1]
+    later[order[same + 1]] = True
+    view = np.lib.stride_tricks.sliding_window_view(buffer, LENGTH) if len(same) else None
+    for at in range(0, len(same), 20_000):
+        i = same[at : at + 20_000]
+        differ = i[(view[start[order[i]]] != view[start[order[i + 1]]]).any(axis=1)]
+        for value in set(rank[differ].tolist()):  # two strings of one hash: told apart by their bytes
+            lo, hi = (int(np.searchsorted(rank, np.uint64(value), side)) for side in ("left", "right"))
+            seen: set[bytes] = set()
+            for k in order[lo:hi].tolist():
+                window = view[start[k]].tobytes()
+                later[k] = window in seen
+                seen.add(window)
     return later
 
 
@@ -275,6 +295,7 @@ def _ordered(dictionary: DataFrame, n: int) -> DataFrame:
     """(home, kind 0, blob): windows of the dictionary that came earlier."""
 
     def run(_key, group):
+        release()
         head, body = [], []
         for blob in group["blob"].to_pylist():
             size = int.from_bytes(blob[:8], "little")
@@ -295,92 +316,107 @@ def _ordered(dictionary: DataFrame, n: int) -> DataFrame:
     return dictionary.groupBy("part").applyInArrow(run, "home int, kind int, blob binary")
 
 
-def _spans(marks: DataFrame) -> DataFrame:
-    """(row, starts, ends): maximal removed byte runs of each row."""
+def spans_of(blobs: list[bytes]) -> dict[int, tuple[list[int], list[int]]]:
+    """Row to starts and ends of its maximal removed byte runs."""
+    if not blobs:
+        return {}
+    row, a, b = (np.concatenate(c) for c in zip(*map(unpack, blobs)))
+    a, b = a.astype(np.int64), b.astype(np.int64) - TRIGGER + LENGTH
+    order = np.lexsort((a, row))
+    row, a, b = row[order], a[order], b[order]
+    new = np.ones(len(row), bool)
+    new[1:] = row[1:] != row[:-1]
+    # The furthest end so far within a row: rows are set apart by an offset.
+    apart = (np.cumsum(new) - 1) * (int(b.max()) + 1)
+    far = np.maximum.accumulate(b + apart)
+    first = new.copy()
+    first[1:] |= a[1:] + apart[1:] > far[:-1]
+    at = np.flatnonzero(first)
+    last = np.append(at[1:], len(row)) - 1
+    owner, start, end = row[at], a[at], far[last] - apart[last]
+    edge = [0, *(np.flatnonzero(owner[1:] != owner[:-1]) + 1).tolist(), len(owner)]
+    return {int(owner[i]): (start[i:j].tolist(), end[i:j].tolist()) for i, j in zip(edge, edge[1:])}
+
+
+def _stored(rows: DataFrame, n: int) -> DataFrame:
+    """(home, kind 2, blob): all columns of blocks of rows, compressed."""
+
+    def run(batches):
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for batch in batches:
+            row_id = batch.column(0).to_numpy().view(np.uint64)
+            cut = np.flatnonzero(np.diff(row_id >> _ROW_BLOCK)) + 1
+            for a, b in zip([0, *cut], [*cut, len(row_id)]):
+                if a < b:
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
+                        writer.write_batch(batch.slice(a, b - a))
+                    yield pa.record_batch([pa.array(_home(row_id[a : a + 1], n), pa.int32()), pa.array([2], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["home", "kind", "blob"])
+
+    return rows.mapInArrow(run, "home int, kind int, blob binary")
+
+
+def _cut(data: bytes, starts: list[int], ends: list[int]) -> bytes:
+    return b"".join(data[a:b] for a, b in zip([0, *ends], [*starts, len(data)])) if starts else data
+
+
+def _with_spans(docs: DataFrame, id_col: str, text_col: str, make, schema) -> DataFrame:
+    """``make(rows, spans)`` of every block of ``docs``; rows are an Arrow
+    table of the row number and the columns of ``docs``.
+
+    Rows travel compressed by blocks to the same place as the marks, which
+    moves less than a join of texts with their spans."""
+    name = "__row"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    marks, n = _marks(docs, id_col, text_col)
+    rows = docs.select(F.monotonically_increasing_id().alias(name), *docs.columns)
 
     def run(_key, group):
-        row, a, b = (np.concatenate(c) for c in zip(*(unpack(x) for x in group["blob"].to_pylist())))
-        a, b = a.astype(np.int64), b.astype(np.int64) - TRIGGER + LENGTH
-        order = np.lexsort((a, row))
-        row, a, b = row[order], a[order], b[order]
-        new = np.ones(len(row), bool)
-        new[1:] = row[1:] != row[:-1]
-        # The furthest end so far within a row: rows are set apart by an offset.
-        block = np.cumsum(new) - 1
-        reach = int(b.max()) + 1
-        far = np.maximum.accumulate(b + block * reach)
-        apart = new.copy()
-        apart[1:] |= a[1:] + block[1:] * reach > far[:-1]
-        starts, last = np.flatnonzero(apart), np.concatenate([np.flatnonzero(apart)[1:] - 1, [len(row) - 1]])
-        ends = far[last] - block[last] * reach
-        owner, start = row[starts], a[starts]
-        edge = np.concatenate([[0], np.flatnonzero(owner[1:] != owner[:-1]) + 1, [len(owner)]])
-        lists = lambda v: pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(v, pa.int64()))
-        return pa.table({"row": pa.array(owner[edge[:-1]].view(np.int64)), "starts": lists(start), "ends": lists(ends)})
-
-    return marks.groupBy("home").applyInArrow(run, "row long, starts array<long>, ends array<long>")
-
-
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, starts, ends) for rows that lose bytes; ``row`` is
-    ``monotonically_increasing_id`` over ``docs``."""
+        release()
+        kinds, blobs = group["kind"].to_pylist(), group["blob"]
+        spans = spans_of([blobs[i].as_py() for i, k in enumerate(kinds) if k == 0])
+        return pa.concat_tables([make(pa.ipc.open_stream(blobs[i].as_py()).read_all(), spans) for i, k in enumerate(kinds) if k == 2])
+
+    return _stored(rows, n).union(marks).groupBy("home").applyInArrow(run, schema)
+
+
+def _marks(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """(home, kind 0, blob): windows that came earlier, and the number of homes."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     n_bytes = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     n = max(32, n_bytes // PART_BYTES)
     settled = fresh(_settled(_parse(rows, n), n))
     blocks = _texts(rows, n).union(settled.where("kind = 1"))
-    more = _ordered(_dictionary(blocks), n)
-    return _spans(settled.where("kind = 0").union(more))
-
-
-def with_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, list[str]]:
-    """``docs`` and its removed spans in columns of unused names."""
-    names = ["row", "starts", "ends"]
-    taken = {c.lower() for c in docs.columns}
-    own = ["__" + n + "_" * next(i for i in range(99) if "__" + n + "_" * i not in taken) for n in names]
-    spans = repeated_spans(docs, id_col, text_col).toDF(*own)
-    joined = docs.select("*", F.monotonically_increasing_id().alias(own[0])).join(spans, own[0], "left")
-    return joined.select(*docs.columns, *own[1:]), own[1:]
-
-
-def _cut(data: bytes, starts, ends) -> bytes:
-    return b"".join(data[a:b] for a, b in zip([0, *ends], [*starts, len(data)])) if starts else data
+    return settled.where("kind = 0").union(_ordered(_dictionary(blocks), n)), n
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): the remaining bytes."""
-    joined, (starts, ends) = with_spans(docs, id_col, text_col)
-    picked = joined.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), starts, ends)
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                rows = list(zip(*(part.column(i).to_pylist() for i in (1, 2, 3))))
-                old = [(t or "").encode() for t, _, _ in rows]
-                new = [_cut(d, a or [], b or []) for d, (_, a, b) in zip(old, rows)]
-                sizes = [pa.array(x, pa.int64()) for x in ([len(d) for d in old], [len(d) - len(k) for d, k in zip(old, new)], [len(a or []) for _, a, _ in rows])]
-                yield pa.record_batch([part.column(0), *sizes, pa.array(new, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+    def make(rows: pa.Table, spans: dict) -> pa.Table:
+        found = [spans.get(r & (2**64 - 1), ([], [])) for r in rows.column(0).to_pylist()]
+        old = [(t or "").encode() for t in rows.column(2).to_pylist()]
+        new = [_cut(d, *f) for d, f in zip(old, found)]
+        sizes = [[len(d) for d in old], [len(d) - len(k) for d, k in zip(old, new)], [len(f[0]) for f in found]]
+        return pa.table([rows.column(1), *(pa.array(x, pa.int64()) for x in sizes), pa.array(new, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return picked.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return _with_spans(narrow, "doc_id", "text", make, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with texts cut; a character cut in two is dropped whole."""
-    joined, _ = with_spans(docs, id_col, text_col)
     names = docs.columns
-    at, n = names.index(text_col), len(names)
+    at = names.index(text_col) + 1
 
-    def run(batches):
-        for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                part = batch.slice(first, 256)
-                rows = zip(*(part.column(i).to_pylist() for i in (at, n, n + 1)))
-                new = [t if not a else _cut(t.encode(), a, b).decode("utf-8", "ignore") for t, a, b in rows]
-                columns = [pa.array(new, pa.string()) if i == at else part.column(i) for i in range(n)]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return joined.mapInArrow(run, docs.schema)
+    def make(rows: pa.Table, spans: dict) -> pa.Table:
+        found = [spans.get(r & (2**64 - 1)) for r in rows.column(0).to_pylist()]
+        new = [t if f is None else _cut(t.encode(), *f).decode("utf-8", "ignore") for t, f in zip(rows.column(at).to_pylist(), found)]
+        columns = [pa.array(new, pa.string()) if i == at else rows.column(i) for i in range(1, rows.num_columns)]
+        return pa.table(columns, names=names)
+
+    return _with_spans(docs, id_col, text_col, make, docs.schema)
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -178,3 +178,20 @@ def test_op3(spark, tables, documents):
 @pytest.mark.parametrize("name", ["op3_hilbert_shards", "op4_jaccard_join", "op7_metric_join", "op8_suffix_dedup"])
 def test_empty_table(spark, empty_tables, name):
     assert QUERIES[name](spark, empty_tables).count() == 0
+
+
+@pytest.mark.parametrize("shift", [0, 60])
+def test_later_windows(shift, monkeypatch):
+    """Also where many windows share a hash (``shift`` drops its bits)."""
+    rng = np.random.default_rng(7)
+    part = rng.integers(97, 100, 130)
+    buffer = np.concatenate([part, rng.integers(97, 100, 150), part]).astype(np.uint8)
+    fixed = suffix_dedup.RangeHash.fixed
+    monkeypatch.setattr(suffix_dedup.RangeHash, "fixed", lambda self, width: fixed(self, width) >> np.uint64(shift))
+    start = rng.permutation(len(buffer) - 99)
+    seen, want = set(), []
+    for k in start.tolist():
+        window = buffer[k : k + 100].tobytes()
+        want.append(window in seen)
+        seen.add(window)
+    assert suffix_dedup.later_windows(buffer, start).tolist() == want
