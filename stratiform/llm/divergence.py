@@ -12,9 +12,11 @@ to mean much are not judged by it.
 The documents are read twice (common words, histograms) and never shuffled:
 the first pass sends counts by (language, word); the second writes one narrow
 row per document to the checkpoint folder, from which the references are
-averaged and the verdicts made.  Common words and references, at most
-``LANGUAGES`` rows each (in name order), are broadcast; documents of further
-languages are judged by the base rules alone.
+averaged and the verdicts made.  Common words and references have one row per
+language, whatever their number.  Both are written before they are joined, so
+the planner knows their size: it broadcasts them while they are small, and
+otherwise shuffles the documents by language, where the adaptive skew join
+splits a hot language and replicates its single row.
 
 Repeated eight-word windows are found inside the row: 64-bit hashes of the
 windows are sorted with their places, equal neighbours mark repeats, and one
@@ -27,16 +29,18 @@ if no document of a language passes the base rules, only the base rules judge.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stratiform.llm.common import fresh, let, table
+from stratiform.session import checkpoint_dir
 
 BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
 WINDOW = 8
-LANGUAGES = 256
 COMMON = 32
 WORD_LENGTH = 4
 LEAST_CHARS = 100
@@ -126,7 +130,7 @@ def word_counts(words: Column, common: Column) -> Column:
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One narrow row per document with both histograms, written once: the
     references and the verdicts are read off it."""
-    common = F.broadcast(bounded(common_words(docs, text_col, lang_col)))
+    common = stored(common_words(docs, text_col, lang_col))
     rows = features(docs, id_col, text_col, lang_col).join(common, "lang", "left")
     rows = rows.withColumn("common", F.coalesce("common", F.array().cast("array<string>")))
     return fresh(rows.withColumn("word_counts", word_counts(F.col("words"), F.col("common"))).drop("words", "common"))
@@ -144,8 +148,8 @@ def distance(p: Column, q: Column) -> Column:
 
 
 def references(rows: DataFrame) -> DataFrame:
-    """(lang, class_ref, word_ref), at most LANGUAGES rows with words: mean
-    shares over documents that pass the base rules, all documents read."""
+    """(lang, class_ref, word_ref), a row for every language: mean shares over
+    documents that pass the base rules, all documents read."""
     passed = rows.where("NOT base_failed")
     words, classes = shares(F.col("word_counts"), F.col("n_words")), shares(F.col("classes"), F.col("n_chars"))
     means = passed.groupBy("lang").agg(
@@ -153,18 +157,22 @@ def references(rows: DataFrame) -> DataFrame:
         F.array(*[F.avg(F.get(classes, F.lit(i))) for i in range(len(CLASSES))]).alias("class_ref"),
         F.array(*[F.avg(F.get(words, F.lit(i))) for i in range(COMMON + 1)]).alias("word_ref"),
     )
-    return bounded(means.select("lang", "class_ref", F.slice("word_ref", F.lit(1), F.col("bins")).alias("word_ref")))
+    return means.select("lang", "class_ref", F.slice("word_ref", F.lit(1), F.col("bins")).alias("word_ref"))
 
 
-def bounded(languages: DataFrame) -> DataFrame:
-    """At most LANGUAGES rows: languages beyond are left without a reference."""
-    return languages.orderBy("lang").limit(LANGUAGES)
+def stored(languages: DataFrame) -> DataFrame:
+    """Written to the shared checkpoint folder as files: unlike a checkpoint
+    these have a known size, by which the planner chooses the join."""
+    spark = languages.sparkSession
+    path = f"{checkpoint_dir(spark)}/languages-{uuid.uuid4().hex}"
+    languages.write.parquet(path)
+    return spark.read.schema(languages.schema).parquet(path)
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Base counts, both distances and the verdict of every document."""
     rows = measured(docs, id_col, text_col, lang_col)
-    rows = rows.join(F.broadcast(references(rows)), "lang", "left")
+    rows = rows.join(stored(references(rows)), "lang", "left")
     known = F.col("word_ref").isNotNull()
     classes, words = shares(F.col("classes"), F.col("n_chars")), shares(F.col("word_counts"), F.col("n_words"))
     rows = rows.withColumn("class_distance", F.when(known & (F.col("n_chars") >= LEAST_CHARS), distance(classes, F.col("class_ref"))))

@@ -94,6 +94,24 @@ def test_op6_native():
     assert not re.search(r"udf|mapIn|applyIn|\.rdd|pandas", source)
 
 
+@pytest.mark.parametrize("threshold", ["10m", "-1"])  # broadcast; shuffled by language
+def test_op6_judges_every_language(spark, threshold):
+    rng = random.Random(12)
+    langs = [f"x-{i:03d}" for i in range(300)]
+    texts = [(lang, " ".join("".join(rng.choice("aeinorst") for _ in range(rng.randint(1, 6))) for _ in range(90))) for lang in langs for _ in range(6)]
+    odd = [(lang, " ".join(f"{rng.randint(10**6, 10**7)}#" for _ in range(90))) for lang in langs]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(texts + odd)], "doc_id long, lang string, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = {r.doc_id: r for r in divergence.judged(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(got) == 7 * len(langs) and not any(r.base_failed for r in got.values())
+    assert all(r.class_distance is not None and r.word_distance is not None for r in got.values())
+    assert all(r.kept == (i < len(texts)) for i, r in got.items())
+
+
 def test_distance_is_jensen_shannon(spark):
     from pyspark.sql import functions as F
 
