@@ -9,26 +9,36 @@ Fisher's method joins the three p-values into one score; near 0 is random.
 
 Which scores are random enough is decided with false-discovery control per
 length class and encoding, because short runs and small alphabets give the
-tests little power.  The null distribution is taken from the corpus itself:
-every document gives one decoy of each length class, its prose joined to one
-run and tested in one of the alphabets.  The threshold of a stratum is the
-lowest score at which the expected share of decoy-like runs among the accepted
-ones is at most ``FALSE_SHARE``.  Only counts by stratum and score bin reach
-the driver.
+tests little power.  The null distribution has two sources.  Typed decoys are
+simulated and depend on neither the size nor the script of the corpus: words
+of several languages as people type them in the encoding's characters (joined,
+capitalised, with numbers and marks); each stratum has ``TYPED`` of them and
+one more for each run, so that the smallest share that can be told shrinks as
+the runs grow.  Corpus decoys are prose of the documents, one of each length
+class and text, joined to one run and tested in one of the alphabets.  The
+threshold of a stratum is the lowest score at which the expected share of
+decoy-like runs among the accepted ones is at most ``FALSE_SHARE``
+(Benjamini and Hochberg's rule); the share of decoys at a score is that of
+both sources together, or of the corpus' own if that is larger.  Equal runs
+are one run there, and equal decoys one decoy.  Only counts by stratum and
+score bin reach the driver.
 
 ``scan`` gives spans per document, ``redact`` replaces them in the text; both
-are one pass without a shuffle.
+are one pass over the texts, and only hashes of runs and decoys are shuffled.
 
 Defined cases: null text is empty and has no spans; equal rows each get theirs;
 a base span is never dropped, and a candidate that touches one is not added
-again; with too few decoys in a stratum none of its candidates is accepted.
+again; a stratum in which the tests cannot tell random from typed accepts none.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
+import random
 import re
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +58,7 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 LEAST_RUN = 20
 LENGTH_CLASSES = (20, 24, 32, 48, 64, 96)  # least length of each class
 FALSE_SHARE = 0.01
+TYPED = 21_000  # simulated decoys of a stratum
 _BINS = 400  # score bins of 0.05 from 0 downwards
 _LOWER, _UPPER, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 ENCODINGS = (
@@ -119,6 +130,32 @@ def score(run: str, encoding: int | None = None) -> float:
     return max(-20.0, (math.log(1 + x + x * x / 2) - x) / math.log(10)) if x < 600 else -20.0
 
 
+_erfc = np.vectorize(math.erfc, otypes=[float])
+
+
+def scores(at: np.ndarray, encoding: int) -> np.ndarray:
+    """``score`` of many runs of one length, given as places in the alphabet."""
+    (rows, n), size = at.shape, len(_PLACES[encoding])
+    tail = lambda z: np.maximum(_erfc(np.abs(z) / math.sqrt(2)), 1e-300)
+    bins = max(2, min(size, n // 2))
+    counts = np.bincount((np.arange(rows)[:, None] * bins + at * bins // size).ravel(), minlength=rows * bins).reshape(rows, bins)
+    expected = np.bincount(np.arange(size) * bins // size, minlength=bins) * (n / size)
+    chi, df = ((counts - expected) ** 2 / expected).sum(axis=1), bins - 1
+    z = ((chi / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
+    uniform = np.maximum(0.5 * _erfc(z / math.sqrt(2)), 1e-300)
+    upper = at >= size / 2
+    n1 = upper.sum(axis=1)
+    mean = 2 * n1 * (n - n1) / n + 1
+    var = (mean - 1) * (mean - 2) / (n - 1)
+    changes = np.where(var > 0, tail((1 + (upper[:, 1:] != upper[:, :-1]).sum(axis=1) - mean) / np.sqrt(np.where(var > 0, var, 1))), 1.0)
+    changes = np.where((n1 == 0) | (n1 == n), 2.0 ** (1 - n) if n < 900 else 1e-300, changes)
+    off = at - at.mean(axis=1, keepdims=True)
+    spread = (off**2).sum(axis=1)
+    serial = np.where(spread > 0, tail((off[:, 1:] * off[:, :-1]).sum(axis=1) / np.where(spread > 0, spread, 1) * math.sqrt(n)), 1e-300)
+    x = -(np.log(uniform) + np.log(changes) + np.log(serial))
+    return np.where(x < 600, np.maximum(-20.0, (np.log(1 + x + x * x / 2) - x) / math.log(10)), -20.0)
+
+
 def stratum(length: int, encoding: int) -> int:
     """Length class and encoding, within which runs and decoys are compared."""
     return (sum(length >= least for least in LENGTH_CLASSES) - 1) * len(ENCODINGS) + encoding
@@ -135,19 +172,88 @@ def base_spans(text: str, hex_runs: list[tuple[int, int]]) -> list[tuple[int, in
     return sorted(out)
 
 
+#: Words of several languages, also in transcription, and syllables for others.
+_WORDS = (
+    "the of and to in is that for it as was with be by on not he his but at are this have from or had an they which one you were all her she there would their we him been has when who will no more if out so "
+    "value name file data user index count list type string number test config server client report image table account order price update create delete section chapter house water people world country history "
+    "der die und den von zu das mit sich des auf nicht ein eine als auch werden nach wird oder zwischen geschichte le les et pour dans que une est pas plus avec leur comme histoire pays el los las para como pero entre "
+    "ciudad tiempo di che non sono della citta na ne chto kak eto bylo gorod vremya ulitsa zhong guo ren shi de wo bu ta xue sheng beijing shanghai watashi desu tokyo kawa yama hito kitab madina bayt nehir sehir"
+).split()
+_SYLLABLES = "ka ke ki ko ra re ri ro sa se shi so ta te ti to na ne ni no ma mi mo la li lo pa pe po ba be bi da de di do ga go va ve vo ha chi zha xin jing yan tion ment ing er ver lich keit ova ski grad".split()
+_FORMS = ("joined", "capitalised", "marked")
+
+
+def typed(rng: random.Random, encoding: int, form: int, length: int) -> str:
+    """A run of ``length`` characters that a person may type in the encoding."""
+    letters, out, n = ENCODINGS[encoding][1], [], 0
+    lower, upper, marks = "a" in letters, "A" in letters, [m for m in "+/-_" if m in letters]
+    full = {len(letters)} if "z" in letters.lower() else set()
+    mark = rng.choice(marks) if marks else ""
+    while n < length:
+        word = rng.choice(_WORDS) if rng.random() < 0.6 else "".join(rng.choices(_SYLLABLES, k=rng.randint(2, 4)))
+        word = word if lower else word.upper()
+        if lower and upper and (form == 1 or (form == 2 and rng.random() < 0.3)):
+            word = word.capitalize()
+        if not full:
+            word = "".join(c for c in word if c in letters)
+        if form == 2:
+            number = str(rng.choice((rng.randint(0, 99), rng.randint(1900, 2030), rng.randint(0, 9999)))) if "0" in letters and rng.random() < 0.3 else ""
+            number = "".join(c for c in number if c in letters) if number else ""
+            word += number + (mark if rng.random() < 0.8 else "")
+        elif not full and "2" in letters and not word:
+            continue
+        out.append(word)
+        n += len(word)
+    return "".join(out)[:length]
+
+
+@lru_cache(maxsize=None)
+def _typed_places(encoding: int, form: int) -> np.ndarray:
+    """A long text of one form in places of the alphabet, in pieces of their own mark."""
+    rng, places = random.Random(f"{encoding} {form}"), _PLACES[encoding]
+    longest = LENGTH_CLASSES[-1] * (TYPED // len(_FORMS) // 100)
+    lookup = np.zeros(128, np.int64)
+    lookup[[ord(c) for c in places]] = list(places.values())
+    return lookup[np.frombuffer("".join(typed(rng, encoding, form, longest) for _ in range(100)).encode(), np.uint8)]
+
+
+@lru_cache(maxsize=None)
+def typed_counts(cls: int) -> np.ndarray:
+    """Counts of the simulated decoys of a stratum by score bin; their length
+    is the least of the class, at which the tests tell least."""
+    nth, encoding = divmod(cls, len(ENCODINGS))
+    length, each = LENGTH_CLASSES[nth], TYPED // len(_FORMS)
+    found = np.concatenate([scores(_typed_places(encoding, form)[: each * length].reshape(each, length), encoding) for form in range(len(_FORMS))])
+    return np.bincount(np.minimum(np.floor(-found * (_BINS / 20)).astype(np.int64), _BINS - 1), minlength=_BINS)
+
+
+def twin(run: str, encoding: int) -> float:
+    """Score of the typed decoy of a run."""
+    rng = random.Random(run)
+    length = max(least for least in LENGTH_CLASSES if least <= len(run))
+    return score(typed(rng, encoding, rng.randrange(len(_FORMS)), length), encoding)
+
+
+def _id(run: str, encoding: int) -> int:
+    return int.from_bytes(hashlib.blake2b(f"{encoding} {run}".encode(), digest_size=8).digest(), "little", signed=True)
+
+
 def decoys(text: str) -> list[tuple[int, str]]:
     """(encoding, run) of each length class: prose of the document as it would
     be typed in an encoding's letters.  Place, length and encoding follow from
-    the text's length, so the corpus covers all encodings."""
+    the text's length, so the corpus covers all encodings; where the prose at
+    the place is too short, the rest of the text and then its beginning follow."""
     n, out = len(text), []
     for nth, least in enumerate(LENGTH_CLASSES) if n >= LEAST_RUN else ():
         encoding, length, at = (n + 2 * nth) % len(ENCODINGS), least + n // 7 % 4, (n * 37 + least * 59) % 101 * n // 101
-        letters, prose = ENCODINGS[encoding][1], text[at : at + 10 * length + 40]
-        prose = prose if "a" in letters and "Z" in letters else prose.lower() if "a" in letters else prose.upper()
-        run = "".join(re.findall("[A-Za-z]+", prose))
-        run = "".join(filter(_PLACES[encoding].__contains__, run[: 10 * length]))[:length]
-        if len(run) == length:
-            out.append((encoding, run))
+        letters, near = ENCODINGS[encoding][1], at + 10 * length + 40
+        for prose in (text[at:near], text[at:] + text[:at]) if near < n or at else (text,):
+            prose = prose if "a" in letters and "Z" in letters else prose.lower() if "a" in letters else prose.upper()
+            run = "".join(re.findall("[A-Za-z]+", prose))
+            run = "".join(filter(_PLACES[encoding].__contains__, run))[:length]
+            if len(run) == length:
+                out.append((encoding, run))
+                break
     return out
 
 
@@ -186,20 +292,20 @@ def findings(column: pa.Array):
             yield text, base, [(a, b, text[a:b]) for a, b in runs]
 
 
-_SCANNED = "doc_id long, base array<struct<start:long,kind:int,end:long>>, runs array<struct<start:long,end:long,cls:int,score:double>>, decoys array<struct<cls:int,score:double>>"
+_SCANNED = "doc_id long, base array<struct<start:long,kind:int,end:long>>, runs array<struct<start:long,end:long,cls:int,score:double,id:long,twin:double>>, decoys array<struct<cls:int,score:double,id:long>>"
 
 
 def scan_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Base spans, scored candidates and decoys of every row."""
 
     def run(batches):
-        types = [pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("cls", pa.int32()), ("score", pa.float64())])), pa.list_(pa.struct([("cls", pa.int32()), ("score", pa.float64())]))]
+        types = [pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("cls", pa.int32()), ("score", pa.float64()), ("id", pa.int64()), ("twin", pa.float64())])), pa.list_(pa.struct([("cls", pa.int32()), ("score", pa.float64()), ("id", pa.int64())]))]
         for batch in batches:
             base, runs, null = [], [], []
             for text, spans, candidates in findings(batch.column(1)):
                 base.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
-                runs.append([{"start": a, "end": b, "cls": stratum(b - a, encoding_of(s)), "score": score(s)} for a, b, s in candidates])
-                null.append([{"cls": stratum(len(d), e), "score": score(d, e)} for e, d in decoys(text)])
+                runs.append([{"start": a, "end": b, "cls": stratum(b - a, e), "score": score(s, e), "id": _id(s, e), "twin": twin(s, e)} for a, b, s in candidates for e in [encoding_of(s)]])
+                null.append([{"cls": stratum(len(d), e), "score": score(d, e), "id": _id(d, e)} for e, d in decoys(text)])
             yield pa.record_batch([batch.column(0), *(pa.array(c, t) for c, t in zip((base, runs, null), types))], names=["doc_id", "base", "runs", "decoys"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, _SCANNED)
@@ -207,21 +313,24 @@ def scan_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 def thresholds(scanned: DataFrame, false_share: float = FALSE_SHARE) -> dict[int, float]:
     """Least accepted score by stratum; one that accepts none is absent."""
-    slot = F.least(F.floor(-F.col("score") * (_BINS / 20)), F.lit(_BINS - 1))
-    runs = scanned.select(F.explode("runs").alias("r")).select("r.cls", "r.score", F.lit(0).alias("decoy"))
-    null = scanned.select(F.explode("decoys").alias("r")).select("r.cls", "r.score", F.lit(1).alias("decoy"))
-    counts = runs.union(null).groupBy("cls", "decoy", slot.cast("int").alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()
+    slot = F.least(F.floor(-F.col("score") * (_BINS / 20)), F.lit(_BINS - 1)).cast("int").alias("slot")
+    both = scanned.select(F.explode("runs").alias("r"))
+    runs = both.select("r.cls", F.lit(0).alias("source"), "r.id", "r.score")
+    corpus = scanned.select(F.explode("decoys").alias("r")).select("r.cls", F.lit(1).alias("source"), "r.id", "r.score")
+    twins = both.select("r.cls", F.lit(2).alias("source"), "r.id", F.col("r.twin").alias("score"))
+    distinct = runs.union(corpus).union(twins).select("cls", "source", "id", slot).distinct()
+    tally = {}
+    for r in distinct.groupBy("cls", "source", "slot").agg(F.count(F.lit(1)).alias("n")).collect():
+        tally.setdefault(r["cls"], np.zeros((3, _BINS)))[r["source"], r["slot"]] += r["n"]
     out = {}
-    for cls in {r["cls"] for r in counts}:
-        tally = np.zeros((2, _BINS))
-        for r in counts:
-            if r["cls"] == cls:
-                tally[r["decoy"], r["slot"]] += r["n"]
-        runs_n, decoys_n = tally.sum(axis=1)
-        if not (runs_n and decoys_n):
+    for cls, counts in tally.items():
+        runs_n, corpus_n, twins_n = counts.sum(axis=1)
+        if not runs_n:
             continue
-        found, null = tally.cumsum(axis=1)
-        accepted = np.flatnonzero((found > 0) & ((1 + null) / (1 + decoys_n) * runs_n <= false_share * np.maximum(found, 1)))
+        found, own, simulated = counts.cumsum(axis=1)
+        simulated = simulated + typed_counts(cls).cumsum()
+        share = np.maximum((1 + own + simulated) / (1 + corpus_n + twins_n + TYPED), own / max(corpus_n, 1))
+        accepted = np.flatnonzero((found > 0) & (share * runs_n <= false_share * found))
         if len(accepted):
             out[cls] = -(accepted[-1] + 1) * 20 / _BINS
     return out

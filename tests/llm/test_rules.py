@@ -72,6 +72,37 @@ def test_false_discovery_control_accepts_random_runs_only(spark):
     assert all(planted[i] not in clean_text[i] for i in hits & planted.keys())
 
 
+@pytest.mark.parametrize("words", ["дом река город время человек слово ветер", "今天 天气 很好 我们 去 学校", "house river town time people word wind"])
+def test_random_spans_need_neither_size_nor_script(spark, words):
+    rng = random.Random(5)
+    key = lambda: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(64))
+    planted = {i: key() for i in range(0, 60, 3)}
+    name = lambda: "_".join(rng.choice("internal network controller session manager request handler default timeout".split()) for _ in range(9))
+    prose = lambda: " ".join(rng.choice(words.split(" ")) for _ in range(60))
+    docs = spark.createDataFrame([(i, f"{prose()} {planted.get(i) or name()} {prose()}") for i in range(60)], "doc_id long, text string")
+    found, least = secrets.scan(docs)
+    hits = {r.doc_id for r in found.where("size(spans) > 0").collect()}
+    assert len(hits & planted.keys()) >= 0.9 * len(planted) and not hits - planted.keys()
+    clean = {r.doc_id: r.text for r in secrets.redact(docs, least).collect()}
+    assert all(planted[i] not in clean[i] for i in hits)
+
+
+def test_equal_runs_count_once(spark):
+    rng = random.Random(6)
+    key = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(64))
+    same = "internal_network_controller_session_manager_request_handler_default"
+    docs = spark.createDataFrame([(i, f"{same if i else key} end") for i in range(500)], "doc_id long, text string")
+    assert [r.doc_id for r in secrets.scan(docs)[0].where("size(spans) > 0").collect()] == [0]
+
+
+def test_scores_of_many_runs_equal_the_battery():
+    rng = random.Random(7)
+    for encoding, (_, letters) in enumerate(secrets.ENCODINGS):
+        runs = [secrets.typed(rng, encoding, form, 40) for form in (0, 1, 2)] + ["".join(rng.choices(letters, k=40)), letters[0] * 40]
+        at = np.array([[letters.index(c) for c in run] for run in runs])
+        assert np.allclose(secrets.scores(at, encoding), [secrets.score(run, encoding) for run in runs])
+
+
 def base_counts(text: str) -> tuple:
     words = [w for w in BLANK.split(text) if w]
     lines = [x for x in text.split("\n") if BLANK.sub("", x)]
