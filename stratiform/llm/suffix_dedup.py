@@ -1,4 +1,4 @@
-"""Suffix-array dedup (operator 8): prefix-free parsing across documents.
+"""Suffix dedup (operator 8): prefix-free parsing and hash ranks, no suffix array.
 
 A byte goes if it lies in a ``LENGTH``-byte string that also starts earlier in
 the corpus (smaller document, or earlier in the same one).
@@ -17,11 +17,14 @@ A trigger whose phrases are all equal is settled by that.  Only triggers with
 several different phrases (the edges of repeats, edits inside near copies) go
 on, once per distinct phrase: their bytes are the *dictionary*.
 
-*Corpus order.*  The dictionary's suffixes of LENGTH bytes are sorted, a
-suffix array cut at that depth; equal neighbours are equal windows, and the
-parse's order tells which of them is first.
+*Equal windows.*  Hash ranking replaces the suffix arrays of dictionary and
+parse, which are not built: within a trigger's group the dictionary's windows
+of LENGTH bytes are sorted by 64-bit rolling hashes, neighbours of one hash
+are compared byte by byte, and the place in the corpus tells which of equal
+windows is first.  The windows found are those a lexicographic order would
+give; the order of different windows is not known.
 
-Highly repetitive text costs one parse entry a phrase and no suffix.  Copies
+Highly repetitive text costs one parse entry a phrase and no window.  Copies
 within one input split are settled before the shuffle, so the entries of a
 hot trigger grow with splits and distinct phrases, not with copies.  Row ids
 come from the place in the input, so ``docs`` must be a stable scan: a stored
@@ -264,8 +267,8 @@ def _dictionary(blocks: DataFrame) -> DataFrame:
 
 def later_windows(buffer: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Which of the windows at ``start`` (in corpus order) equal an earlier
-    one.  Suffixes are ranked by the rolling hash of their first LENGTH bytes,
-    eight bytes each instead of LENGTH; neighbours of one rank are compared
+    one.  They are ranked by their rolling hashes, eight bytes each instead of
+    LENGTH; neighbours of one rank are compared
     byte by byte."""
     n = len(buffer) - LENGTH + 1
     rank = np.empty(max(n, 0), np.uint64)
