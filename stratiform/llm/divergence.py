@@ -4,7 +4,7 @@ Everything is DataFrame functions.  Per document: a histogram of character
 classes (lower and upper letters, digits, blanks, symbols, others) and one of
 common words.  The references are means of these shares over the documents of
 a language that pass the base rules; its common words are the ``COMMON`` most
-frequent words of at most ``WORD_LENGTH`` letters.  A document is rejected if
+frequent words of letters, of any length.  A document is rejected if
 its Jensen-Shannon distance to its language's reference exceeds the limit of
 either histogram; documents with too few characters or words for a histogram
 to mean much are not judged by it.
@@ -42,7 +42,6 @@ BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
 WINDOW = 8
 COMMON = 32
-WORD_LENGTH = 4
 LEAST_CHARS = 100
 LEAST_WORDS = 50
 CLASS_LIMIT = 0.30
@@ -110,10 +109,10 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def common_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, common): the most frequent short words of each language."""
+    """(lang, common): the most frequent words of each language."""
     lang = F.coalesce(F.concat(F.lit("="), F.col(lang_col).cast("string")), F.lit(""))
-    short = F.filter(F.split(F.col(text_col).cast("string"), BLANKS, -1), lambda w: F.char_length(w).between(1, WORD_LENGTH))
-    counts = docs.select(lang.alias("lang"), F.explode(short).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    words = F.split(F.col(text_col).cast("string"), BLANKS, -1)
+    counts = docs.select(lang.alias("lang"), F.explode(words).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.where(F.col("word").rlike(r"^\p{L}+$"))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     top = counts.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= COMMON)

@@ -143,6 +143,18 @@ def test_op6_judges_every_language(spark, threshold):
     assert all(r.kept == (i < len(texts)) for i, r in got.items())
 
 
+def test_op6_common_words_of_any_length(spark):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("aeinorst") for _ in range(rng.randint(7, 12)))
+    usual = [word() for _ in range(30)]
+    texts = [" ".join(rng.choice(usual) for _ in range(400)) for _ in range(40)] + [" ".join(word() for _ in range(400)) for _ in range(3)]
+    docs = spark.createDataFrame([(i, t, "zz") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    counts = Counter(w for t in texts for w in t.split(" "))
+    want = sorted(sorted(counts, key=lambda w: (-counts[w], w))[: divergence.COMMON])
+    assert divergence.common_words(docs).first()["common"] == want
+    assert {r.doc_id for r in divergence.judged(docs).where("NOT kept").collect()} == {40, 41, 42}
+
+
 def test_distance_is_jensen_shannon(spark):
     from pyspark.sql import functions as F
 
