@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratiform.llm import bpe_codec, divergence, hilbert, jaccard, metric_join, packing, resampling, secrets, suffix_dedup, token_counts
+from stratiform.llm import bpe_codec, conversation_repair, divergence, hilbert, jaccard, metric_join, packing, resampling, secrets, suffix_dedup, token_counts
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -38,6 +38,7 @@ _QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_bpe_codec": bpe_codec.op9_bpe_codec,
     "op10_importance_resampling": resampling.op10_importance_resampling,
+    "op11_conversation_repair": conversation_repair.op11_conversation_repair,
 }
 
 
