@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratiform.llm import bpe_codec, conversation_repair, divergence, hilbert, jaccard, metric_join, packing, periodic_runs, resampling, secrets, suffix_dedup, token_counts
+from stratiform.llm import bpe_codec, conversation_repair, divergence, hilbert, jaccard, metric_join, packing, periodic_runs, resampling, secrets, suffix_dedup, token_counts, winnowing
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -39,6 +39,7 @@ _QUERIES: dict[str, Query] = {
     "op9_bpe_codec": bpe_codec.op9_bpe_codec,
     "op10_importance_resampling": resampling.op10_importance_resampling,
     "op11_conversation_repair": conversation_repair.op11_conversation_repair,
+    "op12_winnowing": winnowing.op12_winnowing,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 
