@@ -1,16 +1,19 @@
 """Document fingerprints (operator 12): winnowing in DataFrame functions only.
 
-Every run of ``GRAM`` bytes of a text is hashed; of each ``WINDOW`` consecutive
-hashes the least is chosen, of equal ones the rightmost, and kept with its
-position.  Two texts that share ``GRAM + WINDOW - 1`` bytes anywhere share a
-whole window, and so a chosen hash.
-
-A text is read in chunks of ``CHUNK`` windows that overlap by one window, so
-the arrays of hashes at hand are short however long the text; a chunk's value
-is the hash's upper 52 bits over the place counted from the chunk's end, so
-that ``array_min`` itself takes the rightmost of equal hashes.  Hashes are
-computed gram by gram: SQL functions have no running state that a rolling
-update could use without copying the array at every byte.
+A text is cut into tokens: words of up to 32 letters or digits of scripts that
+put blanks between words, and every other code point that is no blank.  Every
+``GRAM`` tokens in a row are hashed; of each ``WINDOW`` consecutive hashes the
+least is chosen, of equal ones the rightmost, and kept with its position.  Two
+texts that share ``GRAM + WINDOW - 1`` tokens in a row share a whole window, and
+so a chosen hash.
+
+A value is the hash's upper 52 bits over the lower bits of its place.  Minima
+of windows come from three passes that each join two minima 1, 2 and 4 places
+apart (the right one wins a tie); slices of an array for each window would copy
+it every time.  The place follows from the window's number and the lower bits.
+Hashes are computed gram by gram: SQL functions keep no running state that a
+rolling update could use at less cost.  A row's arrays hold its tokens, so a
+task needs some thirty bytes a byte of its longest text.
 
 An entry of the fingerprint packs the 52-bit hash and, in the lower 12 bits,
 the distance to the entry before it (at most ``WINDOW``), so positions cost
@@ -19,12 +22,13 @@ global window: ids are cut into buckets at quantiles, each bucket also gets the
 first row of the next one, and windows run inside buckets (one shuffle of the
 texts with their fingerprints).
 
-Defined cases: a null text is empty and has no entries; a text of fewer than
-``GRAM`` bytes is one gram, one of fewer grams than a window has one window;
-two empty fingerprints are alike (1.0), an empty and another are not (0.0);
-rows follow each other by id (nulls first), then by a hash of the text and the
-text; after the last comes the first, the only row follows itself; repeated
-rows stay; an empty table gives no rows; other columns are left out.
+Defined cases: a null text is empty and has no entries; a text of blanks only
+has one entry, its hash; one of fewer than ``GRAM`` tokens is one gram, one of
+fewer grams than a window has one window; two empty fingerprints are alike
+(1.0), an empty and another are not (0.0); rows follow each other by id (nulls
+first), then by a hash of the text and the text; after the last comes the
+first, the only row follows itself; repeated rows stay; an empty table gives no
+rows; other columns are left out.
 """
 
 from __future__ import annotations
@@ -35,34 +39,46 @@ from pyspark.sql.window import Window
 
 from stratiform.llm.common import id_text, let, table
 
-GRAM, WINDOW = 16, 40  # bytes of a gram, grams of a window
-CHUNK = 2048  # windows computed at once
+GRAM, WINDOW = 5, 8  # tokens of a gram, grams of a window (a power of two)
+#: Runs of letters and digits of alphabets; any other code point alone.
+TOKENS = r"[0-9A-Za-z\u00AA-\u0DFF\u10A0-\u1FFF\uAC00-\uD7AF]{1,32}|[^ \t\n\x0B\f\r]"
 _PLACE = (1 << 12) - 1  # lower bits of a value
+_NONE = "array<struct<hash:bigint,pos:int>>"
 
 
-def _entries(piece: Column, start: Column) -> Column:
-    """(hash, position) chosen in one chunk that begins at byte ``start``."""
-    gram = lambda i: F.xxhash64(F.substring(piece, i + 1, F.lit(GRAM)))
-    values = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.octet_length(piece) - GRAM, F.lit(0))),
-        lambda i: gram(i).bitwiseAND(F.lit(~_PLACE)).bitwiseOR((F.lit(_PLACE) - i).cast("long")),
-    )
-    least = let(values, lambda v: F.transform(F.sequence(F.lit(0), F.greatest(F.size(v) - WINDOW, F.lit(0))), lambda i: F.array_min(F.slice(v, i + 1, F.lit(WINDOW)))))
-    place = lambda x: (start + _PLACE - x.bitwiseAND(F.lit(_PLACE)).cast("int")).cast("int")
-    return F.transform(F.array_distinct(least), lambda x: F.struct(x.bitwiseAND(F.lit(~_PLACE)).alias("hash"), place(x).alias("pos")))
+def _values(tokens: Column) -> Column:
+    """Hash and place of each gram."""
+    last = F.greatest(F.size(tokens) - GRAM, F.lit(0))
+    gram = lambda i: F.xxhash64(*[F.get(tokens, i + j) for j in range(GRAM)])
+    return F.transform(F.sequence(F.lit(0), last), lambda i: gram(i).bitwiseAND(F.lit(~_PLACE)).bitwiseOR(i.bitwiseAND(F.lit(_PLACE))))
 
 
-def chosen(text: Column) -> Column:
-    """array<struct<hash, pos>> of a string, by position; empty for none."""
+def _minima(values: Column) -> Column:
+    """The value chosen in each window."""
+    level = lambda v: v.bitwiseOR(F.lit(_PLACE))
+    shifted = lambda x, by: F.slice(x, by + 1, F.greatest(F.size(x) - by, F.lit(0)))
+    joined = lambda by: lambda x: F.zip_with(x, shifted(x, by), lambda a, b: F.when(level(b) <= level(a), b).otherwise(a))
+    least, by = values, 1
+    while by < WINDOW:
+        least = let(least, joined(by))
+        by *= 2
+    return let(least, lambda x: F.slice(x, F.lit(1), F.greatest(F.size(x) - WINDOW + 1, F.lit(1))))
+
 
-    def whole(data: Column) -> Column:
-        n = F.octet_length(data)
-        starts = F.sequence(F.lit(0), F.greatest(n - GRAM - WINDOW + 1, F.lit(0)), F.lit(CHUNK))
-        chunks = F.transform(starts, lambda s: let(F.substring(data, s + 1, F.lit(CHUNK + GRAM + WINDOW - 2)), lambda piece: _entries(piece, s)))
-        none = F.array().cast("array<struct<hash:bigint,pos:int>>")
-        return F.when(n == 0, none).otherwise(F.array_distinct(F.flatten(chunks)))
+def _entries(tokens: Column) -> Column:
+    def placed(x: Column, i: Column, all_: Column) -> Column:
+        pos = i + F.pmod(x.bitwiseAND(F.lit(_PLACE)) - i, F.lit(_PLACE + 1))
+        return F.when((i == 0) | (x != F.get(all_, i - 1)), F.struct(x.bitwiseAND(F.lit(~_PLACE)).alias("hash"), pos.cast("int").alias("pos")))
 
-    return let(F.coalesce(text, F.lit("")).cast("binary"), whole)
+    return let(_minima(_values(tokens)), lambda w: F.filter(F.transform(w, lambda x, i: placed(x, i, w)), lambda e: e.isNotNull()))
+
+
+def chosen(text: Column) -> Column:
+    """array<struct<hash, pos>> of a string, by position; empty for none."""
+    whole = F.array(F.struct(F.xxhash64(text).bitwiseAND(F.lit(~_PLACE)).alias("hash"), F.lit(0).alias("pos")))
+    tokens = F.regexp_extract_all(text, F.lit(TOKENS), F.lit(0))
+    found = let(tokens, lambda t: F.when(F.size(t) > 0, _entries(t)).otherwise(whole))
+    return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast(_NONE)).otherwise(found)
 
 
 def packed(entries: Column) -> Column:
