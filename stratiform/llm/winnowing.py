@@ -20,7 +20,7 @@ the distance to the entry before it (at most ``WINDOW``), so positions cost
 nothing.  ``next_documents`` gives each row its successor by id without a
 global window: ids are cut into buckets at quantiles, each bucket also gets the
 first row of the next one, and windows run inside buckets (one shuffle of the
-texts with their fingerprints).
+texts).
 
 Defined cases: a null text is empty and has no entries; a text of blanks only
 has one entry, its hash; one of fewer than ``GRAM`` tokens is one gram, one of
@@ -117,10 +117,11 @@ def _at_most(cuts: list[float], key: Column) -> Column:
     return F.aggregate(steps, F.lit(0), lambda low, s: F.when(F.element_at(listed, low + s) <= key, low + s).otherwise(low)) if bits else F.lit(0)
 
 
-def next_documents(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """``rows`` (doc_id, text, ...) with struct ``next`` of ``columns`` of the
-    row that follows by id.
+def next_documents(rows: DataFrame, derived: dict[str, Column]) -> DataFrame:
+    """``rows`` (doc_id, text) with ``derived`` columns, and struct ``next`` of
+    text and derived columns of the row that follows by id.
 
+    Derived columns are computed after the shuffle, which carries texts only.
     The driver holds one first id and one cut for each bucket; there are four
     buckets for each shuffle partition, whatever the input.
     """
@@ -147,15 +148,16 @@ def next_documents(rows: DataFrame, columns: list[str]) -> DataFrame:
     places = F.when(is_head, F.array(home, place(previous, 1))).otherwise(F.array(home))
     placed = keyed.withColumn("places", places).select(*rows.columns, "tie", F.inline("places"))
     order = Window.partitionBy("bucket").orderBy("guest", F.col("doc_id").asc_nulls_first(), "tie", "text")
-    named = placed.withColumn("next", F.lead(F.struct(*columns)).over(order))
-    return named.where("guest = 0").select(*rows.columns, "next")
+    dealt = placed.repartition("bucket").withColumns(derived)
+    named = dealt.withColumn("next", F.lead(F.struct("text", *derived)).over(order))
+    return named.where("guest = 0").select(*rows.columns, *derived, "next")
 
 
 def compared_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every text, of its edited form (its second half is the
     beginning of the next document), and how alike they are."""
     rows = id_text(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    rows = next_documents(rows.withColumn("own", packed(chosen(F.col("text")))), ["text", "own"])
+    rows = next_documents(rows, {"own": packed(chosen(F.col("text")))})
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring(F.col("next.text"), F.lit(1), half))
