@@ -164,11 +164,7 @@ def decode_bool_sql(c: str, reversed_polarity: bool = False) -> str:
 
 def sentinel_scaled_sql(c: str, sentinel: int = BMI_MISSING_CODE, scale: float = 100.0, digits: int = 1) -> str:
     col = _ident(c)
-    return (
-        f"CASE WHEN {code_sql(c)} = {sentinel} THEN CAST(NULL AS DOUBLE) "
-        f"WHEN {col} IS NULL THEN CAST(NULL AS DOUBLE) "
-        f"ELSE round(CAST({col} AS DOUBLE) / {float(scale)!r}D, {digits}) END"
-    )
+    return f"if({code_sql(c)} <=> {sentinel}, CAST(NULL AS DOUBLE), round(CAST({col} AS DOUBLE) / {float(scale)!r}D, {digits}))"
 
 
 def sentinel_scaled(
@@ -177,8 +173,4 @@ def sentinel_scaled(
     """NULL for the sentinel code or NULL, else ``round(c / scale, digits)``."""
     if isinstance(c, str):
         return F.expr(sentinel_scaled_sql(c, sentinel, scale, digits))
-    return (
-        F.when(as_code(c) == sentinel, F.lit(None).cast("double"))
-        .when(c.isNull(), F.lit(None).cast("double"))
-        .otherwise(F.round(c.cast("double") / F.lit(scale), digits))
-    )
+    return F.when(~as_code(c).eqNullSafe(F.lit(sentinel)), F.round(c.cast("double") / F.lit(scale), digits))

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from stratiform.sources.commit import Folders
+
 ERROR = "error"
 WARN = "warn"
 
@@ -58,30 +60,53 @@ def _c(name: str) -> Column:
 
 
 # ── expectations (mostly-fraction metrics) ──────────────────────────────────
-def _metric_aggs(check: Check, i: int, present: set[str]) -> list[Column]:
+ROWS = "rows"
+
+
+def _counters(check: Check, present: set[str]) -> dict[str, tuple[str, Column]]:
+    """What a check counts: its part (``d`` base, ``k`` kept) to a key that
+    equal counters of other checks share, and the rows to count."""
     k, c = check.kind, check.column
+    rows, known = (ROWS, F.lit(True)), (f"known({c})", F.isnotnull(_c(c)) if c else F.lit(True))
     if k == "row_count_between":
-        return [F.count(F.lit(1)).alias(f"m{i}_n")]
+        return {"n": rows}
     if k == "column_exists" or (c is not None and c not in present):
-        return []
+        return {}
     if k == "not_null":
-        return [F.count(F.lit(1)).alias(f"m{i}_d"), F.count(_c(c)).alias(f"m{i}_k")]
+        return {"d": rows, "k": known}
     if k == "between":
-        ok = _c(c).between(F.lit(check.min_value), F.lit(check.max_value))
-        return [F.count(_c(c)).alias(f"m{i}_d"), F.count_if(ok).alias(f"m{i}_k")]
+        inside = _c(c).between(F.lit(check.min_value), F.lit(check.max_value))
+        return {"d": known, "k": (f"between({c},{check.min_value!r},{check.max_value!r})", inside)}
     if k == "in_set":
-        return [F.count(_c(c)).alias(f"m{i}_d"), F.count_if(_c(c).isin(list(check.values))).alias(f"m{i}_k")]
+        return {"d": known, "k": (f"in({c},{check.values!r})", _c(c).isin(list(check.values)))}
     raise ValueError(f"not an expectation kind: {k}")
 
 
-def _result_struct(check: Check, i: int, present: set[str], absent: Column | None) -> Column:
+def counters(checks: list[Check], present: set[str]) -> dict[str, Column]:
+    """Every distinct counter of a suite; the number of rows is always one."""
+    found = {ROWS: F.lit(True)}
+    for check in checks:
+        found |= dict(_counters(check, present).values())
+    return found
+
+
+def measure(df: DataFrame, checks: list[Check], by: list[str]) -> DataFrame:
+    """(by, ``counts`` map of counter to rows) in one aggregate."""
+    wanted = counters(checks, set(df.columns))
+    found = df.groupBy(*by).agg(*[F.count_if(cond).alias(f"__c{i}") for i, cond in enumerate(wanted.values())])
+    pairs = [x for i, key in enumerate(wanted) for x in (F.lit(key), F.col(f"__c{i}"))]
+    return found.select(*by, F.create_map(*pairs).alias("counts"))
+
+
+def _result_struct(check: Check, present: set[str], absent: Column | None) -> Column:
     """``absent``: the columns that a group's source lacked, if recorded."""
     k = check.kind
+    count = {part: F.coalesce(F.element_at("counts", F.lit(key)), F.lit(0)) for part, (key, _) in _counters(check, present).items()}
     here = F.lit(check.column in present)
     if absent is not None and check.column in present:
         here = ~F.array_contains(absent, F.lit(check.column))
     if k == "row_count_between":
-        n = F.col(f"m{i}_n").cast("double")
+        n = count["n"].cast("double")
         observed = n
         passed = n.between(F.lit(check.min_value), F.lit(check.max_value))
         threshold = F.lit(f"[{check.min_value:g}, {check.max_value:g}]")
@@ -90,7 +115,7 @@ def _result_struct(check: Check, i: int, present: set[str], absent: Column | Non
         passed = here if k == "column_exists" else F.lit(False)
         threshold = F.lit("present")
     else:
-        d, kept = F.col(f"m{i}_d"), F.col(f"m{i}_k")
+        d, kept = count["d"], count["k"]
         observed = F.when(here & (d > 0), kept.cast("double") / d.cast("double"))
         passed = here & F.coalesce(observed >= F.lit(check.mostly), F.lit(True))
         threshold = F.lit(f">= {check.mostly:g}")
@@ -122,24 +147,32 @@ def run_expectations(
     lacked although the unified table has them (filled with NULL).
     """
     by = by or []
-    present = set(df.columns)
-    aggs = [a for i, ch in enumerate(checks) for a in _metric_aggs(ch, i, present)]
-    if not aggs:
-        aggs = [F.count(F.lit(1)).alias("_n")]
-    metrics = df.groupBy(*by).agg(*aggs)
-    spark = df.sparkSession
-    keys = [df.schema[c] for c in by]
+    return judge(measure(df, checks, by), checks, set(df.columns), by, groups, absent)
+
+
+def judge(
+    metrics: DataFrame,
+    checks: list[Check],
+    present: set[str],
+    by: list[str],
+    groups: list[tuple] | None = None,
+    absent: list[tuple] | None = None,
+) -> DataFrame:
+    """The results of a suite from counts that were taken before (``measure``,
+    or counters observed while the rows were written): no row is read here."""
+    spark = metrics.sparkSession
+    keys = [metrics.schema[c] for c in by]
     if groups is not None:
-        counts = [c for c in metrics.columns if c not in by]
         wanted = spark.createDataFrame(groups, StructType(keys))
-        metrics = wanted.join(metrics, on=by, how="left").fillna(0, subset=counts)
+        none = F.create_map(F.lit(ROWS), F.lit(0).cast("bigint"))
+        metrics = wanted.join(metrics, on=by, how="left").withColumn("counts", F.coalesce("counts", none))
     lacking = None
     if absent:
         table = spark.createDataFrame(absent, StructType([*keys, StructField("__column", StringType())]))
         table = table.groupBy(*by).agg(F.collect_set("__column").alias("__absent"))  # at most a suite's columns a group
         metrics = metrics.join(table, on=by, how="left")
         lacking = F.coalesce(F.col("__absent"), F.array().cast("array<string>"))
-    structs = [_result_struct(ch, i, present, lacking) for i, ch in enumerate(checks)]
+    structs = [_result_struct(ch, present, lacking) for ch in checks]
     return metrics.select(*by, F.inline(F.array(*structs)))
 
 
@@ -234,6 +267,31 @@ def store_failures(df: DataFrame, checks: list[Check], root: str, model: str) ->
     return paths
 
 
+def store_all_failures(df: DataFrame, suites: dict[str, list[Check]], root: str) -> None:
+    """Write the failing rows of every given test to ``root/<model>/<test>``.
+
+    Row-level tests share one scan, however many fail: each row gets the list
+    of tests it fails, and is written once for each, into that test's folder.
+    Repeated keys are rows of another shape: one grouped write a key column.
+    """
+    rows = [(m, c) for m, cs in suites.items() for c in cs if c.kind != "unique"]
+    if rows:
+        marks = [F.when(failure_condition(c), F.struct(F.lit(m).alias("__model"), F.lit(c.name).alias("__test"))) for m, c in rows]
+        failed = df.withColumn("__failed", F.filter(F.array(*marks), lambda x: x.isNotNull())).where(F.size("__failed") > 0)
+        each = failed.select(*df.columns, F.inline("__failed"))
+        folder = f"{root.rstrip('/')}/_all"
+        each.write.mode("overwrite").partitionBy("__model", "__test").parquet(folder)
+        folders = Folders(df.sparkSession, folder)
+        for m, c in rows:
+            written = f"{folder}/__model={m}/__test={c.name}"
+            if folders.exists(written):
+                folders.delete(f"{root.rstrip('/')}/{m}/{c.name}")
+                folders.move(written, f"{root.rstrip('/')}/{m}/{c.name}")
+        folders.delete(folder)
+    for m, cs in suites.items():
+        store_failures(df, [c for c in cs if c.kind == "unique"], root, m)
+
+
 def gate(results: DataFrame, label: str = "checks") -> list[dict]:
     """Raise ``CheckFailed`` if any error-severity check failed.
 

@@ -4,34 +4,42 @@ The phases run in the reference order, and the raw gate stops the run before
 any model is built.  Every layer is a table under one warehouse root (a
 shared folder):
 
-* ``raw``  -- Parquet partitioned by ``survey_year``; a year is replaced by
-  dynamic partition overwrite, so reruns are idempotent;
+* ``raw``  -- Parquet partitioned by ``survey_year``, with its ledger
+  (``raw_ledger``: file, rows and check counters of each loaded year);
 * ``intermediate/enriched`` -- staging + flags + risk decoded once and
   written once (partitioned by year); every mart reads only its columns
   from it, instead of re-decoding the raw layer per mart;
 * ``marts/<name>`` -- the four marts and the weight diagnostics;
 * ``checks/...`` -- check results and, per failing test, its failing rows.
 
-Writing the layers cuts lineage: a lost executor re-reads files instead of
-recomputing from the raw scan.
+The models of a run replace all requested years in all layers at once
+(``sources.commit``): a year that yields no row leaves no row, and a run killed
+before its commit leaves every layer as it was.  Writing the layers cuts
+lineage: a lost executor re-reads files instead of recomputing from the raw scan.
+
+The raw gate reads no rows: the counters of its checks are observed while the
+raw layer is written and kept in the ledger.  Only a suite that asks for other
+counters scans the raw table.
 """
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.operators.checks import WARN, Check, gate, run_data_tests, run_expectations, store_failures
+from stratiform.operators.checks import ROWS, WARN, Check, counters, gate, judge, run_data_tests, run_expectations, store_all_failures
 from stratiform.operators.weights import survey_weights
 from stratiform.plans import models as M
 from stratiform.plans import suites as S
 from stratiform.schema import LOADED_AT, SOURCE_VARIABLES, YEAR, normalise_name
 from stratiform.session import tune_session
 from stratiform.sources import ingest, landing
+from stratiform.sources.commit import Folders, YearCommit, recover
 from stratiform.sources.seeds import state_codes
 from stratiform.sources.xpt import read_layout, read_xpt
 
@@ -57,59 +65,76 @@ class PipelineConfig:
         return "/".join([self.warehouse.rstrip("/"), *parts])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder exists (Hadoop file system of the path)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
-    except Exception:  # noqa: BLE001 - no JVM context: probe by reading
-        try:
-            spark.read.parquet(path).schema  # noqa: B018
-            return True
-        except Exception:  # noqa: BLE001
-            return False
+def raw_suite(cfg: PipelineConfig) -> list[Check]:
+    return cfg.raw_suite or S.raw_expectations(tuple(cfg.years), cfg.min_rows, cfg.max_rows)
 
 
 def land(spark: SparkSession, cfg: PipelineConfig) -> list[int]:
     """Load the requested yearly files into the raw layer; returns loaded years.
 
-    All new years are read by one XPT scan (the year comes from the file
-    name) and written by one dynamic-partition-overwrite job.
+    The new years are scanned once: written by one job, and counted for the
+    gate while they are written.  Data, column record, file record and ledger
+    are committed together.
     """
     raw_path = cfg.path("raw")
+    recover(spark, cfg.warehouse)
     files = landing.listing(spark, cfg.landing_dir, min_bytes=cfg.min_file_bytes)  # names only
-    loaded = ingest.read_raw(spark, raw_path) if _exists(spark, raw_path) else None
-    chosen = landing.files_to_load(spark, files, cfg.years, loaded, cfg.force)
+    chosen = landing.files_to_load(spark, files, cfg.years, ingest.loaded_years(spark, raw_path), cfg.force)
     todo = sorted(chosen)
     if not todo:
         return todo
     paths = [chosen[y] for y in todo]
+    swap = YearCommit(spark, cfg.warehouse, todo)
+    known = {r["year"]: r for r in files.where(F.col("path").isin(paths)).collect()}  # one row a file
+    digests: dict[int, str] = {}
     if cfg.hash_files:  # provenance: size and SHA-256 of the files being loaded, and of no others
         hashed = landing.manifest(spark, cfg.landing_dir, min_bytes=cfg.min_file_bytes, paths=paths)
-        hashed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(
-            cfg.path("checks", "landing_manifest"))
-    frame = read_xpt(spark, paths, columns=SOURCE_VARIABLES,
-                     with_record_no=True, with_source_file=True)
-    year = F.regexp_extract(F.col("source_file"), landing.YEAR_FILE_PATTERN, 1).cast("int")
-    projected, _missing = ingest.project_allowlist(frame.withColumn(YEAR, year))
-    stamped = projected.withColumn(LOADED_AT, F.lit(ingest.load_stamp()))
-    ingest.write_raw(ingest.describe(stamped), raw_path)  # column comments travel in the Parquet schema
+        swap.write(hashed, "checks/landing_manifest", by="year")
+        digests = {r["year"]: r["sha256"] for r in swap.read("checks/landing_manifest").collect()}
+    stamp = ingest.load_stamp()
+    frames, seen = [], {}
+    for year in todo:
+        # Years are told apart by file, so each is observed by itself: a row
+        # passes only its own year's counters.
+        frame = read_xpt(spark, chosen[year], columns=SOURCE_VARIABLES, with_record_no=True)
+        projected, _missing = ingest.project_allowlist(frame)
+        stamped = ingest.describe(ingest.add_metadata(projected, year, stamp))  # comments travel in the Parquet schema
+        wanted = counters(raw_suite(cfg), set(stamped.columns))
+        seen[year] = Observation(f"raw_{year}_{uuid.uuid4().hex}"), list(wanted)
+        frames.append(stamped.observe(seen[year][0], *[F.count_if(c).alias(f"c{i}") for i, c in enumerate(wanted.values())]))
+    swap.write(ingest.unify_years(frames), "raw")
+    ledger = []
+    for year in todo:
+        observed, keys = seen[year]
+        counts = {key: observed.get[f"c{i}"] for i, key in enumerate(keys)}
+        ledger.append((year, chosen[year], known[year]["length"], digests.get(year), counts[ROWS], stamp, counts))
+    swap.write(spark.createDataFrame(ledger, ingest.LEDGER_SCHEMA), "raw_ledger")
     headers = {y: [normalise_name(v.name) for v in read_layout(chosen[y]).variables] for y in todo}
-    ingest.record_columns(spark, headers, raw_path)
+    swap.write(ingest.column_rows(spark, headers), "raw_columns")
+    swap.commit()
     return todo
 
 
+def raw_results(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    """The raw suite for every requested year: from the ledger's counters, or
+    by one pass over the raw table where they do not cover the suite."""
+    raw_path, suite = cfg.path("raw"), raw_suite(cfg)
+    raw = ingest.read_raw(spark, raw_path, cfg.years)
+    groups, absent = [(y,) for y in cfg.years], []
+    if Folders(spark, raw_path).exists(ingest.columns_path(raw_path)):
+        absent = ingest.absent_columns(spark, raw_path, cfg.years)
+    ledger = ingest.read_ledger(spark, raw_path, cfg.years)
+    if ledger is not None:
+        wanted = counters(suite, set(raw.columns)).keys()
+        if all(wanted <= r["counts"].keys() for r in ledger.select("counts").collect()):  # one row a year
+            return judge(ledger.select(YEAR, "counts"), suite, set(raw.columns), [YEAR], groups, absent)
+    return run_expectations(raw, suite, by=[YEAR], groups=groups, absent=absent)
+
+
 def raw_gate(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    """Evaluate the raw suite for every requested year in one pass, store it,
-    then gate: a year without rows or a file without a column fails."""
-    raw = ingest.read_raw(spark, cfg.path("raw"), cfg.years)
-    suite = cfg.raw_suite or S.raw_expectations(tuple(cfg.years), cfg.min_rows, cfg.max_rows)
-    absent = []
-    if _exists(spark, ingest.columns_path(cfg.path("raw"))):
-        absent = ingest.absent_columns(spark, cfg.path("raw"), cfg.years)
-    results = run_expectations(raw, suite, by=[YEAR], groups=[(y,) for y in cfg.years], absent=absent)
-    results.write.mode("overwrite").parquet(cfg.path("checks", "raw_expectations"))
+    """Evaluate and store the raw suite, then gate: a year without rows or a
+    file without a column fails."""
+    raw_results(spark, cfg).write.mode("overwrite").parquet(cfg.path("checks", "raw_expectations"))
     stored = spark.read.parquet(cfg.path("checks", "raw_expectations"))
     gate(stored, "raw expectations")
     return stored
@@ -128,9 +153,9 @@ def build_models(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     if "respondent_id" not in raw.columns:
         raw = raw.withColumn("respondent_id", respondent_id(F.col(YEAR), F.col("record_no")))
     staged = M.staging(raw, state_codes(spark))
-    enriched_path = cfg.path("intermediate", "enriched")
-    ingest.write_raw(M.enrich(staged), enriched_path)
-    rich = ingest.read_raw(spark, enriched_path, cfg.years)
+    swap = YearCommit(spark, cfg.warehouse, cfg.years)
+    swap.write(M.enrich(staged), "intermediate/enriched")
+    rich = swap.read("intermediate/enriched")
     outputs = {
         "dim_respondent_demographics": M.dim_demographics(rich),
         "fct_diabetes_prevalence": M.prevalence(rich, min_cell=cfg.min_cell),
@@ -138,20 +163,14 @@ def build_models(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
         "fct_survey_weighted_estimates": M.state_year_estimates(rich),
         "int_survey_weights": survey_weights(rich),
     }
-    paths = {"enriched": enriched_path, **{name: cfg.path("marts", name) for name in outputs}}
     # The marts are independent jobs over the same table: submit them together
     # so their tasks share the cluster instead of running one after another.
     with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
-        futures = [pool.submit(ingest.write_raw, df, paths[name]) for name, df in outputs.items()]
+        futures = [pool.submit(swap.write, df, f"marts/{name}") for name, df in outputs.items()]
         for fut in futures:
             fut.result()
-    return paths
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    """Delete a stored table that no longer holds."""
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    swap.commit()
+    return {"enriched": cfg.path("intermediate", "enriched"), **{name: cfg.path("marts", name) for name in outputs}}
 
 
 def singular_tests(rich: DataFrame, prev: DataFrame) -> dict[str, DataFrame]:
@@ -188,17 +207,16 @@ def test_models(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     results = results.unionByName(_singular_results(singular))
     results.write.mode("overwrite").parquet(cfg.path("checks", "model_tests"))
     stored = spark.read.parquet(cfg.path("checks", "model_tests"))
-    root = cfg.path("checks", "failures")
-    suites["fct_diabetes_prevalence"] = S.prevalence_tests()
+    root, folders = cfg.path("checks", "failures"), Folders(spark, cfg.warehouse)
+    failed: dict[str, set[str]] = {}
     for row in stored.select("model", "test_name", "passed").collect():  # one row a test
-        model, name = row["model"], row["test_name"]
-        if row["passed"]:
-            _remove(spark, f"{root}/{model}/{name}")
-        elif model == SINGULAR:
-            singular[name].write.mode("overwrite").parquet(f"{root}/{model}/{name}")
-        else:
-            frame = prev if model == "fct_diabetes_prevalence" else rich
-            store_failures(frame, [c for c in suites[model] if c.name == name], root, model)
+        folders.delete(f"{root}/{row['model']}/{row['test_name']}")
+        if not row["passed"]:
+            failed.setdefault(row["model"], set()).add(row["test_name"])
+    for name in failed.get(SINGULAR, ()):
+        singular[name].write.mode("overwrite").parquet(f"{root}/{SINGULAR}/{name}")
+    for frame, of in ((rich, suites), (prev, {"fct_diabetes_prevalence": S.prevalence_tests()})):
+        store_all_failures(frame, {m: [c for c in cs if c.name in failed.get(m, ())] for m, cs in of.items()}, root)
     gate(stored, "model tests")  # all warn: never raises, returns the failures
     return stored
 
@@ -223,7 +241,7 @@ def register_views(spark: SparkSession, cfg: PipelineConfig) -> list[str]:
     projections of the enriched table; marts and check results are their own
     tables.  Views are lazy: nothing is computed until queried.
     """
-    rich = spark.read.parquet(cfg.path("intermediate", "enriched"))
+    rich = ingest.read_raw(spark, cfg.path("intermediate", "enriched"))
     views = {
         "raw_all": ingest.read_raw(spark, cfg.path("raw")),
         "stg_respondents": rich.select("respondent_id", *M.STAGED_COLUMNS, "state_abbr", "state_name"),
@@ -234,7 +252,7 @@ def register_views(spark: SparkSession, cfg: PipelineConfig) -> list[str]:
     }
     for name in ("dim_respondent_demographics", "fct_diabetes_prevalence", "fct_diabetes_risk_factors",
                  "fct_survey_weighted_estimates", "int_survey_weights"):
-        views[name] = spark.read.parquet(cfg.path("marts", name))
+        views[name] = ingest.read_raw(spark, cfg.path("marts", name))
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return sorted(views)
@@ -243,6 +261,7 @@ def register_views(spark: SparkSession, cfg: PipelineConfig) -> list[str]:
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     """The whole run in phase order; raises ``CheckFailed`` at the raw gate."""
     tune_session(spark)
+    recover(spark, cfg.warehouse)
     if not cfg.skip_landing:
         land(spark, cfg)
     raw_gate(spark, cfg)

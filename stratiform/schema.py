@@ -61,6 +61,9 @@ VARIABLE_LABELS_SCHEMA = T.StructType(
 # metadata by ``sources.ingest.describe``).
 RAW_COMMENTS = {
     "diabete4": "Ever told you have diabetes",
+    "bmi5": "Body mass index times 100; 9999 is missing",
+    "ststr": "Stratum of the sample design",
+    "psu": "Primary sampling unit",
     "llcpwt": "Final combined survey weight",
     "state": "State FIPS code",
     "survey_year": "Survey year the file was loaded for",

@@ -1,8 +1,13 @@
 """Raw layer: allowlist projection, name normalisation, load metadata, sinks.
 
-A yearly file becomes a ``survey_year`` partition of one Parquet table.
-Rewriting a year replaces exactly that partition (dynamic partition
-overwrite), so a rerun is idempotent and other years are untouched.
+A yearly file becomes a ``survey_year`` partition of one Parquet table.  With
+the list of ``years`` a write replaces whole years (``sources.commit``): a year
+that yields no row any more is gone afterwards, other years are untouched.
+Without it only the years that have rows are replaced.
+
+The ledger (``<raw>_ledger``) holds one row a loaded year: its file, size and
+digest, its rows, and the counters of the raw checks taken while it was
+written.  Choosing years and judging the gate read the ledger, not the data.
 """
 
 from __future__ import annotations
@@ -12,6 +17,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratiform.sources.commit import Folders, YearCommit, stored_schema
 from stratiform.schema import LOADED_AT, RAW_COMMENTS, RAW_VARIABLES, YEAR, normalise_name
 
 
@@ -75,28 +81,63 @@ def unify_years(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def write_raw(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a year-partitioned table, replacing only the years present.
+def write_raw(df: DataFrame, path: str, mode: str = "overwrite", years: list[int] | None = None) -> None:
+    """Write a year-partitioned table: replace ``years``, whether or not they
+    have rows, or without that list only the years present.
 
     Dynamic partition overwrite is set on this write only (no session-wide
     setting, so concurrent writes from other threads are unaffected).
     """
+    if years is not None:
+        root, table = path.rstrip("/").rsplit("/", 1)
+        swap = YearCommit(df.sparkSession, root, years)
+        swap.write(df, table)
+        swap.commit()
+        return
     df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(YEAR).parquet(path)
 
 
 def read_raw(spark: SparkSession, path: str, years: list[int] | None = None) -> DataFrame:
     """The unified multi-year raw table; a year list prunes partitions."""
-    df = spark.read.parquet(path)
+    schema = stored_schema(spark, path)
+    df = (spark.read.schema(schema) if schema else spark.read).parquet(path)
     if years:
         df = df.where(F.col(YEAR).isin(years))
     return df
 
 
-def record_columns(spark: SparkSession, columns: dict[int, list[str]], raw_path: str) -> None:
-    """Store which allowlisted columns each loaded year's file has (beside the
-    raw table, replaced year by year like it)."""
+def column_rows(spark: SparkSession, columns: dict[int, list[str]]) -> DataFrame:
+    """Which allowlisted columns each year's file has."""
     rows = [(year, c, c in set(have)) for year, have in columns.items() for c in RAW_VARIABLES]
-    write_raw(spark.createDataFrame(rows, f"{YEAR} int, column_name string, present boolean"), columns_path(raw_path))
+    return spark.createDataFrame(rows, f"{YEAR} int, column_name string, present boolean")
+
+
+def record_columns(spark: SparkSession, columns: dict[int, list[str]], raw_path: str) -> None:
+    """Store them beside the raw table, replaced year by year like it."""
+    write_raw(column_rows(spark, columns), columns_path(raw_path), years=list(columns))
+
+
+LEDGER_SCHEMA = f"{YEAR} int, path string, length bigint, sha256 string, n_rows bigint, {LOADED_AT} string, counts map<string,bigint>"
+
+
+def ledger_path(raw_path: str) -> str:
+    return raw_path.rstrip("/") + "_ledger"
+
+
+def read_ledger(spark: SparkSession, raw_path: str, years: list[int] | None = None) -> DataFrame | None:
+    """One row a loaded year, or None where no load has kept a ledger."""
+    path = ledger_path(raw_path)
+    return read_raw(spark, path, years) if Folders(spark, path).exists(path) else None
+
+
+def loaded_years(spark: SparkSession, raw_path: str) -> set[int]:
+    """The years that are loaded, by the ledger or else by the names of the raw
+    table's folders; no data file is opened."""
+    ledger = read_ledger(spark, raw_path)
+    if ledger is not None:
+        return {r[0] for r in ledger.select(YEAR).collect()}  # one row a year
+    names = Folders(spark, raw_path).names(raw_path)
+    return {int(n.split("=")[1]) for n in names if n.startswith(f"{YEAR}=")}
 
 
 def columns_path(raw_path: str) -> str:
@@ -106,7 +147,7 @@ def columns_path(raw_path: str) -> str:
 def absent_columns(spark: SparkSession, raw_path: str, years: list[int]) -> list[tuple[int, str]]:
     """(year, column) that a requested year's file lacked; at most the
     allowlist's length a year."""
-    table = spark.read.parquet(columns_path(raw_path)).where(F.col(YEAR).isin(years) & ~F.col("present"))
+    table = read_raw(spark, columns_path(raw_path)).where(F.col(YEAR).isin(years) & ~F.col("present"))
     return [(r[YEAR], r["column_name"]) for r in table.select(YEAR, "column_name").collect()]
 
 

@@ -86,22 +86,33 @@ def manifest(
     the folder's files, or of ``paths`` only."""
     reader = spark.read.format("binaryFile")
     files = reader.load(paths) if paths else reader.option("pathGlobFilter", glob).load(landing_dir)
-    # One partition a file: the listing alone would put many into one task.
-    files = files.select("path", "length").repartition("path")
+    # The listing alone would put many files into one task.
+    files = one_task_each(files.select("path", "length"), "path")
     hashed = files.mapInPandas(_stream_sha256, "path string, length bigint, sha256 string")
     return _describe_files(hashed, min_bytes, name_pattern, with_hash=True)
 
 
+def one_task_each(rows: DataFrame, column: str) -> DataFrame:
+    """Rows dealt out by rank of a distinct value: one task for each.  Hashing
+    the value instead would put several into one task by chance."""
+    names = sorted(r[0] for r in rows.select(column).collect())  # one a yearly file
+    if len(names) < 2:
+        return rows.coalesce(1)
+    bounds = F.array(*[F.lit(n) for n in names])
+    return rows.repartitionByRange(len(names), F.array_position(bounds, F.col(column)))
+
+
 def files_to_load(
     spark: SparkSession,
     landing: DataFrame,
     years: list[int],
-    loaded: DataFrame | None = None,
+    loaded: DataFrame | set[int] | None = None,
     force: bool = False,
 ) -> dict[int, str]:
     """Year to path, as listed, of the requested years that are not loaded yet.
 
-    One row per requested landed file is collected.  Raises
+    ``loaded`` are the loaded years (``ingest.loaded_years``), or a frame that
+    has them in ``survey_year``.  One row per requested landed file is collected.  Raises
     ``FileNotFoundError`` for a requested year without a file, ``ValueError``
     for one below the minimum size or with several files.
     """
@@ -111,7 +122,7 @@ def files_to_load(
         raise FileNotFoundError(f"no landed file for year(s) {missing}")
     done: set[int] = set()
     if loaded is not None and not force:
-        done = {r[0] for r in loaded.select("survey_year").distinct().collect()}
+        done = {r[0] for r in loaded.select("survey_year").distinct().collect()} if isinstance(loaded, DataFrame) else set(loaded)
     found: dict[int, str] = {}
     for r in sorted(rows, key=lambda r: r["path"]):
         if r["year"] in done:
@@ -128,7 +139,7 @@ def years_to_load(
     spark: SparkSession,
     landing: DataFrame,
     years: list[int],
-    loaded: DataFrame | None = None,
+    loaded: DataFrame | set[int] | None = None,
     force: bool = False,
 ) -> list[int]:
     """The years of ``files_to_load``."""

@@ -13,6 +13,14 @@ Only the columns of the read schema are decoded: pass ``.schema(...)`` (or
 select before any action with a user schema) to skip the rest.  The special
 column ``record_no`` (BIGINT, 0-based position in the file) and ``source_file``
 (STRING) can be requested; ``record_no`` is a free deterministic key.
+``file_year`` (INT) is the year in the file's name, NULL without one.
+
+Options prune the scan: ``years`` (files of other years, by name, are not
+opened) and ``firstRecord``/``lastRecord`` (a half-open range that cuts the byte
+ranges).  They are options and no pushed filters because Spark 4.1 keeps a
+pruned Python reader for later queries on the same frame, which would then miss
+rows; a filter on ``file_year`` or ``record_no`` is right, but reads all files.
+A file that ends inside a record is an error, not a shorter table.
 
 Paths may be local or URIs of any file system Arrow can open (``file://``,
 ``s3://``, ``gs://``, ``hdfs://``): each task opens the file itself and reads
@@ -22,6 +30,7 @@ only its byte range, so nothing is staged through the driver.
 from __future__ import annotations
 
 import fnmatch
+import re
 import struct
 from dataclasses import dataclass
 
@@ -29,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 RECORD = 80
 NAMESTR_TAG = b"HEADER RECORD*******NAMESTR HEADER RECORD!!!!!!!"
@@ -41,6 +50,8 @@ BATCH_BYTES = 4 << 20  # source bytes decoded into one Arrow batch
 MISSING_FIRST_BYTES = bytes([0x2E, 0x5F, *range(0x41, 0x5B)])
 RECORD_NO = "record_no"
 SOURCE_FILE = "source_file"
+FILE_YEAR = "file_year"
+_YEAR_IN_NAME = re.compile(r"(\d{4})\.[^.]*$")
 DEFAULT_PARTITION_BYTES = 64 << 20
 
 
@@ -125,7 +136,11 @@ def read_layout(path: str) -> Layout:
     variables = tuple(_parse_namestr(head[start + i * each : start + (i + 1) * each], each) for i in range(count))
     record_length = max(v.position + v.length for v in variables) if variables else 0
     data_offset = len(head)
-    n_records = (size - data_offset) // record_length if record_length else 0
+    n_records, rest = divmod(size - data_offset, record_length) if record_length else (0, 0)
+    # What follows the last record is padding; anything else is a cut file.
+    end = _read_range(path, size - rest, rest) if 0 < rest < RECORD else b""
+    if size % RECORD or rest >= RECORD or end.strip(b" "):
+        raise ValueError(f"{path}: the file ends inside a record ({rest} bytes after {n_records} whole records of {record_length})")
     # Blanks fill the file up to a multiple of 80 bytes.  At most 79 of them,
     # so only that many bytes can be whole padding records; a blank record
     # before those is data.
@@ -192,9 +207,21 @@ class XptPartition(InputPartition):
 
 
 def _option_paths(options: dict) -> list[str]:
-    """``path`` (file, directory or glob) or ``paths`` (newline-separated)."""
+    """``path`` (file, directory or glob) or ``paths`` (newline-separated), of
+    the ``years`` asked for (comma-separated)."""
     raw = options.get("paths") or options["path"]
-    return sorted({f for p in raw.split("\n") if p for f in _expand(p)})
+    files = {f for p in raw.split("\n") if p for f in _expand(p)}
+    return _of_years(files, [int(y) for y in options["years"].split(",")] if options.get("years") else None)
+
+
+def _of_years(files, years: list[int] | None) -> list[str]:
+    return sorted(f for f in files if years is None or file_year(f) in years)
+
+
+def file_year(path: str) -> int | None:
+    """The four digits before the extension of a file's name."""
+    found = _YEAR_IN_NAME.search(path.rsplit("/", 1)[-1])
+    return int(found[1]) if found else None
 
 
 class XptReader(DataSourceReader):
@@ -202,20 +229,22 @@ class XptReader(DataSourceReader):
         self.schema = schema
         self.paths = _option_paths(options)
         self.partition_bytes = int(options.get("partitionBytes", DEFAULT_PARTITION_BYTES))
+        self.first, self.last = int(options.get("firstRecord", 0)), options.get("lastRecord")
 
     def partitions(self):
         parts = []
         for p in self.paths:
             layout = read_layout(p)
-            if not layout.n_records:
-                continue
-            per = max(1, self.partition_bytes // layout.record_length)
-            for first in range(0, layout.n_records, per):
-                parts.append(XptPartition(layout, first, min(first + per, layout.n_records)))
+            end = layout.n_records if self.last is None else min(int(self.last), layout.n_records)
+            per = max(1, self.partition_bytes // layout.record_length) if layout.record_length else 1
+            for first in range(self.first, end, per):
+                parts.append(XptPartition(layout, first, min(first + per, end)))
         return parts
 
     def read(self, partition: XptPartition):
         """Bounded batches of a split."""
+        if partition is None:  # Spark's stand-in where no file has a record to read
+            return
         layout = partition.layout
         per = max(1, BATCH_BYTES // layout.record_length)
         for first in range(partition.first, partition.last, per):
@@ -237,6 +266,8 @@ class XptReader(DataSourceReader):
                 arrays.append(pa.array(np.arange(first, last, dtype=np.int64)))
             elif key == SOURCE_FILE:
                 arrays.append(pa.array([layout.path] * n, type=pa.string()))
+            elif key == FILE_YEAR:
+                arrays.append(pa.array([file_year(layout.path)] * n, type=pa.int32()))
             elif key not in by_name:
                 arrays.append(pa.nulls(n, type=pa.float64() if isinstance(field.dataType, DoubleType) else pa.string()))
             else:
@@ -292,23 +323,27 @@ def split_bytes(spark, total_bytes: int) -> int:
 
 
 def read_xpt(spark, path: str | list[str], columns: list[str] | None = None, with_record_no: bool = False,
-             partition_bytes: int | None = None, with_source_file: bool = False):
+             partition_bytes: int | None = None, with_source_file: bool = False, with_file_year: bool = False,
+             years: list[int] | None = None, records: tuple[int, int] | None = None):
     """Read XPORT file(s) -- one path (file, directory, glob) or a list -- in one scan.
 
     ``columns`` limits decoding to those variables (case-insensitive); with
     several files the schema is the union of their variables, and a file
-    without a variable yields NULL for it.
+    without a variable yields NULL for it.  ``years`` and ``records`` (a
+    half-open range of record numbers) prune the scan.
     """
     register(spark)
     paths = [path] if isinstance(path, str) else list(path)
-    files = sorted({f for p in paths for f in _expand(p)})
+    files = _of_years({f for p in paths for f in _expand(p)}, years)
     if not files:
         raise FileNotFoundError(paths)
     if partition_bytes is None:
         partition_bytes = split_bytes(spark, sum(_size(f) for f in files))
     reader = spark.read.format("xpt").option("partitionBytes", str(partition_bytes))
-    reader = reader.option("paths", "\n".join(paths))
-    if columns is not None or with_record_no or with_source_file or len(files) > 1:
+    reader = reader.option("paths", "\n".join(files))
+    if records is not None:
+        reader = reader.option("firstRecord", str(records[0])).option("lastRecord", str(records[1]))
+    if columns is not None or with_record_no or with_source_file or with_file_year or len(files) > 1:
         wanted = {c.lower() for c in columns} if columns is not None else None
         fields: dict[str, StructField] = {}
         for f in files:
@@ -321,5 +356,7 @@ def read_xpt(spark, path: str | list[str], columns: list[str] | None = None, wit
             out.append(StructField(RECORD_NO, LongType(), False))
         if with_source_file:
             out.append(StructField(SOURCE_FILE, StringType(), False))
+        if with_file_year:
+            out.append(StructField(FILE_YEAR, IntegerType(), True))
         reader = reader.schema(StructType(out))
     return reader.load()

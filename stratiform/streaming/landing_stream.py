@@ -8,9 +8,9 @@ each run processes exactly the files that arrived since the previous run,
 and that progress lives in the checkpoint location on shared storage.
 
 Every micro-batch holds one row per new file (a handful per year).  Each
-file is loaded by the splittable XPT scan and written with dynamic
-partition overwrite, so a micro-batch replayed after a failure rewrites the
-same year partitions: the sink is idempotent.
+file is loaded by the splittable XPT scan and replaces its whole year by a
+two-phase commit, so a micro-batch replayed after a failure rewrites the
+same years: the sink is idempotent.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ def land_new_files(
                 raise ValueError(f"{row['path']}: {row['length']} bytes, below the minimum {min_bytes}")
             frame = read_xpt(spark, row["path"], columns=SOURCE_VARIABLES, with_record_no=True)
             projected, missing = ingest.project_allowlist(frame)
-            ingest.write_raw(ingest.add_metadata(projected, year), raw_path)
+            ingest.write_raw(ingest.add_metadata(projected, year), raw_path, years=[year])
             ingest.record_columns(spark, {year: sorted(set(RAW_VARIABLES) - set(missing))}, raw_path)
             loaded.append(year)
 

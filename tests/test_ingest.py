@@ -15,8 +15,8 @@ from stratiform.sources.seeds import packaged_state_codes, state_codes, state_co
 
 
 def test_name_normalisation_examples():
-    assert [normalise_name(c) for c in ["_BMI5", "_STATE", "DIABETE4", "_LLCPWT"]] == [
-        "bmi5", "state", "diabete4", "llcpwt"]
+    given = {"_RFHYPE6": "rfhype6", "__X_Y_": "x_y_", "EDUCA": "educa", "psu": "psu", "_": ""}
+    assert {c: normalise_name(c) for c in given} == given
     assert not any(c.startswith("_") for c in RAW_VARIABLES) and len(RAW_VARIABLES) == 25
 
 
@@ -26,9 +26,10 @@ def test_normalise_columns_on_frame(spark):
 
 
 def test_add_metadata(spark):
-    df = ingest.add_metadata(spark.createDataFrame([(1.0,), (2.0,)], "llcpwt double"), 2022)
+    df = ingest.add_metadata(spark.range(3), 2019, loaded_at="2020-05-06T07:08:09+00:00")
     rows = df.collect()
-    assert {r.survey_year for r in rows} == {2022} and all(r.loaded_at for r in rows)
+    assert [(r.survey_year, r.loaded_at) for r in rows] == [(2019, "2020-05-06T07:08:09+00:00")] * 3
+    assert all(r.loaded_at.endswith("+00:00") for r in ingest.add_metadata(spark.range(1), 2019).collect())
     assert dict(df.dtypes)["survey_year"] == "int"
 
 
