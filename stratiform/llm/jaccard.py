@@ -1,10 +1,11 @@
 """N-gram Jaccard join (operator 4): size-aware heavy-light set join.
 
-Documents are sets of hashed word shingles.  All steps are exact for the
-linking rule 100 * intersection >= 75 * union.
+Documents are sets of hashed word shingles, linked by the rule
+100 * intersection >= 75 * union.  No step estimates; shingles are told apart by
+48 bits and the part of a 64-bit hash of their words' 64-bit hashes.
 
 1. ``shingles``: sets per row; entries (shingle, row) go to parts by hash as
-   packed numpy columns, about five bytes an entry.
+   packed numpy columns, about six bytes an entry.
 2. Each part counts its shingles' document frequencies and sends back the
    entries whose shingle occurs in two documents or more.
 3. By row: a document less than three quarters of whose shingles occur
@@ -19,14 +20,20 @@ linking rule 100 * intersection >= 75 * union.
    lists of their head's shingles, to which light sets near the boundary are
    posted too.  The boundary is the size class of least total cost, subsets
    enumerated plus list entries scanned.
-6. Lists and subsets are buckets; those with the same members are one.  Within
-   a bucket not all pairs are compared: round j takes members 2**j to
-   2**(j+1) - 1 of its order as hubs, compares them with the later members of
-   *another* component, and joins components by the links found.  Buckets
-   whose members are connected drop out, so a group of near copies costs about
-   one comparison a member, and every pair that could still join two
-   components is compared.  When the pairs left are few beside the sets, one
-   round compares them all.
+6. Lists and subsets are buckets; those with the same members are one.  Members
+   of a bucket are in a random order.  Small buckets compare all their pairs at
+   once; in a large one the first member, then the first 64, then the first
+   4,096, then all are *hubs* that meet the later members of other components.
+   After each round the links found join components, and buckets whose other
+   members are connected drop out, so a group of near copies costs about one
+   comparison a member, and every pair that could join two components is met.
+7. A pair is joined only if its sizes and *sketches* allow a link: parities of
+   the shared shingles in 512 bits.  Sets differ in at least as many shingles as
+   their sketches differ in bits, and linked ones in at most a seventh of their
+   sizes' sum, so no link is lost, and pairs that are far apart are never
+   written.  The rest is verified by counting common shingles.
+8. Components are kept from round to round; only links between components that
+   were apart are contracted.
 
 Nothing is capped: a hot shingle is last in the order, a hot bucket's hubs are
 joined to its members as an ordinary skew-splittable join.
@@ -40,8 +47,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -49,18 +57,31 @@ from stratiform.llm.common import CHUNK_BYTES, RangeHash, components, fresh, id_
 
 WIDTH = 5
 PART_BYTES = 8 << 20  # text bytes whose shingles share a part
-_LOW = np.uint64((1 << 40) - 1)
+_BITS = np.uint64(48)  # of a shingle's hash, beside its part
+_LOW = np.uint64((1 << 48) - 1)
 _FLUSH = 2_000_000
-FEW_PAIRS = 4  # pairs a set, below which all that are left are compared at once
+FEW = 12  # members of a bucket whose pairs are all compared in the first round
+HUBS = (1, 64, 4096)  # hubs of a larger bucket, in the rounds before all are
+SKETCH = 8  # 64-bit words of a sketch
+ROLLED = 64  # bytes up to which a word has a rolling hash
 _STEPS = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 63, WIDTH + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _NO_ID = np.uint64(1 << 63)
 
 
+def _hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words.  A polynomial modulo 2**64 has built-in collisions
+    from 1,024 bytes on, whatever its base, so long words take another hash."""
+    out = RangeHash(data).of(starts, ends)
+    for i in np.flatnonzero(ends - starts > ROLLED):
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return out
+
+
 def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and row of each word; a long row is hashed in parts cut at blanks."""
     if len(data) <= 2 * CHUNK_BYTES:
         starts, ends, rows = words(data, offsets)
-        return RangeHash(data).of(starts, ends), rows
+        return _hashed(data, starts, ends), rows
     out, at = [], 0
     while at < len(data):
         end = min(len(data), at + CHUNK_BYTES)
@@ -72,7 +93,7 @@ def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
             end = min(len(data), end + CHUNK_BYTES)
         part = data[at:end]
         starts, ends, _ = words(part, np.array([0, len(part)]))
-        out.append(RangeHash(part).of(starts, ends))
+        out.append(_hashed(part, starts, ends))
         at = end
     hashes = np.concatenate(out)
     return hashes, np.zeros(len(hashes), np.int64)
@@ -113,19 +134,16 @@ def _entries(docs: DataFrame, n_parts: int) -> DataFrame:
         def flush():
             h, r = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            key = (((h >> np.uint64(32)) * np.uint64(n_parts)) >> np.uint64(32) << np.uint64(40)) | (h & _LOW)
-            order = np.argsort(key)
-            key, r = key[order], r[order]
-            ends = np.searchsorted(key, np.arange(n_parts + 1, dtype=np.uint64) << np.uint64(40))
+            part = mix(h) % np.uint64(n_parts)
+            low = h & _LOW
+            order = np.lexsort((low, part))
+            part, low, r = part[order], low[order], r[order]
             least = r.min() if len(r) else np.uint64(0)
-            parts = [p for p in range(n_parts) if ends[p] < ends[p + 1]]
-            for at in range(0, len(parts), 16):
-                some = parts[at : at + 16]
-                blobs = []
-                for p in some:
-                    low = key[ends[p] : ends[p + 1]] & _LOW
-                    blobs.append(pack(np.diff(low, prepend=np.uint64(0)), r[ends[p] : ends[p + 1]] - least, np.array([base + least])))
-                yield pa.record_batch([pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "blob"])
+            edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else np.zeros(1, np.int64)
+            for at in range(0, len(edges) - 1, 16):
+                some = list(zip(edges[at : at + 16], edges[at + 1 : at + 17]))
+                blobs = [pack(np.diff(low[a:b], prepend=np.uint64(0)), r[a:b] - least, np.array([base + least])) for a, b in some]
+                yield pa.record_batch([pa.array([int(part[a]) for a, _ in some], pa.int32()), pa.array(blobs, pa.binary())], names=["part", "blob"])
 
         for batch in batches:
             for first, n, r, h in row_shingles(batch.column(1)):
@@ -174,13 +192,13 @@ def _shared(entries: DataFrame, n_parts: int) -> DataFrame:
         home = home_of(rows)
         order = np.lexsort((rows, home))
         columns = [c[order] for c in columns]
-        edge = np.searchsorted(home[order], np.arange(n_parts + 1))
+        home = home[order]
+        edge = np.flatnonzero(np.concatenate([[True], home[1:] != home[:-1], [True]])) if len(home) else np.zeros(1, np.int64)
         out = []
-        for h in np.flatnonzero(np.diff(edge)):
-            a, b = edge[h], edge[h + 1]
+        for a, b in zip(edge[:-1], edge[1:]):
             least = columns[0][a]
             own = [np.diff(columns[0][a:b], prepend=least), *(c[a:b] for c in columns[1:])]
-            out.append((int(h), pack(np.array([kind, part, least]), *own)))
+            out.append((int(home[a]), pack(np.array([kind, part, least]), *own)))
         return pa.table({"home": pa.array([h for h, _ in out], pa.int32()), "blob": pa.array([b for _, b in out], pa.binary())})
 
     return entries.groupBy("part").applyInArrow(run, "home int, blob binary")
@@ -198,29 +216,41 @@ def _candidates(shared: DataFrame) -> DataFrame:
             if kind:
                 facts.append([rows, *columns[1:]])
             else:
-                entries.append((rows, (part << np.uint64(40)) | columns[1], columns[2]))
+                entries.append((rows, (part << _BITS) | columns[1], columns[2]))
         rows, number, known, size, d1, d2 = (np.concatenate(c) for c in zip(*facts))
         order = np.argsort(rows)
         rows, number, known, size, d1, d2 = (c[order] for c in (rows, number, known, size, d1, d2))
         tokens: list[bytes | None] = [None] * len(rows)
         heads: list[list[int] | None] = [None] * len(rows)
+        sketches: list[list[int] | None] = [None] * len(rows)
+        held = np.zeros(len(rows), np.uint64)
         if entries:
             owner, token, df = (np.concatenate(c) for c in zip(*entries))
             order = np.lexsort((token, df, owner))
             owner, token = owner[order], token[order]
             edge = np.searchsorted(owner, np.concatenate([rows, rows[-1:] + np.uint64(1)]))
             count = np.diff(edge)
+            held = count.astype(np.uint64)
             n = size.astype(np.int64)
             for i in np.flatnonzero((n > 0) & (4 * count >= 3 * n)):
                 own = token[edge[i] : edge[i + 1]]
                 bound = -(-3 * n[i] // 4)
                 tokens[i] = pack(np.diff(np.sort(own), prepend=np.uint64(0)))
+                sketches[i] = sketch(own).tolist()
                 heads[i] = own[: min(len(own), len(own) - bound + 2)].astype(np.int64).tolist()
         ids = pa.array((number ^ _NO_ID).view(np.int64), pa.int64(), mask=known == 0)
         as_long = lambda x: pa.array(x.view(np.int64))
-        return pa.table({"row": as_long(rows), "doc_id": ids, "n": as_long(size), "d1": as_long(d1), "d2": as_long(d2), "tokens": pa.array(tokens, pa.binary()), "head": pa.array(heads, pa.list_(pa.int64()))})
+        return pa.table({"row": as_long(rows), "doc_id": ids, "n": as_long(size), "d1": as_long(d1), "d2": as_long(d2), "tokens": pa.array(tokens, pa.binary()), "head": pa.array(heads, pa.list_(pa.int64())), "lone": as_long(size - held), "sketch": pa.array(sketches, pa.list_(pa.int64()))})
+
+    return shared.groupBy("home").applyInArrow(run, "row long, doc_id long, n long, d1 long, d2 long, tokens binary, head array<long>, lone long, sketch array<long>")
 
-    return shared.groupBy("home").applyInArrow(run, "row long, doc_id long, n long, d1 long, d2 long, tokens binary, head array<long>")
+
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """How many of the tokens fall on each bit, modulo two.  Tokens that two
+    sets share cancel out, so sketches differ in at most as many bits as the sets
+    in tokens."""
+    bits = np.bincount((mix(tokens) % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
 def boundary(sets: DataFrame) -> int:
@@ -241,28 +271,38 @@ def boundary(sets: DataFrame) -> int:
 
 
 def buckets(sets: DataFrame, bound: int) -> DataFrame:
-    """(bucket, rep, n): subsets of light sets and lists for heavy ones, one
-    bucket for each distinct membership of two or more."""
+    """(bucket, size, rep, n, lone, sketch, place): subsets of light sets and
+    lists for heavy ones, one bucket for each distinct membership of two or
+    more; ``place`` in [0, 1) is the member's random place in every bucket."""
     cls = F.floor(F.log2("n")).cast("int")
     size = F.size("head")
     subsets = F.flatten(F.transform("head", lambda x, i: F.transform(F.slice("head", i + 2, size), lambda y: F.xxhash64(F.lit(2), x, y))))
     lists = F.transform(F.slice("head", F.lit(1), size - 1), lambda x: F.xxhash64(F.lit(1), x))
     many = sets.where(size > 1)
-    posts = many.where(cls < bound).select("rep", "n", F.explode(subsets).alias("bucket"))
-    posts = posts.union(many.where(cls >= bound - 1).select("rep", "n", F.explode(lists).alias("bucket")))
-    wide = lambda seed: F.sum(F.xxhash64("rep", F.lit(seed)).cast("decimal(38,0)"))
+    posts = many.where(cls < bound).select("rep", F.explode(subsets).alias("bucket"))
+    posts = posts.union(many.where(cls >= bound - 1).select("rep", F.explode(lists).alias("bucket")))
+    wide = lambda seed: F.sum(F.xxhash64(F.lit(seed), "rep").cast("decimal(38,0)"))
     member = posts.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), wide(1).alias("f1"), wide(2).alias("f2")).where("size > 1")
     kept = member.groupBy("size", "f1", "f2").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
-    order = Window.partitionBy("bucket").orderBy(F.xxhash64("rep", F.lit(3)), "rep")
-    return posts.join(kept, "bucket").select("bucket", "rep", "n", F.row_number().over(order).alias("nth"))
+    place = F.xxhash64(F.lit(3), "rep") / F.lit(2.0**64) + 0.5
+    return posts.join(kept, "bucket").join(sets.select("rep", "n", "lone", "sketch"), "rep").withColumn("place", place)
+
+
+def may_link(n: Column, lone: Column, own: Column, m: Column, other_lone: Column, other: Column) -> Column:
+    """Whether sizes and sketches allow two sets to link: they may differ in at
+    most a seventh of n + m; shingles that no other document has always differ."""
+    apart = lone + other_lone
+    for i in range(SKETCH):
+        apart = apart + F.bit_count(F.get(own, F.lit(i)).bitwiseXOR(F.get(other, F.lit(i))))
+    return (4 * n >= 3 * m) & (4 * m >= 3 * n) & (7 * apart <= n + m)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose sets link, by counting their common shingles."""
+    """Pairs (a, b, la, lb) whose sets link, by counting their common shingles."""
     sets = sets.select("rep", "n", "tokens")
     left = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "na", "nb", "ta", "tb")
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", "na", "nb", "ta", "tb", "la", "lb")
 
     def run(batches):
         for batch in batches:
@@ -275,42 +315,37 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 at = np.searchsorted(own, other)
                 common = int((own[np.minimum(at, len(own) - 1)] == other).sum())
                 keep[i] = 100 * common >= 75 * (na[i] + nb[i] - common)
-            yield pa.record_batch([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+            yield pa.record_batch([batch.column(6).filter(pa.array(keep)), batch.column(7).filter(pa.array(keep))], names=["la", "lb"])
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(run, "la long, lb long")
 
 
-def linked_components(sets: DataFrame) -> DataFrame | None:
-    """(node, component) of the distinct sets that link with another."""
-    n_sets = sets.count()
+def linked_components(sets: DataFrame) -> DataFrame:
+    """(node, component) of every distinct set."""
     posts = fresh(buckets(sets, boundary(sets)))
-    links, labels, step = None, None, 1
-    while True:
-        named = posts if labels is None else posts.join(labels, posts["rep"] == labels["node"], "left").drop("node")
-        label = F.col("rep") if labels is None else F.coalesce("component", "rep")
-        # Members before ``step`` have met all later ones.
-        named = named.where(F.col("nth") >= step).select("bucket", "rep", "n", "nth", label.alias("label"))
-        mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
-        posts = fresh(named.join(mixed, "bucket").select("bucket", "rep", "n", "nth", "label"))
-        each = posts.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"))
-        left = each.groupBy("bucket").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
-        left = left.agg(F.sum((F.col("m") * F.col("m") - F.col("s")) / 2)).first()[0]
-        if not left:
-            return labels
-        # Few pairs left: compare them all instead of more rounds of hubs.
-        last = left <= FEW_PAIRS * n_sets
-        hub = F.col("nth") >= step if last else F.col("nth").between(step, 2 * step - 1)
-        hubs = posts.where(hub).select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("nth").alias("hub"), F.col("label").alias("hub_label"))
-        near = (4 * F.col("n") >= 3 * F.col("na")) & (4 * F.col("na") >= 3 * F.col("n"))
-        pairs = hubs.join(posts, "bucket").where((F.col("nth") > F.col("hub")) & (F.col("label") != F.col("hub_label")) & near)
-        pairs = pairs.select("a", F.col("rep").alias("b")).distinct()
-        found = _verified(pairs, sets)
-        links = fresh(found if links is None else links.union(found))
-        labels = components(links)
-        if last:
-            return labels
-        posts = posts.drop("label")
-        step *= 2
+    labels = sets.select(F.col("rep").alias("node"), F.col("rep").alias("component"))
+    met = 0  # places times size below which members have met all later ones
+    for hubs in (*HUBS, None):
+        live = posts.where(F.col("place") * F.col("size") >= met)
+        live = live.join(labels, live["rep"] == labels["node"]).drop("node").withColumnRenamed("component", "label")
+        mixed = live.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct("place", "rep")).alias("lead")).where("lo < hi")
+        live = fresh(live.join(mixed.select("bucket", "lead"), "bucket"))
+        if live.isEmpty():
+            break
+        few = F.col("size") <= FEW
+        hub = F.lit(True) if hubs is None else few | (F.col("place") * F.col("size") < hubs) | (F.struct("place", "rep") == F.col("lead"))
+        x, y = live.where(hub).alias("x"), live.alias("y")
+        later = F.struct("x.place", "x.rep") < F.struct("y.place", "y.rep")
+        near = may_link(*[F.col(f"{side}.{c}") for side in "xy" for c in ("n", "lone", "sketch")])
+        pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & later & (F.col("x.label") != F.col("y.label")) & near)
+        pairs = pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.label").alias("la"), F.col("y.label").alias("lb")).distinct()
+        found = components(_verified(pairs, sets), "la", "lb")
+        moved = found.select(F.col("node").alias("old"), F.col("component").alias("new"))
+        labels = labels.join(moved, labels["component"] == moved["old"], "left")
+        labels = fresh(labels.select("node", F.coalesce("new", "component").alias("component")))
+        # Small buckets are done; in the others the hubs are.
+        posts, met = live.where(~few).drop("label", "lead"), hubs
+    return labels
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -321,10 +356,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
     found = fresh(_candidates(_shared(_entries(rows, n_parts), n_parts)))
     may = found.where("tokens IS NOT NULL")
     groups = fresh(may.groupBy("n", "d1", "d2").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least")))
-    sets = fresh(may.join(groups, [may["row"] == groups["rep"]]).select("rep", may["n"], "tokens", "head"))
+    sets = fresh(may.join(groups, [may["row"] == groups["rep"]]).select("rep", may["n"], "tokens", "head", "lone", "sketch"))
     labels = linked_components(sets)
-    if labels is None:
-        return found, groups.withColumn("component", F.col("rep"))
     return found, groups.join(labels, groups["rep"] == labels["node"], "left").withColumn("component", F.coalesce("component", "rep"))
 
 

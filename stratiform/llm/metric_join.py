@@ -126,11 +126,12 @@ def near_duplicates(vectors: DataFrame, least: float, id_col: str = "vec_id", ve
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast(f"array<{kind}>").alias("vec"))
     finite = F.forall("vec", lambda x: F.coalesce(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     sound = F.coalesce((F.size("vec") > 0) & finite & F.exists("vec", lambda x: x != 0) & F.col("vec_id").isNotNull(), F.lit(False))
-    # Two 64-bit hashes stand for a vector's value (-0.0 and 0.0 alike).
+    # Two independent 64-bit hashes spread equal vectors (-0.0 and 0.0 alike);
+    # the vectors themselves are compared wherever equality counts.
     value = F.transform("vec", lambda x: x + F.lit(0.0).cast(kind))
     rows = rows.select("vec_id", F.when(sound, value).alias("vec"))
-    rows = rows.withColumn("h1", F.xxhash64("vec", F.lit(1))).withColumn("h2", F.xxhash64("vec", F.lit(2)))
-    groups = rows.where("vec IS NOT NULL").groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec"))
+    rows = rows.withColumn("h1", F.xxhash64(F.lit(1), "vec")).withColumn("h2", F.xxhash64(F.lit(2), "vec"))
+    groups = rows.where("vec IS NOT NULL").groupBy("h1", "h2", "vec").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     groups = fresh(groups.withColumn("dim", F.size("vec")))
 
     n_groups = groups.count()
@@ -202,10 +203,9 @@ def near_duplicates(vectors: DataFrame, least: float, id_col: str = "vec_id", ve
     found = fresh(dealt.groupBy("dim", "cell", "a", "b").applyInArrow(compare, "rep long, links long, a long, b long"))
     links = found.where("rep IS NOT NULL").groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(found.where("a IS NOT NULL").select("a", "b"))
-    groups = groups.select("h1", "h2", "rep", "copies").join(links, "rep", "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-    groups = groups.select("h1", "h2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    plain = rows.select("vec_id", F.when(F.col("vec").isNotNull(), F.col("h1")).alias("h1"), F.when(F.col("vec").isNotNull(), F.col("h2")).alias("h2"))
-    return plain.join(groups, ["h1", "h2"], "left").select(
+    groups = groups.select("h1", "h2", "vec", "rep", "copies").join(links, "rep", "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+    groups = groups.select("h1", "h2", "vec", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    return rows.join(groups, ["h1", "h2", "vec"], "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")
     )
 

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import random
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_tables import documents, empty_tables, tables  # noqa: F401 - fixtures
-from stratiform.llm import hilbert, jaccard, queries, suffix_dedup
+from stratiform.llm import hilbert, jaccard, metric_join, queries, suffix_dedup
 
 QUERIES = queries.queries()
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -195,3 +197,58 @@ def test_later_windows(shift, monkeypatch):
         want.append(window in seen)
         seen.add(window)
     assert suffix_dedup.later_windows(buffer, start).tolist() == want
+
+
+def _thue_morse(n: int) -> tuple[str, str]:
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_long_words_do_not_collide(spark, n):
+    """A polynomial modulo 2**64 has the same value on both of these words."""
+    a, b = _thue_morse(n)
+    rows = [(1, a), (2, b), (3, a), (4, f"{a} x"), (5, f"{b} x")]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+
+
+def test_sketches_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(4)
+    for size in (1, 5, 60, 900, 4000):
+        for _ in range(20):
+            every = rng.integers(0, 1 << 62, size * 2, dtype=np.int64).view(np.uint64)
+            a, b = every[: size + size // 3], every[size // 3 :][:size]
+            differ = len(np.setxor1d(a, b))
+            bits = int(np.bitwise_count(jaccard.sketch(a).view(np.uint64) ^ jaccard.sketch(b).view(np.uint64)).sum())
+            assert bits <= differ
+
+
+def test_one_group_of_near_copies_and_one_hot_list(spark):
+    """Large buckets: copies that link only to some others, and documents that
+    share frequent lines without linking."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    base = [word() for _ in range(60)]
+    rows = []
+    for _ in range(150):  # a walk: each differs from the last in a word or two
+        base[rng.randrange(60)] = word()
+        rows.append(" ".join(base))
+    lines = [" ".join(word() for _ in range(12)) for _ in range(14)]
+    rows += [" ".join(rng.sample(lines, 7)) for _ in range(200)]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(frame).collect()}
+    assert got == dict(enumerate(jaccard_classes(rows)))
+    assert len(set(got.values())) > 20
+
+
+def test_vectors_whose_hashes_collide_stay_apart(spark, monkeypatch):
+    real = F.xxhash64
+    monkeypatch.setattr(metric_join.F, "xxhash64", lambda *c: real(*c) % 2 if len(c) == 2 and not isinstance(c[0], str) else real(*c))
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(40)]
+    rows += [(40 + i, v) for i, v in rows[:5]]
+    got = metric_join.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), 0.99).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (int(i % 40 < 5), i % 40) for i, _ in rows}
