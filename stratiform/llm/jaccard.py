@@ -53,7 +53,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stratiform.llm.common import CHUNK_BYTES, RangeHash, components, fresh, id_text, lowered, mix, pack, row_groups, table, unpack, utf8, words
+from stratiform.llm.common import CHUNK_BYTES, RangeHash, components, fresh, id_text, lowered, mix, pack, release, row_groups, table, unpack, utf8, words
 
 WIDTH = 5
 PART_BYTES = 8 << 20  # text bytes whose shingles share a part
@@ -163,6 +163,7 @@ def _entries(docs: DataFrame, n_parts: int) -> DataFrame:
                     yield from flush()
         if held:
             yield from flush()
+        release()
 
     return docs.mapInArrow(run, "part int, blob binary")
 
@@ -199,6 +200,7 @@ def _shared(entries: DataFrame, n_parts: int) -> DataFrame:
             least = columns[0][a]
             own = [np.diff(columns[0][a:b], prepend=least), *(c[a:b] for c in columns[1:])]
             out.append((int(home[a]), pack(np.array([kind, part, least]), *own)))
+        release()
         return pa.table({"home": pa.array([h for h, _ in out], pa.int32()), "blob": pa.array([b for _, b in out], pa.binary())})
 
     return entries.groupBy("part").applyInArrow(run, "home int, blob binary")
@@ -240,6 +242,8 @@ def _candidates(shared: DataFrame) -> DataFrame:
                 heads[i] = own[: min(len(own), len(own) - bound + 2)].astype(np.int64).tolist()
         ids = pa.array((number ^ _NO_ID).view(np.int64), pa.int64(), mask=known == 0)
         as_long = lambda x: pa.array(x.view(np.int64))
+        entries.clear()
+        release()
         return pa.table({"row": as_long(rows), "doc_id": ids, "n": as_long(size), "d1": as_long(d1), "d2": as_long(d2), "tokens": pa.array(tokens, pa.binary()), "head": pa.array(heads, pa.list_(pa.int64())), "lone": as_long(size - held), "sketch": pa.array(sketches, pa.list_(pa.int64()))})
 
     return shared.groupBy("home").applyInArrow(run, "row long, doc_id long, n long, d1 long, d2 long, tokens binary, head array<long>, lone long, sketch array<long>")
