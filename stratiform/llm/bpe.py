@@ -23,6 +23,7 @@ import json
 import re
 from array import array
 from functools import cached_property, lru_cache
+from itertools import pairwise
 
 import ahocorasick
 import regex
@@ -69,6 +70,20 @@ class Vocabulary:
         matcher.make_automaton()
         return matcher
 
+    @cached_property
+    def sizes(self) -> dict[int, int]:
+        return {i: len(t) for t, i in self.ids.items()}
+
+    @cached_property
+    def shorter(self) -> dict[int, int]:
+        """The longest reachable token that properly begins a token, or -1."""
+        reachable = {t.encode("latin-1") for t in self.matcher}
+        out = {}
+        for token, i in self.ids.items():
+            starts = (token[:size] for size in range(len(token) - 1, 0, -1))
+            out[i] = next((self.ids[t] for t in starts if t in reachable), -1)
+        return out
+
     def priority(self, a: bytes, b: bytes) -> int | None:
         return self.ids.get(a + b) if self.joins is None else self.joins.get((a, b))
 
@@ -99,33 +114,50 @@ class Vocabulary:
     def encode_word(self, word: bytes) -> list[int]:
         if self.whole_words and word in self.ids:
             return [self.ids[word]]
-        text, n, fits = word.decode("latin-1"), len(word), self.fits
-        matches = [m for _, m in self.matcher.iter_long(text)]  # leftmost-longest, end to end
-        for k in range(1, len(matches)):
-            if not fits(matches[k - 1][0], matches[k][0]):
+        text, n, fits, known = word.decode("latin-1"), len(word), self.fits, self._fits
+        tokens = [m[0] for _, m in self.matcher.iter_long(text)]  # leftmost-longest, end to end
+        for k, pair in enumerate(pairwise(tokens), 1):
+            able = known.get(pair)
+            if not able and (able is not None or not fits(*pair)):
                 break
         else:
-            return [token for token, _ in matches]
-        tokens = [token for token, _ in matches[:k]]
-        at = sum(size for _, size in matches[:k])
+            return tokens
+        token = tokens[k]  # the longest match there is incompatible
+        del tokens[k:]
         longest, path, match = self.longest, self.matcher.longest_prefix, self.matcher.get
+        sizes, shorter = self.sizes, self.shorter
+        at, token = sum([sizes[t] for t in tokens]), shorter[token]
         dead = bytearray(n + 1)
-        reach = -1  # bytes the next match may have; -1: as many as the automaton has
         while at < n:
-            if reach < 0:
-                reach = path(text[at : at + longest])
-            for size in range(reach, 0, -1):
-                found = match(text[at : at + size], None)
-                if found and not dead[at + size] and (not tokens or fits(tokens[-1], found[0])):
-                    tokens.append(found[0])
-                    at, reach = at + size, -1
-                    break
+            while token >= 0:
+                end = at + sizes[token]
+                if not dead[end]:
+                    if not tokens:
+                        break
+                    before = tokens[-1]
+                    able = known.get((before, token))
+                    if able or (able is None and fits(before, token)):
+                        break
+                token = shorter[token]
+            if token >= 0:
+                tokens.append(token)
+                at = end
+                if at < n:
+                    reach = path(text[at : at + longest])
+                    token = match(text[at : at + reach], None)
+                    while not token:
+                        reach -= 1
+                        if reach < 1:
+                            raise ValueError("the vocabulary lacks single bytes of this word")
+                        token = match(text[at : at + reach], None)
+                    token = token[0]
             else:
                 dead[at] = 1
                 if not tokens:
                     raise ValueError("the vocabulary lacks single bytes of this word")
-                size = len(self.bytes_of[tokens.pop()])
-                at, reach = at - size, size - 1
+                token = tokens.pop()
+                at -= sizes[token]
+                token = shorter[token]
         return tokens
 
     def prefix_counts(self, word: bytes) -> array:
