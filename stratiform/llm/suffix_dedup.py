@@ -103,7 +103,7 @@ def phrases(data: np.ndarray, bounds: np.ndarray):
     t = place[a]
     whole = mix(hashes.of(a, b + LENGTH) + (t - a).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     # Least hashes crowd at the low end, where one range of them would hold a
-    # third of all triggers; mixed once more they spread evenly over the parts.
+    # large share of all triggers; mixed once more they spread evenly over the parts.
     return a, b, t, mix(each[t]), whole, np.searchsorted(bounds, a, side="right") - 1
 
 
