@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -10,7 +11,9 @@ import string
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from llm_tables import documents, empty_tables, tables  # noqa: F401 - fixtures
@@ -179,6 +182,104 @@ def test_quality_verdicts_follow_labels(spark):
     assert sum(not drawn[i] for i in held if labels[i].quality == 0) > 0.7 * sum(labels[i].quality == 0 for i in held)
 
 
+def test_op10_model_and_weights(spark, tables, documents):
+    """Models, ratios and weights anew, n-gram by n-gram from tiny texts."""
+    made = resampling.resample(table(spark, tables, "documents"), table(spark, tables, "labels"))
+    sample = resampling.labelled_sample(table(spark, tables, "labels"))
+    known = {}
+
+    def word_grams(text):
+        found = [w for w in BLANK.split("".join(c.lower() if c.isascii() else c for c in text)) if w]
+        keys = [(w,) for w in found] + list(zip(found, found[1:]))
+        for key in set(keys) - known.keys():
+            known[key] = int(next(resampling.ngram_buckets(pa.array([" ".join(key)]), resampling.BUCKETS))[3][-1])
+        return [known[key] for key in keys]
+
+    def letter_grams(text):
+        data = "".join(c.lower() if c.isascii() else c for c in text).encode()
+        keys = [data[i : i + resampling.WIDTH] for i in range(len(data) - resampling.WIDTH + 1)]
+        for key in set(keys) - known.keys():
+            known[key] = int(next(resampling.letter_grams(pa.array([key])))[1][0])
+        return [known[key] for key in keys]
+
+    raw, target = (Counter(), Counter()), (Counter(), Counter())
+    grams = {}
+    for i, text, *_ in documents:
+        grams[text] = grams.get(text) or (word_grams(text or ""), letter_grams(text or ""))
+        for side in range(2):
+            raw[side].update(grams[text][side])
+            if i in sample and sample[i] == (True, False):
+                target[side].update(grams[text][side])
+    sizes = [c.total() + resampling.BUCKETS for c in (target[0], raw[0])]
+    word = lambda g: math.log((target[0][g] + 1) / sizes[0]) - math.log((raw[0][g] + 1) / sizes[1])
+    share, a = target[1].total() / raw[1].total(), resampling.LETTER_PRIOR
+    letter = lambda g: math.log((target[1][g] + a) / (raw[1][g] * share + a))
+    rows = {r.doc_id: r for r in made.scored.collect()}
+    for i, text, *_ in documents:
+        words, letters = grams[text]
+        mean = sum(map(word, words)) / (len(words) + resampling.PRIOR)
+        least = min([0.0, *[sum(map(letter, letters[j : j + resampling.PASSAGE])) / resampling.PASSAGE for j in range(len(letters))]])
+        assert abs(rows[i].mean - mean) < 1e-9 and abs(rows[i].passage - least) < 1e-9
+        assert abs(rows[i].weight - made.sharpness * min(mean, least - made.shift)) < 1e-6
+
+
+def test_op10_draws_follow_top_k(spark):
+    """Over many seeds the share of draws of each row is that of sampling k
+    rows without replacement by weight."""
+    weights, k, seeds = [0.0, 0.5, 1.0, 1.5, -1.0], 2, 20_000
+    odds = [math.exp(w) for w in weights]
+    want = [0.0] * len(odds)
+    for order in itertools.permutations(range(len(odds)), k):
+        p, left = 1.0, sum(odds)
+        for i in order:
+            p, left = p * odds[i] / left, left - odds[i]
+        for i in order:
+            want[i] += p
+    rows = spark.createDataFrame(list(enumerate(weights)), "doc_id long, weight double")
+    keyed = rows.crossJoin(spark.range(seeds).withColumnRenamed("id", "seed")).withColumn("key", F.col("weight") + resampling.gumbel(F.col("doc_id"), F.col("seed")))
+    drawn = keyed.groupBy("seed").agg(F.sort_array(F.collect_list(F.struct("key", "doc_id")), asc=False).alias("rows"))
+    got = {r.doc_id: r.n for r in drawn.select(F.explode(F.slice("rows", 1, k))).select("col.doc_id").groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    for i, p in enumerate(want):
+        assert abs(got[i] / seeds - p) < 5 * math.sqrt(p * (1 - p) / seeds)
+
+
+def test_op10_temperature_and_size(spark, tables, documents):
+    docs, labels = table(spark, tables, "documents"), table(spark, tables, "labels")
+    sharp = {r.doc_id for r in resampling.sampled(docs, labels, k=20, sharpness=1e9).collect()}
+    top = resampling.resample(docs, labels, k=20, sharpness=1e9)
+    keys = sorted((r.weight for r in top.scored.collect()), reverse=True)
+    assert top.k == 20 and all(r.weight >= keys[19] - 1 for r in top.scored.collect() if r.doc_id in sharp)
+    flat = [{r.doc_id for r in resampling.sampled(docs, labels, k=20, sharpness=0.0, seed=s).collect()} for s in (1, 2)]
+    assert flat[0] != flat[1] and all(20 <= len(f) + 2 for f in flat)
+
+
+def test_op10_worst_passage_finds_few_bad_words(spark, scratch_dir):
+    """A few bad words in long ordinary documents, in slices of any size."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice(string.ascii_lowercase) for _ in range(6)) for _ in range(300)]
+    docs, labels = [], []
+    for i in range(600):
+        words, bad = [rng.choice(vocabulary) for _ in range(400)], i % 6 == 0
+        if bad:
+            for _ in range(2):
+                words[rng.randrange(400)] = rng.choice(["zzqzqz", "qqzqzzq"])
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, int(bad)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = {r.doc_id for r in resampling.sampled(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert not any(i % 6 == 0 for i in kept)
+    assert len(kept) >= 0.99 * 500
+
+
+@pytest.mark.parametrize("size", [7, 64, 1000])
+def test_op10_slices_do_not_change_passages(monkeypatch, documents, size):
+    column = pa.array([t for _, t, *_ in documents[:40]])
+    model = resampling.Model(np.zeros(4), np.random.default_rng(1).normal(size=resampling.LETTER_BUCKETS))
+    whole = model.passages(column)
+    monkeypatch.setattr(resampling, "CHUNK_BYTES", size)
+    assert np.array_equal(model.passages(column), whole)
+
+
 def test_op10_counts_and_top_k(spark, tables, documents):
     made = resampling.resample(table(spark, tables, "documents"), table(spark, tables, "labels"))
     rows = made.scored.collect()
