@@ -76,9 +76,22 @@ def row_groups(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[
         first = last
 
 
-def release() -> None:
+_held: list = []
+
+
+def held(cached):
+    """Registers a cached function whose value a worker keeps from task to task."""
+    _held.append(cached)
+    return cached
+
+
+def release(keep=None) -> None:
     """Give freed memory back to the system.  A Python worker is reused, and
-    would otherwise hold the peak of every earlier task."""
+    would otherwise hold the peak of every earlier task and what the tasks of
+    other operators keep (``held``); ``keep`` is the caller's own."""
+    for cached in _held:
+        if cached is not keep:
+            cached.cache_clear()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # glibc only
         ctypes.CDLL("libc.so.6").malloc_trim(0)

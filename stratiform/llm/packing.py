@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import id_text, release, table
+from stratiform.llm.common import held, id_text, release, table
 
 _MEMO = 1 << 20
 _ODD_BLANKS = re.compile("[\x1c-\x1f]")
@@ -95,6 +95,7 @@ class WordTokenizer:
             return b"".join(out)
 
 
+@held
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
@@ -111,7 +112,7 @@ def token_pieces(
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches):
-        release()
+        release(keep=tokenizer)
         own, closing, place = tokenizer(path), np.array([closing_id], "<u4").tobytes(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, 512):

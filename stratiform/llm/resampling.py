@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from stratiform.llm.common import CHUNK_BYTES, RangeHash, fresh, lowered, mix, row_groups, table, utf8, words
+from stratiform.llm.common import CHUNK_BYTES, RangeHash, fresh, lowered, mix, release, row_groups, table, utf8, words
 
 BUCKETS = 1 << 15
 MAX_LABELLED = 20_000
@@ -121,6 +121,7 @@ def fit(docs: DataFrame, sample: dict[int, tuple[bool, bool]], buckets: int = BU
     size = buckets + letter_buckets  # word buckets first
 
     def count(batches):
+        release()
         counts = np.zeros((2, size), np.int64)
         for batch in batches:
             ids = batch.column(0).fill_null(-(1 << 62)).to_numpy()
@@ -151,6 +152,7 @@ def with_ratios(rows: DataFrame, model: Model, names: tuple[str, str] = ("mean",
     at, fields = rows.columns.index(text_col), [*rows.columns, *names]
 
     def run(batches):
+        release()
         for batch in batches:
             text = batch.column(at)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.means(text)), pa.array(model.passages(text))], names=fields)

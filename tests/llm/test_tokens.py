@@ -15,7 +15,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from llm_tables import documents, empty_tables, tables  # noqa: F401 - fixtures
-from stratiform.llm import bpe, packing, queries
+from stratiform.llm import bpe, common, packing, queries
 from stratiform.llm.bpe_codec import codec
 from stratiform.llm.token_counts import counter
 
@@ -125,3 +125,13 @@ def test_pieces_can_carry_ids(spark):
     docs = spark.createDataFrame([(1, "hello world " * 9)], "doc_id long, text string")
     found = packing.token_pieces(docs, P.path("word_bpe_49k.json"), 8, 1, keep_ids=True).orderBy("start").collect()
     assert [i for r in found for i in r.ids][-1] == 1 and all(len(r.ids) == r.length for r in found)
+
+
+def test_workers_let_go_of_what_other_operators_keep():
+    path = P.path("word_bpe_49k.json")
+    own = packing.tokenizer(path)
+    common.release(keep=packing.tokenizer)
+    assert packing.tokenizer(path) is own
+    common.release()
+    assert packing.tokenizer.cache_info().currsize == 0
+    assert packing.tokenizer(path).encode("two words") == own.encode("two words")
