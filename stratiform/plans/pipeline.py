@@ -45,6 +45,12 @@ from stratiform.sources.xpt import read_layout, read_xpt
 
 SINGULAR = "singular"
 RECORD_BITS = 40
+#: The order of the marts as stored, inside a year.
+STORED_ORDER = {
+    "fct_diabetes_prevalence": ["state_abbr", "age_group", "race_ethnicity"],
+    "fct_diabetes_risk_factors": ["diabetes_category"],
+    "fct_survey_weighted_estimates": ["state_abbr"],
+}
 
 
 @dataclass
@@ -158,15 +164,15 @@ def build_models(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     rich = swap.read("intermediate/enriched")
     outputs = {
         "dim_respondent_demographics": M.dim_demographics(rich),
-        "fct_diabetes_prevalence": M.prevalence(rich, min_cell=cfg.min_cell),
-        "fct_diabetes_risk_factors": M.risk_factors(rich),
-        "fct_survey_weighted_estimates": M.state_year_estimates(rich),
+        "fct_diabetes_prevalence": M.prevalence(rich, min_cell=cfg.min_cell, sort=False),
+        "fct_diabetes_risk_factors": M.risk_factors(rich, sort=False),
+        "fct_survey_weighted_estimates": M.state_year_estimates(rich, sort=False),
         "int_survey_weights": survey_weights(rich),
     }
     # The marts are independent jobs over the same table: submit them together
     # so their tasks share the cluster instead of running one after another.
     with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
-        futures = [pool.submit(swap.write, df, f"marts/{name}") for name, df in outputs.items()]
+        futures = [pool.submit(swap.write, df, f"marts/{name}", order=STORED_ORDER.get(name)) for name, df in outputs.items()]
         for fut in futures:
             fut.result()
     swap.commit()

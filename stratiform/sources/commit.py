@@ -25,6 +25,7 @@ import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratiform.schema import YEAR
@@ -134,13 +135,17 @@ class YearCommit:
     def staged(self, table: str) -> str:
         return f"{self.root}/{RUNS}/{self.run}/{table}"
 
-    def write(self, df: DataFrame, table: str, by: str = YEAR, order: list | None = None) -> None:
-        """Write a table of this run, partitioned by year; ``order`` sorts the
-        rows inside every file."""
+    def write(self, df: DataFrame, table: str, by: str = YEAR, order: list[str] | None = None) -> None:
+        """Write a table of this run, partitioned by year.  With ``order`` the
+        rows are clustered: a file holds a range of (year, first column), sorted
+        by all of them with NULLs last, and names follow the ranges.  A global
+        sort would not last: the partitioned write sorts by year again."""
         kept = [f for f in df.schema.fields if f.name != by] + [df.schema[by]]  # as Parquet folders give them back
         self.tables[table] = (by, T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in kept]))
-        ordered = df if order is None else df.sortWithinPartitions(by, *order)
-        ordered.write.mode("overwrite").partitionBy(by).parquet(self.staged(table))
+        if order:
+            keys = [F.col(by), *[F.col(c).asc_nulls_last() for c in order]]
+            df = df.repartitionByRange(*keys[:2]).sortWithinPartitions(*keys)
+        df.write.mode("overwrite").partitionBy(by).parquet(self.staged(table))
 
     def read(self, table: str) -> DataFrame:
         """A table of this run, before the commit."""

@@ -7,6 +7,7 @@ import json
 import os
 from dataclasses import replace
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from stratiform.operators import checks
 from stratiform.operators.checks import WARN, Check
 from stratiform.plans import pipeline as P
 from stratiform.plans import suites as S
-from stratiform.schema import SOURCE_VARIABLES
+from stratiform.schema import SOURCE_VARIABLES, YEAR
 from stratiform.sources import ingest, landing
 from stratiform.sources.commit import Folders, YearCommit, journal_path, recover
 from stratiform.sources.xpt import read_layout, read_xpt
@@ -247,3 +248,24 @@ def test_documented_columns():
 
     assert {"ststr", "psu", "bmi5"} <= RAW_COMMENTS.keys()
     assert json.dumps(RAW_COMMENTS)
+
+
+def test_clustered_files_hold_ranges_in_order(spark, scratch_dir):
+    """Several files a year: sorted inside, ranges of the first column apart."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [(2021 + i % 2, None if i % 41 == 0 else f"s{i * 37 % 53:02d}", i * 29 % 97) for i in range(4000)]
+        swap = YearCommit(spark, scratch_dir, [2021, 2022])
+        swap.write(spark.createDataFrame(rows, f"{YEAR} int, state string, n int").repartition(7), "mart", order=["state", "n"])
+        swap.commit()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    last = lambda r: (r[0] is None, r[0] or "", r[1])  # noqa: E731 - NULLs last
+    for year in (2021, 2022):
+        files = [pq.ParquetFile(f).read(columns=["state", "n"]).to_pylist() for f in sorted(glob.glob(f"{scratch_dir}/mart/{YEAR}={year}/*.parquet"))]
+        parts = [[(r["state"], r["n"]) for r in f] for f in files]
+        assert len(parts) > 1 and all(p == sorted(p, key=last) for p in parts)
+        states = [{s for s, _ in p} for p in parts]
+        assert sum(map(len, states)) == len(set().union(*states))
+        read = [r for p in parts for r in p]
+        assert read == sorted(((s, n) for y, s, n in rows if y == year), key=last)
