@@ -10,7 +10,7 @@ asked for); the few open sequences of each group are the only extra padding.
 
 The tokenizer drops white space and no word crosses it, so the library
 encodes each distinct word once per task and a text's ids are joined from the
-memo.
+memo; the new words of many texts are found and encoded together.
 
 Defined cases: null and empty texts have only the closing id, one piece of
 length 1; equal rows are separate documents (the salt holds the row's place in
@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
@@ -30,26 +31,43 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import held, id_text, release, table
+from stratiform.llm.common import held, id_text, release, row_groups, table
 
 _MEMO = 1 << 20
+_PART = 1 << 16
 _ODD_BLANKS = re.compile("[\x1c-\x1f]")
 _BLANKS = re.compile("[ \t\n\r]+")
+_UNPLAIN = re.compile("[^\0-\u024f]|\u0130")  # all others are composed already and lower-cased letter by letter
+_END = b"\xff" * 4
+
+
+class Memo(dict):
+    """Ids of chunks; a missing one gives a value that is filled in later."""
+
+    def __init__(self) -> None:
+        self.holes: defaultdict[str, bytearray] = defaultdict(bytearray)
+
+    def __missing__(self, chunk: str) -> bytearray:
+        return self.holes[chunk]
 
 
 class WordTokenizer:
     """Ids (little-endian unsigned 32-bit) of texts, words encoded once."""
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        self.words = regex.compile("\n|" + spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.added = tuple(t["content"] for t in spec["added_tokens"])
-        self.last = {i for t, i in spec["model"]["vocab"].items() if t.endswith(spec["model"]["end_of_word_suffix"])}
-        self.chunks: dict[str, bytes] = {}
+        self.last = np.zeros(1 + max(spec["model"]["vocab"].values()), bool)
+        self.last[[i for t, i in spec["model"]["vocab"].items() if t.endswith(spec["model"]["end_of_word_suffix"])]] = True
+        # The same model for words that are normalised and split already.
+        self.split_words = Tokenizer(self.library.model)
+        self.split_words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), self.library.pre_tokenizer[1]])
+        self.chunks = Memo()
         self.known: dict[str, bytes] = {}
         if self.encode("a b, C") != self.ids("a b, C"):
             raise ValueError("this tokenizer does not drop white space")
@@ -59,40 +77,75 @@ class WordTokenizer:
 
     def _plain(self, chunk: str) -> bool:
         """Composed already, lower-cased letter by letter, no added string."""
-        return max(chunk) < "ɐ" and "İ" not in chunk and not any(a in chunk for a in self.added)
+        return (chunk.isascii() or not _UNPLAIN.search(chunk)) and not any(a in chunk for a in self.added)
 
-    def _learn(self, chunks: list[str]) -> None:
-        if len(self.chunks) + len(chunks) > _MEMO:
-            self.chunks.clear()
-        if len(self.known) + len(chunks) > _MEMO:
-            self.known.clear()
-        words = {c: self.words.findall(c.lower()) if self._plain(c) else None for c in chunks}
-        new = list({w for ws in words.values() if ws for w in ws if w not in self.known})
+    def _learn_words(self, new: list[str]) -> None:
         for first in range(0, len(new), 64):
             part = new[first : first + 64]
-            ids = self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
-            ends = [k + 1 for k, i in enumerate(ids) if i in self.last]
+            ids = np.array(self.split_words.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * np.flatnonzero(self.last[ids]) + 4).tolist()
             if len(ends) != len(part):
                 self.known.update((w, self.ids(w)) for w in part)
                 continue
-            for word, a, b in zip(part, [0, *ends], ends):
-                self.known[word] = np.array(ids[a:b], "<u4").tobytes()
-        for chunk, ws in words.items():
-            self.chunks[chunk] = self.ids(chunk) if ws is None else b"".join([self.known[w] for w in ws])
+            joined = ids.tobytes()
+            self.known.update((w, joined[a:b]) for w, a, b in zip(part, [0, *ends], ends))
+
+    def _learn(self) -> None:
+        """Fills the holes, all plain chunks in one go: a line each, whose
+        words are found, encoded where new, and joined to the next line."""
+        holes, self.chunks.holes = self.chunks.holes, defaultdict(bytearray)
+        if len(self.chunks) + len(holes) > _MEMO:
+            self.chunks.clear()
+        plain, lines = list(holes), "\n".join(holes)
+        if _UNPLAIN.search(lines) or any(a in lines for a in self.added):
+            plain = [c for c in holes if self._plain(c)]
+            found = {c: self.ids(c) for c in holes.keys() - set(plain)}
+            lines = "\n".join(plain)
+        else:
+            found = {}
+        if plain:
+            words = self.words.findall(lines.lower())
+            distinct = set(words) - {"\n"}
+            if len(self.known) + len(distinct) > _MEMO:
+                self.known.clear()
+            self._learn_words(list(distinct.difference(self.known)))
+            self.known["\n"] = _END  # no id, and no id's bytes overlap it
+            found.update(zip(plain, b"".join(map(self.known.__getitem__, words)).split(_END)))
+        self.chunks.update(found)
+        for chunk, hole in holes.items():
+            hole += found[chunk]
+
+    def _split(self, text: str) -> list[str]:
+        chunks = _BLANKS.split(text) if _ODD_BLANKS.search(text) else text.split()
+        return chunks if chunks and chunks[0] and chunks[-1] else [c for c in chunks if c]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; new chunks of many texts are learned together,
+        and those of a long text in parts, the memo never far above its bound."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        waiting: list[tuple[int, list]] = []
+        size = 0
+        for at, text in enumerate(texts):
+            chunks = self._split(text)
+            for first in range(0, len(chunks), _PART):
+                part = chunks[first : first + _PART]
+                waiting.append((at, list(map(self.chunks.__getitem__, part))))
+                size += len(part)
+                if size >= _PART:
+                    self._settle(waiting, out)
+                    size = 0
+        self._settle(waiting, out)
+        return [b"".join(parts) for parts in out]
+
+    def _settle(self, waiting: list[tuple[int, list]], out: list[list[bytes]]) -> None:
+        if self.chunks.holes:
+            self._learn()
+        for at, values in waiting:
+            out[at].append(b"".join(values))
+        waiting.clear()
 
     def encode(self, text: str) -> bytes:
-        chunks = _BLANKS.split(text) if _ODD_BLANKS.search(text) else text.split()
-        if chunks and not (chunks[0] and chunks[-1]):
-            chunks = [c for c in chunks if c]
-        try:
-            return b"".join(map(self.chunks.__getitem__, chunks))
-        except KeyError:
-            out = []
-            for first in range(0, len(chunks), 100_000):  # a long text in parts, the memo never far above its bound
-                part = chunks[first : first + 100_000]
-                self._learn(list({c for c in part if c not in self.chunks}))
-                out += [self.chunks[c] if c in self.chunks else self.ids(c) for c in part]
-            return b"".join(out)
+        return self.encode_all([text])[0]
 
 
 @held
@@ -118,14 +171,16 @@ def token_pieces(
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 rows: list[tuple] = []
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = own.encode(text or "") + closing
-                    total = len(ids) // 4
-                    for start in range(0, total, capacity):
-                        piece = ids[4 * start : 4 * (start + capacity)]
-                        row = (doc_id, start, len(piece) // 4, zlib.crc32(piece), total, place)
-                        rows.append((*row, np.frombuffer(piece, "<u4").astype(np.int32)) if keep_ids else row)
-                    place += 1
+                doc_ids, texts = part.column(0).to_pylist(), [text or "" for text in part.column(1).to_pylist()]
+                for first, last in row_groups(np.cumsum([0, *map(len, texts)])):
+                    for doc_id, ids in zip(doc_ids[first:last], own.encode_all(texts[first:last])):
+                        ids += closing
+                        total = len(ids) // 4
+                        for start in range(0, total, capacity):
+                            piece = ids[4 * start : 4 * (start + capacity)]
+                            row = (doc_id, start, len(piece) // 4, zlib.crc32(piece), total, place)
+                            rows.append((*row, np.frombuffer(piece, "<u4").astype(np.int32)) if keep_ids else row)
+                        place += 1
                 columns = list(zip(*rows)) if rows else [()] * len(names)
                 types = [pa.int64()] * 6 + [pa.list_(pa.int32())] * keep_ids
                 yield pa.record_batch([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)

@@ -97,6 +97,46 @@ def test_first_fit_equals_plain_search():
         assert list(zip(*packing.first_fit(lengths, 100))) == want
 
 
+class Counted:
+    """A tokenizer whose calls are counted."""
+
+    def __init__(self, inner, calls):
+        self.inner, self.calls = inner, calls
+
+    def __getattr__(self, name):
+        self.calls.append(name)
+        return getattr(self.inner, name)
+
+
+def test_new_words_of_many_texts_are_learned_together():
+    own = packing.WordTokenizer(P.path("word_bpe_49k.json"))
+    calls: list[str] = []
+    for name, value in list(vars(own).items()):
+        if isinstance(value, Tokenizer):
+            setattr(own, name, Counted(value, calls))
+    texts = [f"{chr(97 + k // 26)}{chr(97 + k % 26)}qz and more" for k in range(640)]
+    got = own.encode_all(texts)
+    assert 0 < len(calls) <= 12
+    library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize(("memo", "part"), [(1 << 20, 1 << 16), (5, 3), (1, 1)])
+def test_texts_encoded_together_equal_the_library(monkeypatch, memo, part):
+    monkeypatch.setattr(packing, "_MEMO", memo)
+    monkeypatch.setattr(packing, "_PART", part)
+    own = packing.WordTokenizer(P.path("word_bpe_49k.json"))
+    library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    odd = ["", " \n\t ", "The the THE, the.", "it's IT'S 'lly x''s ..'s", "a\x1cb \x1f c", "a\xa0b\x85c\x0bd\u2003e", "\xa0", "\x1c",
+           "<|endoftext|> x<|startoftext|>y <|ENDOFTEXT|> <| |>", "</w> a</w>b", "\u0130stanbul \u03a3\u0391\u03a3 \u03a3", "e\u0301 \u00e9 \u1e9e \u00df \u023a",
+           "\u4e16\u754c \U0001f600\U0001f600 \u0e01\u0e33", "x1y22 \u00bd\u00b2 \u00aa\u00ba", "\x00 a\x00b \ufffe \u00ad", "new lines\r\nand\n\nmore"]
+    texts = [*odd, " ".join(odd), *reversed(odd)]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert own.encode_all(texts) == want and own.encode_all(texts) == want
+    assert [own.encode(t) for t in texts] == want
+    assert own.encode_all([]) == []
+
+
 def test_op2(spark, tables, documents):
     library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
     want = Counter()
