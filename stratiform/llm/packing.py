@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from stratiform.llm.common import held, id_text, release, row_groups, table
 
-_MEMO = 1 << 20
+_MEMO = 1 << 17  # entries at which a memo's young generation becomes the old one
 _PART = 1 << 16
 _ODD_BLANKS = re.compile("[\x1c-\x1f]")
 _BLANKS = re.compile("[ \t\n\r]+")
@@ -41,14 +41,35 @@ _UNPLAIN = re.compile("[^\0-\u024f]|\u0130")  # all others are composed already
 _END = b"\xff" * 4
 
 
-class Memo(dict):
+class Recent(dict):
+    """Ids of the strings met last.  What is found in the old generation moves
+    back to the young one; the rest of it goes when the young one is full."""
+
+    def __init__(self) -> None:
+        self.old: dict[str, bytes] = {}
+
+    def moved_back(self, key: str) -> bytes | None:
+        found = self.old.get(key)
+        if found is not None:
+            self[key] = found
+        return found
+
+    def age(self) -> None:
+        if len(self) > _MEMO:
+            self.old = self.copy()
+            self.clear()
+
+
+class Memo(Recent):
     """Ids of chunks; a missing one gives a value that is filled in later."""
 
     def __init__(self) -> None:
+        super().__init__()
         self.holes: defaultdict[str, bytearray] = defaultdict(bytearray)
 
-    def __missing__(self, chunk: str) -> bytearray:
-        return self.holes[chunk]
+    def __missing__(self, chunk: str) -> bytes | bytearray:
+        found = self.moved_back(chunk)
+        return self.holes[chunk] if found is None else found
 
 
 class WordTokenizer:
@@ -68,7 +89,7 @@ class WordTokenizer:
         self.split_words = Tokenizer(self.library.model)
         self.split_words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), self.library.pre_tokenizer[1]])
         self.chunks = Memo()
-        self.known: dict[str, bytes] = {}
+        self.known = Recent()
         if self.encode("a b, C") != self.ids("a b, C"):
             raise ValueError("this tokenizer does not drop white space")
 
@@ -94,8 +115,6 @@ class WordTokenizer:
         """Fills the holes, all plain chunks in one go: a line each, whose
         words are found, encoded where new, and joined to the next line."""
         holes, self.chunks.holes = self.chunks.holes, defaultdict(bytearray)
-        if len(self.chunks) + len(holes) > _MEMO:
-            self.chunks.clear()
         plain, lines = list(holes), "\n".join(holes)
         if _UNPLAIN.search(lines) or any(a in lines for a in self.added):
             plain = [c for c in holes if self._plain(c)]
@@ -106,9 +125,7 @@ class WordTokenizer:
         if plain:
             words = self.words.findall(lines.lower())
             distinct = set(words) - {"\n"}
-            if len(self.known) + len(distinct) > _MEMO:
-                self.known.clear()
-            self._learn_words(list(distinct.difference(self.known)))
+            self._learn_words([w for w in distinct.difference(self.known) if self.known.moved_back(w) is None])
             self.known["\n"] = _END  # no id, and no id's bytes overlap it
             found.update(zip(plain, b"".join(map(self.known.__getitem__, words)).split(_END)))
         self.chunks.update(found)
@@ -143,6 +160,8 @@ class WordTokenizer:
         for at, values in waiting:
             out[at].append(b"".join(values))
         waiting.clear()
+        self.chunks.age()
+        self.known.age()
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
