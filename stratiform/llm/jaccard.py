@@ -127,6 +127,7 @@ def _entries(docs: DataFrame, n_parts: int) -> DataFrame:
     """(part, blob): shingle entries by hash; from ``n_parts`` on, row facts."""
 
     def run(batches):
+        release()
         base = np.uint64(TaskContext.get().partitionId() << 33)
         done = 0
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -134,10 +135,14 @@ def _entries(docs: DataFrame, n_parts: int) -> DataFrame:
         def flush():
             h, r = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            part = mix(h) % np.uint64(n_parts)
+            part = (mix(h) % np.uint64(n_parts)).astype(np.int32)
             low = h & _LOW
+            del h
             order = np.lexsort((low, part))
-            part, low, r = part[order], low[order], r[order]
+            part = part[order]  # one after the other: each frees what it replaces
+            low = low[order]
+            r = r[order]
+            del order
             least = r.min() if len(r) else np.uint64(0)
             edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else np.zeros(1, np.int64)
             for at in range(0, len(edges) - 1, 16):

@@ -6,14 +6,18 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 from collections import Counter
+from functools import lru_cache
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from llm_tables import documents, empty_tables, tables  # noqa: F401 - fixtures
-from stratiform.llm import hilbert, jaccard, metric_join, queries, suffix_dedup
+from stratiform.llm import common, hilbert, jaccard, metric_join, queries, suffix_dedup
 
 QUERIES = queries.queries()
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -252,3 +256,32 @@ def test_vectors_whose_hashes_collide_stay_apart(spark, monkeypatch):
     rows += [(40 + i, v) for i, v in rows[:5]]
     got = metric_join.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), 0.99).collect()
     assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (int(i % 40 < 5), i % 40) for i, _ in rows}
+
+
+def test_tasks_that_hash_shingles_take_little_memory(monkeypatch):
+    """What other operators keep is gone before the first batch, and a full
+    buffer of shingles is dealt out in less than 56 bytes for each of them."""
+    run = []
+    monkeypatch.setattr(jaccard, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    jaccard._entries(SimpleNamespace(mapInArrow=lambda f, schema: run.append(f)), 7)
+    kept = lru_cache(lambda: "of another operator")
+    monkeypatch.setattr(common, "_held", [kept])
+    kept()
+    rng, n = random.Random(3), jaccard._FLUSH // 20 + 5
+    words = [chr(97 + i) + chr(97 + j) for i in range(26) for j in range(26)]
+    texts = [" ".join(rng.choices(words, k=n)) for _ in range(20)]
+    at_start = []
+
+    def batches():
+        at_start.append(kept.cache_info().currsize)
+        for text in texts:
+            yield pa.record_batch([pa.array([1]), pa.array([text])], names=["doc_id", "text"])
+
+    tracemalloc.start()
+    try:
+        got = [len(b) for b in run[0](batches())]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert at_start == [0] and sum(got) == 20 + 7
+    assert peak < 56 * jaccard._FLUSH
