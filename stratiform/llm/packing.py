@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from stratiform.llm.common import held, id_text, release, row_groups, table
 
-_MEMO = 1 << 17  # entries at which a memo's young generation becomes the old one
+_MEMO = 1 << 18  # entries at which a memo's young generation becomes the old one
 _PART = 1 << 16
 _ODD_BLANKS = re.compile("[\x1c-\x1f]")
 _BLANKS = re.compile("[ \t\n\r]+")

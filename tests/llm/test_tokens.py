@@ -141,13 +141,13 @@ def test_a_worker_keeps_a_bounded_number_of_words_and_the_frequent_ones():
     own = packing.WordTokenizer(P.path("word_bpe_49k.json"))
     library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
     word = lambda k: "".join(chr(97 + k // 26**i % 26) for i in range(5))
-    texts = [" ".join(["often", "seen", *map(word, range(k, k + 2000))]) for k in range(0, 600_000, 2000)]
+    texts = [" ".join(["often", "seen", *map(word, range(k, k + 2000))]) for k in range(0, 900_000, 2000)]
     for first in range(0, len(texts), 50):
         got = own.encode_all(texts[first : first + 50])
         assert np.frombuffer(got[-1], "<u4").tolist() == library.encode(texts[first : first + 50][-1], add_special_tokens=False).ids
     memos = [v for v in vars(own).values() if isinstance(v, dict)]
     older = [v for memo in memos for v in getattr(memo, "__dict__", {}).values() if isinstance(v, dict)]
-    assert 0 < sum(map(len, [*memos, *older])) <= 1_000_000  # two for each word before: 1.2 million
+    assert 0 < sum(map(len, [*memos, *older])) <= 1_400_000  # two for each word before: 1.8 million
     calls: list[str] = []
     for name, value in list(vars(own).items()):
         if isinstance(value, Tokenizer):
