@@ -8,9 +8,10 @@ room below them, so a group of n pieces costs n log n.  Groups are
 independent tasks of about ``group_size`` small rows (lengths, not ids unless
 asked for); the few open sequences of each group are the only extra padding.
 
-The tokenizer drops white space and no word crosses it, so the library
-encodes each distinct word once per task and a text's ids are joined from the
-memo; the new words of many texts are found and encoded together.
+The tokenizer drops white space and no word crosses it, so chunks between
+blanks are encoded by themselves.  Arrow finds the distinct chunks of some
+megabytes of texts; each is looked up once in a worker's memo, the new ones are
+encoded together, and one gather of their ids gives the ids of all texts.
 
 Defined cases: null and empty texts have only the closing id, one piece of
 length 1; equal rows are separate documents (the salt holds the row's place in
@@ -22,7 +23,6 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
@@ -31,14 +31,17 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import held, id_text, release, row_groups, table
+from stratiform.llm.common import held, id_text, release, row_groups, table, utf8
 
-_MEMO = 1 << 18  # entries at which a memo's young generation becomes the old one
-_PART = 1 << 16
-_ODD_BLANKS = re.compile("[\x1c-\x1f]")
-_BLANKS = re.compile("[ \t\n\r]+")
+_MEMO = 1 << 17  # entries at which a memo's young generation becomes the old one
+_PART = 1 << 22  # bytes of text whose chunks are looked up together
+_BLANKS = bytes.maketrans(b"\t\n\r", b"   ")
 _UNPLAIN = re.compile("[^\0-\u024f]|\u0130")  # all others are composed already and lower-cased letter by letter
 _END = b"\xff" * 4
+_KIND = np.zeros(256, np.uint8)  # 1: a to z, 2: ASCII and no letter or blank
+_KIND[:128] = 2
+_KIND[[0x20, *range(ord("A"), ord("Z") + 1)]] = 0
+_KIND[ord("a") : ord("z") + 1] = 1
 
 
 class Recent(dict):
@@ -48,30 +51,12 @@ class Recent(dict):
     def __init__(self) -> None:
         self.old: dict[str, bytes] = {}
 
-    def moved_back(self, key: str) -> bytes | None:
-        found = self.old.get(key)
-        if found is not None:
-            self[key] = found
-        return found
-
     def age(self) -> None:
         if len(self) > _MEMO:
             self.old = self.copy()
             self.clear()
 
 
-class Memo(Recent):
-    """Ids of chunks; a missing one gives a value that is filled in later."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.holes: defaultdict[str, bytearray] = defaultdict(bytearray)
-
-    def __missing__(self, chunk: str) -> bytes | bytearray:
-        found = self.moved_back(chunk)
-        return self.holes[chunk] if found is None else found
-
-
 class WordTokenizer:
     """Ids (little-endian unsigned 32-bit) of texts, words encoded once."""
 
@@ -88,81 +73,114 @@ class WordTokenizer:
         # The same model for words that are normalised and split already.
         self.split_words = Tokenizer(self.library.model)
         self.split_words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), self.library.pre_tokenizer[1]])
-        self.chunks = Memo()
-        self.known = Recent()
+        self.chunks = Recent()
         if self.encode("a b, C") != self.ids("a b, C"):
             raise ValueError("this tokenizer does not drop white space")
 
     def ids(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _plain(self, chunk: str) -> bool:
+    def _plain(self, text: str) -> bool:
         """Composed already, lower-cased letter by letter, no added string."""
-        return (chunk.isascii() or not _UNPLAIN.search(chunk)) and not any(a in chunk for a in self.added)
+        return (text.isascii() or not _UNPLAIN.search(text)) and not any(a in text for a in self.added)
 
-    def _learn_words(self, new: list[str]) -> None:
+    def _words_ids(self, new: list[str]) -> dict[str, bytes]:
+        found: dict[str, bytes] = {}
         for first in range(0, len(new), 64):
             part = new[first : first + 64]
             ids = np.array(self.split_words.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             ends = (4 * np.flatnonzero(self.last[ids]) + 4).tolist()
             if len(ends) != len(part):
-                self.known.update((w, self.ids(w)) for w in part)
+                found.update((w, self.ids(w)) for w in part)
                 continue
             joined = ids.tobytes()
-            self.known.update((w, joined[a:b]) for w, a, b in zip(part, [0, *ends], ends))
-
-    def _learn(self) -> None:
-        """Fills the holes, all plain chunks in one go: a line each, whose
-        words are found, encoded where new, and joined to the next line."""
-        holes, self.chunks.holes = self.chunks.holes, defaultdict(bytearray)
-        plain, lines = list(holes), "\n".join(holes)
-        if _UNPLAIN.search(lines) or any(a in lines for a in self.added):
-            plain = [c for c in holes if self._plain(c)]
-            found = {c: self.ids(c) for c in holes.keys() - set(plain)}
-            lines = "\n".join(plain)
-        else:
-            found = {}
+            found.update((w, joined[a:b]) for w, a, b in zip(part, [0, *ends], ends))
+        return found
+
+    def _learned(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of distinct chunks.  A plain chunk of letters is one word; the
+        other plain ones are split in one go, a line each."""
+        plain, found = new, {}
+        if not self._plain("\n".join(new)):
+            plain = [c for c in new if self._plain(c)]
+            found = {c: self.ids(c) for c in set(new).difference(plain)}
+        single = [c for c in plain if c.isalpha()]
+        mixed = [c for c in plain if not c.isalpha()]
+        words = self.words.findall("\n".join(mixed).lower())
+        known = self._words_ids(list({c.lower() for c in single}.union(words) - {"\n"}))
+        found.update((c, known[c.lower()]) for c in single)
+        known["\n"] = _END  # no id, and no id's bytes overlap it
+        found.update(zip(mixed, b"".join(map(known.__getitem__, words)).split(_END)))
+        return found
+
+    def _values(self, keys: list[str]) -> list[bytes]:
+        """Ids of distinct chunks, from the memo or learned together."""
+        values = list(map(self.chunks.get, keys))
+        places = [i for i, v in enumerate(values) if v is None]
+        if places:
+            found = list(map(self.chunks.old.get, [keys[i] for i in places]))
+            new = [keys[i] for i, v in zip(places, found) if v is None]
+            learned = self._learned(new) if new else {}
+            for i, v in zip(places, found):
+                self.chunks[keys[i]] = values[i] = learned[keys[i]] if v is None else v
+            self.chunks.age()
+        return values
+
+    def _part_ids(self, data: bytes, bounds: np.ndarray, plain: bool) -> list[bytes]:
+        """Ids of the ranges of ``data`` between ``bounds``, each closed by a
+        blank.  Chunks lie between blanks; in plain texts a letter and a
+        non-letter after it, which no word spans, are parted as well."""
+        each = np.frombuffer(data, np.uint8)
         if plain:
-            words = self.words.findall(lines.lower())
-            distinct = set(words) - {"\n"}
-            self._learn_words([w for w in distinct.difference(self.known) if self.known.moved_back(w) is None])
-            self.known["\n"] = _END  # no id, and no id's bytes overlap it
-            found.update(zip(plain, b"".join(map(self.known.__getitem__, words)).split(_END)))
-        self.chunks.update(found)
-        for chunk, hole in holes.items():
-            hole += found[chunk]
-
-    def _split(self, text: str) -> list[str]:
-        chunks = _BLANKS.split(text) if _ODD_BLANKS.search(text) else text.split()
-        return chunks if chunks and chunks[0] and chunks[-1] else [c for c in chunks if c]
+            kind = _KIND[each]
+            cut = np.flatnonzero((kind[:-1] == 1) & (kind[1:] == 2)) + 1
+            each, bounds = np.insert(each, cut, 0x20), bounds + np.searchsorted(cut, bounds)
+        ends = np.flatnonzero(each == 0x20) + 1
+        offsets = pa.py_buffer(np.concatenate([[0], ends]))
+        chunks = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, offsets, pa.py_buffer(each)]).dictionary_encode()
+        keys = utf8(chunks.dictionary)[0].tobytes().decode().split(" ")[:-1]
+        values = self._values(keys)
+        size = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        flat, which = np.frombuffer(b"".join(values), "<u4"), chunks.indices.to_numpy()
+        sizes = size[which]
+        after = np.cumsum(sizes)
+        ids = flat[np.arange(sizes.sum()) + np.repeat((np.cumsum(size) - size)[which] - (after - sizes), sizes)]
+        row_ends = np.concatenate([[0], after])[np.searchsorted(ends, bounds, side="right")].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(row_ends, row_ends[1:])]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; new chunks of many texts are learned together,
-        and those of a long text in parts, the memo never far above its bound."""
+        """Ids of each text.  Texts are taken together by about ``_PART`` bytes,
+        a longer one in parts cut at blanks; each distinct chunk of these is
+        looked up once, and the new ones are learned together."""
         out: list[list[bytes]] = [[] for _ in texts]
-        waiting: list[tuple[int, list]] = []
-        size = 0
+        waiting: dict[bool, list[tuple[int, bytes]]] = {False: [], True: []}
+        size = {False: 0, True: 0}
+
+        def settle(plain: bool) -> None:
+            owners, parts = zip(*waiting[plain])
+            bounds = np.cumsum([0, *map(len, parts)])
+            for at, ids in zip(owners, self._part_ids(b"".join(parts), bounds, plain)):
+                out[at].append(ids)
+            waiting[plain].clear()
+            size[plain] = 0
+
         for at, text in enumerate(texts):
-            chunks = self._split(text)
-            for first in range(0, len(chunks), _PART):
-                part = chunks[first : first + _PART]
-                waiting.append((at, list(map(self.chunks.__getitem__, part))))
-                size += len(part)
-                if size >= _PART:
-                    self._settle(waiting, out)
-                    size = 0
-        self._settle(waiting, out)
+            low = text.lower()
+            plain = self._plain(text) and not any(a in low for a in self.added)
+            data = (low if plain else text).encode().translate(_BLANKS) + b" "
+            first = 0
+            while first < len(data):
+                last = data.find(b" ", first + _PART - 1) + 1 or len(data)
+                waiting[plain].append((at, data[first:last]))
+                size[plain] += last - first
+                first = last
+                if size[plain] >= _PART:
+                    settle(plain)
+        for plain, parts in waiting.items():
+            if parts:
+                settle(plain)
         return [b"".join(parts) for parts in out]
 
-    def _settle(self, waiting: list[tuple[int, list]], out: list[list[bytes]]) -> None:
-        if self.chunks.holes:
-            self._learn()
-        for at, values in waiting:
-            out[at].append(b"".join(values))
-        waiting.clear()
-        self.chunks.age()
-        self.known.age()
-
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
@@ -187,19 +205,17 @@ def token_pieces(
         release(keep=tokenizer)
         own, closing, place = tokenizer(path), np.array([closing_id], "<u4").tobytes(), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for first, last in row_groups(utf8(batch.column(1))[1], _PART):
+                part = batch.slice(first, last - first)
                 rows: list[tuple] = []
-                doc_ids, texts = part.column(0).to_pylist(), [text or "" for text in part.column(1).to_pylist()]
-                for first, last in row_groups(np.cumsum([0, *map(len, texts)])):
-                    for doc_id, ids in zip(doc_ids[first:last], own.encode_all(texts[first:last])):
-                        ids += closing
-                        total = len(ids) // 4
-                        for start in range(0, total, capacity):
-                            piece = ids[4 * start : 4 * (start + capacity)]
-                            row = (doc_id, start, len(piece) // 4, zlib.crc32(piece), total, place)
-                            rows.append((*row, np.frombuffer(piece, "<u4").astype(np.int32)) if keep_ids else row)
-                        place += 1
+                for doc_id, ids in zip(part.column(0).to_pylist(), own.encode_all([text or "" for text in part.column(1).to_pylist()])):
+                    ids += closing
+                    total = len(ids) // 4
+                    for start in range(0, total, capacity):
+                        piece = ids[4 * start : 4 * (start + capacity)]
+                        row = (doc_id, start, len(piece) // 4, zlib.crc32(piece), total, place)
+                        rows.append((*row, np.frombuffer(piece, "<u4").astype(np.int32)) if keep_ids else row)
+                    place += 1
                 columns = list(zip(*rows)) if rows else [()] * len(names)
                 types = [pa.int64()] * 6 + [pa.list_(pa.int32())] * keep_ids
                 yield pa.record_batch([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)

@@ -137,6 +137,39 @@ def test_texts_encoded_together_equal_the_library(monkeypatch, memo, part):
     assert own.encode_all([]) == []
 
 
+def test_a_chunk_that_many_texts_hold_is_looked_up_once():
+    own = packing.WordTokenizer(P.path("word_bpe_49k.json"))
+    looked: list[str] = []
+
+    class Watched(type(own.chunks)):
+        def __getitem__(self, key):
+            looked.append(key)
+            return super().__getitem__(key)
+
+        def get(self, key, *default):
+            looked.append(key)
+            return super().get(key, *default)
+
+    own.chunks = Watched()
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["Some", "some,", "words", "(here)", "x1.", "it's"]) for _ in range(60)) for _ in range(200)]
+    library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode_all(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 0 < len(looked) <= 40  # 12,000 chunks
+
+
+def test_chunks_parted_at_signs_have_the_library_s_ids(monkeypatch):
+    library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    rng = random.Random(6)
+    letters = ["abcXYZ'stD .,;!?01-_\n\t\r", "aé ÀÖ·«»×ß'\xa0\x85\x1c\x0b\0ȺɐŉİS.1", "aΣ.'é日🙂\u0301 İi,<|>", "".join(map(chr, range(0x250)))]
+    marks = ["", "", "", "", "<|endoftext|>", "<|ENDOFTEXT|>", "x<|EndOfText|>y"]
+    texts = ["".join(rng.choices(rng.choice(letters), k=rng.randrange(50))) + rng.choice(marks) + "a's" for _ in range(400)]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for part in (1, 40, 1 << 20):
+        monkeypatch.setattr(packing, "_PART", part)
+        assert packing.WordTokenizer(P.path("word_bpe_49k.json")).encode_all(texts) == want
+
+
 def test_a_worker_keeps_a_bounded_number_of_words_and_the_frequent_ones():
     own = packing.WordTokenizer(P.path("word_bpe_49k.json"))
     library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
