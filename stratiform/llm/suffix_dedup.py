@@ -26,7 +26,15 @@ give; the order of different windows is not known.
 
 Highly repetitive text costs one parse entry a phrase and no window.  Copies
 within one input split are settled before the shuffle, so the entries of a
-hot trigger grow with splits and distinct phrases, not with copies.  Row ids
+trigger grow with splits and distinct phrases, not with copies.
+
+*Hot triggers.*  A first pass over the texts counts the distinct phrases of a
+trigger.  From ``HOT`` on (a line that many documents have in surroundings of
+their own) no group holds the trigger: its phrases meet by phrase hash, and
+the windows of those left are dealt by a 128-bit digest, which alone tells
+them apart.  Both spread evenly over the parts.
+
+Row ids
 come from the place in the input, so ``docs`` must be a stable scan: a stored
 table or a checkpoint.
 
@@ -37,6 +45,8 @@ ids, which come before all others; texts under LENGTH bytes stay whole.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -49,6 +59,8 @@ from stratiform.llm.common import CHUNK_BYTES, RangeHash, fresh, mix, pack, rele
 LENGTH = 100
 TRIGGER = 50
 PART_BYTES = 4 << 20  # text bytes whose phrases share a part
+HOT = 10_000  # distinct phrases from which a trigger has no group of its own
+FEW = 4  # distinct phrases of a trigger from which a task reports it
 _FLUSH = 200_000  # phrases a task holds before it sorts and sends them
 _PLACE = np.uint64((1 << 24) - 1)
 _CTX = np.uint64((1 << 48) - 1)
@@ -130,8 +142,36 @@ def _settle(group: np.ndarray, whole: np.ndarray, earlier: list[np.ndarray]) ->
     return order, first
 
 
-def _parse(rows: DataFrame, n: int) -> DataFrame:
-    """(part, blob): occurrences by trigger; from ``n`` on, settled ones."""
+def hot_triggers(rows: DataFrame) -> np.ndarray:
+    """Triggers of about ``HOT`` distinct phrases or more: sums of what tasks
+    report, which leave out fewer than ``FEW`` for each ``_FLUSH`` phrases."""
+
+    def run(batches):
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush():
+            trigger, whole = (np.concatenate(c) for c in zip(*held))
+            held.clear()
+            order, first = _settle(trigger, whole, [])
+            found, count = np.unique(trigger[order][first], return_counts=True)
+            return pa.record_batch([pa.array(found[count >= FEW].view(np.int64)), pa.array(count[count >= FEW].astype(np.int64))], names=["trigger", "n"])
+
+        for batch in batches:
+            for data, bounds, _, _ in _pieces(batch.column(2)):
+                held.append(phrases(data, bounds)[3:5])
+                if sum(len(h[0]) for h in held) >= _FLUSH:
+                    yield flush()
+        if held:
+            yield flush()
+        release()
+
+    counts = rows.mapInArrow(run, "trigger long, n long").groupBy("trigger").agg(F.sum("n").alias("n"))
+    return np.array([r["trigger"] for r in counts.where(F.col("n") >= HOT).select("trigger").collect()], np.int64).view(np.uint64)
+
+
+def _parse(rows: DataFrame, n: int, hot: np.ndarray) -> DataFrame:
+    """(part, blob): occurrences by trigger; from ``n`` on, settled ones; from
+    ``2 * n`` on, those of hot triggers by phrase."""
 
     def run(batches):
         held: list[list[np.ndarray]] = []
@@ -146,8 +186,11 @@ def _parse(rows: DataFrame, n: int) -> DataFrame:
             for home, (r, a, b) in _by(_home(done[3], n), n, [done[3], done[4] - done[5], done[4] + done[6]]):
                 out.append((n + home, pack(r, a, b)))
             trigger, whole, number, row, t, before, after = (c[first] for c in columns)
-            part = ((trigger >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
-            for p, (tr, w, num, r, t_, be, af) in _by(part.astype(np.int64), n, [trigger & _LOW, whole & _CTX, number, row, t, before, after]):
+            part = (((trigger >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
+            if len(hot):
+                spread = (((whole >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
+                part = np.where(np.isin(trigger, hot), 2 * n + spread, part)
+            for p, (tr, w, num, r, t_, be, af) in _by(part, 3 * n, [trigger & _LOW, whole & _CTX, number, row, t, before, after]):
                 sort = np.argsort(tr, kind="stable")
                 tr, w, num, r, t_, be, af = (c[sort] for c in (tr, w, num, r, t_, be, af))
                 gap = r - num  # the same for all rows where ids run like rows
@@ -178,12 +221,12 @@ def _parse(rows: DataFrame, n: int) -> DataFrame:
 
 def _settled(parse: DataFrame, n: int) -> DataFrame:
     """(home, kind, blob): kind 0, removed windows; kind 1, phrases whose
-    trigger has several."""
+    trigger has several, with its part, or ``n`` if it is hot."""
 
     def run(key, group):
         release()
         part = key[0].as_py()
-        if part >= n:
+        if n <= part < 2 * n:
             return _as_rows([(part - n, 0, b) for b in group["blob"].to_pylist()], [pa.int32(), pa.int32(), pa.binary()], ["home", "kind", "blob"])
         columns: list[list[np.ndarray]] = []
         for blob in group["blob"].to_pylist():
@@ -195,11 +238,11 @@ def _settled(parse: DataFrame, n: int) -> DataFrame:
         trigger, row, t, before, after = (c[order] for c in (trigger, row, t, before, after))
         out = [(h, 0, pack(r, a, b)) for h, (r, a, b) in _by(_home(row[~first], n), n, [row[~first], (t - before)[~first], (t + after)[~first]])]
         trigger, row, t, before, after = (c[first] for c in (trigger, row, t, before, after))
-        many = np.zeros(len(trigger), bool)
+        many = np.full(len(trigger), part >= 2 * n)
         same = trigger[1:] == trigger[:-1]
         many[1:] |= same
         many[:-1] |= same
-        out += [(h, 1, pack(r, t_, be, af, np.array([part]))) for h, (r, t_, be, af) in _by(_home(row[many], n), n, [c[many] for c in (row, t, before, after)])]
+        out += [(h, 1, pack(r, t_, be, af, np.array([min(part, n)]))) for h, (r, t_, be, af) in _by(_home(row[many], n), n, [c[many] for c in (row, t, before, after)])]
         return _as_rows(out, [pa.int32(), pa.int32(), pa.binary()], ["home", "kind", "blob"])
 
     return parse.groupBy("part").applyInArrow(run, "home int, kind int, blob binary")
@@ -227,8 +270,14 @@ def _texts(rows: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(run, "home int, kind int, blob binary")
 
 
-def _dictionary(blocks: DataFrame) -> DataFrame:
-    """(part, blob): the bytes of phrases that share their trigger."""
+def digests(text: bytes) -> list[bytes]:
+    """128 bits for each window."""
+    return [hashlib.blake2b(text[k : k + LENGTH], digest_size=16).digest() for k in range(len(text) - LENGTH + 1)]
+
+
+def _dictionary(blocks: DataFrame, n: int) -> DataFrame:
+    """(part, blob): the bytes of phrases that share their trigger; from ``n``
+    on, digests and places of the windows of hot triggers, by digest."""
 
     def run(_key, group):
         release()
@@ -259,7 +308,14 @@ def _dictionary(blocks: DataFrame) -> DataFrame:
                 pieces[lo:hi] = [body[a:b] for a, b in zip(start.tolist(), end.tolist())]
             texts = np.empty(len(pieces), object)
             texts[:] = pieces
-            for p, (r, num, first, text) in _by(part.astype(np.int64), int(part.max()) + 1, [row, number, t - before, texts]):
+            for p, (r, num, first, text) in _by(part.astype(np.int64), n + 1, [row, number, t - before, texts]):
+                if p == n:
+                    each = np.frombuffer(b"".join([d for x in text for d in digests(x)]), np.uint64).reshape(-1, 2)
+                    count = np.array([len(x) - LENGTH + 1 for x in text])
+                    within = (np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count)).astype(np.uint64)
+                    columns = [each[:, 0], each[:, 1], np.repeat(num, count), np.repeat(r, count), np.repeat(first, count) + within]
+                    out += [(n + k, pack(*c)) for k, c in _by((each[:, 0] % np.uint64(n)).astype(np.int64), n, columns)]
+                    continue
                 head = pack(r, num, first, np.array([len(x) for x in text]))
                 out.append((p, len(head).to_bytes(8, "little") + head + zstandard.ZstdCompressor(level=1).compress(b"".join(text))))
         return _as_rows(out, [pa.int32(), pa.binary()], ["part", "blob"])
@@ -299,8 +355,15 @@ def later_windows(buffer: np.ndarray, start: np.ndarray) -> np.ndarray:
 def _ordered(dictionary: DataFrame, n: int) -> DataFrame:
     """(home, kind 0, blob): windows of the dictionary that came earlier."""
 
-    def run(_key, group):
+    def run(key, group):
         release()
+        if key[0].as_py() >= n:
+            high, low, number, row, window = (np.concatenate(c) for c in zip(*map(unpack, group["blob"].to_pylist())))
+            order = np.lexsort((window, row, number, low, high))
+            later = order[1:][(high[order][1:] == high[order][:-1]) & (low[order][1:] == low[order][:-1])]
+            row, window = row[later], window[later]
+            out = [(h, 0, pack(r, w, w + np.uint64(TRIGGER))) for h, (r, w) in _by(_home(row, n), n, [row, window])]
+            return _as_rows(out, [pa.int32(), pa.int32(), pa.binary()], ["home", "kind", "blob"])
         head, body = [], []
         for blob in group["blob"].to_pylist():
             size = int.from_bytes(blob[:8], "little")
@@ -391,9 +454,9 @@ def _marks(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     n_bytes = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     n = max(32, n_bytes // PART_BYTES)
-    settled = fresh(_settled(_parse(rows, n), n))
+    settled = fresh(_settled(_parse(rows, n, hot_triggers(rows)), n))
     blocks = _texts(rows, n).union(settled.where("kind = 1"))
-    return settled.where("kind = 0").union(_ordered(_dictionary(blocks), n)), n
+    return settled.where("kind = 0").union(_ordered(_dictionary(blocks, n), n)), n
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

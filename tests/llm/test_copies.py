@@ -102,6 +102,27 @@ def test_op8(spark, tables, documents):
     assert Counter(map(tuple, QUERIES["op8_suffix_dedup"](spark, tables).collect())) == want
 
 
+def test_a_line_in_many_surroundings_is_no_group(spark, monkeypatch):
+    """One trigger with a phrase of its own in each document, some documents
+    copied in part and some whole: its windows are spread over the parts."""
+    dictionaries, ordered = [], suffix_dedup._ordered
+    monkeypatch.setattr(suffix_dedup, "HOT", 50, raising=False)
+    monkeypatch.setattr(suffix_dedup, "_ordered", lambda d, n: dictionaries.append(d) or ordered(d, n))
+    rng = random.Random(2)
+    prose = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    line = prose(95)
+    texts = [prose(70) + line + prose(70) for _ in range(600)]
+    texts += [prose(20) + t[k : k + 130] + prose(20) for k, t in enumerate(texts[:60])] + texts[300:330] + [prose(3000), None, "é" * 300]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_removed, bytes(r.kept)) for r in suffix_dedup.deduplicated(common.fresh(frame)).collect()}
+    want = {}
+    for k, (text, mask) in enumerate(zip(texts, removed(texts))):
+        want[k] = sum(mask), bytes(c for c, m in zip((text or "").encode(), mask) if not m)
+    assert got == want and sum(n for n, _ in want.values()) > 10_000
+    sizes = [r.size for r in dictionaries[0].groupBy("part").agg(F.sum(F.octet_length("blob")).alias("size")).collect()]
+    assert max(sizes) < sum(sizes) / 4
+
+
 def test_long_rows_lose_no_window(monkeypatch):
     import pyarrow as pa
 
