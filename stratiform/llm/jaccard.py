@@ -357,8 +357,8 @@ def linked_components(sets: DataFrame) -> DataFrame:
     return labels
 
 
-def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Every row's facts, and the component of each distinct set that may link."""
+def _sets(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every row's facts, the key of each distinct set that may link, and the sets."""
     rows = id_text(docs, id_col, text_col)
     n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_parts = max(32, n_bytes // PART_BYTES)
@@ -366,6 +366,12 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
     may = found.where("tokens IS NOT NULL")
     groups = fresh(may.groupBy("n", "d1", "d2").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least")))
     sets = fresh(may.join(groups, [may["row"] == groups["rep"]]).select("rep", may["n"], "tokens", "head", "lone", "sketch"))
+    return found, groups, sets
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Every row's facts, and the component of each distinct set that may link."""
+    found, groups, sets = _sets(docs, id_col, text_col)
     labels = linked_components(sets)
     return found, groups.join(labels, groups["rep"] == labels["node"], "left").withColumn("component", F.coalesce("component", "rep"))
 
@@ -379,6 +385,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("tokens").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def linked_pairs(sets: DataFrame) -> DataFrame:
+    """(a, b), a < b: every two distinct sets that link.  All pairs of a bucket
+    that sizes and sketches allow are verified, once each, so m sets that all
+    link cost m * m / 2: components do not need that."""
+    posts = fresh(buckets(sets, boundary(sets)))
+    x, y = posts.alias("x"), posts.alias("y")
+    near = may_link(*[F.col(f"{side}.{c}") for side in "xy" for c in ("n", "lone", "sketch")])
+    pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.rep") < F.col("y.rep")) & near)
+    pairs = pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    return _verified(pairs.select("a", "b", F.col("a").alias("la"), F.col("b").alias("lb")), sets).toDF("a", "b")
+
+
+def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The linked pairs of distinct sets (a, b), and of every row (row, doc_id,
+    n_shingles, rep, n_links): the set it belongs to, named by its first row, and
+    how many other rows it links with, copies included; rows as ``surplus_rows``
+    has them."""
+    found, groups, sets = _sets(docs, id_col, text_col)
+    pairs = fresh(linked_pairs(sets))
+    copies = found.where("tokens IS NOT NULL").groupBy("n", "d1", "d2").agg(F.count(F.lit(1)).alias("copies"))
+    copies = copies.join(groups.select("n", "d1", "d2", "rep"), ["n", "d1", "d2"])
+    ends = pairs.union(pairs.select("b", "a")).toDF("rep", "other")
+    others = ends.join(copies.select(F.col("rep").alias("other"), "copies"), "other").groupBy("rep").agg(F.sum("copies").alias("others"))
+    named = copies.join(others, "rep", "left").select("n", "d1", "d2", "rep", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    member = found.join(named, ["n", "d1", "d2"], "left")
+    return pairs, member.select("row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "row").alias("rep"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def surplus_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row): all but one row of each component, the one of least id (null
     last) and place; ``row`` is ``monotonically_increasing_id`` over ``docs``,

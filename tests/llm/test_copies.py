@@ -66,6 +66,27 @@ def test_every_boundary_gives_the_same_components(spark, tables, documents, boun
     assert Counter(map(tuple, QUERIES["op4_jaccard_join"](spark, tables).collect())) == want
 
 
+@pytest.mark.parametrize("bound", [None, 0, 64])
+def test_links_and_their_number(spark, tables, documents, bound, monkeypatch):
+    """Every link between different texts, also inside a component, and copies."""
+    if bound is not None:
+        monkeypatch.setattr(jaccard, "boundary", lambda sets: bound)
+    sets = [shingles(r[1]) for r in documents]
+    count, distinct = [0] * len(sets), set()
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        if sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+            count[i] += 1
+            count[j] += 1
+            if sets[i] != sets[j]:
+                distinct.add(frozenset((sets[i], sets[j])))
+    pairs, member = jaccard.links(spark.read.parquet(f"{tables}/documents.parquet"))
+    rows, got = member.collect(), [(r.a, r.b) for r in pairs.collect()]
+    assert Counter((r.doc_id, r.n_shingles, r.n_links) for r in rows) == Counter((r[0], len(s), n) for r, s, n in zip(documents, sets, count))
+    reps = Counter(r.rep for r in rows)
+    assert len(got) == len(set(got)) == len(distinct) > 20 and all(a < b and a in reps and b in reps for a, b in got)
+    assert sorted(reps.values()) == sorted([*Counter(s for s in sets if s).values(), *[1] * sets.count(frozenset())])
+
+
 def test_long_rows_are_hashed_in_parts(monkeypatch):
     import pyarrow as pa
 
